@@ -26,11 +26,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quern.llm.common import bounded_batches, read_table, with_fields
+from quern.llm.piece_cache import PieceCache
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 LONG_PIECE = 1024
 #: Pieces whose tokens a worker remembers; then it starts anew.
-REMEMBERED = 1_500_000
+REMEMBERED = 1_000_000
 #: The characters that \s stands for in the pattern: Unicode's White_Space.
 WHITE = r"\t\n\x0B\f\r\x20\x85\xA0  -     　"
 
@@ -89,7 +90,7 @@ class Codec:
         self._load("merges", {"l": left, "r": right, "merged": merged})
         self.db.execute("CREATE TABLE vocabulary (tok INT, hex VARCHAR)")
         self._load("vocabulary", {"tok": list(self.ranks.values()), "hex": [t.hex() for t in self.ranks]})
-        self.known: dict[str, np.ndarray] = {}
+        self.cache = PieceCache(self.learn, REMEMBERED)
 
     def _load(self, table: str, columns: dict) -> None:
         rows = pa.table({k: pa.array(v, pa.string() if k == "hex" else pa.int32()) for k, v in columns.items()})
@@ -117,50 +118,35 @@ class Codec:
                     heapq.heappush(queue, (n, p, tok[p], tok[q]))
         return [t for t in tok if t is not None]
 
-    def learn(self, new: list[str]) -> None:
-        """Encode pieces not met before."""
-        if self.known and len(self.known) + len(new) > REMEMBERED:
-            self.known.clear()
-        rows: list[bytes] = []
-        names: list[str] = []
-        for piece in new:
+    def learn(self, pieces: list[str]) -> list[np.ndarray]:
+        """The ids of each piece."""
+        out: list = [None] * len(pieces)
+        rows: list[tuple[int, bytes]] = []
+        for i, piece in enumerate(pieces):
             data = piece.encode()
             if (rank := self.ranks.get(data)) is not None:
-                self.known[piece] = np.array([rank], dtype=np.uint32)
+                out[i] = np.array([rank], dtype=np.uint32)
             elif len(data) > LONG_PIECE:
-                self.known[piece] = np.array(self.by_heap(data), dtype=np.uint32)
+                out[i] = np.array(self.by_heap(data), dtype=np.uint32)
             else:
-                rows.append(data)
-                names.append(piece)
+                rows.append((i, data))
         for at in range(0, len(rows), 20_000):
             some = rows[at : at + 20_000]
-            sizes = np.array([len(x) for x in some])
+            sizes = np.array([len(x) for _, x in some])
             w = np.repeat(np.arange(len(some)), sizes)
             pos = np.arange(len(w)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-            start = pa.table({"w": w.astype(np.int32), "pos": pos.astype(np.int32), "tok": self.bytes[np.frombuffer(b"".join(some), dtype=np.uint8)]})
+            start = pa.table({"w": w.astype(np.int32), "pos": pos.astype(np.int32), "tok": self.bytes[np.frombuffer(b"".join(x for _, x in some), dtype=np.uint8)]})
             self.db.register("start", start)
             ids = self.db.sql(ENCODE).to_arrow_table()["ids"].combine_chunks()
             self.db.unregister("start")
             ends, flat = ids.offsets.to_numpy(), ids.values.to_numpy().astype(np.uint32)
-            for i, name in enumerate(names[at : at + 20_000]):
-                self.known[name] = flat[ends[i] : ends[i + 1]]
+            for k, (i, _) in enumerate(some):
+                out[i] = flat[ends[k] : ends[k + 1]]
+        return out
 
     def encode(self, texts: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
         """Of texts as lists of pieces: all token ids, and where each text's begin, with the end of the last."""
-        offsets = texts.offsets.to_numpy()
-        flat = texts.values.slice(offsets[0], offsets[-1] - offsets[0])
-        coded = flat.dictionary_encode()
-        distinct = coded.dictionary.to_pylist()
-        while new := [p for p in distinct if p not in self.known]:  # again if the others were forgotten to make room
-            self.learn(new)
-        each = [self.known[p] for p in distinct]
-        sizes = np.array([len(x) for x in each], dtype=np.int64)
-        store, begins = (np.concatenate(each) if each else np.zeros(0, np.uint32)), np.cumsum(sizes) - sizes
-        codes = coded.indices.to_numpy()
-        n = sizes[codes]
-        ends = np.concatenate([[0], np.cumsum(n)])
-        ids = store[np.repeat(begins[codes] - ends[:-1], n) + np.arange(ends[-1])]
-        return ids, ends[offsets - offsets[0]]
+        return self.cache.encode(texts)
 
     def decode(self, ids: np.ndarray, bounds: np.ndarray) -> list[bytes]:
         """The bytes of each sequence ids[bounds[i]:bounds[i+1]]. Unknown ids raise an error."""
