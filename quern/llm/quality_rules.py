@@ -17,7 +17,7 @@ from quern.llm.common import read_table
 
 #: Buckets of the hashed n-grams of orders 1 and 2: the model is a table of so many rows at most, whatever the corpus.
 BUCKETS = 1 << 16
-SMOOTHING, THRESHOLD = 0.5, -0.75
+SMOOTHING, THRESHOLD = 0.5, -0.2
 LEAST_WORDS, MOST_REPEATED_PERCENT = 50, 50
 #: At most so many labelled ids, those with the smallest hashes, make up the trusted target.
 TARGET_ROWS = 50_000
