@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quern.llm.common import read_table
+from quern.llm.common import materialize, read_table
 
 #: Buckets of the hashed n-grams of orders 1 and 2: the model is a table of so many rows at most, whatever the corpus.
 BUCKETS = 1 << 16
@@ -72,7 +72,7 @@ def log_ratios(documents: DataFrame, target_ids: DataFrame) -> DataFrame:
     """bucket int, ratio double: log of the bucket's smoothed share in the target less that in all documents. target_ids: doc_id, a bounded number of rows."""
     target = F.broadcast(target_ids.select("doc_id").distinct().withColumn("__t", F.lit(1)))
     grams = documents.select("doc_id", words().alias("__w")).join(target, "doc_id", "left").select(F.coalesce("__t", F.lit(0)).alias("t"), F.explode(buckets("__w")).alias("bucket"))
-    counted = grams.groupBy("bucket").agg(F.count("*").alias("raw"), F.sum("t").alias("target"))
+    counted = materialize(grams.groupBy("bucket").agg(F.count("*").alias("raw"), F.sum("t").alias("target")), "buckets")
     total = counted.agg(F.coalesce(F.sum("raw"), F.lit(0)).alias("r"), F.coalesce(F.sum("target"), F.lit(0)).alias("t")).first()
     if not total["t"]:
         return counted.select("bucket", F.lit(0.0).alias("ratio"))
