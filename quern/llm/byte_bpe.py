@@ -118,8 +118,8 @@ class Codec:
                     heapq.heappush(queue, (n, p, tok[p], tok[q]))
         return [t for t in tok if t is not None]
 
-    def learn(self, pieces: list[str]) -> list[np.ndarray]:
-        """The ids of each piece."""
+    def learn(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the pieces, one after another, and how many each has."""
         out: list = [None] * len(pieces)
         rows: list[tuple[int, bytes]] = []
         for i, piece in enumerate(pieces):
@@ -142,7 +142,7 @@ class Codec:
             ends, flat = ids.offsets.to_numpy(), ids.values.to_numpy().astype(np.uint32)
             for k, (i, _) in enumerate(some):
                 out[i] = flat[ends[k] : ends[k + 1]]
-        return out
+        return np.concatenate(out), np.array([len(x) for x in out])
 
     def encode(self, texts: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
         """Of texts as lists of pieces: all token ids, and where each text's begin, with the end of the last."""

@@ -9,11 +9,28 @@ import pyarrow as pa
 
 
 class PieceCache:
-    """learn: from pieces not met before to their ids. After `most` pieces the cache starts anew, so its memory is bounded."""
+    """learn: from pieces not met before to all their ids and how many each has. After `most` pieces the cache starts anew, so its memory is bounded."""
 
-    def __init__(self, learn: Callable[[list], list[np.ndarray]], most: int):
+    def __init__(self, learn: Callable[[list], tuple[np.ndarray, np.ndarray]], most: int):
         self.learn, self.most = learn, most
-        self.known: dict[Hashable, np.ndarray] = {}
+        self.clear()
+
+    def clear(self) -> None:
+        self.known: dict[Hashable, int] = {}
+        self.ids, self.used = np.zeros(1 << 16, np.uint32), 0
+        self.begins, self.sizes = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64)
+
+    def add(self, pieces: list) -> None:
+        ids, sizes = self.learn(pieces)
+        n, used = len(self.known), self.used
+        for name, need in (("ids", used + len(ids)), ("begins", n + len(pieces)), ("sizes", n + len(pieces))):
+            if need > len(old := getattr(self, name)):
+                setattr(self, name, np.concatenate([old, np.zeros(max(len(old), need - len(old)), old.dtype)]))
+        self.ids[used : used + len(ids)] = ids
+        self.sizes[n : n + len(pieces)] = sizes
+        self.begins[n : n + len(pieces)] = used + np.cumsum(sizes) - sizes
+        self.used += len(ids)
+        self.known.update(zip(pieces, range(n, n + len(pieces)), strict=True))
 
     def encode(self, texts: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts, and where each text's begin, with the end of the last."""
@@ -21,14 +38,11 @@ class PieceCache:
         coded = texts.values.slice(offsets[0], offsets[-1] - offsets[0]).dictionary_encode()
         distinct = coded.dictionary.to_pylist()
         if len(self.known) + len(distinct) > self.most:
-            self.known.clear()
-        new = [p for p in distinct if p not in self.known]
-        self.known.update(zip(new, self.learn(new), strict=True))
-        each = [self.known[p] for p in distinct]
-        sizes = np.array([len(x) for x in each], dtype=np.int64)
-        store, begins = (np.concatenate(each) if each else np.zeros(0, np.uint32)), np.cumsum(sizes) - sizes
-        codes = coded.indices.to_numpy()
-        n = sizes[codes]
+            self.clear()
+        if new := [p for p in distinct if p not in self.known]:
+            self.add(new)
+        place = np.fromiter(map(self.known.__getitem__, distinct), np.int64, len(distinct))[coded.indices.to_numpy()]
+        n = self.sizes[place]
         ends = np.concatenate([[0], np.cumsum(n)])
-        ids = store[np.repeat(begins[codes] - ends[:-1], n) + np.arange(ends[-1])]
+        ids = self.ids[np.repeat(self.begins[place] - ends[:-1], n) + np.arange(ends[-1])]
         return ids, ends[offsets - offsets[0]]

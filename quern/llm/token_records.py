@@ -20,16 +20,18 @@ import struct
 import uuid
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quern.llm.common import bounded_batches, read_table, shared_dir, utf8_values
+from quern.llm.common import bounded_batches, in_chunks, read_table, shared_dir
 from quern.llm.piece_cache import PieceCache
 
 VOCABULARY, END_ID = "word_bpe_49k.json", 2
@@ -82,13 +84,26 @@ class Encoder:
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
         self.cache = PieceCache(self.learn, REMEMBERED)
 
-    def learn(self, words: list[bytes]) -> list[np.ndarray]:
-        return [np.array(x.ids, dtype=np.uint32) for x in self.tokenizer.encode_batch([w.decode() for w in words], add_special_tokens=False)]
-
-    def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        words = [t.split() for t in texts]
-        ends = np.concatenate([[0], np.cumsum([len(w) for w in words])]).astype(np.int32)
-        return self.cache.encode(pa.ListArray.from_arrays(pa.array(ends), pa.array([x for w in words for x in w], pa.binary())))
+    def learn(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        ids: list[list[int]] = []
+        sizes: list[np.ndarray] = []
+        for some in in_chunks(words, 500):
+            e = self.tokenizer.encode(some, is_pretokenized=True, add_special_tokens=False)
+            if None in (of := e.word_ids):  # a special token has no word
+                each = [x.ids for x in self.tokenizer.encode_batch_fast(some, add_special_tokens=False)]
+                ids += each
+                sizes.append(np.array([len(x) for x in each]))
+            else:
+                ids.append(e.ids)
+                sizes.append(np.bincount(np.array(of, dtype=np.int64), minlength=len(some)))
+        n = np.concatenate(sizes)
+        return np.fromiter(chain.from_iterable(ids), np.uint32, n.sum()), n
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        # the tokenizer lower-cases all but special tokens, which begin with <|: doing so before finds more words in the cache
+        texts = pc.fill_null(texts, "")
+        lowered = pc.if_else(pc.match_substring(texts, "<|"), texts, pc.ascii_lower(texts))
+        return self.cache.encode(pc.ascii_split_whitespace(lowered))
 
 
 _encoders: dict[str, Encoder] = {}
@@ -107,7 +122,7 @@ def shard_path(folder: str, shard: int) -> str:
 def write_records(documents: DataFrame, folder: str, path: str | None = None, end_id: int = END_ID) -> DataFrame:
     """Write documents (doc_id, text) to shard files below folder, a URI that all executors reach, and the index to folder/index; return the index. A shard is written under another name and then moved, so a repeated task replaces it whole."""
     spark = documents.sparkSession
-    bounded_batches(spark)
+    bounded_batches(spark, 512)
     path = path or public_tokenizers.path(VOCABULARY)
 
     def written(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -121,7 +136,7 @@ def write_records(documents: DataFrame, folder: str, path: str | None = None, en
             if out is None:
                 store.create_dir(root, recursive=True)
                 out = store.open_output_stream(name)
-            ids, bounds = e.encode(utf8_values(batch))
+            ids, bounds = e.encode(batch.column(1))
             rows = []
             for i, doc_id in enumerate(batch.column(0).to_pylist()):
                 own = np.append(ids[bounds[i] : bounds[i + 1]], np.uint32(end_id))
