@@ -31,7 +31,7 @@ from quern.llm.piece_cache import PieceCache
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 LONG_PIECE = 1024
 #: Pieces whose tokens a worker remembers; then it starts anew.
-REMEMBERED = 1_000_000
+REMEMBERED = 500_000
 #: The characters that \s stands for in the pattern: Unicode's White_Space.
 WHITE = r"\t\n\x0B\f\r\x20\x85\xA0  -     　"
 
@@ -85,7 +85,7 @@ class Codec:
                     right.append(b)
                     merged.append(rank)
         self.pairs = {(a, b): m for a, b, m in zip(left, right, merged, strict=True)}
-        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "400MB"})
+        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "150MB"})
         self.db.execute("CREATE TABLE merges (l INT, r INT, merged INT)")
         self._load("merges", {"l": left, "r": right, "merged": merged})
         self.db.execute("CREATE TABLE vocabulary (tok INT, hex VARCHAR)")
@@ -130,8 +130,8 @@ class Codec:
                 out[i] = np.array(self.by_heap(data), dtype=np.uint32)
             else:
                 rows.append((i, data))
-        for at in range(0, len(rows), 20_000):
-            some = rows[at : at + 20_000]
+        for at in range(0, len(rows), 5_000):
+            some = rows[at : at + 5_000]
             sizes = np.array([len(x) for _, x in some])
             w = np.repeat(np.arange(len(some)), sizes)
             pos = np.arange(len(w)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
