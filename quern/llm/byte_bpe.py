@@ -31,7 +31,7 @@ from quern.llm.piece_cache import PieceCache
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 LONG_PIECE = 1024
 #: Pieces whose tokens a worker remembers; then it starts anew.
-REMEMBERED = 500_000
+REMEMBERED = 650_000
 #: The characters that \s stands for in the pattern: Unicode's White_Space.
 WHITE = r"\t\n\x0B\f\r\x20\x85\xA0  -     　"
 
@@ -130,8 +130,8 @@ class Codec:
                 out[i] = np.array(self.by_heap(data), dtype=np.uint32)
             else:
                 rows.append((i, data))
-        for at in range(0, len(rows), 5_000):
-            some = rows[at : at + 5_000]
+        for at in range(0, len(rows), 10_000):
+            some = rows[at : at + 10_000]
             sizes = np.array([len(x) for _, x in some])
             w = np.repeat(np.arange(len(some)), sizes)
             pos = np.arange(len(w)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
