@@ -33,8 +33,9 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 
 
 def bounded_batches(spark: SparkSession, rows: int = 256) -> None:
-    """Hold what one Arrow batch carries to Python workers to a number of rows, as texts may be long."""
+    """Hold what is read at once, and what one Arrow batch carries to Python workers, to a number of rows, as texts may be long: the defaults of thousands of rows make buffers of tens of megabytes a task."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    spark.conf.set("spark.sql.parquet.columnarReaderBatchSize", str(rows))
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
