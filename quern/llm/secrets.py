@@ -117,19 +117,28 @@ def unicode_decoded(escape: str) -> list[tuple[str, int, int]] | None:
     return [(chr(code), 0, len(escape))]
 
 
+class TooLarge(Exception):
+    """Packed data holds more than may still be decoded."""
+
+
 def inflated(data: bytes, most: int) -> bytes | None:
-    """gzip, zlib or zstandard data unpacked; None if it is none of these, or larger than `most`."""
+    """gzip, zlib or zstandard data unpacked, in steps; None if it is none of these. Raises TooLarge beyond `most` bytes, having made few more."""
     try:
         if data[:4] == b"\x28\xb5\x2f\xfd":
-            out = zstandard.ZstdDecompressor().decompressobj().decompress(data) if most > len(data) else b""
+            out = bytearray()
+            with zstandard.ZstdDecompressor().stream_reader(data) as stream:
+                while len(out) <= most and (part := stream.read(1 << 18)):
+                    out += part
+            out = bytes(out)
         elif data[:2] == b"\x1f\x8b" or (data[:1] == b"\x78" and len(data) > 1 and (data[0] * 256 + data[1]) % 31 == 0):
-            d = zlib.decompressobj(47)
-            out = d.decompress(data, most + 1)
+            out = zlib.decompressobj(47).decompress(data, most + 1)
         else:
             return None
     except (zlib.error, zstandard.ZstdError):
         return None
-    return out if len(out) <= most else None
+    if len(out) > most:
+        raise TooLarge
+    return out
 
 
 def as_text(data: bytes) -> str | None:
@@ -142,6 +151,7 @@ def as_text(data: bytes) -> str | None:
 
 
 def from_base64(run: str, most: int) -> str | None:
+    """The text that a run of base64 holds, unpacked if it is packed; None if it holds none."""
     body = run.rstrip("=").replace("-", "+").replace("_", "/")
     if len(body) % 4 == 1:
         return None
@@ -154,7 +164,7 @@ def from_base64(run: str, most: int) -> str | None:
 
 
 def find_secrets(text: str, most: int = MOST_DECODED) -> tuple[list[tuple[int, int, int]], set[tuple[int, int, int]], int, bool]:
-    """Base matches, all matches of all layers as (start, kind number, end) in the text, the number of layers, and whether decoding stopped at `most` bytes."""
+    """Base matches, all matches of all layers as (start, kind number, end) in the text, the number of layers, and whether `most` bytes kept anything from being decoded."""
     base = base_matches(text)
     found, layers, bomb, left = set(base), 1, False, most
     # most texts have nothing to decode
@@ -169,7 +179,12 @@ def find_secrets(text: str, most: int = MOST_DECODED) -> tuple[list[tuple[int, i
         if "\\" in layer.text or "&#" in layer.text:
             new.append(unescaped(layer, UNICODE, unicode_decoded))
         for m in BASE64.finditer(layer.text):
-            if (inner := from_base64(m[0], left)) is not None:
+            try:
+                inner = from_base64(m[0], left)
+            except TooLarge:  # this one stays packed, the others are still decoded
+                bomb = True
+                continue
+            if inner is not None:
                 new.append(Layer(inner, None, None, layer.span(*m.span())))
         for x in new:
             if x is None:

@@ -117,6 +117,27 @@ def test_secrets_in_layers():
     assert secrets.base_matches("AKIA" + "A" * 13) == [] and secrets.base_matches("AKIA" + "A" * 14) == [(0, 1, 18)]
 
 
+@pytest.mark.parametrize("pack", ["gzip", "zstandard"])
+def test_decompression_bombs_are_named_and_hide_no_other_layer(pack):
+    import base64
+    import gzip
+    import tracemalloc
+
+    import zstandard
+
+    data = b"a" * (64 << 20)
+    packed = gzip.compress(data) if pack == "gzip" else zstandard.ZstdCompressor().compress(data)
+    other = base64.b64encode(b"token: abcdefghijkl42").decode()
+    text = f"{base64.b64encode(packed).decode()} and {other}"
+    del data
+    tracemalloc.start()
+    base, found, layers, bomb = secrets.find_secrets(text, 1 << 20)
+    assert bomb and layers == 2 and (0, text.index(other)) in {(k, s) for s, k, _ in found - set(base)}
+    assert tracemalloc.get_traced_memory()[1] < 16 << 20
+    tracemalloc.stop()
+    assert not secrets.find_secrets(text.split()[0], 128 << 20)[3]
+
+
 def test_secrets_query_columns(docs):
     rows = {(r.doc_id, r.text): r.secrets for r in secrets.add_secrets(docs).collect()}
     assert [x.kind for x in rows[(11, TEXTS[11])]] == ["assign"] and rows[(0, None)] == []
