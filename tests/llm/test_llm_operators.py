@@ -193,6 +193,27 @@ def test_lm_scores_against_brute_force(spark, docs):
     assert lm_scoring.score(docs.limit(0), model, counts).count() == 0
 
 
+@pytest.mark.parametrize("share", [5e-6, 0.02, 1.0])
+def test_lm_keeps_every_repeated_gram_whatever_its_share(spark, docs, monkeypatch, share):
+    """Scores are those of an automaton of all n-grams that occur twice, also where words and n-grams are too rare to broadcast."""
+    monkeypatch.setattr(lm_scoring, "WORD_SHARE", share)
+    monkeypatch.setattr(lm_scoring, "GRAM_SHARE", share)
+    monkeypatch.setattr(lm_scoring, "HELD_ROW", 50)
+    train = docs.filter("doc_id % 3 <> 0 OR doc_id IS NULL")
+    rows = lm_scoring.score(docs, *lm_scoring.fit(train)).collect()
+    tok = lambda t: [*ascii_words(t), b""]
+    texts = [tok(r.text) for r in train.collect()]
+    counts = collections.Counter(x for t in texts for x in t)
+    words = [(w, n) for w, n in counts.items()]
+    number = {w: i + 1 for i, (w, _) in enumerate(words)}
+    grams = {k: collections.Counter(tuple(x[i : i + k]) for t in texts for x in [[0, *(number[w] for w in t)]] for i in range(len(x) - k + 1)) for k in (2, 3)}
+    grams = {k: {g: n for g, n in v.items() if n >= 2} for k, v in grams.items()}
+    m = lm_scoring.Automaton(words, grams, len(texts), sum(counts.values()), len(counts))
+    expected = collections.Counter((r.doc_id, round(m.walk(tok(r.text))[0], 6)) for r in docs.collect())
+    assert collections.Counter((r.doc_id, round(r.score, 6)) for r in rows) == expected
+    assert len(set(expected)) > 6
+
+
 def test_automaton_is_a_distribution():
     """The probabilities of all words and an unknown one sum to 1 in every state."""
     words = [(b"", 10), (b"a", 8), (b"b", 5)]
