@@ -6,8 +6,9 @@ document are not scanned again, which ends cycles. Every character of a layer ma
 secret in a layer is reported where the text that hides it stands.
 
 Null texts count as empty. Repeated rows are each scanned; an empty table gives an empty result; extra columns stay,
-but those named like a result are replaced. Layers of a document beyond MOST_DECODED bytes in all, as a decompression
-bomb makes them, are not decoded; `bomb` says so.
+but those named like a result are replaced. Only decompression makes a layer larger than
+what holds it: a packed layer of over MOST_DECODED bytes, as a decompression bomb makes it, stays packed, `bomb` says so,
+and the pipeline masks it whole. Every other layer is decoded, one at a time from the innermost, however many they are.
 """
 
 from __future__ import annotations
@@ -17,7 +18,10 @@ import binascii
 import hashlib
 import re
 import zlib
+from array import array
+from bisect import bisect_right
 from collections.abc import Iterator
+from itertools import chain
 
 import pyarrow as pa
 import zstandard
@@ -53,48 +57,48 @@ def base_matches(text: str) -> list[tuple[int, int, int]]:
 
 
 class Layer:
-    """A decoded text with, for each of its characters, the span of the document it comes from; places None: all from one span."""
+    """A decoded text and where it comes from: the places `at` of the text begin stretches of the layer below from `start`, copied, or up to `end` where that isn't -1; whole: all comes from that span of the document."""
 
-    def __init__(self, text: str, starts: list[int] | None, ends: list[int] | None, whole: tuple[int, int] | None):
-        self.text, self.starts, self.ends, self.whole = text, starts, ends, whole
+    def __init__(self, text: str, below: Layer | None = None, places: tuple[array, array, array] | None = None, whole: tuple[int, int] | None = None):
+        self.text, self.below, self.places, self.whole = text, below, places, whole
+
+    def source(self, i: int) -> tuple[int, int]:
+        at, start, end = self.places
+        k = bisect_right(at, i) - 1
+        return (start[k], end[k]) if end[k] >= 0 else (start[k] + i - at[k], start[k] + i - at[k] + 1)
 
     def span(self, start: int, end: int) -> tuple[int, int]:
-        if self.whole:
-            return self.whole
-        if self.starts is None:
-            return start, end
-        return self.starts[start], self.ends[end - 1]
+        layer = self
+        while not layer.whole and layer.below:
+            start, end = layer.source(start)[0], layer.source(end - 1)[1]
+            layer = layer.below
+        return layer.whole or (start, end)
 
 
 def unescaped(layer: Layer, pattern: re.Pattern, decode) -> Layer | None:
     """The layer with each match of the pattern decoded, or None if nothing decodes."""
-    parts, starts, ends, at = [], [], [], 0
+    parts, places, at, n = [], (array("q"), array("q"), array("q")), 0, 0
+
+    def add(part: str, *source: int) -> None:
+        nonlocal n
+        if part:
+            for column, x in zip(places, (n, *source), strict=True):
+                column.append(x)
+            parts.append(part)
+            n += len(part)
+
     for m in pattern.finditer(layer.text):
         pieces = decode(m[0])  # (decoded character, offset and end within the match)
         if pieces is None:
             continue
-        parts.append(layer.text[at : m.start()])
-        if not layer.whole:
-            for i in range(at, m.start()):
-                s, e = layer.span(i, i + 1)
-                starts.append(s)
-                ends.append(e)
-            for _, a, b in pieces:
-                s, e = layer.span(m.start() + a, m.start() + b)
-                starts.append(s)
-                ends.append(e)
-        parts.append("".join(p[0] for p in pieces))
+        add(layer.text[at : m.start()], at, -1)
+        for c, a, b in pieces:
+            add(c, m.start() + a, m.start() + b)
         at = m.end()
     if not parts:
         return None
-    parts.append(layer.text[at:])
-    if layer.whole:
-        return Layer("".join(parts), None, None, layer.whole)
-    for i in range(at, len(layer.text)):
-        s, e = layer.span(i, i + 1)
-        starts.append(s)
-        ends.append(e)
-    return Layer("".join(parts), starts, ends, None)
+    add(layer.text[at:], at, -1)
+    return Layer("".join(parts), layer, places, layer.whole)
 
 
 def url_decoded(run: str) -> list[tuple[str, int, int]] | None:
@@ -163,68 +167,76 @@ def from_base64(run: str, most: int) -> str | None:
     return as_text(data if packed is None else packed)
 
 
-def find_secrets(text: str, most: int = MOST_DECODED) -> tuple[list[tuple[int, int, int]], set[tuple[int, int, int]], int, bool]:
-    """Base matches, all matches of all layers as (start, kind number, end) in the text, the number of layers, and whether `most` bytes kept anything from being decoded."""
+def inner_layers(layer: Layer, most: int, refused: set[tuple[int, int]]) -> Iterator[Layer]:
+    """What a layer holds, one by one; the spans of what stays packed, as it is larger than `most`, are added to refused."""
+    if "%" in layer.text and (x := unescaped(layer, URL, url_decoded)):
+        yield x
+    if ("\\" in layer.text or "&#" in layer.text) and (x := unescaped(layer, UNICODE, unicode_decoded)):
+        yield x
+    for m in BASE64.finditer(layer.text):
+        span = layer.span(*m.span())
+        try:
+            inner = from_base64(m[0], most)
+        except TooLarge:  # this one stays packed, the others are still decoded
+            refused.add(span)
+            continue
+        if inner is not None:
+            yield Layer(inner, whole=span)
+
+
+def scan(text: str, most: int = MOST_DECODED) -> tuple[list[tuple[int, int, int]], set[tuple[int, int, int]], int, set[tuple[int, int]]]:
+    """Base matches, all matches of all layers as (start, kind number, end) in the text, the number of layers, and the spans of packed layers of over `most` bytes, which stay packed."""
     base = base_matches(text)
-    found, layers, bomb, left = set(base), 1, False, most
+    found, layers, refused = set(base), 1, set()
     # most texts have nothing to decode
     if not ("%" in text or "\\" in text or "&#" in text or BASE64.search(text)):
-        return base, found, layers, bomb
-    work, seen = [Layer(text, None, None, None)], {hashlib.sha256(text.encode("utf-8", "surrogatepass")).digest()}
+        return base, found, layers, refused
+    seen = {hashlib.sha256(text.encode("utf-8", "surrogatepass")).digest()}
+    work = [inner_layers(Layer(text), most, refused)]
     while work:
-        layer = work.pop()
-        new = []
-        if "%" in layer.text:
-            new.append(unescaped(layer, URL, url_decoded))
-        if "\\" in layer.text or "&#" in layer.text:
-            new.append(unescaped(layer, UNICODE, unicode_decoded))
-        for m in BASE64.finditer(layer.text):
-            try:
-                inner = from_base64(m[0], left)
-            except TooLarge:  # this one stays packed, the others are still decoded
-                bomb = True
-                continue
-            if inner is not None:
-                new.append(Layer(inner, None, None, layer.span(*m.span())))
-        for x in new:
-            if x is None:
-                continue
-            key = hashlib.sha256(x.text.encode("utf-8", "surrogatepass")).digest() + repr(x.whole).encode()
-            if key in seen:
-                continue
-            seen.add(key)
-            if (left := left - len(x.text)) < 0:
-                bomb, work = True, []
-                break
-            layers += 1
-            for start, kind, end in base_matches(x.text):
-                s, e = x.span(start, end)
-                found.add((s, kind, e))
-            work.append(x)
-    return base, found, layers, bomb
+        if (x := next(work[-1], None)) is None:
+            work.pop()
+            continue
+        key = hashlib.sha256(x.text.encode("utf-8", "surrogatepass")).digest() + repr(x.whole).encode()
+        if key in seen:
+            continue
+        seen.add(key)
+        layers += 1
+        for start, kind, end in base_matches(x.text):
+            s, e = x.span(start, end)
+            found.add((s, kind, e))
+        work.append(inner_layers(x, most, refused))
+    return base, found, layers, refused
+
+
+def find_secrets(text: str, most: int = MOST_DECODED) -> tuple[list[tuple[int, int, int]], set[tuple[int, int, int]], int, bool]:
+    """As scan, but whether anything stays packed."""
+    base, found, layers, refused = scan(text, most)
+    return base, found, layers, bool(refused)
 
 
 SPAN = pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("base", pa.bool_())])
+PACKED = pa.struct([("start", pa.int64()), ("end", pa.int64())])
 
 
 def add_secrets(documents: DataFrame) -> DataFrame:
-    """documents with secrets (kind, start, end in code points, end exclusive; base: whether the plain text shows it) ordered by start, kind and end, layers int and bomb boolean."""
+    """documents with secrets (kind, start, end in code points, end exclusive; base: whether the plain text shows it) ordered by start, kind and end, layers int, bomb boolean and packed, the spans that bombs stand in."""
     bounded_batches(documents.sparkSession)
-    documents = documents.drop("secrets", "layers", "bomb")
+    documents = documents.drop("secrets", "layers", "bomb", "packed")
 
     def scanned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            secrets, layers, bombs = [], [], []
+            secrets, layers, packed = [], [], []
             for text in batch.column(batch.schema.get_field_index("text")).to_pylist():
-                base, found, n, bomb = find_secrets(text or "")
+                base, found, n, refused = scan(text or "")
                 base = set(base)
                 secrets.append([{"kind": KINDS[k], "start": s, "end": e, "base": (s, k, e) in base} for s, k, e in sorted(found)])
                 layers.append(n)
-                bombs.append(bomb)
+                packed.append([{"start": s, "end": e} for s, e in sorted(refused)])
             batch = batch.append_column("secrets", pa.array(secrets, pa.list_(SPAN)))
-            yield batch.append_column("layers", pa.array(layers, pa.int32())).append_column("bomb", pa.array(bombs, pa.bool_()))
+            yield batch.append_column("layers", pa.array(layers, pa.int32())).append_column("bomb", pa.array([bool(x) for x in packed], pa.bool_())).append_column("packed", pa.array(packed, pa.list_(PACKED)))
 
-    kinds = {"secrets": "array<struct<kind:string,start:bigint,end:bigint,base:boolean>>", "layers": "int", "bomb": "boolean"}
+    kinds = {"secrets": "array<struct<kind:string,start:bigint,end:bigint,base:boolean>>", "layers": "int", "bomb": "boolean", "packed": "array<struct<start:bigint,end:bigint>>"}
     return documents.mapInArrow(scanned, with_fields(documents.schema, **kinds))
 
 
@@ -239,16 +251,16 @@ def op4_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: the documents with each stretch of secrets in their text replaced by [secret]; n_chars, where there is one, is counted anew."""
+    """Pipeline stage: the documents with each stretch of secrets, or of what stays packed, in their text replaced by [secret]; n_chars, where there is one, is counted anew."""
     columns = docs.columns
     found = add_secrets(docs)
 
     def masked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at, texts = batch.schema.get_field_index("text"), []
-            for text, spans in zip(batch.column("text").to_pylist(), batch.column("secrets").to_pylist(), strict=True):
+            for text, *spans in zip(*(batch.column(c).to_pylist() for c in ("text", "secrets", "packed")), strict=True):
                 stretches: list[list[int]] = []
-                for x in spans:
+                for x in sorted(chain(*spans), key=lambda x: x["start"]):
                     if stretches and x["start"] <= stretches[-1][1]:
                         stretches[-1][1] = max(stretches[-1][1], x["end"])
                     else:

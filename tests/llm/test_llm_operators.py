@@ -138,6 +138,25 @@ def test_decompression_bombs_are_named_and_hide_no_other_layer(pack):
     assert not secrets.find_secrets(text.split()[0], 128 << 20)[3]
 
 
+def test_only_decompression_is_limited():
+    import base64
+
+    packed = base64.b64encode(b"token: abcdefghijkl42").decode()
+    text = "é" + "x y " * 500 + "%20\\u0041 " + packed + " %74oken: abcdefghijkl43"
+    base, found, layers, bomb = secrets.find_secrets(text, 100)
+    assert not bomb and {(0, text.index(packed)), (0, text.index("%74"))} <= {(k, s) for s, k, _ in found}
+
+
+def test_pipeline_masks_what_stays_packed(spark):
+    import base64
+    import gzip
+
+    bomb = base64.b64encode(gzip.compress(b"a" * (secrets.MOST_DECODED + 1))).decode()
+    d = spark.createDataFrame([(1, f"see {bomb} end")], "doc_id long, text string")
+    text = secrets.mask_secrets(spark, d, "").first().text
+    assert text.startswith("see ") and text.endswith("[secret] end") and bomb not in text
+
+
 def test_secrets_query_columns(docs):
     rows = {(r.doc_id, r.text): r.secrets for r in secrets.add_secrets(docs).collect()}
     assert [x.kind for x in rows[(11, TEXTS[11])]] == ["assign"] and rows[(0, None)] == []
