@@ -1,7 +1,7 @@
 """Secret scans with a worklist of decoded layers.
 
 The text is the first layer. Each layer is scanned for secrets; what it holds in URL or Unicode escapes, base64, or
-base64 of gzip, zlib or zstandard data becomes a further layer, until no new layer appears. Layers seen before in the
+base64 of gzip, zlib or zstandard data, packed once or more, becomes a further layer, until no new layer appears. Layers seen before in the
 document are not scanned again, which ends cycles. Every character of a layer maps to a span of the document's text, so a
 secret in a layer is reported where the text that hides it stands.
 
@@ -42,6 +42,11 @@ MOST_DECODED = 64 << 20
 URL = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 UNICODE = re.compile(r"\\u[0-9A-Fa-f]{4}|\\x[0-9A-Fa-f]{2}|\\U000[0-9A-Fa-f]{5}|\\U0010[0-9A-Fa-f]{4}|&#x[0-9A-Fa-f]{1,5};|&#[0-9]{1,6};")
 BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
+WRAPPED = re.compile(r"(?<![A-Za-z0-9+/_-])(?:[A-Za-z0-9+/_-]{16,}+[ \t]*\r?\n[ \t]*)+[A-Za-z0-9+/_-]+={0,2}")
+LINE = re.compile(r"[A-Za-z0-9+/_-]+={0,2}")
+#: What no text has: control characters but white space, and what stands for bytes that aren't UTF-8.
+NO_TEXT = re.compile("[\0-\x08\x0e-\x1f\x7f\ufffd]")
+STRETCH = re.compile("[^\0-\x08\x0e-\x1f\x7f\ufffd]{%d,}" % LEAST_SECRET)
 
 
 def base_matches(text: str) -> list[tuple[int, int, int]]:
@@ -102,16 +107,18 @@ def unescaped(layer: Layer, pattern: re.Pattern, decode) -> Layer | None:
 
 
 def url_decoded(run: str) -> list[tuple[str, int, int]] | None:
-    try:
-        text = bytes.fromhex(run.replace("%", "")).decode()
-    except UnicodeDecodeError:
-        return None
-    out, at = [], 0
-    for c in text:
-        n = 3 * len(c.encode())
-        out.append((c, at, at + n))
-        at += n
-    return out
+    """The valid UTF-8 of a run of percent escapes decoded, other bytes as they stand; None if all stand."""
+    data, out, i, decoded = bytes.fromhex(run.replace("%", "")), [], 0, False
+    while i < len(data):
+        n = 1 if data[i] < 0x80 else 2 if data[i] < 0xE0 else 3 if data[i] < 0xF0 else 4
+        try:
+            out.append((data[i : i + n].decode(), 3 * i, 3 * min(i + n, len(data))))
+            decoded = True
+        except UnicodeDecodeError:
+            n = 1
+            out += [(run[j], j, j + 1) for j in range(3 * i, 3 * i + 3)]
+        i += n
+    return out if decoded else None
 
 
 def unicode_decoded(escape: str) -> list[tuple[str, int, int]] | None:
@@ -126,36 +133,40 @@ class TooLarge(Exception):
 
 
 def inflated(data: bytes, most: int) -> bytes | None:
-    """gzip, zlib or zstandard data unpacked, in steps; None if it is none of these. Raises TooLarge beyond `most` bytes, having made few more."""
+    """All members or frames of gzip, zlib or zstandard data unpacked, in steps, as far as they are whole; None if it is none of these. Raises TooLarge beyond `most` bytes, having made few more."""
+    out = bytearray()
     try:
         if data[:4] == b"\x28\xb5\x2f\xfd":
-            out = bytearray()
-            with zstandard.ZstdDecompressor().stream_reader(data) as stream:
+            with zstandard.ZstdDecompressor().stream_reader(data, read_across_frames=True) as stream:
                 while len(out) <= most and (part := stream.read(1 << 18)):
                     out += part
-            out = bytes(out)
         elif data[:2] == b"\x1f\x8b" or (data[:1] == b"\x78" and len(data) > 1 and (data[0] * 256 + data[1]) % 31 == 0):
-            out = zlib.decompressobj(47).decompress(data, most + 1)
+            while data and len(out) <= most:
+                stream = zlib.decompressobj(47)
+                while data and len(out) <= most and not stream.eof:
+                    out += stream.decompress(data, 1 << 18)
+                    data = stream.unconsumed_tail
+                data = stream.unused_data.lstrip(b"\0")
         else:
             return None
     except (zlib.error, zstandard.ZstdError):
-        return None
+        if not out:
+            return None
     if len(out) > most:
         raise TooLarge
-    return out
+    return bytes(out)
 
 
 def as_text(data: bytes) -> str | None:
-    """data as UTF-8 text without control characters but white space, else None."""
-    try:
-        text = data.decode()
-    except UnicodeDecodeError:
-        return None
-    return text if text and all(c.isprintable() or c in "\t\n\r" for c in text) else None
+    """data as UTF-8 text; of other data, the stretches of text long enough for a secret, NUL between them; None if it has none."""
+    text = data.decode("utf-8", "replace")
+    if not NO_TEXT.search(text):
+        return text or None
+    return "\0".join(STRETCH.findall(text)) or None
 
 
 def from_base64(run: str, most: int) -> str | None:
-    """The text that a run of base64 holds, unpacked if it is packed; None if it holds none."""
+    """The text that a run of base64 holds, unpacked as often as it is packed; None if it holds none."""
     body = run.rstrip("=").replace("-", "+").replace("_", "/")
     if len(body) % 4 == 1:
         return None
@@ -163,8 +174,25 @@ def from_base64(run: str, most: int) -> str | None:
         data = base64.b64decode(body + "=" * (-len(body) % 4))
     except (binascii.Error, ValueError):
         return None
-    packed = inflated(data, most)
-    return as_text(data if packed is None else packed)
+    seen = set()  # some packed data holds itself
+    while (packed := inflated(data, most)) is not None and (key := hashlib.sha256(packed).digest()) not in seen:
+        seen.add(key)
+        data = packed
+    return as_text(data)
+
+
+def base64_runs(text: str) -> Iterator[tuple[str, int, int]]:
+    """(run, start, end) of base64: within a line, and joined over consecutive lines of one length and a last one that isn't longer."""
+    for m in BASE64.finditer(text):
+        yield m[0], *m.span()
+    for m in WRAPPED.finditer(text) if "\n" in text else ():
+        lines: list[re.Match] = []
+        for x in chain(LINE.finditer(text, *m.span()), [None]):
+            if lines and (x is None or len(x[0]) > len(lines[0][0]) or len(lines[-1][0]) < len(lines[0][0])):
+                if len(lines) > 1:
+                    yield "".join(y[0] for y in lines), lines[0].start(), lines[-1].end()
+                lines = []
+            lines.append(x)
 
 
 def inner_layers(layer: Layer, most: int, refused: set[tuple[int, int]]) -> Iterator[Layer]:
@@ -173,10 +201,10 @@ def inner_layers(layer: Layer, most: int, refused: set[tuple[int, int]]) -> Iter
         yield x
     if ("\\" in layer.text or "&#" in layer.text) and (x := unescaped(layer, UNICODE, unicode_decoded)):
         yield x
-    for m in BASE64.finditer(layer.text):
-        span = layer.span(*m.span())
+    for run, start, end in base64_runs(layer.text):
+        span = layer.span(start, end)
         try:
-            inner = from_base64(m[0], most)
+            inner = from_base64(run, most)
         except TooLarge:  # this one stays packed, the others are still decoded
             refused.add(span)
             continue

@@ -138,6 +138,26 @@ def test_decompression_bombs_are_named_and_hide_no_other_layer(pack):
     assert not secrets.find_secrets(text.split()[0], 128 << 20)[3]
 
 
+def test_secrets_in_layers_that_are_not_plain():
+    import base64
+    import gzip
+    import textwrap
+    import zlib
+
+    import zstandard
+
+    plain, z = b"token: abcdefghijkl42", zstandard.ZstdCompressor().compress
+    b64 = lambda x: base64.b64encode(x).decode()
+    odd = [plain + c.encode() + b" x" for c in "\u00a0\u202f\u3000\ufeff\u00ad\u200b\f\x01\x1b"] + [b"\xff\xfe\x00" + plain + b"\x00\x80"]
+    packed = [gzip.compress(zlib.compress(plain)), gzip.compress(z(plain)), z(gzip.compress(z(plain))), gzip.compress(b"first ") + gzip.compress(plain), z(b"first ") + z(plain)]
+    long = b64(b"some words before it, and more of them, so that it takes lines " + plain)
+    wrapped = [e.join(textwrap.wrap(long, n)) for e in ("\n", "\r\n", "\n  ") for n in (22, 64)]
+    for hidden in [*map(b64, odd), *map(b64, packed), *wrapped, "%FF%74oken: abcdefghijkl42", "%C3%74oken: abcdefghijkl42"]:
+        text = f"é see {hidden} end"
+        base, found, layers, bomb = secrets.find_secrets(text)
+        assert layers > 1 and not bomb and any(k == 0 and 6 <= s and e <= 6 + len(hidden) for s, k, e in found - set(base)), hidden
+
+
 def test_only_decompression_is_limited():
     import base64
 
