@@ -315,8 +315,8 @@ def personal_data(spark, d):
 
 @query()
 def distill_findings(spark, d):
-    r = texts(spark, d).select("id", F.left("text", F.lit(80)).alias("instruction"), "text", F.col("source").alias("product_id"))
-    r = r.select("id", "instruction", F.left("text", F.lit(2000)).alias("canonical"), F.lit("").alias("summary"), F.lit("").alias("operational"), F.right("text", F.lit(1500)).alias("output"), "product_id", F.lit("202401").alias("version"))
+    whole = [F.col("text").alias(c) for c in ("instruction", "canonical", "output")]
+    r = texts(spark, d).select("id", *whole, F.lit("").alias("summary"), F.lit("").alias("operational"), F.col("source").alias("product_id"), F.lit("202401").alias("version"))
     return answers.findings(r).select("id", F.array_join("codes", ",").alias("codes"), "ok")
 
 

@@ -77,6 +77,16 @@ def test_findings(spark):
     assert "fail:quality.reasoning_leak" in rows[2][0] and "fail:schema.canonical" in rows[2][0] and not rows[2][1]
 
 
+def test_findings_query_reads_whole_texts(spark, tmp_path):
+    from quern.plans.queries import QUERIES
+
+    fill = "plain words of one text. " * 200
+    texts = [(1, "go step by step now. " + fill, "s"), (2, fill + "go step by step now. " + fill, "s"), (3, fill, "s")]
+    spark.createDataFrame(texts, "doc_id long, text string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    rows = {r.id: r.codes.split(",") for r in QUERIES["distill_findings"](spark, str(tmp_path)).collect()}
+    assert ["fail:quality.reasoning_leak" in rows[i] for i in (1, 2, 3)] == [True, True, False]
+
+
 def test_merge_prefers_not_covered(spark):
     r = spark.createDataFrame([("d", "q", 1, "covered", 1, True, 0, 0.9), ("d", "q", 2, "not_covered", 0, True, 1, 0.8)], "doc_id string, question string, ord int, decision string, n_evidence int, exclusions_checked boolean, n_exclusions long, confidence double")
     m = answers.merge(r).collect()[0]
