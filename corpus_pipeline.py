@@ -45,7 +45,7 @@ STAGES = [
     ("byte_bpe", byte_bpe),
 ]
 
-#: SQL can express neither the compression model nor the tokenizer; tests hold run() against brute force.
+#: SQL can express neither the compression model nor the tokenizer; tests hold the operators, and the near-duplicates stage, against brute force.
 ORACLE_SQL = None
 
 

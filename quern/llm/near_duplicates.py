@@ -237,7 +237,11 @@ def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: of each group, the document with the smallest id, with its own columns."""
-    gone = materialize(find_groups(docs).filter("NOT kept").select("doc_id").distinct(), "dropped")
-    side = F.broadcast(gone) if gone.count() <= BROADCAST_ROWS else gone
-    return docs.join(side, docs["doc_id"].eqNullSafe(side["doc_id"]), "left_anti")
+    """Pipeline stage: of each group of rows, the one with the smallest id, with its own columns; null ids come last, and of rows with one id the first numbered stays. Rows are told apart by a number, so ids may be null or repeated."""
+    numbered = materialize(docs.withColumn("__row", F.monotonically_increasing_id()), "numbered")
+    groups = find_groups(numbered.select(F.col("__row").alias("doc_id"), "text")).select(F.col("doc_id").alias("__row"), "component_id")
+    groups = materialize(groups.join(numbered.select("__row", "doc_id"), "__row"), "groups")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "__row"))
+    kept = groups.groupBy("component_id").agg(first.alias("first")).select(F.col("first.__row").alias("__row"))
+    gone = materialize(groups.select("__row").join(kept, "__row", "left_anti"), "dropped")
+    return numbered.join(F.broadcast(gone) if gone.count() <= BROADCAST_ROWS else gone, "__row", "left_anti").drop("__row")

@@ -57,6 +57,13 @@ def test_near_duplicates_against_all_pairs(spark, docs):
     assert near_duplicates.find_groups(docs.limit(0)).count() == 0
 
 
+def test_one_row_of_each_group_stays_whatever_its_id(spark):
+    a, b, c, d, e, f = (prose(50 + i, 60) for i in range(6))
+    rows = [(1, a), (None, a), (None, b), (None, c), (None, c), (2, d), (2, e), (3, e), (4, f), (4, f), (None, None), (5, ""), (5, "")]
+    left = near_duplicates.drop_near_duplicates(spark, spark.createDataFrame(rows, "doc_id long, text string").repartition(3), "").collect()
+    assert collections.Counter(map(tuple, left)) == collections.Counter([(1, a), (None, b), (None, c), (2, d), (2, e), (4, f), (None, None), (5, ""), (5, "")])
+
+
 def test_large_clusters_take_pivot_and_tiles(spark, monkeypatch):
     base = prose(9, 80).split()
     rows = []
