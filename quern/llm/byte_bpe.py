@@ -6,15 +6,18 @@ word its leftmost pair of least rank, until no word has a pair left. Decoding jo
 aggregates them in order of position.
 
 Null texts count as empty and have no tokens. Repeated rows are each encoded; an empty table gives an empty result; extra
-columns stay unless named like a result. A piece of over LONG_PIECE bytes, for which one contraction a round would be
-slow, is contracted in the same order with a heap.
+columns stay unless named like a result.
+
+A long piece is first cut where two bytes meet that stand side by side in no token, as no contraction can span that place.
+What is still long would have too many rounds of one contraction each; there a round contracts all places of the least
+rank at once, from the left up to the first where that makes a pair of a lesser rank, which gives the same tokens.
 """
 
 from __future__ import annotations
 
 import base64
 import hashlib
-import heapq
+from array import array
 from collections.abc import Iterator
 
 import duckdb
@@ -29,9 +32,13 @@ from quern.llm.common import bounded_batches, read_table, with_fields
 from quern.llm.piece_cache import PieceCache
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
-LONG_PIECE = 1024
-#: Pieces whose tokens a worker remembers; then it starts anew.
-REMEMBERED = 500_000
+#: Bytes of a piece above which it is cut, and of a cut part above which a round contracts more than one place.
+LONG_PIECE, LONG_PART = 128, 1024
+#: Bytes of parts that a query contracts at once, and rounds of a query on a long part: what it holds grows with both.
+AT_ONCE, ROUNDS = 40_000, 4
+#: Bytes of pieces and tokens that a worker remembers in either of two generations.
+REMEMBERED = 20 << 20
+LONG_MEMORY_MB = 800
 #: The characters that \s stands for in the pattern: Unicode's White_Space.
 WHITE = r"\t\n\x0B\f\r\x20\x85\xA0  -     　"
 
@@ -52,6 +59,32 @@ WITH RECURSIVE step(w, pos, tok, active) AS (
 )
 SELECT w, list(tok ORDER BY pos) AS ids FROM step WHERE NOT active GROUP BY w ORDER BY w
 """
+#: For long parts: `again` are the pairs of a word's least rank, of which every other one of a run side by side can be
+#: contracted, from the left, up to the first place where that makes a pair of a lesser rank.
+ENCODE_LONG = """
+WITH RECURSIVE step(w, pos, tok, active, round) AS (
+    SELECT w, pos, tok, true, 0 FROM start
+    UNION ALL (
+        WITH s AS (
+            SELECT w, pos, tok, round, row_number() OVER o AS i, lag(tok) OVER o AS before, lead(tok) OVER o AS after, lead(tok, 2) OVER o AS next
+            FROM step WHERE active AND round < {rounds} WINDOW o AS (PARTITION BY w ORDER BY pos)
+        ),
+        paired AS (SELECT s.*, min(merged) OVER (PARTITION BY w) AS least, merged = least AS again FROM s LEFT JOIN merges ON tok = l AND after = r),
+        runs AS (SELECT w, i, before, next, least, i - row_number() OVER (PARTITION BY w ORDER BY i) AS run FROM paired WHERE again),
+        every_other AS (SELECT * FROM runs QUALIFY row_number() OVER (PARTITION BY w, run ORDER BY i) % 2 = 1),
+        beside AS (SELECT w, i, least, next, CASE WHEN lag(i) OVER (PARTITION BY w ORDER BY i) = i - 2 THEN least ELSE before END AS before FROM every_other),
+        lesser AS (
+            SELECT e.w, min(e.i) AS i FROM beside AS e
+            LEFT JOIN merges AS a ON a.l = e.before AND a.r = least LEFT JOIN merges AS b ON b.l = least AND b.r = e.next
+            WHERE a.merged < least OR b.merged < least GROUP BY e.w
+        ),
+        chosen AS (SELECT e.w, e.i FROM every_other AS e LEFT JOIN lesser ON e.w = lesser.w WHERE lesser.i IS NULL OR e.i <= lesser.i)
+        SELECT p.w, p.pos, CASE WHEN c.i IS NULL THEN p.tok ELSE p.least END::INT, p.least IS NOT NULL, p.round + 1
+        FROM paired AS p LEFT JOIN chosen AS c ON p.w = c.w AND p.i = c.i LEFT JOIN chosen AS d ON p.w = d.w AND p.i = d.i + 1 WHERE d.i IS NULL
+    )
+)
+SELECT w, pos, tok, active FROM step WHERE NOT active OR round = {rounds} ORDER BY w, pos
+"""
 DECODE = "SELECT d, string_agg(hex, '' ORDER BY pos) AS hex FROM tokens JOIN vocabulary USING (tok) GROUP BY d"
 
 
@@ -76,16 +109,18 @@ class Codec:
     def __init__(self, path: str):
         self.ranks = ranks_of(path)
         self.bytes = np.array([self.ranks[bytes([i])] for i in range(256)], dtype=np.int32)
-        left, right, merged = [], [], []
+        left, right, merged = array("i"), array("i"), array("i")
+        self.adjacent = np.zeros((256, 256), bool)
         for token, rank in self.ranks.items():
+            octets = np.frombuffer(token, np.uint8)
+            self.adjacent[octets[:-1], octets[1:]] = True
             for i in range(1, len(token)):
                 a, b = self.ranks.get(token[:i]), self.ranks.get(token[i:])
                 if a is not None and b is not None:
                     left.append(a)
                     right.append(b)
                     merged.append(rank)
-        self.pairs = {(a, b): m for a, b, m in zip(left, right, merged, strict=True)}
-        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "150MB"})
+        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "100MB"})
         self.db.execute("CREATE TABLE merges (l INT, r INT, merged INT)")
         self._load("merges", {"l": left, "r": right, "merged": merged})
         self.db.execute("CREATE TABLE vocabulary (tok INT, hex VARCHAR)")
@@ -98,51 +133,69 @@ class Codec:
         self.db.execute(f"INSERT INTO {table} SELECT * FROM loading")
         self.db.unregister("loading")
 
-    def by_heap(self, piece: bytes) -> list[int]:
-        """As the query does it, for one long piece: the leftmost pair of least rank first."""
-        tok: list = [int(self.bytes[b]) for b in piece]
-        after, before = [*range(1, len(tok)), -1], [-1, *range(len(tok) - 1)]
-        queue = [(m, i, tok[i], tok[i + 1]) for i in range(len(tok) - 1) if (m := self.pairs.get((tok[i], tok[i + 1]))) is not None]
-        heapq.heapify(queue)
-        while queue:
-            m, i, a, b = heapq.heappop(queue)
-            j = after[i]
-            if tok[i] != a or j < 0 or tok[j] != b:
-                continue
-            tok[i], tok[j] = m, None
-            after[i] = k = after[j]
-            if k >= 0:
-                before[k] = i
-            for p in (before[i], i):
-                if p >= 0 and (q := after[p]) >= 0 and (n := self.pairs.get((tok[p], tok[q]))) is not None:
-                    heapq.heappush(queue, (n, p, tok[p], tok[q]))
-        return [t for t in tok if t is not None]
+    def _positions(self, words: list[bytes]) -> pa.Table:
+        """w, pos, tok: every byte of the words as a token in its place."""
+        sizes = np.array([len(x) for x in words])
+        pos = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        w = np.repeat(np.arange(len(words), dtype=np.int32), sizes)
+        return pa.table({"w": w, "pos": pos.astype(np.int32), "tok": self.bytes[np.frombuffer(b"".join(words), np.uint8)]})
+
+    def _contracted(self, words: list[bytes]) -> list[np.ndarray]:
+        """The tokens of each word, none of them long."""
+        self.db.register("start", self._positions(words))
+        ids = self.db.sql(ENCODE).to_arrow_table()["ids"].combine_chunks()
+        self.db.unregister("start")
+        ends, flat = ids.offsets.to_numpy(), ids.values.to_numpy().astype(np.uint32)
+        return [flat[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)]
+
+    def _contracted_long(self, word: bytes) -> np.ndarray:
+        """The tokens of one long word: a few rounds a query, until no pair is left."""
+        rows = self._positions([word])
+        self.db.execute(f"SET memory_limit = '{LONG_MEMORY_MB}MB'")
+        while True:
+            self.db.register("start", rows)
+            rows = self.db.sql(ENCODE_LONG.format(rounds=ROUNDS)).to_arrow_table()
+            self.db.unregister("start")
+            if not pc.any(rows["active"]).as_py():
+                self.db.execute("SET memory_limit = '100MB'")
+                return rows["tok"].to_numpy().astype(np.uint32)
+            rows = rows.select(["w", "pos", "tok"])
+
+    def _cut(self, piece: bytes) -> list[bytes]:
+        """The piece cut where no token spans."""
+        if len(piece) <= LONG_PIECE:
+            return [piece]
+        octets = np.frombuffer(piece, np.uint8)
+        at = np.flatnonzero(~self.adjacent[octets[:-1], octets[1:]]) + 1
+        return [piece[a:b] for a, b in zip([0, *at.tolist()], [*at.tolist(), len(piece)], strict=True)]
 
     def learn(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the pieces, one after another, and how many each has."""
-        out: list = [None] * len(pieces)
-        rows: list[tuple[int, bytes]] = []
+        out: list[list[np.ndarray]] = [[] for _ in pieces]
+        held: list[tuple[int, int, bytes]] = []
+
+        def contract() -> None:
+            for (i, k, _), ids in zip(held, self._contracted([x for _, _, x in held]), strict=True):
+                out[i][k] = ids
+            held.clear()
+
+        size = 0
         for i, piece in enumerate(pieces):
             data = piece.encode()
             if (rank := self.ranks.get(data)) is not None:
-                out[i] = np.array([rank], dtype=np.uint32)
-            elif len(data) > LONG_PIECE:
-                out[i] = np.array(self.by_heap(data), dtype=np.uint32)
-            else:
-                rows.append((i, data))
-        for at in range(0, len(rows), 10_000):
-            some = rows[at : at + 10_000]
-            sizes = np.array([len(x) for _, x in some])
-            w = np.repeat(np.arange(len(some)), sizes)
-            pos = np.arange(len(w)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-            start = pa.table({"w": w.astype(np.int32), "pos": pos.astype(np.int32), "tok": self.bytes[np.frombuffer(b"".join(x for _, x in some), dtype=np.uint8)]})
-            self.db.register("start", start)
-            ids = self.db.sql(ENCODE).to_arrow_table()["ids"].combine_chunks()
-            self.db.unregister("start")
-            ends, flat = ids.offsets.to_numpy(), ids.values.to_numpy().astype(np.uint32)
-            for k, (i, _) in enumerate(some):
-                out[i] = flat[ends[k] : ends[k + 1]]
-        return np.concatenate(out), np.array([len(x) for x in out])
+                out[i].append(np.array([rank], dtype=np.uint32))
+                continue
+            for k, part in enumerate(self._cut(data)):
+                out[i].append(self._contracted_long(part) if len(part) > LONG_PART else part)
+                if len(part) <= LONG_PART:
+                    held.append((i, k, part))
+                    size += len(part)
+                    if size >= AT_ONCE:
+                        contract()
+                        size = 0
+        if held:
+            contract()
+        return np.concatenate([x for parts in out for x in parts]), np.array([sum(map(len, parts)) for parts in out])
 
     def encode(self, texts: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
         """Of texts as lists of pieces: all token ids, and where each text's begin, with the end of the last."""

@@ -1,48 +1,67 @@
-"""Token ids of texts that are lists of pieces, each distinct piece encoded once in a worker."""
+"""Token ids of texts that are lists of pieces, each distinct piece encoded once as long as a worker remembers it."""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Hashable
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
 
 
-class PieceCache:
-    """learn: from pieces not met before to all their ids and how many each has. After `most` pieces the cache starts anew, so its memory is bounded."""
-
-    def __init__(self, learn: Callable[[list], tuple[np.ndarray, np.ndarray]], most: int):
-        self.learn, self.most = learn, most
-        self.clear()
+class Generation:
+    """Pieces by number, with the ids of all of them one after another."""
 
-    def clear(self) -> None:
-        self.known: dict[Hashable, int] = {}
-        self.ids, self.used = np.zeros(1 << 16, np.uint32), 0
-        self.begins, self.sizes = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64)
+    def __init__(self):
+        self.known: dict[str, int] = {}
+        self.ids, self.used = np.zeros(1 << 14, np.uint32), 0
+        self.begins, self.sizes = np.zeros(1 << 12, np.int64), np.zeros(1 << 12, np.int64)
+        self.bytes = 0
 
-    def add(self, pieces: list) -> None:
-        ids, sizes = self.learn(pieces)
+    def add(self, pieces: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
         n, used = len(self.known), self.used
         for name, need in (("ids", used + len(ids)), ("begins", n + len(pieces)), ("sizes", n + len(pieces))):
             if need > len(old := getattr(self, name)):
-                setattr(self, name, np.concatenate([old, np.zeros(max(len(old), need - len(old)), old.dtype)]))
+                setattr(self, name, np.concatenate([old, np.zeros(max(len(old) // 2, need - len(old)), old.dtype)]))
         self.ids[used : used + len(ids)] = ids
         self.sizes[n : n + len(pieces)] = sizes
         self.begins[n : n + len(pieces)] = used + np.cumsum(sizes) - sizes
         self.used += len(ids)
         self.known.update(zip(pieces, range(n, n + len(pieces)), strict=True))
+        # what a string, its entry and its ids take
+        self.bytes += 170 * len(pieces) + sum(map(len, pieces)) + 4 * len(ids)
+
+    def of(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of pieces by number, and how many each has."""
+        n = self.sizes[places]
+        ends = np.cumsum(n)
+        return self.ids[np.repeat(self.begins[places] - ends + n, n) + np.arange(ends[-1] if len(ends) else 0)], n
+
+
+class PieceCache:
+    """learn: from pieces not met before to all their ids and how many each has.
+
+    Two generations hold what was met: a piece of the old one that is met again moves to the new one. When the new one
+    has `most` bytes it becomes the old one, and what that one held is forgotten, so memory is bounded by about twice
+    that besides the pieces of one batch.
+    """
+
+    def __init__(self, learn: Callable[[list], tuple[np.ndarray, np.ndarray]], most: int):
+        self.learn, self.most = learn, most
+        self.new, self.old = Generation(), Generation()
 
     def encode(self, texts: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts, and where each text's begin, with the end of the last."""
         offsets = texts.offsets.to_numpy()
         coded = texts.values.slice(offsets[0], offsets[-1] - offsets[0]).dictionary_encode()
         distinct = coded.dictionary.to_pylist()
-        if len(self.known) + len(distinct) > self.most:
-            self.clear()
-        if new := [p for p in distinct if p not in self.known]:
-            self.add(new)
-        place = np.fromiter(map(self.known.__getitem__, distinct), np.int64, len(distinct))[coded.indices.to_numpy()]
-        n = self.sizes[place]
-        ends = np.concatenate([[0], np.cumsum(n)])
-        ids = self.ids[np.repeat(self.begins[place] - ends[:-1], n) + np.arange(ends[-1])]
-        return ids, ends[offsets - offsets[0]]
+        if self.new.bytes >= self.most:
+            self.old, self.new = self.new, Generation()
+        if missing := [p for p in distinct if p not in self.new.known]:
+            old = self.old.known
+            if again := [p for p in missing if p in old]:
+                self.new.add(again, *self.old.of(np.fromiter(map(old.__getitem__, again), np.int64, len(again))))
+            if first := [p for p in missing if p not in old]:
+                self.new.add(first, *self.learn(first))
+        place = np.fromiter(map(self.new.known.__getitem__, distinct), np.int64, len(distinct))[coded.indices.to_numpy()]
+        ids, n = self.new.of(place)
+        return ids, np.concatenate([[0], np.cumsum(n)])[offsets - offsets[0]]
