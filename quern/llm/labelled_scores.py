@@ -2,25 +2,26 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quern.llm.common import bounded_batches, utf8_values, with_fields
+from quern.llm.common import bounded_batches, materialize, utf8_values, with_fields
 from quern.llm.compression import CompressionModel
 
-#: At most so many labelled documents of each class, none longer than so many characters, train a model.
-ROWS_PER_CLASS, LONGEST_TRAINING_TEXT = 1000, 100_000
+#: At most so many labelled documents of each class, of so many characters together, train a model; the first longer one ends the sample.
+ROWS_PER_CLASS, CHARACTERS_PER_CLASS = 1000, 6_000_000
 
 
-def fit(documents: DataFrame, labels: DataFrame, label: str, special: int, learn_from: Column, lower: bool, min_match: int, shape: bool) -> CompressionModel:
+def fit(documents: DataFrame, labels: DataFrame, label: str, special: int, learn_from: Column, lower: bool, build: Callable) -> CompressionModel:
     """A model of the probability that `label` is `special`.
 
     labels: doc_id and `label`; rows with a null in either are ignored, as are documents with both labels. learn_from:
-    a condition on doc_id. Per class the ROWS_PER_CLASS ids with the smallest hashes are taken, so the sample is bounded
-    and the same in every run; the prior comes from counts of all labelled rows.
+    a condition on doc_id. Per class the ROWS_PER_CLASS ids with the smallest hashes are taken, and of these as many as have
+    CHARACTERS_PER_CLASS together, so the sample is bounded and the same in every run; the prior comes from counts of all
+    labelled rows. build: makes a pair of dictionaries of special and ordinary texts.
     """
     clean = (
         labels.filter(learn_from & F.col("doc_id").isNotNull() & F.col(label).isNotNull())
@@ -30,13 +31,15 @@ def fit(documents: DataFrame, labels: DataFrame, label: str, special: int, learn
     counts = {r["is_special"]: r["n"] for r in clean.groupBy("is_special").agg(F.count("*").alias("n")).collect()}
     picked = [clean.filter(F.col("is_special") == c).orderBy(F.xxhash64("doc_id"), "doc_id").limit(ROWS_PER_CLASS) for c in (True, False)]
     sample = F.broadcast(picked[0].unionByName(picked[1]))  # 2 * ROWS_PER_CLASS rows at most
-    rows = (
-        documents.select("doc_id", "text").filter(F.length("text") <= LONGEST_TRAINING_TEXT)
+    texts = (
+        documents.select("doc_id", "text").filter("text IS NOT NULL AND text <> ''")
         .join(sample, "doc_id").groupBy("doc_id").agg(F.first("is_special").alias("is_special"), F.max("text").alias("text"))
-        .orderBy(F.xxhash64("doc_id"), "doc_id").collect()
     )
-    texts = {c: [r["text"].encode() for r in rows if r["is_special"] is c and r["text"]] for c in (True, False)}
-    return CompressionModel.fit(texts[True], texts[False], counts.get(True, 0), counts.get(False, 0), lower, min_match, shape)
+    order = Window.partitionBy("is_special").orderBy(F.xxhash64("doc_id"), "doc_id")  # ROWS_PER_CLASS rows at most
+    before = materialize(texts, "labelled").withColumn("__upto", F.sum(F.length("text")).over(order))
+    rows = before.filter(F.col("__upto") <= CHARACTERS_PER_CLASS).orderBy(F.xxhash64("doc_id"), "doc_id").select("is_special", "text").collect()
+    texts = {c: [r["text"].encode() for r in rows if r["is_special"] is c] for c in (True, False)}
+    return CompressionModel.fit(texts[True], texts[False], counts.get(True, 0), counts.get(False, 0), lower, build)
 
 
 def score(documents: DataFrame, model: CompressionModel, name: str = "score", complement: bool = False) -> DataFrame:

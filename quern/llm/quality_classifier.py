@@ -1,8 +1,8 @@
 """Quality classification by compression.
 
-Zstandard dictionaries are built from labelled good and bad texts, once from their words and once from the shapes of
-their windows. The normalised difference of a text's compressed sizes, calibrated on labelled texts that built no
-dictionary, is its score: the probability that it is good.
+Zstandard trains one dictionary on the windows of labelled good texts and one on those of bad texts. The difference of a
+text's compressed sizes, per raw byte, calibrated on labelled texts that trained neither dictionary, is its score: the
+probability that it is good.
 
 Null and empty texts have no windows and score as such; repeated rows score alike; an empty table gives an empty result;
 extra columns stay; without labels of both classes the score is the prior.
@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from quern.llm import labelled_scores
 from quern.llm.common import id_crc32, read_table
+from quern.llm.compression import trained_pair
 
 THRESHOLD = 0.3
 
@@ -26,7 +27,7 @@ def held_out() -> Column:
 
 def add_quality(documents: DataFrame, labels: DataFrame, learn_from: Column | None = None) -> DataFrame:
     """documents (text, and any columns) with quality_score double. labels: doc_id, quality (1 good, 0 bad)."""
-    model = labelled_scores.fit(documents, labels, "quality", 0, F.lit(True) if learn_from is None else learn_from, lower=False, min_match=4, shape=True)
+    model = labelled_scores.fit(documents, labels, "quality", 0, F.lit(True) if learn_from is None else learn_from, lower=False, build=trained_pair)
     return labelled_scores.score(documents, model, "quality_score", complement=True)
 
 

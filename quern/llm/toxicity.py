@@ -1,8 +1,9 @@
 """Toxicity by compression distance.
 
-Two zstandard dictionaries, one from toxic and one from ordinary labelled texts, compress every window of a text; the
-sizes saved by the toxic one, calibrated on labelled texts that trained neither, give a probability and, by a threshold,
-a verdict.
+Two zstandard dictionaries, one from toxic and one from ordinary labelled texts, compress every window of a text; what the
+toxic one saves in all and in one window, calibrated on labelled texts that trained neither, gives a probability and, by a
+threshold, a verdict. As toxic texts consist of ordinary words for the most part, both dictionaries hold what is trained on
+ordinary windows; what the toxic one holds besides are passages of toxic texts.
 
 Null and empty texts have no windows and score as such; repeated rows score alike; an empty table gives an empty result;
 extra columns stay; without labels of both classes the score is the prior.
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 
 from quern.llm import labelled_scores
 from quern.llm.common import id_crc32, read_table
+from quern.llm.compression import passage_pair
 
 THRESHOLD = 0.3
 
@@ -26,7 +28,7 @@ def held_out() -> Column:
 
 def add_toxicity(documents: DataFrame, labels: DataFrame, learn_from: Column | None = None, threshold: float = THRESHOLD) -> DataFrame:
     """documents (text, and any columns) with toxicity double and toxic boolean (toxicity >= threshold). labels: doc_id, toxic."""
-    model = labelled_scores.fit(documents, labels, "toxic", 1, F.lit(True) if learn_from is None else learn_from, lower=True, min_match=5, shape=False)
+    model = labelled_scores.fit(documents, labels, "toxic", 1, F.lit(True) if learn_from is None else learn_from, lower=True, build=passage_pair)
     return labelled_scores.score(documents.drop("toxic"), model, "toxicity").withColumn("toxic", F.col("toxicity") >= threshold)
 
 
