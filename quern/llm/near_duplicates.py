@@ -2,14 +2,15 @@
 
 A document's set is that of its hashed shingles; its sketch is the SKETCH smallest. Documents with equal sets are one
 class from here on. The classes' sketch values make inverted lists. Two sets as similar as asked share at least the
-fraction OVERLAP of their sketches (six standard deviations below the mean for the threshold), so each class needs to be
+fraction `overlap` of their sketches (six standard deviations below the mean for the threshold), so each class needs to be
 in the lists of its rarest values only, as many as leave fewer than that fraction out. Each such list links its classes to
 its first one, and the connected components of these links, the clusters, hold every candidate pair.
 
-Within a cluster the union sketch of two classes estimates their similarity, and what passes is compared on full sets. A
-cluster of over BLOCK classes is first compared with one pivot, the class with the most popular values; classes linked to
-it need no comparison with each other, and the others, in blocks, are compared with all blocks. Links are kept as
-spanning forests, never as all pairs, and their components are the result.
+Within a cluster the inverted lists give the overlaps of sketches. Of what they let through, the union sketch of two
+classes, the SKETCH smallest of both, estimates their similarity, and what passes is compared on full sets. A cluster of
+over BLOCK classes or BLOCK_BYTES is first compared with one pivot, the class with the most popular values; classes linked
+to it need no comparison with each other. The others, in blocks, are compared with the cluster, of which each class goes
+to these blocks only. Links are kept as spanning forests, never as all pairs, and their components are the result.
 
 Lower-cased A-Z and white space make words; null and empty texts have no words, no set and no links; shorter texts than a
 shingle are one shingle. Rows of one doc_id are each sketched; their results carry that doc_id. Null ids can be in a
@@ -18,6 +19,7 @@ group but don't name it unless all are null. An empty table gives an empty resul
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,13 +33,24 @@ from quern.llm.common import ASCII_LOWER, bounded_batches, materialize, read_tab
 from quern.llm.components import connected_components
 
 WORDS, PERCENT = 5, 85
-SKETCH, OVERLAP, BLOCK = 64, 0.6, 256
+SKETCH, BLOCK, BLOCK_BYTES = 64, 256, 32 << 20
+#: What the pipeline calls similar, where the query's contract asks for PERCENT.
+STAGE_PERCENT = 80
 #: Tables of at most so many rows of a few numbers are broadcast; larger ones are joined by shuffling.
 BROADCAST_ROWS = 500_000
 #: Odd multipliers of a word's hash by its place in a shingle, unrelated to each other.
 PLACES = [np.uint64(xxhash.xxh64_intdigest(i.to_bytes(8, "little")) | 1) for i in range(64)]
 
 
+def overlap_of(percent: int) -> float:
+    """The share of a sketch that two sets at the threshold have in common, but for odds of about one in 10 ** 7. Too low thresholds are refused, as their lists would link what isn't alike."""
+    p = percent / 100
+    share = p - 6 * math.sqrt(p * (1 - p) / SKETCH)
+    if share < 0.25:
+        raise ValueError(f"sketches of {SKETCH} can't tell {percent} percent")
+    return share
+
+
 def shingles(text: bytes, n: int = WORDS) -> np.ndarray:
     """The sorted distinct 64-bit hashes of the n-word shingles of a text; of all its words, if fewer."""
     words = text.translate(ASCII_LOWER).split()
@@ -55,7 +68,7 @@ def shingles(text: bytes, n: int = WORDS) -> np.ndarray:
 
 
 def sketched(documents: DataFrame, words: int) -> DataFrame:
-    """doc_id, n_shingles, key (of the whole set, null if empty), sketch array<long> of the smallest hashes."""
+    """doc_id, text_hash, n_shingles, key (of the whole set, null if empty), sketch array<long> of the smallest hashes."""
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -64,18 +77,18 @@ def sketched(documents: DataFrame, words: int) -> DataFrame:
             sketches = [s[:SKETCH].view(np.int64) for s in sets]
             ends = np.concatenate([[0], np.cumsum([len(s) for s in sketches])]).astype(np.int32)
             flat = np.concatenate(sketches) if sketches else np.zeros(0, np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(keys, pa.binary()), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))], ["doc_id", "n_shingles", "key", "sketch"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array([len(s) for s in sets], pa.int64()), pa.array(keys, pa.binary()), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))], ["doc_id", "text_hash", "n_shingles", "key", "sketch"])
 
-    kinds = {"n_shingles": "long", "key": "binary", "sketch": "array<long>"}
-    return documents.select("doc_id", "text").mapInArrow(made, with_fields(documents.select("doc_id").schema, **kinds))
+    kinds = {"text_hash": "long", "n_shingles": "long", "key": "binary", "sketch": "array<long>"}
+    return documents.select("doc_id", "text", F.xxhash64("text").alias("text_hash")).mapInArrow(made, with_fields(documents.select("doc_id").schema, **kinds))
 
 
-def prefixes(classes: DataFrame) -> DataFrame:
+def prefixes(classes: DataFrame, overlap: float) -> DataFrame:
     """cid, popularity, values: for every class that has any, its rarest sketch values that other classes have too."""
     values = classes.select("cid", F.size("sketch").alias("s"), F.explode("sketch").alias("v"))
     counts = values.groupBy("v").agg(F.count("*").alias("c")).filter("c > 1")
     own = values.join(counts, "v").groupBy("cid", "s").agg(F.sort_array(F.collect_list(F.struct("c", "v"))).alias("shared"))  # SKETCH at most
-    needed = F.greatest(F.lit(1), F.floor(F.col("s") * OVERLAP).cast("int"))
+    needed = F.greatest(F.lit(1), F.floor(F.col("s") * overlap).cast("int"))
     take = F.col("s") - needed + 1 - (F.col("s") - F.size("shared"))  # values of no other class come first in the prefix
     return own.filter(take > 0).select("cid", F.aggregate("shared", F.lit(0).cast("long"), lambda a, x: a + x["c"]).alias("popularity"), F.slice("shared.v", F.lit(1), take).alias("values"))
 
@@ -101,30 +114,36 @@ def similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     return 100 * both >= percent * (len(a) + len(b) - both)
 
 
-def estimates(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
-    """A matrix that is true where the union sketch of a set of a and one of b lets them be similar: at least OVERLAP of its values are in both."""
+def overlaps(a: list[np.ndarray], b: list[np.ndarray], overlap: float) -> np.ndarray:
+    """A matrix that is true where the sketches of a set of a and one of b share at least the fraction `overlap` of the smaller one, counted in inverted lists."""
     index: dict[int, list[int]] = {}
-    small_b = [x[:SKETCH] for x in b]
-    for j, x in enumerate(small_b):
-        for v in x.tolist():
+    for j, x in enumerate(b):
+        for v in x[:SKETCH].tolist():
             index.setdefault(v, []).append(j)
     out = np.zeros((len(a), len(b)), dtype=bool)
-    size_b = np.array([len(x) for x in small_b])
+    size_b = np.array([min(SKETCH, len(x)) for x in b])
     for i, x in enumerate(a):
         counts = np.zeros(len(b), dtype=np.int32)
         for v in x[:SKETCH].tolist():
             counts[index.get(v, [])] += 1
-        # values in both sketches are at least those of the union sketch that are in both
-        out[i] = counts >= np.maximum(1, np.floor(OVERLAP * np.minimum(size_b, min(SKETCH, len(x)))))
+        out[i] = counts >= np.maximum(1, np.floor(overlap * np.minimum(size_b, min(SKETCH, len(x)))))
     return out
 
 
+def union_estimate(a: np.ndarray, b: np.ndarray) -> float:
+    """The similarity as the union sketch of two sets shows it: the share of the smallest values of either that are in both."""
+    both, n = np.unique(np.concatenate([a[:SKETCH], b[:SKETCH]]), return_counts=True)
+    n = n[:SKETCH]
+    return float((n == 2).sum() / len(n)) if len(n) else 0.0
+
+
 def linked_pairs(a: list[np.ndarray], b: list[np.ndarray], percent: int, skip) -> Iterator[tuple[int, int]]:
-    """The places (i, j) of similar sets, of those that skip(i, j) doesn't exclude; estimated first, then exact. skip is asked again and again, as links already found may exclude a pair."""
-    passed = estimates(a, b)
+    """The places (i, j) of similar sets, of those that skip(i, j) doesn't exclude: by overlap, then by the union sketch, then exact. skip is asked again and again, as links already found may exclude a pair."""
+    overlap = overlap_of(percent)
+    passed = overlaps(a, b, overlap)
     for i in range(len(a)):
         for j in np.flatnonzero(passed[i]).tolist():
-            if not skip(i, j) and similar(a[i], b[j], percent):
+            if not skip(i, j) and union_estimate(a[i], b[j]) >= overlap and similar(a[i], b[j], percent):
                 yield i, j
 
 
@@ -151,7 +170,7 @@ LINKS = "a long, b long"
 
 
 def verified_links(members: DataFrame, percent: int) -> DataFrame:
-    """a, b: a spanning forest of the similar pairs within each cluster. members: cid, cluster, size (of the cluster), popularity, hashes binary."""
+    """a, b: a spanning forest of the similar pairs within each cluster. members: cid, cluster, blocks (that the cluster needs; 1: it is small), popularity, hashes binary."""
 
     def in_cluster(rows: pd.DataFrame) -> pd.DataFrame:
         cids, sets, forest = rows["cid"].tolist(), sets_of(rows["hashes"]), Forest()
@@ -161,8 +180,8 @@ def verified_links(members: DataFrame, percent: int) -> DataFrame:
             out.append((cids[i], cids[j]))
         return pd.DataFrame(out, columns=["a", "b"]).astype("int64")
 
-    small = members.filter(F.col("size") <= BLOCK).select("cluster", "cid", "hashes").groupBy("cluster").applyInPandas(in_cluster, LINKS)
-    large = members.filter(F.col("size") > BLOCK).withColumn("blocks", F.ceil(F.col("size") / BLOCK).cast("int"))
+    small = members.filter("blocks = 1").select("cluster", "cid", "hashes").groupBy("cluster").applyInPandas(in_cluster, LINKS)
+    large = members.filter("blocks > 1")
     pivots = large.groupBy("cluster").agg(F.max_by(F.struct("cid", "hashes"), F.struct("popularity", "cid")).alias("pivot"))
     with_pivot = large.select("cluster", "cid", "blocks", "hashes").join(pivots, "cluster")
 
@@ -176,11 +195,12 @@ def verified_links(members: DataFrame, percent: int) -> DataFrame:
     kinds = {"cluster": "long", "cid": "long", "blocks": "int", "hashes": "binary", "pivot": "long", "near": "boolean"}
     seen = materialize(with_pivot.mapInArrow(at_pivot, ", ".join(f"{k} {v}" for k, v in kinds.items())), "pivots")
     to_pivot = seen.filter("near AND cid <> pivot").select(F.col("cid").alias("a"), F.col("pivot").alias("b"))
-    # what isn't linked to the pivot, in blocks, against every block of the cluster
+    # what isn't linked to the pivot, in blocks, against every block of the cluster; the cluster goes to blocks that ask only
     block = F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int")
     every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     asked = seen.filter("NOT near").select("cluster", "cid", "hashes", "near", block.alias("q"), every.alias("t"), F.lit(True).alias("asks"))
-    others = seen.select("cluster", "cid", "hashes", "near", block.alias("t"), every.alias("q"), F.lit(False).alias("asks"))
+    asking = seen.filter("NOT near").select("cluster", block.alias("q")).distinct()
+    others = seen.select("cluster", "cid", "hashes", "near", block.alias("t")).join(asking, "cluster").withColumn("asks", F.lit(False))
 
     def in_tile(rows: pd.DataFrame) -> pd.DataFrame:
         a, b, forest = rows[rows["asks"]], rows[~rows["asks"]], Forest()
@@ -204,14 +224,15 @@ def find_groups(documents: DataFrame, words: int = WORDS, percent: int = PERCENT
     bounded_batches(spark)
     rows = materialize(sketched(documents, words), "sketches")
     classes = materialize(
-        rows.filter("key IS NOT NULL").groupBy("key").agg(F.min("doc_id").alias("rep"), F.first("sketch").alias("sketch")).withColumn("cid", F.monotonically_increasing_id()),
+        rows.filter("key IS NOT NULL").groupBy("key").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch"), F.min(F.struct("doc_id", "text_hash")).alias("at")).withColumn("cid", F.monotonically_increasing_id()),
         "classes",
     )
-    prefix = materialize(prefixes(classes), "prefixes")
+    prefix = materialize(prefixes(classes, overlap_of(percent)), "prefixes")
     grouped = materialize(clusters(prefix), "clusters")
     n = grouped.count()
-    sizes = grouped.groupBy("cluster").agg(F.count("*").alias("size"))
-    wanted = materialize(classes.select("cid", "key", "rep").join(grouped, "cid").join(prefix.select("cid", "popularity"), "cid").join(sizes, "cluster"), "wanted")
+    sized = classes.select("cid", "key", "at", "n_shingles").join(grouped, "cid").join(prefix.select("cid", "popularity"), "cid")
+    blocks = F.ceil(F.greatest(F.count("*") / BLOCK, F.sum("n_shingles") * 8 / BLOCK_BYTES)).cast("int")
+    wanted = materialize(sized.join(sized.groupBy("cluster").agg(blocks.alias("blocks")), "cluster").drop("n_shingles"), "wanted")
 
     def with_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -220,8 +241,10 @@ def find_groups(documents: DataFrame, words: int = WORDS, percent: int = PERCENT
             at = batch.schema.get_field_index("text")
             yield batch.set_column(at, "hashes", pa.array(sets, pa.binary())).filter(pa.array(right))
 
-    texts = joined_to(documents.select("doc_id", "text"), wanted, F.col("doc_id").eqNullSafe(F.col("rep")), n).select("cid", "cluster", "size", "popularity", "key", "text")
-    members = texts.mapInArrow(with_sets, "cid long, cluster long, size long, popularity long, key binary, hashes binary").drop("key").dropDuplicates(["cid"])
+    # by id and text, as an id may be null or stand on many rows
+    same = F.col("doc_id").eqNullSafe(F.col("at.doc_id")) & (F.xxhash64("text") == F.col("at.text_hash"))
+    texts = joined_to(documents.select("doc_id", "text"), wanted, same, n).select("cid", "cluster", "blocks", "popularity", "key", "text")
+    members = texts.mapInArrow(with_sets, "cid long, cluster long, blocks int, popularity long, key binary, hashes binary").drop("key").dropDuplicates(["cid"])
     linked = connected_components(verified_links(materialize(members, "members"), percent))
     named = linked.join(classes.select(F.col("cid").alias("node"), "rep"), "node")
     least = named.groupBy("component").agg(F.min("rep").alias("component_id"))
@@ -237,11 +260,34 @@ def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: of each group of rows, the one with the smallest id, with its own columns; null ids come last, and of rows with one id the first numbered stays. Rows are told apart by a number, so ids may be null or repeated."""
+    """Pipeline stage: of each group of rows linked at STAGE_PERCENT or more, the one with the smallest id, with its own columns; null ids come last, and of rows with one id the first numbered stays. Rows are told apart by a number, so ids may be null or repeated."""
     numbered = materialize(docs.withColumn("__row", F.monotonically_increasing_id()), "numbered")
-    groups = find_groups(numbered.select(F.col("__row").alias("doc_id"), "text")).select(F.col("doc_id").alias("__row"), "component_id")
+    groups = find_groups(numbered.select(F.col("__row").alias("doc_id"), "text"), percent=STAGE_PERCENT).select(F.col("doc_id").alias("__row"), "component_id")
     groups = materialize(groups.join(numbered.select("__row", "doc_id"), "__row"), "groups")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "__row"))
     kept = groups.groupBy("component_id").agg(first.alias("first")).select(F.col("first.__row").alias("__row"))
     gone = materialize(groups.select("__row").join(kept, "__row", "left_anti"), "dropped")
     return numbered.join(F.broadcast(gone) if gone.count() <= BROADCAST_ROWS else gone, "__row", "left_anti").drop("__row")
+
+
+ORACLE_SQL = """
+WITH RECURSIVE words AS (
+    SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w
+    FROM documents
+),
+sets AS (
+    SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+        ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i : i + 4], ' '))) END AS shingles FROM words
+),
+each AS (SELECT doc_id, len(shingles) AS n, unnest(shingles) AS shingle FROM sets),
+links AS (
+    SELECT a.doc_id AS a, b.doc_id AS b FROM each AS a JOIN each AS b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+    GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))
+),
+reach(doc_id, other) AS (
+    SELECT a, b FROM links UNION SELECT reach.doc_id, links.b FROM reach JOIN links ON reach.other = links.a
+),
+least AS (SELECT doc_id, min(other) AS other FROM reach GROUP BY doc_id)
+SELECT doc_id, len(shingles)::BIGINT AS n_shingles, least(doc_id, coalesce(other, doc_id)) AS component_id, doc_id <= coalesce(other, doc_id) AS kept
+FROM sets LEFT JOIN least USING (doc_id)
+"""

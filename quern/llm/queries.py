@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from quern.llm import decontamination
+from quern.llm import decontamination, near_duplicates
 from quern.llm.byte_bpe import op7_byte_bpe
 from quern.llm.chat_windows import op1_chat_windows
 from quern.llm.decontamination import op6_decontamination
@@ -21,4 +21,4 @@ QUERIES = {
         op6_decontamination, op7_byte_bpe, op8_toxicity, op9_quality_rules, op10_lm_scoring,
     )
 }
-ORACLE_SQL = {"op6_decontamination": decontamination.ORACLE_SQL}
+ORACLE_SQL = {"op5_near_duplicates": near_duplicates.ORACLE_SQL, "op6_decontamination": decontamination.ORACLE_SQL}
