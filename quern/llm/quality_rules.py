@@ -19,8 +19,6 @@ from quern.llm.common import materialize, read_table
 BUCKETS = 1 << 16
 SMOOTHING, THRESHOLD = 0.5, -0.2
 LEAST_WORDS, MOST_REPEATED_PERCENT = 50, 50
-#: At most so many labelled ids, those with the smallest hashes, make up the trusted target.
-TARGET_ROWS = 50_000
 SPACES = "[\\x20\\x09-\\x0D]+"
 
 
@@ -69,8 +67,8 @@ def add_base(documents: DataFrame) -> DataFrame:
 
 
 def log_ratios(documents: DataFrame, target_ids: DataFrame) -> DataFrame:
-    """bucket int, ratio double: log of the bucket's smoothed share in the target less that in all documents. target_ids: doc_id, a bounded number of rows."""
-    target = F.broadcast(target_ids.select("doc_id").distinct().withColumn("__t", F.lit(1)))
+    """bucket int, ratio double: log of the bucket's smoothed share in the target less that in all documents. target_ids: doc_id."""
+    target = target_ids.select("doc_id").distinct().withColumn("__t", F.lit(1))  # Spark broadcasts it if it is small
     grams = documents.select("doc_id", words().alias("__w")).join(target, "doc_id", "left").select(F.coalesce("__t", F.lit(0)).alias("t"), F.explode(buckets("__w")).alias("bucket"))
     counted = materialize(grams.groupBy("bucket").agg(F.count("*").alias("raw"), F.sum("t").alias("target")), "buckets")
     total = counted.agg(F.coalesce(F.sum("raw"), F.lit(0)).alias("r"), F.coalesce(F.sum("target"), F.lit(0)).alias("t")).first()
@@ -80,10 +78,10 @@ def log_ratios(documents: DataFrame, target_ids: DataFrame) -> DataFrame:
     return counted.select("bucket", (F.log(share("target", total["t"])) - F.log(share("raw", total["r"]))).alias("ratio"))
 
 
-def trusted_ids(labels: DataFrame, rows: int = TARGET_ROWS) -> DataFrame:
-    """Up to `rows` ids of documents that are labelled good and never bad."""
+def trusted_ids(labels: DataFrame) -> DataFrame:
+    """All ids of documents that are labelled good and never bad."""
     good = labels.filter("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy("doc_id").agg(F.min("quality").alias("q")).filter("q = 1")
-    return good.select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
+    return good.select("doc_id")
 
 
 def add_rules(documents: DataFrame, target_ids: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -93,9 +91,9 @@ def add_rules(documents: DataFrame, target_ids: DataFrame, threshold: float = TH
     based = add_base(documents).withColumn("__row", F.monotonically_increasing_id())
     kept_columns = [c for c in documents.columns if c != "text"]
     # BUCKETS rows at most; each document's n-grams meet again in the task that made them, before one row of it is shuffled
-    table = F.broadcast(log_ratios(documents, target_ids))
-    grams = based.select("__row", *kept_columns, *names, F.explode_outer(buckets("__w")).alias("bucket"))
-    scored = grams.join(table, "bucket", "left").groupBy("__row", *kept_columns, *names).agg(F.coalesce(F.avg("ratio"), F.lit(0.0)).alias("llr"))
+    table = F.broadcast(log_ratios(documents, target_ids).toDF("__bucket", "__ratio"))
+    grams = based.select("__row", *kept_columns, *names, F.explode_outer(buckets("__w")).alias("__bucket"))
+    scored = grams.join(table, "__bucket", "left").groupBy("__row", *kept_columns, *names).agg(F.coalesce(F.avg("__ratio"), F.lit(0.0)).alias("llr"))
     return scored.drop("__row").withColumn("kept", ~F.col("base_failed") & (F.col("llr") >= threshold))
 
 

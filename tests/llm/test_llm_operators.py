@@ -78,6 +78,26 @@ def test_large_clusters_take_pivot_and_tiles(spark, monkeypatch):
     assert sorted(map(tuple, near_duplicates.find_groups(d).collect())) == whole
 
 
+def test_a_hot_cluster_sends_its_classes_once(spark, monkeypatch):
+    """What a large cluster shuffles grows with its classes, not with their square, where all are alike."""
+    monkeypatch.setattr(near_duplicates, "BLOCK", 8)
+    sent = {}
+    whole = near_duplicates.np.arange(1, 400, dtype=near_duplicates.np.uint64)
+    for n in (40, 80):
+        rows = [(i, 1, n // 8, i, bytearray(near_duplicates.np.delete(whole, i).tobytes())) for i in range(n)]
+        members = spark.createDataFrame(rows, "cid long, cluster long, blocks int, popularity long, hashes binary")
+        links = near_duplicates.verified_links(members, 85)
+        assert links.count() == n - 1
+        sent[n] = links.filter("a <> b").select("a").distinct().count()
+    assert sent[80] <= 2.1 * sent[40]
+
+
+def test_thresholds_that_sketches_cannot_tell_are_refused():
+    assert near_duplicates.overlap_of(85) < 0.6 and near_duplicates.overlap_of(80) < near_duplicates.overlap_of(85)
+    with pytest.raises(ValueError):
+        near_duplicates.overlap_of(40)
+
+
 def test_components_of_a_path(spark):
     e = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 101)], "a long, b long")
     assert {r.node: r.component for r in components.connected_components(e).collect()} == {**dict.fromkeys(range(41), 0), 100: 100, 101: 100}
@@ -337,3 +357,21 @@ def test_dictionaries_ignore_copies():
     copies, other = [b"rare words of one copied text"] * 50 + [prose(100 + i, 30).encode() for i in range(50)], [prose(i, 30).encode() for i in range(50)]
     assert compression.without_copies(copies).count(copies[0]) == 1
     assert b"copied" not in compression.passage_pair(copies, other, True).special
+
+
+def test_columns_of_clashing_names_and_without_nulls(spark):
+    """Extra columns stay, whatever their names, and may be declared without nulls."""
+    from pyspark.sql import types as T
+
+    names = ["bucket", "ratio", "raw", "target", "gram", "token", "n", "pieces", "cluster", "key", "packed_by", "model"]
+    schema = T.StructType([T.StructField("doc_id", T.LongType(), False), T.StructField("text", T.StringType(), False), *(T.StructField(c, T.StringType(), False) for c in names)])
+    d = spark.createDataFrame([(i, prose(i % 3, 60), *names) for i in range(6)], schema)
+    target = spark.createDataFrame([(0,), (1,)], "doc_id long")
+    labels = spark.createDataFrame([(i, i % 2, i % 2) for i in range(6)], "doc_id long, quality int, toxic int")
+    outputs = [
+        quality_rules.add_rules(d, target), lm_scoring.score(d, *lm_scoring.fit(d)), secrets.add_secrets(d), byte_bpe.decode(byte_bpe.encode(d)),
+        toxicity.add_toxicity(d, labels), quality_classifier.add_quality(d, labels), near_duplicates.drop_near_duplicates(spark, d, ""),
+    ]
+    for out in outputs:
+        rows = out.collect()
+        assert len(rows) in (3, 6) and all(r[c] == c for r in rows for c in names)
