@@ -66,8 +66,8 @@ def channel_candidates(documents: DataFrame) -> DataFrame:
 
 
 def filename_channel(name: Column) -> Column:
-    """The first channel by priority of which a primary word stands in brackets."""
-    return ladder([(name.rlike("(?iu)[(（][^)）]*(" + "|".join(c[2]) + ")[^)）]*[)）]"), c[0]) for c in CHANNELS], "")
+    """The first channel by priority of which a primary word stands alone in brackets."""
+    return ladder([(name.rlike("(?iu)[(（](" + "|".join(c[2]) + ")[)）]"), c[0]) for c in CHANNELS], "")
 
 
 def best_channel(candidates: DataFrame) -> DataFrame:
@@ -109,3 +109,19 @@ def threshold_sweep(scored: DataFrame, thresholds: list[float]) -> DataFrame:
     grid = F.explode(F.array(*(F.lit(float(t)) for t in thresholds)))
     at = scored.withColumn("threshold", grid).select("threshold", "actual", F.when(F.col("confidence") >= F.col("threshold"), F.col("predicted")).otherwise("unclassified").alias("predicted"))
     return class_scores(at, ["threshold"]).groupBy("threshold").agg(F.round(F.avg("f1"), 6).alias("macro_f1"))
+
+
+def macro_scores(scores: DataFrame) -> DataFrame:
+    """One row: the means of what class_scores gives over its classes."""
+    return scores.agg(*(F.round(F.avg(c), 6).alias(f"macro_{c}") for c in ("precision", "recall", "f1")))
+
+
+def best_threshold(sweep: DataFrame) -> DataFrame:
+    """One row: the threshold of the largest macro F1, the lowest of equals, and what to make of it."""
+    best = sweep.agg(F.max_by(F.struct("threshold", "macro_f1"), F.struct("macro_f1", -F.col("threshold"))).alias("x")).select("x.*")
+    return best.withColumn("verdict", F.when(F.col("macro_f1") >= 0.8, "good").when(F.col("macro_f1") >= 0.6, "fair").otherwise("poor"))
+
+
+def needs_review(mixed: Column, confidence: Column, channel: Column, below: float = 0.5, default: str = "일반") -> Column:
+    """Whether a person should look: several channels, little confidence, or no channel but the default."""
+    return F.coalesce(mixed, F.lit(False)) | F.coalesce(confidence < below, F.lit(True)) | F.coalesce(channel == default, F.lit(True))

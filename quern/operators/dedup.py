@@ -112,3 +112,17 @@ def source_counts(examples: DataFrame) -> DataFrame:
     """Per source: how many, how many outputs under 100, under 500 and longer, and the mean length."""
     n = F.length(F.coalesce("output", F.lit("")))
     return examples.groupBy("source").agg(F.count("*").alias("n"), F.count_if(n < 100).alias("short"), F.count_if((n >= 100) & (n < 500)).alias("medium"), F.count_if(n >= 500).alias("long"), F.round(F.avg(n), 6).alias("mean_length"))
+
+
+def report(examples: DataFrame, min_length: int = 50, threshold: float = 0.85, semantic: bool = False) -> tuple[DataFrame, DataFrame]:
+    """What exact, structural and, if asked, semantic deduplication leave one after another, and a row a stage with how many it was given and removed."""
+    stages = [("exact", lambda e: exact(e, min_length)), ("structural", lambda e: keep_first(e, structural_pairs(e, threshold)))]
+    stages += [("semantic", lambda e: keep_first(e, semantic_pairs(e, threshold)))] if semantic else []
+    counts = []
+    for name, stage in stages:
+        kept = stage(examples)
+        counts.append(examples.agg(F.count("*").alias("n_in")).crossJoin(kept.agg(F.count("*").alias("n_out"))).select(F.lit(name).alias("stage"), "n_in", (F.col("n_in") - F.col("n_out")).alias("removed")))
+        examples = kept
+    from functools import reduce
+
+    return examples, reduce(DataFrame.unionByName, counts)

@@ -7,8 +7,12 @@ from pyspark.sql import functions as F
 
 from quern.functions.text import occurrences, strip
 
-# What a well-formed cell is (amount, unit, dates, percentage, age, period, telephone number).
-CELL_PATTERN = r"^([\d,]+(\.\d+)?원?|[\d,]+(\.\d+)?\s*(원|만원|천원|억)|\d{4}[-./]\d{1,2}[-./]\d{1,2}|\d{4}[-./]\d{1,2}|\d+(\.\d+)?%|\d{1,3}세?|\d+\s*(년|개월|일|세)|\d{2,3}-\d{3,4}-\d{4})$"
+# What a well-formed cell is (amount, amount with a unit, dates, percentage, age, period, telephone number).
+CELL_PATTERNS = [
+    r"[\d,]+(\.\d+)?원?", r"[\d,]+(\.\d+)?\s*(원|만원|천원|억)", r"\d{4}[-./]\d{1,2}[-./]\d{1,2}", r"\d{4}[-./]\d{1,2}",
+    r"\d+(\.\d+)?%", r"\d{1,3}세?", r"\d+\s*(년|개월|일|세)", r"\d{2,3}-\d{3,4}-\d{4}",
+]
+CELL_PATTERN = "^(" + "|".join(CELL_PATTERNS) + ")$"
 
 
 def detect(documents: DataFrame, separator: str = "  ") -> DataFrame:
@@ -74,13 +78,23 @@ def row_sentences(cells: DataFrame, least: float = 0.6) -> DataFrame:
 
 
 def markdown_rows(cells: DataFrame) -> DataFrame:
-    """id, table_no, row, line: a table's rows as Markdown, missing cells empty."""
+    """id, table_no, row, line: a table's rows as Markdown, missing cells empty; of cells in one place the last by text stays."""
+    cells = cells.groupBy("id", "table_no", "row", "col").agg(F.max("text").alias("text"))
     size = cells.groupBy("id", "table_no").agg((F.max("col") + 1).alias("width"))
     rows = cells.groupBy("id", "table_no", "row").agg(F.map_from_entries(F.collect_list(F.struct("col", "text"))).alias("m")).join(size, ["id", "table_no"])
     line = F.concat(F.lit("| "), F.array_join(F.transform(F.sequence(F.lit(0), F.col("width") - 1), lambda i: F.coalesce(F.try_element_at("m", i), F.lit(""))), " | "), F.lit(" |"))
     return rows.select("id", "table_no", "row", line.alias("line"))
 
 
+def markdown_tables(cells: DataFrame) -> DataFrame:
+    """id, table_no, markdown: whole tables, a rule after the first row."""
+    size = cells.groupBy("id", "table_no").agg((F.max("col") + 1).alias("width"))
+    lines = F.transform(F.array_sort(F.collect_list(F.struct("row", "line"))), lambda x: x["line"])  # the rows of one table
+    t = markdown_rows(cells).groupBy("id", "table_no").agg(lines.alias("lines")).join(size, ["id", "table_no"])
+    rule = F.concat(F.lit("|"), F.repeat(F.lit(" --- |"), F.col("width")))
+    return t.select("id", "table_no", F.concat_ws("\n", F.slice("lines", 1, 1), rule, F.slice("lines", F.lit(2), F.size("lines"))).alias("markdown"))
+
+
 def iou(a: str, b: str) -> Column:
     """Intersection over union of two boxes, arrays of left, top, right, bottom; 0 if either has no area."""
     x = lambda c, i: F.element_at(c, i)

@@ -377,3 +377,9 @@ def hourly_windows(spark, d):
 @query(WORK + ", g AS (SELECT key, ts, CASE WHEN ts - lag(ts) OVER w < INTERVAL 30 MINUTE THEN 0 ELSE 1 END AS new FROM work WINDOW w AS (PARTITION BY key ORDER BY ts)), s AS (SELECT key, ts, sum(new) OVER (PARTITION BY key ORDER BY ts ROWS UNBOUNDED PRECEDING) AS s FROM g) SELECT key, min(ts) AS session_start, count(*) AS n FROM s GROUP BY key, s")
 def user_sessions(spark, d):
     return ledger.sessions(work(spark, d))
+
+
+from quern.plans import value_queries  # noqa: E402
+
+QUERIES |= value_queries.QUERIES
+ORACLE_SQL |= value_queries.ORACLE_SQL

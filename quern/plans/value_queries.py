@@ -1,0 +1,310 @@
+"""Queries over small tables given in place, for operators whose cases the driver's tables don't hold. The same rows stand in Spark's and DuckDB's SQL."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from quern.operators import classify, clause_headers, dedup, record_quality, scope_checks, spatial, table_structure, tables
+from quern.streaming import ledger
+
+QUERIES: dict = {}
+ORACLE_SQL: dict[str, str] = {}
+#: Names of columns, and rows.
+TABLES = {
+    "grid_cells": (
+        "id, table_no, row, col, rowspan, colspan, text, ocr_text, reliability",
+        "(1,0,0,0,1,1,'담보','',0.9),(1,0,0,1,1,1,'가입금액','',0.95),(1,0,1,0,1,1,'암진단비','',0.9),(1,0,1,1,1,1,'3,000만원','',0.8),(1,0,2,0,1,2,'합계','',0.7),"
+        "(1,1,0,0,1,1,'100','',0.4),(1,1,0,1,1,1,'200','',0.4),(1,1,1,0,2,1,'구분','',0.9),(1,1,1,1,1,1,'내용','',0.9),(1,1,1,1,1,1,'내용2','',0.2),"
+        "(2,0,0,0,1,1,'상품명','',0.9),(2,0,0,1,1,1,'판매채널','',0.9),(2,0,1,0,1,1,'보험료','',0.9),(2,0,1,1,1,1,'기간','',0.9),(2,0,2,0,1,1,'12.5%','',0.9),(2,0,2,1,1,1,'10년','',0.9),"
+        "(3,0,1,0,1,1,'','',0.0),(3,0,1,1,1,1,'','5년',0.5),(3,0,2,0,1,1,CAST(NULL AS STRING),CAST(NULL AS STRING),0.1)",
+    ),
+    "gate_results": (
+        "id, passed, reasons, attempts",
+        "(1,true,'',0),(2,false,'low_avg_reliability,pattern_validation_failed',1),(3,false,'low_avg_reliability,header_detection_failed',2),(4,false,'low_fill_rate',0),(5,false,'other',0),(6,false,'structure_validation_failed',3)",
+    ),
+    "clause_lines": (
+        "id, line_no, line",
+        "(1,0,'머리말입니다'),(1,1,'- 3 -'),(1,2,'1-2. 암진단비 특별약관'),(1,3,'제1조(목적)'),(1,4,'이 특약은 목적을 정합니다'),(1,5,'제 2 조 (보상)'),(1,6,'본문'),(1,7,'## 골절진단 담보'),(1,8,'내용'),"
+        "(1,9,'【별표 1】 장해분류표'),(1,10,'별표 2: 재해분류'),(1,11,'부 칙'),(1,12,'12'),(2,0,'운전자 특약'),(2,1,'제3조'),(2,2,'끝'),(2,3,'(()) [] 특약')",
+    ),
+    "plain_records": (
+        "id, instruction, input, output, text, content",
+        "(1,'시스템','질문입니다','답변은 충분히 길어야 하므로 여러 낱말을 넣어 쉰 글자를 넘기도록 이렇게 길게 적어 둡니다. 끝.',CAST(NULL AS STRING),CAST(NULL AS STRING)),(2,'only','','',CAST(NULL AS STRING),CAST(NULL AS STRING)),"
+        "(3,CAST(NULL AS STRING),CAST(NULL AS STRING),CAST(NULL AS STRING),'some plain text of a record that has more than ten words in one line.','!!!!! bad aaaaaaa'),(4,CAST(NULL AS STRING),'x',CAST(NULL AS STRING),CAST(NULL AS STRING),''),(5,'a','b','c',CAST(NULL AS STRING),CAST(NULL AS STRING))",
+    ),
+    "scope_answers": (
+        "id, scope_title, scope_text, answer, decision, exclusions_checked, confidence",
+        "(1,'암 특약','제1조 암으로 진단 확정된 때 보험금을 지급 합니다','암 진단 때 지급됩니다','보장',true,0.9),(2,'암 특약','제1조 암으로 진단 확정된 때','골절 특약에서는 다릅니다','비보장',false,0.8),"
+        "(3,'골절 특약','제2조 골절 때','일반적으로 보장됩니다','insufficient',false,0.4),(4,'골절 특약','제2조 골절로 진단된 때 지급','본문 참조',CAST(NULL AS STRING),CAST(NULL AS BOOLEAN),0.5)",
+    ),
+    "scope_evidence": ("id, quote, article", "(1,'암으로 진단확정된 때','제1조'),(2,'골절 진단 때 지급','제9조'),(4,'골절로 진단된 때','제2조'),(4,'','')"),
+    "scope_titles": ("title", "('암 특약'),('골절 특약'),('입원 특약'),('')"),
+    "scope_questions": ("id, question", "(1,'암 특약과 골절 특약은?'),(2,'두 특약의 차이는?'),(3,'보험금은 언제?')"),
+    "boxes": (
+        "id, page, box, x, y",
+        "(1,1,'a',10.0D,10.0D),(1,1,'b',105.0D,14.0D),(1,1,'c',12.0D,26.0D),(1,1,'d',128.0D,40.0D),(1,1,'e',60.0D,41.5D),(1,2,'f',5.0D,5.0D),(1,2,'g',24.0D,19.0D),(1,2,'h',500.0D,34.0D)",
+    ),
+    "table_boxes": ("id, page, x_min, y_min, x_max, y_max", "(1,1,0.0D,0.0D,110.0D,20.0D),(1,2,400.0D,30.0D,600.0D,40.0D)"),
+    "file_names": ("id, name", "(1,'상품(TM).pdf'),(2,'상품(TM전용).pdf'),(3,'상품 TM.pdf'),(4,'상품(방송).pdf'),(5,CAST(NULL AS STRING))"),
+    "merged_batch": ("id, warnings, conflict, conditions, exclusions", "(1,'w1,w2',true,'c2,c1','x'),(2,'',false,'c1',''),(3,'w1',CAST(NULL AS BOOLEAN),'',CAST(NULL AS STRING))"),
+    "file_states": ("key, state, elapsed", "('a','done',2.0D),('b','done',4.0D),('c','failed',9.0D),('d','queued',CAST(NULL AS DOUBLE)),('e','running',1.0D),('f','queued',CAST(NULL AS DOUBLE))"),
+    "present_files": ("key", "('a'),('z')"),
+    "review_events": ("event_id, ts, key, event", "(1,10,'a','enqueue'),(2,11,'b','enqueue'),(3,12,'a','enqueue'),(4,13,'b','resolve'),(5,14,'c','enqueue'),(6,15,'b','enqueue'),(7,16,'d','enqueue'),(8,17,'d','resolve')"),
+}
+
+
+def rows(spark: SparkSession, name: str) -> DataFrame:
+    columns, values = TABLES[name]
+    return spark.sql(f"SELECT * FROM VALUES {values} AS t({columns})")
+
+
+def with_tables(sql: str) -> str:
+    """The SQL with the tables it names before it, as DuckDB reads them."""
+    named = [f"{k}({c}) AS (VALUES {v.replace('AS STRING', 'AS VARCHAR').replace('0D', '0').replace('5D', '5')})" for k, (c, v) in TABLES.items() if k in sql]
+    return f"WITH {', '.join(named)}{',' if sql.lstrip().startswith('+') else ''} {sql.lstrip().removeprefix('+')}"
+
+
+def query(sql: str | None):
+    def add(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLE_SQL[f.__name__] = with_tables(sql)
+        return f
+
+    return add
+
+
+HEADER = """+ h AS (SELECT id, table_no, row, trim(coalesce(nullif(text, ''), ocr_text, '')) AS t, reliability FROM grid_cells),
+s AS (SELECT id, table_no, row, avg(CASE WHEN t <> '' THEN 1.0 ELSE 0 END) AS fill, avg(reliability) AS rel, greatest(1, count(*) FILTER (t <> '')) AS n,
+    count(*) FILTER (regexp_full_match(translate(t, ',.원만천억%세년', ''), '[0-9]+')) AS numeric, sum(length(t)) AS chars FROM h GROUP BY ALL),
+scores AS (SELECT id, table_no, row, 0.25 * fill + 0.25 * rel + 0.3 * (1 - numeric / n) + 0.2 * CASE WHEN chars / n < 20 THEN 1.0 WHEN chars / n < 50 THEN 0.5 ELSE 0.2 END AS score FROM s)"""
+
+
+@query(HEADER + " SELECT id, table_no, row, CAST(round(score, 6) AS DOUBLE) AS score FROM scores")
+def header_scores(spark, d):
+    return table_structure.header_scores(rows(spark, "grid_cells")).withColumn("score", F.round(F.col("score").cast("double"), 6))
+
+
+@query(
+    HEADER + """, b AS (SELECT id, table_no, max(score) FILTER (row = 0) AS s0, max(score) FILTER (row = 1) AS s1, max(score) AS top FROM scores GROUP BY ALL),
+p AS (SELECT b.*, (SELECT min(row) FROM scores s WHERE s.id = b.id AND s.table_no = b.table_no AND s.score = b.top) AS best FROM b)
+SELECT id, table_no, CASE WHEN s0 >= 0.5 AND s1 >= 0.6 THEN '0,1' WHEN s0 >= 0.5 THEN '0' WHEN top >= 0.5 THEN CAST(best AS VARCHAR) WHEN s0 IS NOT NULL THEN '0' ELSE '' END AS header,
+CAST(round(CASE WHEN s0 >= 0.5 THEN s0 WHEN top >= 0.5 THEN top ELSE 0.3 END, 6) AS DOUBLE) AS confidence, coalesce(s0 >= 0.5 AND s1 >= 0.6, false) AS multi_level FROM p"""
+)
+def header_rows(spark, d):
+    h = table_structure.header_rows(table_structure.header_scores(rows(spark, "grid_cells")))
+    return h.select("id", "table_no", F.array_join("rows", ",").alias("header"), F.round(F.col("confidence").cast("double"), 6).alias("confidence"), "multi_level")
+
+
+@query("SELECT id, table_no, row + dr AS row, col + dc AS col, text, dr = 0 AND dc = 0 AS is_origin FROM (SELECT *, unnest(range(rowspan)) AS dr FROM grid_cells) JOIN LATERAL (SELECT unnest(range(colspan)) AS dc) ON true")
+def expanded_spans(spark, d):
+    e = table_structure.expand_spans(rows(spark, "grid_cells"))
+    return e.select("id", "table_no", F.col("row").cast("long").alias("row"), F.col("col").cast("long").alias("col"), "text", "is_origin")
+
+
+@query(
+    """+ c AS (SELECT id, table_no, row, col + unnest(range(colspan)) AS col FROM grid_cells), n AS (SELECT id, table_no, row, count(DISTINCT col) AS n FROM c GROUP BY ALL),
+u AS (SELECT id, table_no, min(n) <> max(n) AS inconsistent_column_count FROM n GROUP BY ALL),
+g AS (SELECT id, table_no, row, col, count(*) AS n, max(rowspan) > 1 OR max(colspan) > 1 AS m FROM grid_cells GROUP BY ALL)
+SELECT u.id, u.table_no, inconsistent_column_count, max(g.n) > 1 AS duplicate_cell_position, bool_or(m) AS has_merged_cells FROM u JOIN g ON u.id = g.id AND u.table_no = g.table_no GROUP BY ALL"""
+)
+def structure_problems(spark, d):
+    return table_structure.structure_problems(rows(spark, "grid_cells"))
+
+
+@query(
+    """+ k(reason, level, urgency) AS (VALUES ('low_fill_rate',3,2),('low_avg_reliability',1,3),('header_detection_failed',2,2),('structure_validation_failed',2,1),('ocr_bbox_missing',1,3),('merged_cell_error',2,2),('pattern_validation_failed',1,4),('excessive_low_conf_cells',3,1)),
+r AS (SELECT id, unnest(string_split(reasons, ',')) AS reason FROM gate_results), x AS (SELECT id, max(level) AS level, min(urgency) AS urgency FROM r JOIN k USING (reason) GROUP BY id)
+SELECT id, NOT passed AS again, CASE WHEN passed THEN 'full' WHEN attempts >= 3 THEN 'manual' WHEN level = 2 THEN 'structure_only' WHEN level = 1 THEN 'ocr_only' ELSE 'full' END AS level,
+CASE WHEN passed THEN 5 WHEN attempts >= 3 THEN 1 ELSE coalesce(urgency, 3) END AS priority FROM gate_results LEFT JOIN x USING (id)"""
+)
+def reprocess(spark, d):
+    g = rows(spark, "gate_results").withColumn("reasons", F.split("reasons", ","))
+    return table_structure.reprocess(g).select("id", "again", "level", "priority")
+
+
+LINES = """+ s AS (SELECT id, line_no, regexp_replace(trim(line), '^##+[#\\s]*', '') AS s FROM clause_lines), n AS (SELECT *, length(s) AS n FROM s),
+p AS (SELECT *, CASE WHEN s = '' OR regexp_matches(s, '^\\s*-\\s*\\d+\\s*-\\s*$|^\\s*페이지\\s*\\d+\\s*$|^<!--\\s*image\\s*-->$|^\\s*\\d+\\s*$|^\\s*[|─━═]+\\s*$') THEN -10 ELSE
+    CASE WHEN s LIKE '%특약' OR s LIKE '%에 관한 특약%' THEN 4 ELSE 0 END + CASE WHEN s LIKE '%특별약관' THEN 4 ELSE 0 END + CASE WHEN s LIKE '%담보' THEN 3 ELSE 0 END + CASE WHEN s LIKE '별표%' OR s LIKE '%【별표%' THEN 3 ELSE 0 END
+    + CASE WHEN s IN ('부칙', '부 칙') THEN 3 ELSE 0 END + CASE WHEN regexp_matches(s, '^\\d+-\\d+\\.') THEN 2 ELSE 0 END + CASE WHEN n BETWEEN 4 AND 40 THEN 1 ELSE 0 END + CASE WHEN s LIKE '##%' THEN 1 ELSE 0 END
+    - CASE WHEN len(regexp_extract_all(s, '[【】\\[\\]()（）]')) > 0.3 * greatest(n, 1) THEN 2 ELSE 0 END - CASE WHEN n < 3 THEN 2 ELSE 0 END - CASE WHEN n > 50 THEN 1 ELSE 0 END END AS score FROM n),
+k AS (SELECT *, CASE WHEN regexp_matches(s, '^(\\d+-\\d+)\\.\\s*(.{2,50}(?:특별약관|특약))\\s*$') THEN 'numbered' WHEN regexp_matches(s, '^(.{2,40}(?:특약|에\\s*관한\\s*특약))\\s*$') THEN 'special' WHEN regexp_matches(s, '^(.{2,40}담보)\\s*$') THEN 'coverage'
+    WHEN regexp_matches(s, '^[【\\[](별표\\s*\\d+)[】\\]]\\s*(.*)$') THEN 'appendix' WHEN regexp_matches(s, '^(별표\\s*\\d+)\\s*[\\.:\\s]\\s*(.*)$') THEN 'other appendix' WHEN regexp_matches(s, '^(부\\s*칙)\\s*$') THEN 'addendum' END AS k FROM p WHERE score >= 3),
+headers AS (SELECT id, line_no, CASE k WHEN 'numbered' THEN regexp_extract(s, '^(\\d+-\\d+)\\.\\s*(.{2,50}(?:특별약관|특약))\\s*$', 2) WHEN 'appendix' THEN trim(regexp_replace(s, '^[【\\[](별표\\s*\\d+)[】\\]]\\s*(.*)$', '\\1 \\2')) WHEN 'other appendix' THEN trim(regexp_replace(s, '^(별표\\s*\\d+)\\s*[\\.:\\s]\\s*(.*)$', '\\1 \\2')) ELSE s END AS title,
+    CASE WHEN k IN ('numbered', 'special') THEN 'special_clause' WHEN k LIKE '%appendix' THEN 'appendix' ELSE k END AS kind, score + CASE WHEN k = 'numbered' THEN 2 ELSE 0 END AS score FROM k WHERE k IS NOT NULL)"""
+
+
+@query(LINES + " SELECT * FROM headers")
+def clause_header_lines(spark, d):
+    return clause_headers.headers(rows(spark, "clause_lines"))
+
+
+@query(LINES + ", j AS (SELECT l.id, l.line_no, l.line, h.title, h.kind FROM clause_lines l LEFT JOIN headers h ON l.id = h.id AND l.line_no = h.line_no) SELECT id, line_no, line, count(kind) OVER w AS segment, last_value(title IGNORE NULLS) OVER w AS title, last_value(kind IGNORE NULLS) OVER w AS kind FROM j WINDOW w AS (PARTITION BY id ORDER BY line_no)")
+def clause_segments(spark, d):
+    return clause_headers.segments(rows(spark, "clause_lines"))
+
+
+@query(
+    """+ o AS (SELECT *, coalesce(sum(length(line) + 1) OVER (PARTITION BY id ORDER BY line_no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start, max(line_no) OVER (PARTITION BY id) AS last_line FROM clause_lines),
+e AS (SELECT *, max(start + length(line)) OVER (PARTITION BY id) AS last_stop FROM o), a AS (SELECT * FROM e WHERE regexp_matches(trim(line), '^(제\\s*\\d+\\s*조)\\s*(\\([^)]+\\))?\\s*$'))
+SELECT id, CAST(row_number() OVER w AS INT) AS article_no, trim(line) AS title, line_no AS start_line, coalesce(lead(line_no) OVER w - 1, last_line) AS end_line, CAST(start AS BIGINT) AS start_offset, CAST(coalesce(lead(start) OVER w - 1, last_stop) AS BIGINT) AS end_offset FROM a WINDOW w AS (PARTITION BY id ORDER BY line_no)"""
+)
+def clause_articles(spark, d):
+    return clause_headers.articles(rows(spark, "clause_lines"))
+
+
+@query(
+    """SELECT id, CASE WHEN instruction IS NOT NULL THEN 0.5 * CAST(instruction <> '' AS INT) + 0.5 * CAST(coalesce(output, '') <> '' AS INT) ELSE 0.25 * (CAST(coalesce(text, '') <> '' AS INT) + CAST(coalesce(content, '') <> '' AS INT) + CAST(coalesce(input, '') <> '' AS INT) + CAST(coalesce(output, '') <> '' AS INT)) END::DOUBLE AS structure,
+len(list_filter(CASE WHEN instruction IS NOT NULL THEN [instruction, input, output] ELSE [text, content, input, output] END, lambda t: coalesce(t, '') <> ''))::INT AS n_texts, instruction IS NOT NULL AND output IS NOT NULL AS alpaca FROM plain_records"""
+)
+def record_structure(spark, d):
+    r = rows(spark, "plain_records")
+    return r.select("id", record_quality.structure_score(r).alias("structure"), F.size(record_quality.texts(r)).alias("n_texts"), record_quality.valid_form(r, "alpaca").alias("alpaca"))
+
+
+RECORDS = """+ t AS (SELECT id, unnest(CASE WHEN instruction IS NOT NULL THEN [instruction, input, output] ELSE [text, content, input, output] END) AS t FROM plain_records),
+f AS (SELECT id, t, length(t) AS n, list_filter(regexp_split_to_array(t, '\\s+'), lambda x: x <> '') AS w, len(regexp_extract_all(t, '[가-힣]')) / greatest(1, length(replace(t, ' ', ''))) AS h FROM t WHERE coalesce(t, '') <> ''),
+q AS (SELECT id, CASE WHEN n >= 50 THEN 0.3 WHEN n >= 20 THEN 0.15 ELSE 0 END + CASE WHEN len(w) >= 10 THEN 0.3 WHEN len(w) >= 5 THEN 0.15 ELSE 0 END + CASE WHEN regexp_matches(t, '[.!?]\\s*$') THEN 0.4 ELSE 0 END AS c,
+    greatest(0, 1 - CASE WHEN regexp_matches(t, '[!@#$%^&*()]{4,}') THEN 0.2 ELSE 0 END - CASE WHEN contains(t, 'aaaaaa') OR contains(t, '!!!!!!') THEN 0.2 ELSE 0 END - CASE WHEN len(w) > 10 AND len(list_distinct(w)) < 0.3 * len(w) THEN 0.3 ELSE 0 END - CASE WHEN h > 0.1 AND h < 0.3 THEN 0.1 ELSE 0 END) AS q FROM f),
+m AS (SELECT id, avg(c) AS c, avg(q) AS q FROM q GROUP BY id), s AS (SELECT r.id, CASE WHEN instruction IS NOT NULL THEN 0.5 * CAST(instruction <> '' AS INT) + 0.5 * CAST(coalesce(output, '') <> '' AS INT) ELSE 0.25 * (CAST(coalesce(text, '') <> '' AS INT) + CAST(coalesce(content, '') <> '' AS INT) + CAST(coalesce(input, '') <> '' AS INT) + CAST(coalesce(output, '') <> '' AS INT)) END::DOUBLE AS structure,
+    coalesce(m.c, 0)::DOUBLE AS completeness, coalesce(m.q, 0)::DOUBLE AS quality FROM plain_records r LEFT JOIN m ON r.id = m.id), o AS (SELECT *, 0.3 * structure + 0.3 * completeness + 0.4 * quality AS overall FROM s)"""
+
+
+@query(RECORDS + " SELECT id, round(completeness, 6) AS completeness, round(quality, 6) AS quality, round(overall, 6) AS overall FROM o")
+def record_scores(spark, d):
+    s = record_quality.add_scores(rows(spark, "plain_records"))
+    return s.select("id", *(F.round(c, 6).alias(c) for c in ("completeness", "quality", "overall")))
+
+
+@query(RECORDS + " SELECT count(*) AS total, count(*) FILTER (overall >= 0.7) AS valid, count(*) FILTER (overall < 0.7) AS filtered, round(avg(structure), 6) AS avg_structure, round(avg(overall), 6) AS avg_overall FROM o")
+def record_averages(spark, d):
+    a = record_quality.averages(record_quality.add_scores(rows(spark, "plain_records")))
+    return a.select("total", "valid", "filtered", F.round("avg_structure", 6).alias("avg_structure"), F.round("avg_overall", 6).alias("avg_overall"))
+
+
+@query(RECORDS + " SELECT id, round(overall, 6) AS _quality_score FROM o WHERE overall >= 0.7")
+def passing_records(spark, d):
+    return record_quality.passing(record_quality.add_scores(rows(spark, "plain_records"))).select("id", F.round("_quality_score", 6).alias("_quality_score"))
+
+
+@query("SELECT id, coalesce(instruction, '') AS instruction, coalesce(input, '') AS input, coalesce(output, '') AS output, nullif(concat_ws(';', 'content=' || content, 'id=' || id, 'text=' || text), '') AS meta FROM plain_records")
+def alpaca_records(spark, d):
+    r = rows(spark, "plain_records")
+    meta = record_quality.metadata(r, ["instruction", "input", "output"])
+    pairs = F.array_join(F.transform(F.array_sort(F.map_entries(meta)), lambda e: F.concat_ws("=", e["key"], e["value"])), ";")
+    return record_quality.convert(r.withColumn("meta", pairs), "alpaca", ["id", "meta"])
+
+
+@query("SELECT id, concat_ws('|', 'system:' || nullif(instruction, ''), 'user:' || nullif(input, ''), 'assistant:' || CASE WHEN length(output) > 60 THEN '<think>' || chr(10) || chr(10) || '</think>' || chr(10) || chr(10) || output ELSE nullif(output, '') END) AS messages FROM plain_records")
+def openai_records(spark, d):
+    from quern.operators.records import think
+
+    r = rows(spark, "plain_records").withColumn("output", think(F.col("output"), 60))
+    m = record_quality.convert(r, "openai", ["id"])
+    return m.select("id", F.array_join(F.transform("messages", lambda x: F.concat_ws(":", x["role"], x["content"])), "|").alias("messages"))
+
+
+GUARD = """+ w AS (SELECT e.id, e.quote, e.article, a.scope_text FROM scope_evidence e JOIN scope_answers a ON e.id = a.id),
+v AS (SELECT id, count(*) AS n, bool_or(quote <> '' AND NOT contains(regexp_replace(scope_text, '\\s+', '', 'g'), regexp_replace(quote, '\\s+', '', 'g')) AND len(list_intersect(list_distinct(string_split(quote, ' ')), string_split(scope_text, ' '))) < 0.5 * len(list_distinct(string_split(quote, ' ')))) AS unquoted,
+    bool_or(len(list_filter(regexp_extract_all(article, '제\\s*\\d+\\s*조'), lambda x: NOT contains(scope_text, x))) > 0) AS unknown FROM w GROUP BY id),
+k AS (SELECT a.*, list_sort(list_filter([CASE WHEN coalesce(n, 0) = 0 THEN 'missing_quote' END, CASE WHEN unquoted THEN 'unsupported_quote' END, CASE WHEN unknown THEN 'unknown_article' END,
+    CASE WHEN EXISTS (SELECT 1 FROM scope_titles t WHERE t.title <> '' AND t.title <> a.scope_title AND contains(a.answer, t.title)) THEN 'out_of_scope_name' END,
+    CASE WHEN regexp_matches(answer, '다른\\s*(특약|약관|담보)|일반적으로|통상적으로|보험\\s*상식|별도\\s*확인|추가\\s*문의') THEN 'external_reference' END,
+    CASE WHEN coalesce(n, 0) = 0 AND regexp_matches(answer, '반드시|항상|전부|무조건|확실히|명백히|지급됩니다|지급되지 않습니다|보장됩니다|보장되지 않습니다') THEN 'unsupported_claim' END,
+    CASE WHEN decision IN ('보장', '비보장') AND NOT coalesce(exclusions_checked, false) THEN 'exclusions_not_checked' END], lambda x: x IS NOT NULL)) AS kinds FROM scope_answers a LEFT JOIN v ON a.id = v.id),
+z AS (SELECT id, array_to_string(kinds, ',') AS violations, len(list_intersect(kinds, ['missing_quote', 'unsupported_quote', 'unknown_article', 'out_of_scope_name', 'unsupported_claim'])) = 0 AS valid, decision, confidence FROM k)"""
+
+
+def guarded(spark) -> DataFrame:
+    return scope_checks.violations(rows(spark, "scope_answers"), rows(spark, "scope_evidence"), rows(spark, "scope_titles"))
+
+
+@query(GUARD + " SELECT id, violations, valid FROM z")
+def scope_violations(spark, d):
+    return guarded(spark).select("id", F.array_join("violations", ",").alias("violations"), "valid")
+
+
+@query(GUARD + " SELECT id, CASE WHEN valid THEN decision ELSE 'insufficient' END AS decision, CAST(CASE WHEN valid THEN confidence ELSE 0 END AS DOUBLE) AS confidence FROM z")
+def forced_insufficient(spark, d):
+    return scope_checks.force_insufficient(guarded(spark)).select("id", "decision", F.col("confidence").cast("double").alias("confidence"))
+
+
+@query(
+    """+ k AS (SELECT list_sort(list(title)) AS every FROM scope_titles WHERE title <> ''), n AS (SELECT q.id, list_sort(list(t.title)) AS named FROM scope_questions q JOIN scope_titles t ON t.title <> '' AND contains(q.question, t.title) GROUP BY q.id)
+SELECT q.id, array_to_string(CASE WHEN named IS NOT NULL THEN named WHEN regexp_matches(question, '비교|차이|모든\\s*특약|전체') THEN every ELSE [] END, ',') AS scopes FROM scope_questions q LEFT JOIN n ON q.id = n.id, k"""
+)
+def scope_routes(spark, d):
+    return scope_checks.routed(rows(spark, "scope_questions"), rows(spark, "scope_titles")).select("id", F.array_join("scopes", ",").alias("scopes"))
+
+
+@query("SELECT 3 AS n, 3 AS n_warnings, 1 AS n_conflicts, 'c1,c2' AS conditions, 'x' AS exclusions FROM merged_batch LIMIT 1")
+def qa_batch_summary(spark, d):
+    parts = lambda c: F.filter(F.split(c, ","), lambda x: x != "")
+    m = rows(spark, "merged_batch").select("conflict", *(parts(c).alias(c) for c in ("warnings", "conditions", "exclusions")))
+    s = scope_checks.batch_summary(m)
+    return s.select(*(F.col(c).cast("int").alias(c) for c in ("n", "n_warnings", "n_conflicts")), F.array_join("conditions", ",").alias("conditions"), F.array_join("exclusions", ",").alias("exclusions"))
+
+
+@query("SELECT 1 AS id, page, box, r AS row, c AS col FROM (VALUES (1,'a',0,0),(1,'b',0,2),(1,'c',1,0),(1,'d',1,3),(1,'e',2,1),(2,'f',0,0),(2,'g',0,0),(2,'h',1,1)) v(page, box, r, c) WHERE EXISTS (SELECT 1 FROM boxes)")
+def box_grid(spark, d):
+    return spatial.grid(rows(spark, "boxes")).select("id", "page", "box", "row", "col")
+
+
+@query("SELECT id, page, box FROM boxes b WHERE NOT EXISTS (SELECT 1 FROM table_boxes t WHERE t.id = b.id AND t.page = b.page AND b.x BETWEEN t.x_min AND t.x_max AND b.y BETWEEN t.y_min AND t.y_max)")
+def boxes_outside_tables(spark, d):
+    return spatial.outside(rows(spark, "boxes"), rows(spark, "table_boxes")).select("id", "page", "box")
+
+
+@query("+ a AS (SELECT id, box, row_number() OVER (PARTITION BY id ORDER BY x) AS position FROM boxes), b AS (SELECT id, page, row_number() OVER (PARTITION BY id ORDER BY page) AS position FROM table_boxes) SELECT a.id, a.position::INT AS position, a.box, b.page FROM a JOIN b ON a.id = b.id AND a.position = b.position")
+def zipped_by_position(spark, d):
+    return spatial.zipped(rows(spark, "boxes").select("id", "box", "x"), rows(spark, "table_boxes").select("id", "page"), ["id"], "x", "page").select("id", "position", "box", "page")
+
+
+@query("SELECT id, CASE WHEN regexp_matches(name, '(?i)[(（](TM|텔레마케팅|전화)[)）]') THEN 'TM' WHEN regexp_matches(name, '(?i)[(（]방송[)）]') THEN '방송' ELSE '' END AS channel FROM file_names")
+def filename_channels(spark, d):
+    return rows(spark, "file_names").select("id", F.coalesce(classify.filename_channel(F.col("name")), F.lit("")).alias("channel"))
+
+
+@query("SELECT id, table_no, string_agg(line, chr(10) ORDER BY row) AS markdown FROM (SELECT id, table_no, row, '| ' || array_to_string(list_transform(range(w), lambda c: coalesce(list_max(list_filter(cells, lambda x: x.col = c)).text, '')), ' | ') || ' |' || CASE WHEN row = first THEN chr(10) || '|' || repeat(' --- |', w) ELSE '' END AS line FROM (SELECT g.id, g.table_no, row, list({'col': col, 'text': text}) AS cells, any_value(w)::INT AS w, any_value(first) AS first FROM grid_cells g JOIN (SELECT id, table_no, max(col) + 1 AS w, min(row) AS first FROM grid_cells GROUP BY ALL) s ON g.id = s.id AND g.table_no = s.table_no GROUP BY ALL)) GROUP BY ALL")
+def markdown_tables(spark, d):
+    return tables.markdown_tables(rows(spark, "grid_cells").select("id", "table_no", "row", "col", "text"))
+
+
+@query("SELECT count(*) FILTER (state = 'queued') AS queued, count(*) FILTER (state = 'running') AS running, count(*) FILTER (state = 'done') AS done, count(*) FILTER (state = 'failed') AS failed, count(*) AS total, round(100.0 * count(*) FILTER (state IN ('done', 'failed')) / count(*), 6)::DOUBLE AS percent, round(count(*) FILTER (state IN ('queued', 'running')) * avg(elapsed) FILTER (state = 'done'), 6)::DOUBLE AS left_s FROM file_states")
+def queue_progress(spark, d):
+    return ledger.progress(rows(spark, "file_states"))
+
+
+@query("SELECT key, 'output' AS missing FROM file_states WHERE state = 'done' AND key NOT IN (SELECT key FROM present_files) UNION ALL SELECT key, 'list' FROM present_files WHERE key NOT IN (SELECT key FROM file_states WHERE state = 'done')")
+def reconciled_files(spark, d):
+    return ledger.reconcile(rows(spark, "file_states").filter("state = 'done'"), rows(spark, "present_files"))
+
+
+@query("+ r AS (SELECT key, max(ts) AS ts FROM review_events WHERE event = 'resolve' GROUP BY key), f AS (SELECT e.key, min(e.ts) AS since FROM review_events e LEFT JOIN r ON e.key = r.key WHERE event = 'enqueue' AND (r.ts IS NULL OR e.ts > r.ts) GROUP BY e.key), n AS (SELECT *, row_number() OVER (ORDER BY since) AS place FROM f) SELECT key, since, CASE WHEN place <= 2 THEN place::INT END AS place, place > 2 AS over_limit FROM n")
+def review_queue(spark, d):
+    return ledger.review_queue(rows(spark, "review_events"), 2)
+
+
+def graded(spark, d) -> DataFrame:
+    docs = spark.read.parquet(f"{d}/documents.parquet").select("doc_id", F.when(F.length("text") % 7 < 5, "q1").otherwise("q0").alias("predicted"))
+    return docs.join(spark.read.parquet(f"{d}/labels.parquet").select("doc_id", F.concat(F.lit("q"), F.col("quality").cast("string")).alias("actual")), "doc_id")
+
+
+CLASSES = "WITH p AS (SELECT 'q' || quality AS actual, CASE WHEN length(text) % 7 < 5 THEN 'q1' ELSE 'q0' END AS predicted FROM documents JOIN labels USING (doc_id)), s AS (SELECT label, count(*) FILTER (actual = label) AS support, count(*) FILTER (predicted = label) AS p, count(*) FILTER (actual = label AND predicted = label) AS tp FROM p, (VALUES ('q0'), ('q1')) l(label) GROUP BY label), f AS (SELECT round(CASE WHEN p > 0 THEN tp / p ELSE 0 END, 6) AS p, round(tp / support, 6) AS r, round(CASE WHEN tp > 0 THEN 2 * (tp / p) * (tp / support) / (tp / p + tp / support) ELSE 0 END, 6) AS f FROM s WHERE support > 0)"
+
+
+def macro_scores(spark, d):
+    return classify.macro_scores(classify.class_scores(graded(spark, d)))
+
+
+QUERIES["macro_scores"] = macro_scores
+ORACLE_SQL["macro_scores"] = CLASSES + " SELECT round(avg(p), 6) AS macro_precision, round(avg(r), 6) AS macro_recall, round(avg(f), 6) AS macro_f1 FROM f"
+
+
+def dedup_report(spark, d):
+    e = spark.read.parquet(f"{d}/documents.parquet").select(F.col("doc_id").alias("ord"), F.lit("").alias("instruction"), F.lit("").alias("input"), F.col("text").alias("output"), "source")
+    return dedup.report(e)[1]
+
+
+QUERIES["dedup_report"] = dedup_report

@@ -87,3 +87,27 @@ def once(events: DataFrame, delay: str = "10 minutes") -> DataFrame:
 def follow(ledger, folder: str, checkpoint: str):
     """Append a ledger stream to a table, each batch once: the query's checkpoint holds what was taken, so a restart goes on from there."""
     return ledger.writeStream.format("parquet").option("path", folder).option("checkpointLocation", checkpoint).outputMode("append").trigger(availableNow=True).start()
+
+
+def progress(states: DataFrame) -> DataFrame:
+    """One row from states (key, state, elapsed): how many are queued, running, done and failed, the percentage that is over, and the seconds left at the mean of what is done, for one worker."""
+    n = lambda x: F.count_if(F.col("state") == x)
+    s = states.agg(*(n(x).alias(x) for x in ("queued", "running", "done", "failed")), F.count("*").alias("total"), F.avg(F.when(F.col("state") == "done", F.col("elapsed"))).alias("mean_s"))
+    over = F.col("done") + F.col("failed")
+    return s.select("*", F.round(100.0 * over / F.nullif("total", F.lit(0)), 6).alias("percent"), F.round((F.col("queued") + F.col("running")) * F.col("mean_s"), 6).alias("left_s")).drop("mean_s")
+
+
+def reconcile(listed: DataFrame, present: DataFrame) -> DataFrame:
+    """key and where it is missing: what is listed as done without an output, and outputs that nothing lists."""
+    a, b = listed.select("key").distinct(), present.select("key").distinct()
+    return a.join(b, "key", "left_anti").withColumn("missing", F.lit("output")).unionByName(b.join(a, "key", "left_anti").withColumn("missing", F.lit("list")))
+
+
+def review_queue(events: DataFrame, most: int = 1000) -> DataFrame:
+    """Who waits for review, from events (event_id, ts, key, event: enqueue or resolve): keys whose first enqueue since their last resolve is open, oldest first, numbered; beyond `most` they are marked as over the limit."""
+    last = events.filter("event = 'resolve'").groupBy("key").agg(F.max(F.struct("ts", "event_id")).alias("resolved"))
+    waiting = events.filter("event = 'enqueue'").join(last, "key", "left").filter(F.col("resolved").isNull() | (F.struct("ts", "event_id") > F.col("resolved")))
+    first = waiting.groupBy("key").agg(F.min(F.struct("ts", "event_id")).alias("since"))
+    # the oldest `most` are few; the others need no place
+    head = first.orderBy("since").limit(most).withColumn("place", F.row_number().over(Window.orderBy("since")))
+    return first.join(F.broadcast(head.select("key", "place")), "key", "left").select("key", F.col("since.ts").alias("since"), "place", F.col("place").isNull().alias("over_limit"))
