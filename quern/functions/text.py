@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 def squash(c: Column) -> Column:
     """Without white space at both ends, and any run of it within made one space."""
-    return F.regexp_replace(F.regexp_replace(c, r"(?U)^\s+|\s+$", ""), r"(?U)\s+", " ")
+    # most texts are so already, which one search tells
+    return F.when(c.rlike(r"(?U)^\s|\s$|\s\s|[^\S ]"), F.regexp_replace(F.regexp_replace(c, r"(?U)^\s+|\s+$", ""), r"(?U)\s+", " ")).otherwise(c)
 
 
 def strip(c: Column) -> Column:
@@ -53,6 +54,7 @@ def sane(c: Column) -> Column:
     return F.when(n <= 2, (bad + control + private) == 0).otherwise((bad <= 0.05 * n) & (control <= 0.02 * n) & ((n < 10) | (private <= 0.2 * n)))
 
 
+# Fixed values below: what is repaired, and in which order.
 def clean(c: Column) -> Column:
     """Repairs in a fixed order: control characters, runs of punctuation, white space, and the ends."""
     for pattern, by in (

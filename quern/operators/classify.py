@@ -59,10 +59,12 @@ def channel_candidates(documents: DataFrame) -> DataFrame:
         against = text.rlike("(?iu)" + "|".join(negative)) if negative else F.lit(False)
         weight = F.when(place == "header", 0.35).when(place == "footer", 0.05).otherwise(0.1)
         confidence = F.greatest(F.lit(0.0), F.least(F.lit(1.0), 0.3 + weight + F.least(n * 0.06, F.lit(0.3)) - F.when(against, 0.35).otherwise(0.0)))
-        return F.when(n > 0, F.struct(F.lit(name).alias("channel"), F.lit(priority).alias("priority"), n.alias("n_keywords"), place.alias("location"), confidence.alias("confidence")))
+        # the other searches run only where this one finds something
+        return F.when(text.rlike(pattern), F.struct(F.lit(name).alias("channel"), F.lit(priority).alias("priority"), n.alias("n_keywords"), place.alias("location"), confidence.alias("confidence")))
 
     found = F.filter(F.array(*(one(*c) for c in CHANNELS)), lambda x: x.isNotNull())
-    return documents.select("id", F.explode(found).alias("x")).select("id", "x.*")
+    any_word = "(?iu)" + "|".join(w for c in CHANNELS for w in (*c[2], *c[3]))
+    return documents.filter(F.col("text").rlike(any_word)).select("id", F.explode(found).alias("x")).select("id", "x.*")
 
 
 def filename_channel(name: Column) -> Column:

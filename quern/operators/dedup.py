@@ -13,6 +13,20 @@ from pyspark.sql import functions as F
 from quern.functions.text import squash, word_tokens
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """df written once below spark.checkpoint.dir, which all executors share, and read back."""
+    spark = df.sparkSession
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:  # a single machine, as in tests
+        import tempfile
+
+        root = "file://" + tempfile.mkdtemp(prefix="quern-")
+        spark.conf.set("spark.checkpoint.dir", root)
+    path = f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def content() -> Column:
     """output, input and instruction, those that aren't empty, joined by a space."""
     part = lambda c: F.when(F.col(c) != "", F.col(c))
@@ -44,15 +58,22 @@ def features(examples: DataFrame) -> DataFrame:
 
 
 def structural_pairs(examples: DataFrame, threshold: float = 0.85) -> DataFrame:
-    """a < b and their similarity, at least threshold (above 1 / 1.2 only: then unlike flags or sources can't reach it, and two similar examples share a word, so both are keys of an equi-join)."""
+    """a < b and their similarity, at least threshold (above 1 / 1.2 only: then unlike flags or sources can't reach it, and two similar examples share a word, so both are keys of an equi-join). Only the rarest words of each are, as many as the least overlap of words asks for."""
     if threshold <= 1.0 / 1.2:
         raise ValueError("threshold must be above 1 / 1.2")
-    f = features(examples)
-    e = f.withColumn("word", F.explode("words"))
-    keys = ["has_input", "has_instruction", "source", "word"]
-    a = e.select(*keys, F.col("ord").alias("a"), *(F.col(c).alias(f"a_{c}") for c in ("n_output", "n_input", "n_instruction")), F.size("words").alias("size_a"))
-    b = e.select(*keys, F.col("ord").alias("b"), *(F.col(c).alias(f"b_{c}") for c in ("n_output", "n_input", "n_instruction")), F.size("words").alias("size_b"))
-    shared = a.join(b, keys).filter("a < b").groupBy("a", "b", *(f"{s}_{c}" for s in "ab" for c in ("n_output", "n_input", "n_instruction")), "size_a", "size_b").agg(F.count("*").alias("both"))
+    # what is similar enough shares so much of its words that it shares one of its rarest; the lengths do the rest
+    least = (1.2 * threshold - 0.9) / 0.3
+    f = stored(features(examples), "structural")
+    same = ["has_input", "has_instruction", "source"]
+    e = f.select("ord", *same, F.explode("words").alias("word"), F.size("words").alias("n"))
+    df = e.groupBy(*same, "word").agg(F.count("*").alias("df"))
+    order = Window.partitionBy("ord").orderBy("df", "word")  # ten words at most
+    rare = e.join(df.filter("df > 1"), [*same, "word"]).withColumn("place", F.row_number().over(order) + F.col("n") - F.count("*").over(Window.partitionBy("ord")))
+    rare = rare.filter(F.col("place") <= F.col("n") - F.ceil(F.lit(least) * F.col("n") - 1e-9) + 1).select("ord", *same, "word")
+    met = rare.withColumnRenamed("ord", "a").join(rare.withColumnRenamed("ord", "b"), [*same, "word"]).filter("a < b").select("a", "b").distinct()
+    side = lambda x: f.select(F.col("ord").alias(x), *(F.col(c).alias(f"{x}_{c}") for c in ("n_output", "n_input", "n_instruction", "words")))
+    both = F.size(F.array_intersect("a_words", "b_words"))
+    shared = met.join(side("a"), "a").join(side("b"), "b").withColumns({"both": both, "size_a": F.size("a_words"), "size_b": F.size("b_words")})
 
     def near(c: str) -> Column:
         x, y = F.col(f"a_{c}"), F.col(f"b_{c}")
@@ -72,39 +93,28 @@ def semantic_pairs(examples: DataFrame, threshold: float = 0.85) -> DataFrame:
     total = tf.groupBy("ord").agg(F.sum("k").alias("total"))
     weighted = tf.join(total, "ord").join(df, "word").crossJoin(F.broadcast(n)).withColumn("w", F.col("k") / F.col("total") * F.col("n_docs") / (F.col("df") + 1))
     norm = weighted.groupBy("ord").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
-    unit = weighted.join(norm, "ord").select("ord", "word", "df", (F.col("w") / F.col("norm")).alias("u"))
+    unit = stored(weighted.join(norm, "ord").select("ord", "word", "df", (F.col("w") / F.col("norm")).alias("u")), "unit")
     # the words of least df that can be left out without losing a pair: their squared weights sum below threshold squared
     rank = Window.partitionBy("ord").orderBy(F.desc("df"), "word").rowsBetween(Window.unboundedPreceding, 0)
     prefix = unit.withColumn("common", F.sum(F.col("u") * F.col("u")).over(rank)).filter(F.sqrt("common") >= threshold - 1e-9).select("ord", "word")
-    pairs = prefix.select("word", F.col("ord").alias("a")).join(unit.select("word", F.col("ord").alias("b")), "word").filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    # the rarest word that a pair shares is among those of both, as all rarer ones of each are
+    pairs = prefix.withColumnRenamed("ord", "a").join(prefix.withColumnRenamed("ord", "b"), "word").filter("a < b").select("a", "b").distinct()
     dot = pairs.join(unit.select(F.col("ord").alias("a"), "word", F.col("u").alias("ua")), "a").join(unit.select(F.col("ord").alias("b"), "word", F.col("u").alias("ub")), ["b", "word"])
     return dot.groupBy("a", "b").agg(F.sum(F.col("ua") * F.col("ub")).alias("similarity")).filter(F.col("similarity") >= threshold)
 
 
 def keep_first(examples: DataFrame, pairs: DataFrame) -> DataFrame:
     """The examples that greedy keep-first leaves: each that is similar to no kept earlier one. In rounds, one with no undecided or kept earlier neighbour is kept, and one with a kept earlier neighbour goes; each round's decisions are written to the checkpoint folder."""
-    spark = examples.sparkSession
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        import tempfile
-
-        root = "file://" + tempfile.mkdtemp(prefix="quern-")
-
-    def stored(df: DataFrame) -> DataFrame:
-        path = f"{root.rstrip('/')}/keep-first-{uuid.uuid4().hex}"
-        df.write.parquet(path)
-        return spark.read.schema(df.schema).parquet(path)
-
-    open_pairs = stored(pairs.select("a", "b"))
+    open_pairs = stored(pairs.select("a", "b"), "keep-first")
     gone = None
     while open_pairs.limit(1).count():
         blocked = open_pairs.select(F.col("b").alias("a")).distinct()
         kept = open_pairs.select("a").distinct().join(blocked, "a", "left_anti")
-        dropped = stored(open_pairs.join(kept, "a", "left_semi").select(F.col("b").alias("a")).distinct())
+        dropped = stored(open_pairs.join(kept, "a", "left_semi").select(F.col("b").alias("a")).distinct(), "keep-first")
         gone = dropped if gone is None else gone.unionByName(dropped)
         # of kept ones all pairs are settled, and a dropped one neither keeps nor drops others
         settled = kept.unionByName(dropped)
-        open_pairs = stored(open_pairs.join(settled, "a", "left_anti").join(dropped.withColumnRenamed("a", "b"), "b", "left_anti").select("a", "b"))
+        open_pairs = stored(open_pairs.join(settled, "a", "left_anti").join(dropped.withColumnRenamed("a", "b"), "b", "left_anti").select("a", "b"), "keep-first")
     return examples if gone is None else examples.join(gone.withColumnRenamed("a", "ord"), "ord", "left_anti")
 
 

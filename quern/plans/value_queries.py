@@ -197,7 +197,7 @@ def alpaca_records(spark, d):
 
 
 @query("SELECT id, concat_ws('|', 'system:' || nullif(instruction, ''), 'user:' || nullif(input, ''), 'assistant:' || CASE WHEN length(output) > 60 THEN '<think>' || chr(10) || chr(10) || '</think>' || chr(10) || chr(10) || output ELSE nullif(output, '') END) AS messages FROM plain_records")
-def openai_records(spark, d):
+def chat_records(spark, d):
     from quern.operators.records import think
 
     r = rows(spark, "plain_records").withColumn("output", think(F.col("output"), 60))
