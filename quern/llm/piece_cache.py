@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -56,12 +57,15 @@ class PieceCache:
         distinct = coded.dictionary.to_pylist()
         if self.new.bytes >= self.most:
             self.old, self.new = self.new, Generation()
-        if missing := [p for p in distinct if p not in self.new.known]:
-            old = self.old.known
-            if again := [p for p in missing if p in old]:
-                self.new.add(again, *self.old.of(np.fromiter(map(old.__getitem__, again), np.int64, len(again))))
-            if first := [p for p in missing if p not in old]:
-                self.new.add(first, *self.learn(first))
-        place = np.fromiter(map(self.new.known.__getitem__, distinct), np.int64, len(distinct))[coded.indices.to_numpy()]
+        number = np.fromiter(map(self.new.known.get, distinct, repeat(-1)), np.int64, len(distinct))
+        if len(missing := np.flatnonzero(number < 0)):
+            pieces = [distinct[i] for i in missing.tolist()]
+            old = np.fromiter(map(self.old.known.get, pieces, repeat(-1)), np.int64, len(pieces))
+            for at, of in ((np.flatnonzero(old >= 0), lambda x: self.old.of(old[old >= 0])), (np.flatnonzero(old < 0), self.learn)):
+                if len(at):
+                    some = [pieces[i] for i in at.tolist()]
+                    number[missing[at]] = len(self.new.known) + np.arange(len(at))
+                    self.new.add(some, *of(some))
+        place = number[coded.indices.to_numpy()]
         ids, n = self.new.of(place)
         return ids, np.concatenate([[0], np.cumsum(n)])[offsets - offsets[0]]

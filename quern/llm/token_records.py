@@ -36,7 +36,7 @@ from quern.llm.piece_cache import PieceCache
 
 VOCABULARY, END_ID = "word_bpe_49k.json", 2
 #: Bytes of words and tokens that a worker remembers in either of two generations.
-REMEMBERED = 64 << 20
+REMEMBERED = 150 << 20
 INDEX = "doc_id long, shard int, position int, offset long, length long, n_tokens long"
 READ = "doc_id long, shard int, position int, start long, n_tokens long, ids_crc32 long"
 
