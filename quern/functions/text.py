@@ -76,3 +76,15 @@ def duration(seconds: Column) -> Column:
     s = seconds.cast("long")
     h, m, r = F.floor(s / 3600), F.floor(s / 60) % 60, s % 60
     return F.when(h > 0, F.format_string("%dh %dm %ds", h, m, r)).when(m > 0, F.format_string("%dm %ds", m, r)).otherwise(F.format_string("%ds", r))
+
+
+def path_parts(path: Column) -> Column:
+    """A struct of the name, stem, suffix (with its dot, lower-case) and parent's name of a path; a name that begins with its only dot has no suffix."""
+    name = F.element_at(F.split(path, "/"), -1)
+    suffix = F.regexp_extract(name, r"^.+(\.[^.]+)$", 1)
+    return F.struct(name.alias("name"), F.left(name, F.length(name) - F.length(suffix)).alias("stem"), F.lower(suffix).alias("suffix"), F.regexp_extract(path, r"([^/]+)/[^/]*$", 1).alias("parent"))
+
+
+def pruned(c: Column) -> Column:
+    """Null for texts without anything but white space."""
+    return F.when(strip(c) != "", c)

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quern.operators import classify, clause_headers, dedup, record_quality, scope_checks, spatial, table_structure, tables
+from quern.functions import text as T
+from quern.operators import classify, clause_headers, contracts, dedup, record_quality, scope_checks, spatial, table_structure, tables
 from quern.streaming import ledger
 
 QUERIES: dict = {}
@@ -47,6 +50,18 @@ TABLES = {
     ),
     "table_boxes": ("id, page, x_min, y_min, x_max, y_max", "(1,1,0.0D,0.0D,110.0D,20.0D),(1,2,400.0D,30.0D,600.0D,40.0D)"),
     "file_names": ("id, name", "(1,'상품(TM).pdf'),(2,'상품(TM전용).pdf'),(3,'상품 TM.pdf'),(4,'상품(방송).pdf'),(5,CAST(NULL AS STRING))"),
+    "json_documents": (
+        "id, doc",
+        '(1,\'{"document":{"source_path":"a.pdf","format":"pdf","parser":"p","encrypted":false,"title":"  암   보험 "},"content":{"paragraphs":["x"]},"tables":[],"assets":{"images":[]},"metadata":{"version":"2024-03","channel":"TM","company":"c"}}\'),'
+        '(2,\'{"document":{"source_path":"b.pdf","format":"pdf","parser":"p"},"content":{"paragraphs":[]},"tables":[],"assets":{"images":[]},"product_name":"실손","date":"none","source_file":"b_202312.pdf"}\'),'
+        '(3,\'{"document":{"source_path":"","format":"pdf","parser":"p","encrypted":true},"content":{"paragraphs":[]},"tables":[{"table_id":"t","cells":[],"shape":{}},{"table_id":"u","cells":3}],"assets":{"images":[]},"meta":{"name":"운전자","채널":"방송"}}\'),'
+        '(4,\'{"content":{"paragraphs":"x"}}\'),(5,\'no json\'),(6,CAST(NULL AS STRING))',
+    ),
+    "replies": ("id, reply", "(1,' {\"a\": 1} '),(2,concat('```json',chr(10),'{\"a\":',chr(10),'2}',chr(10),'```',chr(10),'so')),(3,concat('```',chr(10),'x',chr(10),'```')),(4,CAST(NULL AS STRING))"),
+    "quoted_outputs": ("id, output, canonical, qtype", "(1,'약관은 \"보험금을 지급\"한다','회사는 보험금을 지급 합니다','definition'),(2,'약관은 \"없는 문장입니다\" 한다','회사는 지급','operation'),(3,'인용이 없다','회사는 지급','definition'),(4,'인용이 없다','회사는 지급','comparison'),(5,'','x','definition'),(6,'인용 없음','x',CAST(NULL AS STRING))"),
+    "generated_examples": ("ord, instruction, output, overall, korean, passed_checks, n_violations", "(1,'a','x',8.0D,7.0D,true,0),(2,'a','x',9.0D,9.0D,true,0),(3,'b','y',6.9D,9.0D,true,0),(4,'b','y',7.0D,6.0D,true,2),(5,'c','z',9.0D,5.0D,true,0),(6,'d','z',9.0D,9.0D,false,0),(7,'e','z',9.0D,9.0D,true,3)"),
+    "article_sizes": ("id, article_no, n_chars", "(1,1,5000),(1,2,7000),(1,3,1),(1,4,30000),(1,5,10),(2,1,10)"),
+    "file_paths": ("id, path", "(1,'/data/terms/a.b.PDF'),(2,'c'),(3,'x/.hidden'),(4,CAST(NULL AS STRING))"),
     "merged_batch": ("id, warnings, conflict, conditions, exclusions", "(1,'w1,w2',true,'c2,c1','x'),(2,'',false,'c1',''),(3,'w1',CAST(NULL AS BOOLEAN),'',CAST(NULL AS STRING))"),
     "file_states": ("key, state, elapsed", "('a','done',2.0D),('b','done',4.0D),('c','failed',9.0D),('d','queued',CAST(NULL AS DOUBLE)),('e','running',1.0D),('f','queued',CAST(NULL AS DOUBLE))"),
     "present_files": ("key", "('a'),('z')"),
@@ -61,7 +76,7 @@ def rows(spark: SparkSession, name: str) -> DataFrame:
 
 def with_tables(sql: str) -> str:
     """The SQL with the tables it names before it, as DuckDB reads them."""
-    named = [f"{k}({c}) AS (VALUES {v.replace('AS STRING', 'AS VARCHAR').replace('0D', '0').replace('5D', '5')})" for k, (c, v) in TABLES.items() if k in sql]
+    named = [f"{k}({c}) AS (VALUES {re.sub(r'([0-9])D', r'\1', v.replace('AS STRING', 'AS VARCHAR'))})" for k, (c, v) in TABLES.items() if k in sql]
     return f"WITH {', '.join(named)}{',' if sql.lstrip().startswith('+') else ''} {sql.lstrip().removeprefix('+')}"
 
 
@@ -308,3 +323,55 @@ def dedup_report(spark, d):
 
 
 QUERIES["dedup_report"] = dedup_report
+
+
+@query(
+    """+ t AS (SELECT id, x.i, x.t FROM (SELECT id, unnest(list_transform(range(json_array_length(doc, '$.tables')::BIGINT), lambda k: {'i': k, 't': json_extract(doc, '$.tables[' || k || ']')})) AS x FROM json_documents WHERE json_valid(doc) AND json_type(doc, '$.tables') = 'ARRAY')),
+b AS (SELECT id, i, CASE WHEN (t->'table_id') IS NULL THEN 'tables[' || i || '] missing table_id' WHEN coalesce(json_type(t, '$.cells'), '') <> 'ARRAY' THEN 'tables[' || i || '].cells must be a list' WHEN (t->'shape') IS NULL THEN 'tables[' || i || '] missing shape' END AS v FROM t),
+f AS (SELECT id, arg_min(v, i) AS v FROM b WHERE v IS NOT NULL GROUP BY id), d AS (SELECT id, CASE WHEN json_valid(doc) THEN doc ELSE '{}' END AS doc FROM json_documents)
+SELECT d.id, coalesce(CASE WHEN (doc->'document') IS NULL THEN 'missing document' WHEN (doc->'content') IS NULL THEN 'missing content' WHEN (doc->'tables') IS NULL THEN 'missing tables' WHEN (doc->'assets') IS NULL THEN 'missing assets'
+    WHEN (doc->'document'->'source_path') IS NULL THEN 'missing document.source_path' WHEN (doc->'document'->'format') IS NULL THEN 'missing document.format' WHEN (doc->'document'->'parser') IS NULL THEN 'missing document.parser' WHEN (doc->'document'->'encrypted') IS NULL THEN 'missing document.encrypted'
+    WHEN coalesce(json_type(doc, '$.content.paragraphs'), '') <> 'ARRAY' THEN 'content.paragraphs must be a list' WHEN json_type(doc, '$.tables') <> 'ARRAY' THEN 'tables must be a list' END, f.v) AS violation,
+    coalesce(doc->'document'->>'source_path', '') <> '' AND (coalesce(json_array_length(doc, '$.content.paragraphs'), 0) > 0 OR coalesce(json_array_length(doc, '$.tables'), 0) > 0) AS has_content
+FROM d LEFT JOIN f ON d.id = f.id"""
+)
+def document_contracts(spark, d):
+    return rows(spark, "json_documents").select("id", contracts.contract_violation(F.col("doc")).alias("violation"), contracts.has_content(F.col("doc")).alias("has_content"))
+
+
+@query("SELECT * REPLACE (quality::DOUBLE AS quality) FROM (VALUES (1,'암 보험','202403','TM',0.9),(2,'실손','202312',NULL,0.8),(3,'운전자',NULL,'방송',0.4),(4,NULL,NULL,NULL,0.0),(5,NULL,NULL,NULL,0.0),(6,NULL,NULL,NULL,0.0)) v(id, product_name, version, channel_hint, quality) WHERE EXISTS (SELECT 1 FROM json_documents)")
+def document_metadata(spark, d):
+    return rows(spark, "json_documents").select("id", contracts.metadata(F.col("doc")).alias("m")).select("id", "m.product_name", "m.version", "m.channel_hint", F.round("m.quality", 6).alias("quality"))
+
+
+@query("SELECT id, CASE WHEN id = 2 THEN '{\"a\":' || chr(10) || '2}' WHEN id = 3 THEN '' ELSE trim(reply) END AS json FROM replies")
+def unfenced_replies(spark, d):
+    return rows(spark, "replies").select("id", contracts.unfenced(F.col("reply")).alias("json"))
+
+
+@query("""+ q AS (SELECT *, regexp_extract_all(output, '["''‘’]([^"''‘’]{6,})["''‘’]', 1) AS quotes FROM quoted_outputs) SELECT id, array_to_string(CASE WHEN output = '' OR canonical = '' THEN [] WHEN len(quotes) = 0 THEN CASE WHEN coalesce(qtype, 'definition') IN ('definition', 'operation', 'multimodal') THEN ['warn:grounding.no_canonical_quote'] ELSE [] END ELSE list_transform(list_filter(quotes, lambda x: NOT contains(canonical, trim(x))), lambda x: 'fail:grounding.invalid_quote') END, ',') AS codes FROM q""")
+def quote_findings(spark, d):
+    return rows(spark, "quoted_outputs").select("id", F.array_join(contracts.quote_findings(F.col("output"), F.col("canonical"), F.col("qtype")), ",").alias("codes"))
+
+
+STAGED = "+ g AS (SELECT *, overall >= 7 AND korean >= 6 AND passed_checks AND n_violations <= 2 AS good FROM generated_examples), p AS (SELECT ord, good AND ord = min(ord) FILTER (good) OVER (PARTITION BY instruction || output) AS passed FROM g)"
+
+
+@query(STAGED + " SELECT ord, coalesce(passed, false) AS passed FROM p")
+def four_stage_filter(spark, d):
+    return contracts.four_stage_filter(rows(spark, "generated_examples")).select("ord", "passed")
+
+
+@query(STAGED + " SELECT count(*) AS total, count(*) FILTER (passed) AS n_passed, count(*) FILTER (NOT coalesce(passed, false)) AS n_failed, round(100.0 * count(*) FILTER (passed) / count(*), 6)::DOUBLE AS pass_rate FROM p")
+def four_stage_rate(spark, d):
+    return contracts.pass_rate(contracts.four_stage_filter(rows(spark, "generated_examples")))
+
+
+@query("SELECT * FROM (VALUES (1,1,0),(1,2,0),(1,3,0),(1,4,1),(1,5,2),(2,1,0)) v(id, article_no, group_no) WHERE EXISTS (SELECT 1 FROM article_sizes)")
+def article_groups(spark, d):
+    return contracts.article_groups(rows(spark, "article_sizes"))
+
+
+@query("SELECT id, parse_filename(path) AS name, CASE id WHEN 1 THEN 'a.b' ELSE parse_filename(path) END AS stem, CASE id WHEN 1 THEN '.pdf' ELSE CASE WHEN path IS NOT NULL THEN '' END END AS suffix, regexp_extract(path, '([^/]+)/[^/]*$', 1) AS parent FROM file_paths")
+def path_parts(spark, d):
+    return rows(spark, "file_paths").select("id", T.path_parts(F.col("path")).alias("p")).select("id", "p.*")
