@@ -85,3 +85,11 @@ def first_of_each(examples: DataFrame, columns: list[str]) -> DataFrame:
     """The first by ord of rows alike in all columns; nulls are alike."""
     key = F.md5(F.to_json(F.struct(*columns)))
     return examples.join(examples.groupBy(key.alias("k")).agg(F.min("ord").alias("ord")).select("ord"), "ord", "left_semi")
+
+
+def table_examples(cells: DataFrame, instruction: str = "") -> DataFrame:
+    """One example for each table with cells: the table as Markdown is the output; n_rows and n_cols describe it."""
+    from quern.operators.tables import markdown_tables
+
+    size = cells.groupBy("id", "table_no").agg(F.countDistinct("row").alias("n_rows"), (F.max("col") + 1).alias("n_cols"))
+    return markdown_tables(cells).join(size, ["id", "table_no"]).select("id", "table_no", F.lit(instruction).alias("instruction"), F.lit("").alias("input"), F.col("markdown").alias("output"), "n_rows", "n_cols")

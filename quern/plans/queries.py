@@ -254,6 +254,12 @@ def table_markdown(spark, d):
     return tables.markdown_rows(cells(spark, d))
 
 
+@query(CELLS + ", w AS (SELECT id, table_no, max(col) + 1 AS width FROM cells GROUP BY ALL), gr AS (SELECT id, table_no, row, unnest(range(width)) AS col FROM (SELECT DISTINCT id, table_no, row FROM cells) JOIN w USING (id, table_no)), l0 AS (SELECT id, table_no, row, count(*) AS n, '| ' || string_agg(coalesce(text, ''), ' | ' ORDER BY col) || ' |' AS line FROM gr LEFT JOIN cells USING (id, table_no, row, col) GROUP BY ALL), li AS (SELECT id, table_no, row, line || CASE WHEN row = 0 THEN chr(10) || '|' || repeat(' --- |', n::INT) ELSE '' END AS line FROM l0) SELECT id, table_no, md5(string_agg(line, chr(10) ORDER BY row)) AS output_md5, count(*) AS n_rows FROM li GROUP BY ALL")
+def table_examples(spark, d):
+    e = records.table_examples(cells(spark, d))
+    return e.select("id", "table_no", F.md5("output").alias("output_md5"), F.col("n_rows").cast("long").alias("n_rows"))
+
+
 # records
 @query("SELECT doc_id AS id, CASE WHEN text = '' THEN 0 ELSE 1 END AS n_messages, text <> '' AND length(text) > 100 AS thinks, md5(CASE WHEN length(text) > 100 THEN '<think>' || chr(10) || chr(10) || '</think>' || chr(10) || chr(10) || text ELSE text END) AS output FROM documents")
 def chat_messages(spark, d):

@@ -80,3 +80,19 @@ def timeout_s(size_bytes: Column, pages: Column | None = None) -> Column:
 def page_ranges(pages: Column, chunk: int = 50) -> Column:
     """first and last page of each chunk."""
     return F.transform(F.filter(F.sequence(F.lit(1), F.greatest(pages, F.lit(1)), F.lit(chunk)), lambda s: s <= pages), lambda s: F.struct(s.alias("first"), F.least(s + chunk - 1, pages).alias("last")))
+
+
+def write_by_route(routed: DataFrame, folder: str) -> DataFrame:
+    """Write rows (route, ...) as JSON lines, a folder a route, and return how many each has. The rows are written once and counted from what was written."""
+    routed.write.mode("overwrite").partitionBy("route").json(folder)
+    return routed.sparkSession.read.json(folder).groupBy("route").agg(F.count("*").alias("n"))
+
+
+def markdown_report(title: str, row: dict) -> str:
+    """One row of figures as a Markdown table, for a report."""
+    return "\n".join([f"# {title}", "", "| figure | value |", "| --- | --- |", *(f"| {k} | {round(v, 4) if isinstance(v, float) else v} |" for k, v in row.items())])
+
+
+def within(path: Column, length: Column, root: str, most: int = 50 << 20) -> Column:
+    """Whether a path lies below root, without steps up, and its file isn't larger than `most` bytes."""
+    return path.startswith(root.rstrip("/") + "/") & ~path.rlike(r"(^|/)\.\.(/|$)") & (length <= most)

@@ -135,3 +135,37 @@ def test_stream_gives_what_a_batch_gives(spark, tmp_path):
     for _ in range(2):  # a second start finds nothing new
         ledger.follow(stream, str(tmp_path / "out"), str(tmp_path / "check")).awaitTermination(120)
     assert json.dumps(spark.read.parquet(str(tmp_path / "out")).count()) == "30"
+
+
+def test_routes_reports_and_guards(spark, tmp_path):
+    d = spark.createDataFrame([(1, "auto"), (2, "auto"), (3, "review")], "id int, route string")
+    assert {r.route: r.n for r in files.write_by_route(d, str(tmp_path / "routes")).collect()} == {"auto": 2, "review": 1}
+    assert files.markdown_report("t", {"n": 2, "share": 1 / 3}).endswith("| n | 2 |\n| share | 0.3333 |")
+    p = spark.createDataFrame([("/d/a", 10), ("/d/../x", 10), ("/e/a", 10), ("/d/b", 100 << 20), (None, 1)], "p string, n long")
+    assert [r[0] for r in p.select(files.within(F.col("p"), F.col("n"), "/d")).collect()] == [True, False, False, False, None]
+
+
+def test_a_cell_that_stands_twice_does_not_break_its_table(spark):
+    c = spark.createDataFrame([(1, 0, 0, 0, "a"), (1, 0, 0, 0, "b"), (1, 0, 1, 1, "c")], "id int, table_no int, row int, col int, text string")
+    assert tables.markdown_tables(c).first().markdown == "| b |  |\n| --- | --- |\n|  | c |"
+
+
+def test_best_threshold_and_review(spark):
+    s = spark.createDataFrame([(0.1, 0.5), (0.3, 0.9), (0.5, 0.9)], "threshold double, macro_f1 double")
+    assert tuple(classify.best_threshold(s).first()) == (0.3, 0.9, "good")
+    r = spark.createDataFrame([(False, 0.9, "TM"), (True, 0.9, "TM"), (False, 0.4, "TM"), (False, 0.9, "일반"), (None, None, None)], "m boolean, c double, ch string")
+    assert [x[0] for x in r.select(classify.needs_review(F.col("m"), F.col("c"), F.col("ch"))).collect()] == [False, True, True, True, True]
+
+
+def test_new_operators_take_empty_tables(spark):
+    from quern.operators import clause_headers, contracts, record_quality, scope_checks, spatial, table_structure
+    from quern.plans.value_queries import rows
+
+    none = lambda name: rows(spark, name).limit(0)
+    cells, lines = none("grid_cells"), none("clause_lines")
+    for out in (
+        table_structure.header_rows(table_structure.header_scores(cells)), table_structure.expand_spans(cells), table_structure.structure_problems(cells), clause_headers.segments(lines),
+        clause_headers.articles(lines), record_quality.add_scores(none("plain_records")), scope_checks.violations(none("scope_answers"), none("scope_evidence"), none("scope_titles")),
+        spatial.grid(none("boxes")), spatial.outside(none("boxes"), none("table_boxes")), contracts.four_stage_filter(none("generated_examples")), contracts.article_groups(none("article_sizes")),
+    ):
+        assert out.count() == 0
