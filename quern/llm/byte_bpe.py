@@ -28,16 +28,16 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quern.llm.common import bounded_batches, read_table, with_fields
+from quern.llm.common import bounded_batches, read_table, release, with_fields
 from quern.llm.piece_cache import PieceCache
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 #: Bytes of a piece above which it is cut, and of a cut part above which a round contracts more than one place.
 LONG_PIECE, LONG_PART = 128, 1024
 #: Bytes of parts that a query contracts at once, and rounds of a query on a long part: what it holds grows with both.
-AT_ONCE, ROUNDS = 80_000, 4
+AT_ONCE, ROUNDS = 40_000, 4
 #: Bytes of pieces and tokens that a worker remembers in either of two generations.
-REMEMBERED = 40 << 20
+REMEMBERED = 20 << 20
 LONG_MEMORY_MB = 800
 #: The characters that \s stands for in the pattern: Unicode's White_Space.
 WHITE = r"\t\n\x0B\f\r\x20\x85\xA0  -     　"
@@ -120,7 +120,7 @@ class Codec:
                     left.append(a)
                     right.append(b)
                     merged.append(rank)
-        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "100MB"})
+        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "80MB"})
         self.db.execute("CREATE TABLE merges (l INT, r INT, merged INT)")
         self._load("merges", {"l": left, "r": right, "merged": merged})
         self.db.execute("CREATE TABLE vocabulary (tok INT, hex VARCHAR)")
@@ -157,7 +157,7 @@ class Codec:
             rows = self.db.sql(ENCODE_LONG.format(rounds=ROUNDS)).to_arrow_table()
             self.db.unregister("start")
             if not pc.any(rows["active"]).as_py():
-                self.db.execute("SET memory_limit = '100MB'")
+                self.db.execute("SET memory_limit = '80MB'")
                 return rows["tok"].to_numpy().astype(np.uint32)
             rows = rows.select(["w", "pos", "tok"])
 
@@ -237,6 +237,7 @@ def encode(documents: DataFrame, path: str | None = None) -> DataFrame:
             at = batch.schema.get_field_index("__pieces")
             ids, bounds = codec(path).encode(batch.column(at))
             yield batch.remove_column(at).append_column("token_ids", pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(ids, pa.uint32()).view(pa.int32())))
+        release()
 
     return documents.withColumn("__pieces", pieces()).mapInArrow(encoded, with_fields(documents.schema, token_ids="array<int>"))
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -53,6 +55,14 @@ def utf8_values(batch: pa.RecordBatch, name: str = "text") -> list[bytes]:
     return [x or b"" for x in pc.cast(column, pa.binary() if not pa.types.is_large_string(column.type) else pa.large_binary()).to_pylist()]
 
 
+def release() -> None:
+    """Give memory that a task no longer needs back to the system, as the worker that ran it stays for the next one."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    if hasattr(libc := ctypes.CDLL(None), "malloc_trim"):
+        libc.malloc_trim(0)
+
+
 def in_chunks(values: list, n: int) -> Iterator[list]:
     for i in range(0, len(values), n):
         yield values[i : i + n]

@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quern.llm.common import bounded_batches, materialize, utf8_values, with_fields
+from quern.llm.common import bounded_batches, materialize, release, utf8_values, with_fields
 from quern.llm.compression import CompressionModel
 
 #: At most so many labelled documents of each class, of so many characters together, train a model; the first longer one ends the sample.
@@ -54,5 +54,6 @@ def score(documents: DataFrame, model: CompressionModel, name: str = "score", co
         for batch in batches:
             values = [m.score(t) for t in utf8_values(batch)]
             yield batch.append_column(name, pa.array([1 - v for v in values] if complement else values, pa.float64()))
+        release()
 
     return documents.mapInArrow(scored, with_fields(documents.schema, **{name: "double"}))

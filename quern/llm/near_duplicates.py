@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quern.llm.common import ASCII_LOWER, bounded_batches, materialize, read_table, utf8_values, with_fields
+from quern.llm.common import ASCII_LOWER, bounded_batches, materialize, read_table, release, utf8_values, with_fields
 from quern.llm.components import connected_components
 
 WORDS, PERCENT = 5, 85
@@ -78,6 +78,7 @@ def sketched(documents: DataFrame, words: int) -> DataFrame:
             ends = np.concatenate([[0], np.cumsum([len(s) for s in sketches])]).astype(np.int32)
             flat = np.concatenate(sketches) if sketches else np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array([len(s) for s in sets], pa.int64()), pa.array(keys, pa.binary()), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))], ["doc_id", "text_hash", "n_shingles", "key", "sketch"])
+        release()
 
     kinds = {"text_hash": "long", "n_shingles": "long", "key": "binary", "sketch": "array<long>"}
     return documents.select("doc_id", "text", F.xxhash64("text").alias("text_hash")).mapInArrow(made, with_fields(documents.select("doc_id").schema, **kinds))
@@ -240,6 +241,7 @@ def find_groups(documents: DataFrame, words: int = WORDS, percent: int = PERCENT
             right = [xxhash.xxh3_128_digest(s) == k for s, k in zip(sets, batch.column(batch.schema.get_field_index("key")).to_pylist(), strict=True)]
             at = batch.schema.get_field_index("text")
             yield batch.set_column(at, "hashes", pa.array(sets, pa.binary())).filter(pa.array(right))
+        release()
 
     # by id and text, as an id may be null or stand on many rows
     same = F.col("doc_id").eqNullSafe(F.col("at.doc_id")) & (F.xxhash64("text") == F.col("at.text_hash"))
