@@ -270,11 +270,28 @@ def digest(sequences: DataFrame) -> DataFrame:
     return sequences.mapInArrow(digested, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
+def digests(documents: DataFrame, path: str | None = None) -> DataFrame:
+    """As digest(decode(encode(documents))), in one pass: a task holds one Python worker with one codec, where three steps would hold three."""
+    bounded_batches(documents.sparkSession)
+    path = path or public_tokenizers.path(VOCABULARY)
+    names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
+
+    def digested(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, bounds = codec(path).encode(batch.column(1))
+            flat = ids.astype("<u4")
+            sums = [hashlib.sha256(flat[a:b].tobytes()).hexdigest() for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+            plain = [hashlib.sha256(x).hexdigest() for x in codec(path).decode(ids, bounds)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.diff(bounds), pa.int64()), pa.array(sums), pa.array(plain)], names)
+        release()
+
+    return documents.select("doc_id", pieces().alias("pieces")).mapInArrow(digested, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+
+
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = read_table(spark, sf_dir, "documents").select("doc_id", "text")
-    return digest(decode(encode(documents).drop("text")))
+    return digests(read_table(spark, sf_dir, "documents"))
 
 
 def token_digests(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage, the last: each document's id, token count and the digests of its tokens and of what they decode to."""
-    return digest(decode(encode(docs.select("doc_id", "text")).drop("text")))
+    return digests(docs)

@@ -280,25 +280,26 @@ def op4_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: the documents with each stretch of secrets, or of what stays packed, in their text replaced by [secret]; n_chars, where there is one, is counted anew."""
+    bounded_batches(docs.sparkSession)
     columns = docs.columns
-    found = add_secrets(docs)
 
     def masked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at, texts = batch.schema.get_field_index("text"), []
-            for text, *spans in zip(*(batch.column(c).to_pylist() for c in ("text", "secrets", "packed")), strict=True):
+            for text in batch.column(at).to_pylist():
+                _, found, _, refused = scan(text or "")
                 stretches: list[list[int]] = []
-                for x in sorted(chain(*spans), key=lambda x: x["start"]):
-                    if stretches and x["start"] <= stretches[-1][1]:
-                        stretches[-1][1] = max(stretches[-1][1], x["end"])
+                for start, end in sorted(chain(((s, e) for s, _, e in found), refused)):
+                    if stretches and start <= stretches[-1][1]:
+                        stretches[-1][1] = max(stretches[-1][1], end)
                     else:
-                        stretches.append([x["start"], x["end"]])
+                        stretches.append([start, end])
                 for s, e in reversed(stretches):
                     text = text[:s] + "[secret]" + text[e:]
                 texts.append(text)
             yield batch.set_column(at, batch.schema.field(at), pa.array(texts, batch.schema.field(at).type))
 
-    out = found.mapInArrow(masked, found.schema)
+    out = docs.mapInArrow(masked, docs.schema)
     if "n_chars" in columns:
         out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return out.select(*columns)

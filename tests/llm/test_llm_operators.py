@@ -211,6 +211,8 @@ def test_secrets_query_columns(docs):
 
 def test_byte_bpe_round_trip(docs):
     enc = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=byte_bpe.ranks_of(public_tokenizers.path(byte_bpe.VOCABULARY)), special_tokens={})
+    whole = sorted(map(str, byte_bpe.digest(byte_bpe.decode(byte_bpe.encode(docs))).collect()))
+    assert sorted(map(str, byte_bpe.digests(docs).collect())) == whole
     for r in byte_bpe.decode(byte_bpe.encode(docs)).collect():
         assert r.token_ids == enc.encode_ordinary(r.text or "") and bytes(r.decoded).decode() == (r.text or "")
     c = byte_bpe.codec(public_tokenizers.path(byte_bpe.VOCABULARY))
