@@ -40,6 +40,14 @@ def bounded_batches(spark: SparkSession, rows: int = 256) -> None:
     spark.conf.set("spark.sql.parquet.columnarReaderBatchSize", str(rows))
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """A name for a helper column that no column of df has, in whatever case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
