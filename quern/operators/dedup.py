@@ -7,24 +7,28 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quern.functions.text import squash, word_tokens
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """df written once below spark.checkpoint.dir, which all executors share, and read back."""
-    spark = df.sparkSession
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A new folder below spark.checkpoint.dir, which all executors share."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:  # a single machine, as in tests
         import tempfile
 
         root = "file://" + tempfile.mkdtemp(prefix="quern-")
         spark.conf.set("spark.checkpoint.dir", root)
-    path = f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """df written once to a shared folder and read back."""
+    path = shared_folder(df.sparkSession, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def content() -> Column:

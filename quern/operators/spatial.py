@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quern.operators.dedup import stored
+from quern.operators.tables import iou
+
 #: How far, in pixels, the centre of a box may be from its row's first one, and from its column.
 ROW_REACH, COLUMN_REACH = 15.0, 20.0
 
@@ -46,3 +49,106 @@ def zipped(a: DataFrame, b: DataFrame, keys: list[str], order_a: str, order_b: s
     number = lambda d, order: d.withColumn("position", F.row_number().over(Window.partitionBy(*keys).orderBy(order)))
     clash = {c: f"b_{c}" for c in b.columns if c in a.columns and c not in keys}
     return number(a, order_a).join(number(b, order_b).withColumnsRenamed(clash), [*keys, "position"])
+
+
+#: Edge of the finest tiles, in the boxes' unit.
+TILE = 32.0
+
+
+def edges(box: str) -> list[Column]:
+    """Left, top, right, bottom of a box."""
+    return [F.get(F.col(box), F.lit(i)).cast("double") for i in range(4)]
+
+
+def has_area(box: str) -> Column:
+    """Whether a box has four finite edges in order, and an area."""
+    x0, y0, x1, y1 = edges(box)
+    finite = F.forall(F.col(box), lambda v: v.isNotNull() & ~F.isnan(v.cast("double")) & (F.abs(v.cast("double")) < float("inf")))
+    return F.coalesce((F.size(box) == 4) & finite & (x1 > x0) & (y1 > y0), F.lit(False))
+
+
+def tile_level(box: str, tile: float) -> Column:
+    """How often the finest tile's edge must double until the box is no larger, so that it lies in four tiles at most."""
+    x0, y0, x1, y1 = edges(box)
+    return F.greatest(F.lit(0), F.ceil(F.log2(F.greatest(x1 - x0, y1 - y0) / tile))).cast("int")
+
+
+def tiled(boxes: DataFrame, box: str, level: str, levels: list[int], tile: float) -> DataFrame:
+    """A row for each tile that a box touches, at its own level and at each coarser one of `levels`: at, tx, ty."""
+    x0, y0, x1, y1 = edges(box)
+    span = lambda a, b: F.sequence(F.floor(a / F.col("edge")), F.floor(b / F.col("edge")))
+    at = boxes.withColumn("at", F.explode(F.array(*map(F.lit, levels)))).filter(F.col("at") >= F.col(level)).withColumn("edge", F.lit(tile) * F.pow(F.lit(2.0), "at"))
+    return at.withColumn("tx", F.explode(span(x0, x1))).withColumn("ty", F.explode(span(y0, y1)))
+
+
+def overlaps(a: DataFrame, b: DataFrame, keys: list[str], box_a: str = "box_a", box_b: str = "box_b", tile: float = TILE) -> DataFrame:
+    """The pairs of boxes of a and b that share an area, within equal keys; all other columns need names of their own.
+
+    An equi-join of tiles. A pair meets at the coarser of its two levels, where each box lies in four tiles at most, however
+    large it is, and counts in that tile only that holds the corner where the shared area begins. A page with most boxes is
+    dealt out by tiles.
+    """
+    a, b = (d.filter(has_area(x)).withColumn(level, tile_level(x, tile)) for d, x, level in ((a, box_a, "level_a"), (b, box_b, "level_b")))
+    levels = sorted(r[0] for r in a.select("level_a").unionByName(b.select(F.col("level_b").alias("level_a"))).distinct().collect())  # as many as sizes double
+    if not levels:
+        levels = [0]
+    met = tiled(a, box_a, "level_a", levels, tile).join(tiled(b, box_b, "level_b", levels, tile).drop("edge"), [*keys, "at", "tx", "ty"])
+    (ax0, ay0, ax1, ay1), (bx0, by0, bx1, by1) = edges(box_a), edges(box_b)
+    left, top = F.greatest(ax0, bx0), F.greatest(ay0, by0)
+    shared = (left < F.least(ax1, bx1)) & (top < F.least(ay1, by1))
+    here = (F.floor(left / F.col("edge")) == F.col("tx")) & (F.floor(top / F.col("edge")) == F.col("ty"))
+    return met.filter((F.col("at") == F.greatest("level_a", "level_b")) & shared & here).drop("at", "tx", "ty", "edge", "level_a", "level_b")
+
+
+def candidates(cells: DataFrame, lines: DataFrame, keys: list[str], least: float, tile: float) -> DataFrame:
+    """keys, cell_box, line_box, iou of the distinct boxes of cells (bbox) and lines (bbox) that overlap from `least` on."""
+    pairs = overlaps(cells.select(*keys, F.col("bbox").alias("box_a")).distinct(), lines.select(*keys, F.col("bbox").alias("box_b")).distinct(), keys, tile=tile)
+    return pairs.withColumn("iou", iou("box_a", "box_b")).filter(F.col("iou") >= least).withColumnsRenamed({"box_a": "cell_box", "box_b": "line_box"})
+
+
+def best_match(cells: DataFrame, lines: DataFrame, keys: list[str] | None = None, least: float = 0.3, tile: float = TILE) -> DataFrame:
+    """cells (keys, cell, bbox) with ord and iou of the line (keys, ord, bbox) that overlaps each most, from `least` on, the first of equals; null without any. One line may serve many cells. Equal boxes are joined once."""
+    keys = keys or ["id", "page"]
+    first = lines.groupBy(*keys, F.col("bbox").alias("line_box")).agg(F.min("ord").alias("ord"))
+    scored = candidates(cells, lines, keys, least, tile).join(first, [*keys, "line_box"])
+    best = scored.groupBy(*keys, F.col("cell_box").alias("bbox")).agg(F.max_by(F.struct("ord", "iou"), F.struct("iou", -F.col("ord"))).alias("x"))
+    return cells.join(best, [*keys, "bbox"], "left").select(*cells.columns, "x.ord", "x.iou")
+
+
+def exclusive_match(cells: DataFrame, lines: DataFrame, keys: list[str] | None = None, least: float = 0.3, tile: float = TILE) -> DataFrame:
+    """keys, cell, ord, iou: each line (keys, ord, bbox) used once, as if the cells (keys, cell, bbox) chose in the order of `cell` the line not yet taken that overlaps most, the first of equals.
+
+    All cells choose at once; a line that is chosen is lost to every later cell than the first that chose it, as that one or
+    an earlier one will have it. Those edges go, and the cells that lost theirs choose again, until nothing changes: what
+    choosing in turn gives. Each round's edges are written to the shared folder. cell and ord are distinct within keys.
+    """
+    keys = keys or ["id", "page"]
+    boxes = candidates(cells, lines, keys, least, tile)
+    edge = boxes.join(cells.select(*keys, "cell", F.col("bbox").alias("cell_box")), [*keys, "cell_box"]).join(lines.select(*keys, "ord", F.col("bbox").alias("line_box")), [*keys, "line_box"])
+    edge = stored(edge.select(*keys, "cell", "ord", "iou"), "matching")
+    n = edge.count()
+    while True:
+        choice = edge.groupBy(*keys, "cell").agg(F.max_by(F.struct("ord", "iou"), F.struct("iou", -F.col("ord"))).alias("x")).select(*keys, "cell", "x.ord", "x.iou")
+        first = choice.groupBy(*keys, "ord").agg(F.min("cell").alias("first"))
+        edge = stored(edge.join(first, [*keys, "ord"], "left").filter(F.col("first").isNull() | (F.col("cell") <= F.col("first"))).drop("first"), "matching")
+        if n == (n := edge.count()):
+            return edge.groupBy(*keys, "cell").agg(F.max_by(F.struct("ord", "iou"), F.struct("iou", -F.col("ord"))).alias("x")).select(*keys, "cell", "x.ord", "x.iou")
+
+
+def outside_boxes(points: DataFrame, areas: DataFrame, keys: list[str] | None = None, tile: float = TILE) -> DataFrame:
+    """The points (keys, x, y) that no area (keys, x_min, y_min, x_max, y_max) holds, edges included: an anti-join of tiles. A point lies in one tile of each level; areas lie in four tiles at most of their own level."""
+    keys = keys or ["id", "page"]
+    t = areas.select(*keys, F.array(*(F.col(c).cast("double") for c in ("x_min", "y_min", "x_max", "y_max"))).alias("area"))
+    x0, y0, x1, y1 = edges("area")
+    t = t.filter((x1 >= x0) & (y1 >= y0)).withColumn("level", tile_level("area", tile))
+    levels = sorted(r[0] for r in t.select("level").distinct().collect())
+    if not levels:
+        return points
+    t = stored(tiled(t, "area", "level", levels, tile).filter("at = level").select(*(F.col(k).alias(f"__{k}") for k in keys), F.col("at").alias("__at"), F.col("tx").alias("__tx"), F.col("ty").alias("__ty"), "area"), "areas")
+    x, y = F.col("x").cast("double"), F.col("y").cast("double")
+    for level in levels:  # a join for each doubling of sizes, so that no point is copied
+        e = tile * 2.0**level
+        same = [F.col(k) == F.col(f"__{k}") for k in keys] + [F.floor(x / e) == F.col("__tx"), F.floor(y / e) == F.col("__ty")]
+        held = (x >= edges("area")[0]) & (y >= edges("area")[1]) & (x <= edges("area")[2]) & (y <= edges("area")[3])
+        points = points.join(t.filter(F.col("__at") == level), [*same, held], "left_anti")
+    return points
