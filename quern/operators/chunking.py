@@ -8,16 +8,19 @@ from pyspark.sql import functions as F
 from quern.functions.text import strip
 
 
-def clause_context(paragraphs: DataFrame) -> DataFrame:
-    """paragraphs (id, idx, text) with chapter, section, article, appendix in force, clause_title and heading_path. A chapter ends section and article, a section the article, an appendix all three."""
+# How the headings of each kind begin.
+HEADINGS = {"chapter": r"(?U)^제\s*\d+\s*장", "section": r"(?U)^제\s*\d+\s*절", "article": r"(?U)^제\s*\d+\s*조", "appendix": r"(?U)^별표\s*\d+"}
+
+
+def clause_context(paragraphs: DataFrame, headings: dict[str, str] | None = None) -> DataFrame:
+    """paragraphs (id, idx, text) with chapter, section, article, appendix in force, clause_title and heading_path. A chapter ends section and article, a section the article, an appendix all three. headings: a pattern for each of these, other than HEADINGS."""
     text = strip(F.col("text"))
-    kinds = {"chapter": "장", "section": "절", "article": "조"}
+    kinds = headings or HEADINGS
     d = paragraphs
-    for name, sign in kinds.items():
-        d = d.withColumn(name, F.when(text.rlike(rf"(?U)^제\s*\d+\s*{sign}"), F.struct(F.col("idx").alias("at"), text.alias("title"))))
-    d = d.withColumn("appendix", F.when(text.rlike(r"(?U)^별표\s*\d+"), F.struct(F.col("idx").alias("at"), text.alias("title"))))
+    for name in HEADINGS:
+        d = d.withColumn(name, F.when(text.rlike(kinds[name]), F.struct(F.col("idx").alias("at"), text.alias("title"))))
     w = Window.partitionBy("id").orderBy("idx").rowsBetween(Window.unboundedPreceding, 0)
-    for name in (*kinds, "appendix"):
+    for name in HEADINGS:
         d = d.withColumn(name, F.last(name, ignorenulls=True).over(w))
     at = lambda c: F.coalesce(F.col(f"{c}.at"), F.lit(-1))
     in_force = {

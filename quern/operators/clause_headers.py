@@ -68,3 +68,42 @@ def articles(lines: DataFrame) -> DataFrame:
         F.coalesce(F.lead("line_no").over(following) - 1, F.col("last_line")).alias("end_line"), F.col("start").alias("start_offset"),
         F.coalesce(F.lead("start").over(following) - 1, F.col("last_stop")).alias("end_offset"),
     )
+
+
+# The headers, in order, and the articles of the simple segmenter, what no header is, and its words for a whole document.
+SIMPLE_HEADERS = {
+    "special_clause": r"^\s*(\d+\-\d+\.\s*)?.{2,50}(특약|특별약관)\s*$",
+    "coverage": r"^\s*.{2,40}담보\s*$",
+    "appendix": r"^\s*【\s*별표\s*\d+\s*】",
+    "addendum": r"^\s*부\s*칙\s*$",
+}
+SIMPLE_ARTICLE = r"^\s*(##\s*)?(제\s*\d+\s*조)\s*(\(.+?\))?"
+SIMPLE_NOISE = r"^\s*(-\s*\d+\s*-|페이지\s*\d+|<!--\s*image\s*-->)\s*$"
+WITH_ARTICLES, WHOLE = ("special_clause", "coverage"), "전체문서"
+
+
+def simple_segments(lines: DataFrame, headers: dict[str, str] | None = None, article: str = SIMPLE_ARTICLE) -> DataFrame:
+    """id, segment, kind, title, start_line, end_line, n_chars and n_articles of what begins at each header; of a document without any the whole, of kind "document". Articles are counted in special clauses, coverages and whole documents. A line is of the first kind that it matches; leading # signs are left out, but not of appendices."""
+    s = strip("line")
+    bare = F.when(s.startswith("##"), strip(F.regexp_replace(s, r"^#+", ""))).otherwise(s)
+    of = lambda name, p: s.rlike(p) if name == "appendix" else bare.rlike(p) & ~bare.rlike(SIMPLE_NOISE) & ((F.length(bare) > 3) if name == "coverage" else F.lit(True))
+    kind = None
+    for name, p in (headers or SIMPLE_HEADERS).items():
+        kind = F.when(of(name, p), name) if kind is None else kind.when(of(name, p), name)
+    w = Window.partitionBy("id").orderBy("line_no")
+    d = lines.select("id", "line_no", "line", kind.alias("kind"), F.when(kind == "appendix", s).otherwise(bare).alias("title"), s.rlike(article).cast("int").alias("is_article"))
+    d = d.withColumn("segment", F.count("kind").over(w)).withColumn("n_headers", F.count("kind").over(Window.partitionBy("id"))).filter("segment > 0 OR n_headers = 0")
+    # the length of the lines joined by line feeds, without white space at the ends
+    g = d.groupBy("id", F.greatest("segment", F.lit(1)).alias("segment")).agg(
+        F.coalesce(F.max("kind"), F.lit("document")).alias("kind"), F.when(F.max("n_headers") == 0, WHOLE).otherwise(F.min_by("title", "line_no")).alias("title"), F.min("line_no").alias("start_line"), F.max("line_no").alias("end_line"),
+        F.length(strip(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line_no", "line"))), lambda x: x["line"]), "\n"))).cast("long").alias("n_chars"), F.sum("is_article").alias("n_articles"),
+    )
+    return g.withColumn("n_articles", F.when(F.col("kind").isin(*WITH_ARTICLES, "document"), F.col("n_articles")).otherwise(0))
+
+
+def segment_warnings(segments: DataFrame, most: int = 12_000) -> DataFrame:
+    """segments with warnings: too long, a special clause of over 500 characters without articles, a title under three characters."""
+    w = F.filter(F.array(
+        F.when(F.col("n_chars") > most, "too_long"), F.when((F.col("kind") == "special_clause") & (F.col("n_articles") == 0) & (F.col("n_chars") > 500), "no_articles"), F.when(F.length("title") < 3, "short_title"),
+    ), lambda x: x.isNotNull())
+    return segments.withColumn("warnings", w)

@@ -15,8 +15,8 @@ CELL_PATTERNS = [
 CELL_PATTERN = "^(" + "|".join(CELL_PATTERNS) + ")$"
 
 
-def detect(documents: DataFrame, separator: str = "  ") -> DataFrame:
-    """id, table_no, row, col, text of tables: runs of two lines or more that have two parts or more when cut at the separator."""
+def detect(documents: DataFrame, separator: str = "  ", places: bool = False) -> DataFrame:
+    """id, table_no, row, col, text of tables: runs of two lines or more that have two parts or more when cut at the separator. places: with line_no, where the row stands in its text (0 first)."""
     lines = documents.select("id", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
     parts = F.filter(F.transform(F.split("line", r"\Q" + separator + r"\E"), lambda x: strip(x)), lambda x: x != "")
     lines = lines.withColumn("parts", parts).filter(F.size("parts") >= 2)
@@ -25,7 +25,7 @@ def detect(documents: DataFrame, separator: str = "  ") -> DataFrame:
     first = Window.partitionBy("id", "run")
     runs = runs.withColumn("n", F.count("*").over(first)).filter("n >= 2").withColumn("row", (F.row_number().over(first.orderBy("line_no")) - 1))
     numbered = runs.withColumn("table_no", F.dense_rank().over(Window.partitionBy("id").orderBy("run")) - 1)
-    return numbered.select("id", "table_no", "row", F.posexplode("parts").alias("col", "text"))
+    return numbered.select("id", "table_no", "row", *["line_no"] * places, F.posexplode("parts").alias("col", "text"))
 
 
 def character_validity(text: Column) -> Column:

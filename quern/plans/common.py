@@ -40,3 +40,18 @@ def work(spark: SparkSession, d: str) -> DataFrame:
 
 WORK = "WITH work AS (SELECT event_id, user_id AS key, ts, CASE event_type WHEN 'view' THEN 'start' WHEN 'purchase' THEN 'done' WHEN 'error' THEN 'fail' ELSE 'queued' END AS event, value AS elapsed, 'E' || (event_id % 5) AS error FROM events)"
 SQUASH = "regexp_replace(trim(text, E' \\t\\n\\r'), '\\s+', ' ', 'g')"
+
+#: Cells of the tables in documents, their reliability, the gate of tables, and search by brute force.
+CELLS = """WITH l AS (SELECT doc_id, line_no - 1 AS line_no, list_filter(list_transform(string_split(line, ' | '), lambda x: trim(x, E' \\t\\n\\r')), lambda x: x <> '') AS parts FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS line_no FROM documents)),
+k AS (SELECT *, line_no - row_number() OVER (PARTITION BY doc_id ORDER BY line_no) AS run FROM l WHERE len(parts) >= 2),
+g AS (SELECT *, count(*) OVER (PARTITION BY doc_id, run) AS n, row_number() OVER (PARTITION BY doc_id, run ORDER BY line_no) - 1 AS row FROM k),
+t AS (SELECT doc_id, dense_rank() OVER (PARTITION BY doc_id ORDER BY run) - 1 AS table_no, row, parts FROM g WHERE n >= 2),
+cells AS (SELECT doc_id AS id, table_no, row, unnest(range(len(parts))) AS col, unnest(parts) AS text FROM t)"""
+RELIABLE = """, r AS (SELECT *, CASE WHEN text = '' THEN 0 ELSE greatest(0, least(1, 0.45 + 0.3 * (length(regexp_replace(text, '[^\\p{L}\\p{N}]', '', 'g')) + 0.5 * length(regexp_replace(text, '[^ ]', '', 'g'))) / length(text)
+ + 0.2 * CASE WHEN regexp_matches(text, '^([\\d,]+(\\.\\d+)?원?|\\d{4}[-./]\\d{1,2}[-./]\\d{1,2}|\\d{4}[-./]\\d{1,2}|\\d+(\\.\\d+)?%|\\d{1,3}세?|\\d{2,3}-\\d{3,4}-\\d{4})$') THEN 1.0 WHEN regexp_matches(text, '\\d') THEN 0.6 ELSE 0.5 END
+ - CASE WHEN length(text) <= 1 THEN 0.15 ELSE 0 END)) END AS reliability FROM cells)"""
+GATED = """, z AS (SELECT *, count(*) OVER (PARTITION BY id, table_no) AS n FROM r),
+m AS (SELECT id, table_no, n, round(avg((text <> '')::INT), 4) AS fill_rate, round(avg(reliability), 4) AS avg_reliability, round(avg((reliability < CASE WHEN n < 50 THEN 0.60 ELSE 0.55 END)::INT), 4) AS low_conf_ratio,
+ avg(CASE WHEN row = 0 THEN (text <> '')::INT END) >= 0.5 AND avg(CASE WHEN row = 0 THEN reliability END) >= 0.75 AS header_ok FROM z GROUP BY ALL),
+gated AS (SELECT id, table_no, fill_rate, low_conf_ratio, header_ok, fill_rate >= CASE WHEN n < 10 THEN 0.70 WHEN n < 50 THEN 0.60 ELSE 0.55 END AND avg_reliability >= CASE WHEN n < 10 THEN 0.75 WHEN n < 50 THEN 0.70 ELSE 0.65 END AND low_conf_ratio <= CASE WHEN n < 10 THEN 0.20 WHEN n < 50 THEN 0.25 ELSE 0.30 END AND header_ok AS passed FROM m)"""
+VECTOR_SEARCH = "WITH v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings), q AS (SELECT vec_id AS query_id, e AS f FROM v WHERE vec_id % 20 = 0), s AS (SELECT query_id, vec_id, list_dot_product(e, f) / sqrt(list_dot_product(e, e)) / sqrt(list_dot_product(f, f)) AS score FROM q, v) SELECT query_id, vec_id, round(score, 6) AS score, rank FROM (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s) WHERE rank <= 3"

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quern.operators import ordered, spatial
-from quern.plans.common import ORACLE_SQL, QUERIES, WORK, query, table, work
-from quern.streaming import keyed_state
+from quern.functions import encoding, sql
+from quern.operators import clause_headers, ordered, rule_classifier, spatial, table_chunks, vector_index
+from quern.operators.dedup import shared_folder
+from quern.plans.common import CELLS, GATED, RELIABLE, SQUASH, VECTOR_SEARCH, WORK, query, table, texts, work
+from quern.streaming import keyed_state, run_metrics
 
 KINDS = ["queued", "start", "done", "fail"]
 
@@ -79,3 +83,213 @@ def lines_outside_cells(spark, d):
     at = lambda i: F.get("bbox", F.lit(i))
     areas = cells.filter("cell <= 3").select("id", "page", *(at(i).alias(c) for i, c in enumerate(("x_min", "y_min", "x_max", "y_max"))))
     return spatial.outside_boxes(lines.select("id", "page", "ord", ((at(0) + at(2)) / 2).alias("x"), ((at(1) + at(3)) / 2).alias("y")), areas)
+
+
+# channels of web pages by rules
+RULES = [
+    ("tion", "keyword", "étion", 1), ("tion", "keyword", "tion é", 1), ("tion", "exclude", "qqq", 1), ("tion", "filename", "/fr/", 1),
+    ("ther", "keyword", "therble", 2), ("ther", "keyword", "ther", 2), ("ther", "exclude", "erthat th", 2), ("ther", "filename", "//www\\.", 2),
+    ("sch", "keyword", "schein", 3), ("sch", "keyword", "sch", 3), ("sch", "filename", "/de/[0-9]+$", 3),
+    ("ción", "keyword", "ciónque", 4), ("ción", "keyword", "ción", 4), ("ción", "exclude", "ciónca", 4), ("ción", "filename", "^https://m\\.", 4),
+]
+PAGE = """WITH h AS (SELECT page_id AS id, url, regexp_extract(html, '<title>([^<]*)</title>', 1) AS title, regexp_extract(html, '<h1>([^<]*)</h1>', 1) AS h1,
+  trim(regexp_replace(regexp_replace(regexp_replace(html, '(?s)<(script|style)>.*?</(script|style)>|<!--.*?-->', ' ', 'g'), '<[^>]*>', ' ', 'g'), '\\s+', ' ', 'g')) AS text FROM pages),
+p AS (SELECT *, left(text, 1000) AS header, CASE WHEN length(text) > 1300 THEN text[1001 : length(text) - 300] ELSE '' END AS body, CASE WHEN length(text) > 300 THEN right(text, 300) ELSE '' END AS footer FROM h)"""
+
+
+def page_rules(spark) -> DataFrame:
+    return spark.createDataFrame(RULES, "channel string, kind string, word string, priority int")
+
+
+def rule_sql(strategy: str) -> str:
+    """Each channel's word, name and exclusion tests spelled out."""
+    channels = list(dict.fromkeys((c, p) for c, _, _, p in RULES))
+    words = lambda c, kind: [w for x, k, w, _ in RULES if (x, k) == (c, kind)]
+    has = lambda part, ws: "(" + " OR ".join(f"contains({part}, '{w}')" for w in ws) + ")" if ws else "false"
+    first = "CASE" + "".join(f" WHEN contains(trim({t}), '{c}') THEN '{c}'" for t in ("title", "h1") for c, _ in channels) + " ELSE '' END"
+    rows = " UNION ALL ".join(
+        f"SELECT id, '{c}' AS channel, {p} AS priority, CASE WHEN named = '{c}' THEN 'metadata'"
+        + "".join(f" WHEN regexp_matches(url, '{w}') THEN 'filename'" for w in words(c, "filename"))
+        + "".join(f" WHEN {has(r, words(c, 'keyword'))} AND NOT {has('text', words(c, 'exclude'))} THEN '{r}'" for r in ("header", "body", "footer")) + " END AS source FROM n"
+        for c, p in channels
+    )
+    pick = "arg_min(channel, priority)" if strategy == "priority" else "arg_min(channel, (-s, priority))"
+    return PAGE + f""", n AS (SELECT *, {first} AS named FROM p), m AS ({rows}), s AS (SELECT *, CASE source WHEN 'metadata' THEN 1.0 WHEN 'filename' THEN 0.95 WHEN 'header' THEN 0.9 WHEN 'body' THEN 0.7 ELSE 0.6 END::DOUBLE AS s FROM m WHERE source IS NOT NULL),
+g AS (SELECT id, {pick} AS channel, max(s) AS confidence, arg_min(source, (-s, priority)) AS source, list(s ORDER BY s DESC) AS l, string_agg(channel, ',' ORDER BY s DESC, priority) AS candidates FROM s GROUP BY id)
+SELECT id, coalesce(channel, '일반') AS channel, coalesce(confidence, 0) AS confidence, coalesce(source, 'none') AS source, coalesce(l[2] / l[1] >= 0.3, false) AS mixed, coalesce(candidates, '') AS candidates FROM p LEFT JOIN g USING (id)"""
+
+
+def pages(spark, d) -> DataFrame:
+    """Pages as documents: title and first heading are metadata, the URL is the file name, the text is what stands outside tags."""
+    text = F.regexp_replace(F.regexp_replace(F.regexp_replace("html", r"(?s)<(script|style)>.*?</(script|style)>|<!--.*?-->", " "), "<[^>]*>", " "), r"\s+", " ")
+    part = lambda tag: F.regexp_extract("html", f"<{tag}>([^<]*)</{tag}>", 1)
+    return table(spark, d, "pages").select(F.col("page_id").alias("id"), F.array(part("title"), part("h1")).alias("metadata"), F.col("url").alias("file_name"), F.trim(text).alias("text"))
+
+
+def page_channels(spark, d, strategy: str) -> DataFrame:
+    c = rule_classifier.classify(pages(spark, d), rule_classifier.compiled(page_rules(spark)), strategy)
+    return c.select("id", "channel", "confidence", "source", "mixed", F.array_join("candidates", ",").alias("candidates"))
+
+
+@query(rule_sql("frequency"))
+def rule_channels(spark, d):
+    return page_channels(spark, d, "frequency")
+
+
+@query(rule_sql("priority"))
+def rule_channels_by_priority(spark, d):
+    return page_channels(spark, d, "priority")
+
+
+@query(f"SELECT channel, source, count(*) AS n, count(*) FILTER (mixed) AS mixed FROM ({rule_sql('frequency')}) GROUP BY channel, source")
+def rule_channel_counts(spark, d):
+    return rule_classifier.region_counts(page_channels(spark, d, "frequency"))
+
+
+# texts that were decoded wrongly: two of three documents are read as Latin-1 on purpose
+def misread_documents(spark, d) -> DataFrame:
+    wrong = F.decode(F.encode("text", "UTF-8"), "ISO-8859-1")
+    return table(spark, d, "documents").select(F.col("doc_id").alias("id"), F.when(F.col("doc_id") % 3 > 0, wrong).otherwise(F.col("text")).alias("text"), F.col("text").alias("original"))
+
+
+#: What shows a sign of misreading when rightly read is left as it is; a misread text comes back but for those.
+ENCODINGS = f"WITH e AS (SELECT doc_id AS id, text, doc_id % 3 > 0 AND regexp_matches(text, '[^\\x00-\\x7F]') AS wrong, regexp_matches(text, 'â€|[Ãìíëê{chr(0xFFFD)}]') AS sign FROM documents), r AS (SELECT id, text, CASE WHEN wrong AND NOT sign THEN 'fixed' WHEN sign THEN 'unfixable' ELSE 'valid' END AS encoding, NOT wrong OR NOT sign AS restored FROM e)"
+
+
+@query(ENCODINGS + " SELECT id, encoding, restored FROM r")
+def repaired_encodings(spark, d):
+    return encoding.repair(misread_documents(spark, d)).select("id", "encoding", (F.col("text") == F.col("original")).alias("restored"))
+
+
+@query(ENCODINGS + " SELECT encoding, count(*) AS n FROM r GROUP BY encoding")
+def encoding_counts(spark, d):
+    return encoding.repair_counts(encoding.repair(misread_documents(spark, d)))
+
+
+# rows of tables as chunks, with the clause in force
+HEADINGS = {"chapter": "^(Th|La|El)", "section": "^(An|Le|De)", "article": "^(In|É|As)", "appendix": "^(On|Ou|Ci)"}
+CONTEXT = (
+    ", li AS (SELECT doc_id AS id, CAST(generate_subscripts(string_split(text, chr(10)), 1) - 1 AS INTEGER) AS idx, trim(unnest(string_split(text, chr(10))), E' \\t\\r\\n') AS t FROM documents),"
+    + " pl AS (SELECT id, idx, t, " + ", ".join(f"coalesce(max(CASE WHEN regexp_matches(t, '{p}') THEN idx END) OVER w, -1) AS {k}_at" for k, p in HEADINGS.items()) + " FROM li WINDOW w AS (PARTITION BY id ORDER BY idx)),"
+    + " f AS (SELECT *, CASE WHEN article_at > greatest(appendix_at, chapter_at, section_at) THEN article_at WHEN section_at > greatest(appendix_at, chapter_at) THEN section_at WHEN chapter_at > appendix_at THEN chapter_at WHEN appendix_at >= 0 THEN appendix_at END AS clause_at,"
+    + " (chapter_at > appendix_at)::INT + (section_at > greatest(appendix_at, chapter_at))::INT + (article_at > greatest(appendix_at, chapter_at, section_at))::INT + (appendix_at >= 0)::INT AS depth FROM pl),"
+    + " ctx AS (SELECT f.id, f.idx, h.t AS clause_title, depth FROM f LEFT JOIN li h ON h.id = f.id AND h.idx = f.clause_at)"
+)
+
+
+def chunks_sql(place: str) -> str:
+    return CELLS.replace("cells AS (SELECT doc_id AS id, table_no, row,", "cells AS (SELECT doc_id AS id, table_no, line_no, row,").replace("dense_rank() OVER (PARTITION BY doc_id ORDER BY run) - 1 AS table_no, row,", "dense_rank() OVER (PARTITION BY doc_id ORDER BY run) - 1 AS table_no, line_no, row,") + RELIABLE + GATED + CONTEXT + f""",
+h AS (SELECT id, table_no, col, text AS header FROM cells WHERE row = 0),
+s AS (SELECT id, table_no, row, string_agg(coalesce(header, 'col_' || col) || ': ' || text, ' | ' ORDER BY col) AS text FROM r LEFT JOIN h USING (id, table_no, col) WHERE (id, table_no) IN (SELECT (id, table_no) FROM gated WHERE passed) AND row > 0 AND text <> '' AND reliability >= 0.6 GROUP BY ALL),
+first AS (SELECT id, table_no, min(line_no) AS line FROM cells GROUP BY ALL), e AS (SELECT id, max(idx) AS line FROM li GROUP BY id)
+SELECT s.id, s.table_no, row, text, clause_title, CAST(coalesce(depth, 0) AS INTEGER) AS depth FROM s JOIN {place} LEFT JOIN ctx ON ctx.id = s.id AND ctx.idx = p.line"""
+
+
+def row_chunks(spark, d, in_place: bool) -> DataFrame:
+    c = table_chunks.table_row_chunks(texts(spark, d), " | ", HEADINGS, in_place=in_place)
+    return c.select("id", "table_no", "row", "text", "clause_title", F.coalesce(F.size("heading_path"), F.lit(0)).alias("depth"))
+
+
+@query(chunks_sql("e p ON p.id = s.id"))
+def table_row_chunks(spark, d):
+    return row_chunks(spark, d, False)
+
+
+@query(chunks_sql("first p ON p.id = s.id AND p.table_no = s.table_no"))
+def table_row_chunks_in_place(spark, d):
+    return row_chunks(spark, d, True)
+
+
+# an index of vectors, written and read back
+def built_index(spark, d) -> vector_index.Index:
+    path = shared_folder(spark, "index")
+    vector_index.build(table(spark, d, "embeddings"), path)
+    return vector_index.load(spark, path)
+
+
+def asked(spark, d) -> DataFrame:
+    return table(spark, d, "embeddings").filter("vec_id % 20 = 0").select(F.col("vec_id").alias("query_id"), "embedding")
+
+
+@query("SELECT vec_id, label FROM embeddings WHERE embedding IS NOT NULL")
+def indexed_vectors(spark, d):
+    return built_index(spark, d).lists.select("vec_id", "label")
+
+
+@query(VECTOR_SEARCH)
+def index_search_exact(spark, d):
+    return vector_index.search(built_index(spark, d), asked(spark, d), probes=None).withColumn("score", F.round("score", 6))
+
+
+@query()
+def index_search(spark, d):
+    return vector_index.search(built_index(spark, d), asked(spark, d)).withColumn("score", F.round("score", 6))
+
+
+# metrics by grouping sets
+FAILED = WORK + ", f AS (SELECT error, 'p' || (key % 3) AS parser, CASE WHEN event_id % 4 < 3 THEN '.' || (event_id % 4) END AS extension FROM work WHERE event = 'fail')"
+
+
+def failed(spark, d) -> DataFrame:
+    return work(spark, d).filter("event = 'fail'").select("error", F.concat(F.lit("p"), (F.col("key") % 3).cast("string")).alias("parser"), F.when(F.col("event_id") % 4 < 3, F.concat(F.lit("."), (F.col("event_id") % 4).cast("string"))).alias("extension"))
+
+
+@query(FAILED + ", g AS (SELECT CASE WHEN GROUPING(e) = 0 THEN 'error' WHEN GROUPING(p) = 0 THEN 'parser' WHEN GROUPING(x) = 0 THEN 'extension' ELSE 'all' END AS dimension, coalesce(e, p, x, '') AS value, count(*) AS n FROM (SELECT error AS e, parser AS p, coalesce(extension, 'unknown') AS x FROM f) GROUP BY GROUPING SETS ((e), (p), (x), ())) SELECT dimension, value, n, round(100.0 * n / (SELECT count(*) FROM f), 6) AS percent FROM g")
+def failure_metrics(spark, d):
+    return run_metrics.failures(failed(spark, d))
+
+
+RUNS = "WITH r AS (SELECT CASE o_orderstatus WHEN 'F' THEN 'success' WHEN 'P' THEN 'skipped' ELSE 'error' END AS status, CASE o_orderpriority WHEN '1-URGENT' THEN 'timeout' WHEN '2-HIGH' THEN 'crash' ELSE 'other' END AS reason, 'p' || (o_custkey % 4) AS parser, CAST(o_orderkey % 50 AS DOUBLE) AS seconds FROM orders)"
+
+
+def run_results(spark, d) -> DataFrame:
+    status = F.when(F.col("o_orderstatus") == "F", "success").when(F.col("o_orderstatus") == "P", "skipped").otherwise("error")
+    reason = F.when(F.col("o_orderpriority") == "1-URGENT", "timeout").when(F.col("o_orderpriority") == "2-HIGH", "crash").otherwise("other")
+    return table(spark, d, "orders").select(status.alias("status"), reason.alias("reason"), F.concat(F.lit("p"), (F.col("o_custkey") % 4).cast("string")).alias("parser"), (F.col("o_orderkey") % 50).cast("double").alias("seconds"))
+
+
+RUN_METRICS = RUNS + """, g AS (SELECT CASE WHEN GROUPING(parser) = 0 THEN 'parser' ELSE 'all' END AS dimension, coalesce(parser, '') AS value, count(*) AS total, count(*) FILTER (status = 'success') AS success, count(*) FILTER (status = 'skipped') AS skipped, count(*) FILTER (status = 'error') AS errors,
+ count(*) FILTER (status = 'error' AND reason = 'timeout') AS timeout, count(*) FILTER (status = 'error' AND reason = 'crash') AS crash, sum(seconds) AS seconds FROM r GROUP BY GROUPING SETS ((parser), ()))
+SELECT dimension, value, total, success, skipped, errors, timeout, crash, round(100.0 * total / (SELECT count(*) FROM r), 2) AS share, round(100.0 * success / (success + errors), 2) AS success_percent, round(100.0 * errors / (success + errors), 2) AS failure_percent, seconds, round(60.0 * success / seconds, 2) AS per_minute FROM g"""
+
+
+@query(RUN_METRICS)
+def runner_metrics(spark, d):
+    return run_metrics.runs(run_results(spark, d))
+
+
+@query(RUN_METRICS.replace("SELECT dimension, value, total", ", m AS (SELECT dimension, value, total") + ") SELECT 'High failure rate (' || failure_percent || '%) - investigate primary parser issues' AS advice FROM m WHERE dimension = 'all' AND failure_percent > 50")
+def run_advice(spark, d):
+    return run_metrics.advice(run_metrics.runs(run_results(spark, d)), run_metrics.failures(failed(spark, d)))
+
+
+# functions called from SQL
+LATIN_HEADERS = {"special_clause": "^(Th|La).*[.]$", "coverage": "^(An|Le)", "appendix": "^(On|El)", "addendum": "^(In|De)"}
+LATIN_ARTICLE = "^[A-ZÉ][a-zé]{1,3} "
+LINES = "SELECT doc_id AS id, CAST(generate_subscripts(string_split(text, chr(10)), 1) - 1 AS INTEGER) AS line_no, unnest(string_split(text, chr(10))) AS line FROM documents"
+SEGMENTS = f"""WITH l AS ({LINES}), k AS (SELECT *, trim(line, E' \\t\\r\\n') AS s FROM l), b AS (SELECT *, CASE WHEN s LIKE '##%' THEN trim(ltrim(s, '#'), E' \\t\\r\\n') ELSE s END AS bare FROM k),
+h AS (SELECT *, CASE {' '.join(f"WHEN regexp_matches({'s' if k == 'appendix' else 'bare'}, '{p}')" + (' AND length(bare) > 3' if k == 'coverage' else '') + f" THEN '{k}'" for k, p in LATIN_HEADERS.items())} END AS kind, regexp_matches(s, '{LATIN_ARTICLE}')::INT AS article FROM b),
+g AS (SELECT *, count(kind) OVER (PARTITION BY id ORDER BY line_no) AS seg, count(kind) OVER (PARTITION BY id) AS n FROM h),
+z AS (SELECT id, greatest(seg, 1) AS segment, coalesce(max(kind), 'document') AS kind, CASE WHEN max(n) = 0 THEN '전체문서' ELSE arg_min(CASE WHEN kind = 'appendix' THEN s ELSE bare END, line_no) END AS title, min(line_no) AS start_line, max(line_no) AS end_line, length(trim(string_agg(line, chr(10) ORDER BY line_no), E' \\t\\r\\n')) AS n_chars, sum(article) AS a FROM g WHERE seg > 0 OR n = 0 GROUP BY id, greatest(seg, 1))"""
+
+
+def lines(spark, d) -> DataFrame:
+    return texts(spark, d).select("id", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
+
+
+@query(SEGMENTS + """ SELECT id, segment, kind, title, start_line, end_line, n_chars, CASE WHEN kind IN ('special_clause', 'coverage', 'document') THEN a ELSE 0 END::BIGINT AS n_articles, concat_ws(',', CASE WHEN n_chars > 12000 THEN 'too_long' END, CASE WHEN kind = 'special_clause' AND a = 0 AND n_chars > 500 THEN 'no_articles' END, CASE WHEN length(title) < 3 THEN 'short_title' END) AS warnings FROM z""")
+def simple_clause_segments(spark, d):
+    s = clause_headers.segment_warnings(clause_headers.simple_segments(lines(spark, d), LATIN_HEADERS, LATIN_ARTICLE))
+    return s.withColumn("warnings", F.array_join("warnings", ","))
+
+
+@query(SEGMENTS + " SELECT id, CAST(segment AS INTEGER) AS segment, kind, title, start_line, end_line, CAST(CASE WHEN kind IN ('special_clause', 'coverage', 'document') THEN a ELSE 0 END AS INTEGER) AS n_articles FROM z")
+def sql_clause_segments(spark, d):
+    sql.register(spark)
+    return spark.sql("SELECT * FROM clause_segments(TABLE({lines}) PARTITION BY id ORDER BY (line_no), {headers}, {article})", lines=lines(spark, d), headers=json.dumps(LATIN_HEADERS), article=LATIN_ARTICLE)
+
+
+@query(f"SELECT doc_id AS id, md5({SQUASH}) AS content_key, CAST(len(regexp_extract_all(text, '[\\p{{L}}\\p{{N}}_]+')) AS INTEGER) AS n_words, round(length(regexp_replace(text, '[\\p{{L}}\\p{{N}}_\\s]', '', 'g')) / length(text), 6) AS special_share, CASE WHEN length(text) % 10 >= 6 THEN 'auto' WHEN length(text) % 10 >= 4 THEN 'review' ELSE 'unclassified' END AS route FROM documents WHERE length(text) > 0")
+def sql_scalars(spark, d):
+    sql.register(spark)
+    return spark.sql("SELECT id, content_key(text) AS content_key, n_words(text) AS n_words, round(special_share(text), 6) AS special_share, routed(length(text) % 10, 6, 4) AS route FROM {t} WHERE length(text) > 0", t=texts(spark, d))
