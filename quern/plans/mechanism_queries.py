@@ -218,7 +218,7 @@ def indexed_vectors(spark, d):
 
 @query(VECTOR_SEARCH)
 def index_search_exact(spark, d):
-    return vector_index.search(built_index(spark, d), asked(spark, d), probes=None).withColumn("score", F.round("score", 6))
+    return vector_index.search(built_index(spark, d), asked(spark, d), share=1.0).withColumn("score", F.round("score", 6))
 
 
 @query()
