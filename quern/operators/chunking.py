@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quern.functions.text import strip
+from quern.operators import packing
 
 
 # How the headings of each kind begin.
@@ -34,17 +35,13 @@ def clause_context(paragraphs: DataFrame, headings: dict[str, str] | None = None
 
 
 def pack(documents: DataFrame, size: int = 1000) -> DataFrame:
-    """id, chunk_no, text: paragraphs put together while they and the blank line between fit size; longer ones alone. Blank chunks are left out but keep their number."""
-    start = F.struct(F.array().cast("array<string>").alias("done"), F.lit("").alias("open"))
-
-    def step(a, p):
-        fits = F.length(a["open"]) + F.length(p) + 2 <= size
-        return F.when(fits, F.struct(a["done"].alias("done"), F.concat(a["open"], p, F.lit("\n\n")).alias("open"))).otherwise(
-            F.struct(F.when(a["open"] != "", F.concat(a["done"], F.array(a["open"]))).otherwise(a["done"]).alias("done"), F.concat(p, F.lit("\n\n")).alias("open"))
-        )
-
-    chunks = F.aggregate("paragraphs", start, step, lambda a: F.when(a["open"] != "", F.concat(a["done"], F.array(a["open"]))).otherwise(a["done"]))
-    return documents.select("id", F.posexplode(chunks).alias("chunk_no", "text")).withColumn("text", strip(F.col("text"))).filter("text <> ''")
+    """id, chunk_no, text: paragraphs (an array of each document) put together while they and the blank line after each fit size; longer ones alone. Blank chunks are left out but keep their number."""
+    p = documents.select("id", F.posexplode("paragraphs").alias("idx", "p")).withColumn("n", (F.length("p") + 2).cast("long"))
+    # a paragraph and its blank line count together, as the open chunk ends with one
+    dealt = packing.greedy_groups(p, "id", "idx", "n", size, "chunk_no")
+    ordered = F.transform(F.array_sort(F.collect_list(F.struct("idx", "p"))), lambda x: x["p"])
+    chunks = dealt.groupBy("id", "chunk_no").agg(strip(F.array_join(ordered, "\n\n")).alias("text"))
+    return chunks.filter("text <> ''")
 
 
 def segments(documents: DataFrame, header: str) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quern.functions.text import squash, strip
+from quern.operators import packing
 
 # The fields that a document must have, and the names of its metadata's fields, the first found counting.
 SECTIONS, DOCUMENT_FIELDS = ["document", "content", "tables", "assets"], ["source_path", "format", "parser", "encrypted"]
@@ -53,15 +54,11 @@ def metadata(doc: Column) -> Column:
 
 
 def unfenced(reply: Column) -> Column:
-    """The lines of the fenced blocks named json, if a reply begins with a fence; else the reply itself. Ends are stripped."""
+    """The lines of the fenced blocks named json, if a reply begins with a fence; else the reply itself. Ends are stripped. A cut at the fences and no fold, so a long reply takes time in proportion."""
     s = strip(reply)
-    fold = F.aggregate(
-        F.split(s, "\n"), F.struct(F.lit(False).alias("inside"), F.array().cast("array<string>").alias("kept")),
-        lambda a, line: F.when(line.startswith("```json"), F.struct(F.lit(True).alias("inside"), a["kept"].alias("kept")))
-        .when(line.startswith("```"), F.struct(F.lit(False).alias("inside"), a["kept"].alias("kept")))
-        .when(a["inside"], F.struct(a["inside"].alias("inside"), F.array_append(a["kept"], line).alias("kept"))).otherwise(a),
-    )
-    return F.when(s.startswith("```"), F.array_join(fold["kept"], "\n")).otherwise(s)
+    # what stands after a fence at the beginning of a line, up to the next one; without a line feed there are no lines in it
+    parts = F.filter(F.split(F.concat(F.lit("\n"), s), "\n```"), lambda p: F.startswith(p, F.lit("json")) & F.contains(p, F.lit("\n")))
+    return F.when(s.startswith("```"), F.array_join(F.transform(parts, lambda p: F.substr(p, F.locate("\n", p) + 1)), "\n")).otherwise(s)
 
 
 def quote_findings(output: Column, canonical: Column, qtype: Column) -> Column:
@@ -88,15 +85,6 @@ def pass_rate(filtered: DataFrame) -> DataFrame:
 
 
 def article_groups(articles: DataFrame, budget: int = TOKENS_A_GROUP) -> DataFrame:
-    """articles (id, article_no, n_chars) with group_no: neighbours fill a group until the next one's tokens, half its characters, would pass the budget. One fold over a segment's articles, which holds their numbers only."""
-    start = F.struct(F.lit(0).cast("long").alias("tokens"), F.lit(0).alias("group"), F.array().cast("array<struct<article_no:int,group_no:int>>").alias("out"))
-
-    def add(a: Column, x: Column) -> Column:
-        n = F.floor(x["n_chars"] / 2)
-        new = (a["tokens"] + n > budget) & (F.size(a["out"]) > 0)
-        group = a["group"] + new.cast("int")
-        return F.struct((F.when(new, 0).otherwise(a["tokens"]) + n).cast("long").alias("tokens"), group.alias("group"), F.array_append(a["out"], F.struct(x["article_no"].alias("article_no"), group.alias("group_no"))).alias("out"))
-
-    ordered = F.array_sort(F.collect_list(F.struct(F.col("article_no").cast("int").alias("article_no"), "n_chars")))
-    folded = articles.groupBy("id").agg(ordered.alias("all")).select("id", F.aggregate("all", start, add)["out"].alias("out"))
-    return folded.select("id", F.inline("out"))
+    """articles (id, article_no, n_chars) with group_no: neighbours fill a group until the next one's tokens, half its characters, would pass the budget."""
+    sized = articles.select("id", F.col("article_no").cast("int").alias("article_no"), F.floor(F.col("n_chars") / 2).cast("long").alias("tokens"))
+    return packing.greedy_groups(sized, "id", "article_no", "tokens", budget, "group_no").select("id", "article_no", "group_no")

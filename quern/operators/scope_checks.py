@@ -23,18 +23,43 @@ def quoted(quote: Column, scope: Column, least: float = 0.5) -> Column:
     return F.contains(bare(scope), bare(quote)) | (F.size(F.array_intersect(mine, words(scope))) >= least * F.size(mine))
 
 
+#: Characters of what texts and titles are joined by.
+GRAM = 5
+#: Titles of which a question across all scopes may hold a list.
+MOST_TITLES = 10_000
+
+
+def mentions(texts: DataFrame, titles: DataFrame) -> DataFrame:
+    """id, title: each title (title, not empty) that stands in a text (id, text).
+
+    Each title is looked up by its rarest run of GRAM characters among all titles' (a shorter one by itself), so that a word
+    which all titles begin with brings no candidates; a text offers its distinct runs. An equi-join, then the test itself.
+    """
+    known = titles.select("title").filter("title <> ''").distinct()
+    runs = lambda c, n: F.regexp_extract_all(c, F.lit(f"(?s)(?=(.{{{n}}}))"), F.lit(1))
+    grams = known.select("title", F.explode(F.when(F.length("title") < GRAM, F.array("title")).otherwise(F.array_distinct(runs(F.col("title"), GRAM)))).alias("gram"))
+    rarity = grams.groupBy("gram").agg(F.count("*").alias("n"))
+    keyed = grams.join(rarity, "gram").groupBy("title").agg(F.min_by("gram", F.struct("n", "gram")).alias("gram"))
+    lengths = [r[0] for r in keyed.select(F.length("gram")).distinct().collect()]  # 1 to GRAM
+    if not lengths:
+        return texts.select("id", F.lit("").alias("title")).limit(0)
+    offered = texts.filter("text IS NOT NULL").select("id", "text", F.explode(F.array_distinct(F.flatten(F.array(*(runs(F.col("text"), n) for n in sorted(lengths)))))).alias("gram"))
+    # the text itself is joined again for candidates only
+    met = offered.select("id", "gram").join(keyed, "gram").select("id", "title").distinct()
+    return met.join(texts.select("id", "text"), "id").filter(F.contains("text", "title")).select("id", "title").distinct()
+
+
 def violations(answers: DataFrame, evidence: DataFrame, titles: DataFrame) -> DataFrame:
     """answers (id, scope_title, scope_text, answer, decision, exclusions_checked) with `violations`, the sorted kinds, and valid (no error among them).
 
-    evidence: id, quote, article. titles: all scope titles (title), a driver-sized dictionary whose count is checked before
-    it is collected into one row. Null texts count as empty.
+    evidence: id, quote, article. titles: all scope titles (title). Null texts count as empty.
     """
     text = lambda c: strip(F.coalesce(c, F.lit("")))
     cited = evidence.join(answers.select("id", "scope_text"), "id")
     absent = F.exists(F.regexp_extract_all(text("article"), F.lit(ARTICLE), F.lit(1)), lambda a: ~F.contains(F.coalesce("scope_text", F.lit("")), a))
     per = cited.groupBy("id").agg(F.count("*").alias("n"), F.max((text("quote") != "") & ~quoted(text("quote"), F.coalesce("scope_text", F.lit("")))).alias("unquoted"), F.max(absent).alias("unknown"))
-    # one row for each answer and title it names
-    named = answers.select("id", "scope_title", "answer").join(F.broadcast(titles.select("title").distinct()) if titles.count() <= 10_000 else titles.select("title").distinct(), F.contains("answer", "title") & (F.col("title") != "") & ~F.col("title").eqNullSafe(F.col("scope_title"))).select("id").distinct()
+    own = answers.select("id", "scope_title").distinct()
+    named = mentions(answers.select("id", F.col("answer").alias("text")), titles).join(own, "id").filter(~F.col("title").eqNullSafe(F.col("scope_title"))).select("id").distinct()
     a = answers.join(per, "id", "left").join(named.withColumn("named", F.lit(True)), "id", "left")
     none = F.coalesce("n", F.lit(0)) == 0
     kinds = [
@@ -54,15 +79,19 @@ def force_insufficient(checked: DataFrame) -> DataFrame:
 def routed(questions: DataFrame, titles: DataFrame, across: str = r"(비교|차이|모든\s*특약|전체)") -> DataFrame:
     """questions (id, question) with scopes: the sorted titles a question names; all titles if it names none but compares; none, which means every scope, otherwise."""
     known = titles.filter("title <> ''").select("title").distinct()
-    every = known.agg(F.array_sort(F.collect_list("title")).alias("all"))  # one row: titles are a dictionary of scopes
-    named = questions.join(known, F.contains("question", "title")).groupBy("id").agg(F.array_sort(F.collect_set("title")).alias("named"))
+    if known.limit(MOST_TITLES + 1).count() > MOST_TITLES:
+        raise ValueError(f"more than {MOST_TITLES} titles: a question across all of them would hold them all")
+    every = known.agg(F.array_sort(F.collect_list("title")).alias("all"))  # one row of MOST_TITLES at most
+    named = mentions(questions.select("id", F.col("question").alias("text")), known).groupBy("id").agg(F.array_sort(F.collect_set("title")).alias("named"))
     q = questions.join(named, "id", "left").crossJoin(F.broadcast(every))
     none = F.array().cast("array<string>")
     return q.select("id", "question", F.when(F.size(F.coalesce("named", none)) > 0, F.col("named")).when(F.col("question").rlike(across), F.col("all")).otherwise(none).alias("scopes"))
 
 
 def batch_summary(merged: DataFrame) -> DataFrame:
-    """One row: how many answers, with warnings and with conflicts, and the sorted distinct conditions and exclusions of all."""
-    union = lambda c: F.array_sort(F.array_distinct(F.flatten(F.collect_list(c))))
-    each = merged.select("warnings", "conflict", F.array_distinct(F.coalesce("conditions", F.array().cast("array<string>"))).alias("conditions"), F.array_distinct(F.coalesce("exclusions", F.array().cast("array<string>"))).alias("exclusions"))
-    return each.agg(F.count("*").alias("n"), F.sum(F.size(F.coalesce("warnings", F.array().cast("array<string>")))).alias("n_warnings"), F.count_if("conflict").alias("n_conflicts"), union("conditions").alias("conditions"), union("exclusions").alias("exclusions"))
+    """One row: how many answers, with warnings and with conflicts, and the sorted distinct conditions and exclusions of all. Only distinct ones are gathered."""
+    none = F.array().cast("array<string>")
+    size = lambda c: F.size(F.coalesce(c, none))
+    counts = merged.agg(F.count("*").alias("n"), F.coalesce(F.sum(size("warnings")), F.lit(0)).alias("n_warnings"), F.count_if("conflict").alias("n_conflicts"))
+    union = lambda c: merged.select(F.explode(c).alias("x")).distinct().agg(F.array_sort(F.collect_list("x")).alias(c))
+    return counts.crossJoin(union("conditions")).crossJoin(union("exclusions"))  # one row each

@@ -246,7 +246,9 @@ def clause_context(spark, d):
     return chunking.clause_context(p).select("id", "idx", "clause_title", F.size("heading_path").alias("depth"))
 
 
-@query()
+@query("""WITH RECURSIVE p AS (SELECT doc_id AS id, generate_subscripts(string_split(text, chr(10)), 1) AS k, unnest(string_split(text, chr(10))) AS p FROM documents),
+g(id, k, p, held, chunk_no) AS (SELECT id, k, p, length(p) + 2, 0 FROM p WHERE k = 1 UNION ALL SELECT p.id, p.k, p.p, CASE WHEN held + length(p.p) + 2 <= 1000 THEN held + length(p.p) + 2 ELSE length(p.p) + 2 END, CASE WHEN held + length(p.p) + 2 <= 1000 THEN chunk_no ELSE chunk_no + 1 END FROM g JOIN p ON p.id = g.id AND p.k = g.k + 1),
+c AS (SELECT id, chunk_no, trim(string_agg(p, chr(10) || chr(10) ORDER BY k), E' \\t\\r\\n') AS text FROM g GROUP BY id, chunk_no) SELECT id, chunk_no, md5(text) AS text FROM c WHERE text <> ''""")
 def packed_chunks(spark, d):
     return chunking.pack(texts(spark, d).select("id", F.split("text", "\n").alias("paragraphs"))).select("id", "chunk_no", F.md5("text").alias("text"))
 
@@ -336,7 +338,7 @@ def user_sessions(spark, d):
     return ledger.sessions(work(spark, d))
 
 
-from quern.plans import mechanism_queries, value_queries  # noqa: E402, F401
+from quern.plans import derived_queries, mechanism_queries  # noqa: E402, F401
 
-QUERIES |= value_queries.QUERIES
-ORACLE_SQL |= value_queries.ORACLE_SQL
+QUERIES |= derived_queries.QUERIES
+ORACLE_SQL |= derived_queries.ORACLE_SQL

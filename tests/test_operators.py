@@ -159,9 +159,9 @@ def test_best_threshold_and_review(spark):
 
 def test_new_operators_take_empty_tables(spark):
     from quern.operators import clause_headers, contracts, record_quality, scope_checks, spatial, table_structure
-    from quern.plans.value_queries import rows
+    from inline_tables import TABLES
 
-    none = lambda name: rows(spark, name).limit(0)
+    none = lambda name: spark.sql(f"SELECT * FROM VALUES {TABLES[name][1]} AS t({TABLES[name][0]})").limit(0)
     cells, lines = none("grid_cells"), none("clause_lines")
     for out in (
         table_structure.header_rows(table_structure.header_scores(cells)), table_structure.expand_spans(cells), table_structure.structure_problems(cells), clause_headers.segments(lines),
@@ -169,3 +169,37 @@ def test_new_operators_take_empty_tables(spark):
         spatial.grid(none("boxes")), spatial.outside(none("boxes"), none("table_boxes")), contracts.four_stage_filter(none("generated_examples")), contracts.article_groups(none("article_sizes")),
     ):
         assert out.count() == 0
+
+
+def test_titles_are_found_within_texts(spark):
+    from quern.operators import scope_checks
+
+    titles = ["특약", "암 특약", "a", "long title one", "long title two", "", None, "😀😀😀😀😀x"]
+    texts = ["위암 특약과", "a long title on", "see long title two!", "", None, "특", "x" * 20_000 + "long title one", "..😀😀😀😀😀x", "long\ntitle one"]
+    d = spark.createDataFrame(list(enumerate(texts)), "id int, text string")
+    found = scope_checks.mentions(d, spark.createDataFrame([(t,) for t in titles], "title string"))
+    assert {(r.id, r.title) for r in found.collect()} == {(i, t) for i, x in enumerate(texts) for t in titles if x and t and t in x}
+    assert "NestedLoop" not in (plan := found._jdf.queryExecution().toString()) and "Cartesian" not in plan
+    assert scope_checks.mentions(d, spark.createDataFrame([("",)], "title string")).count() == 0
+
+
+def test_packing_streams_over_sorted_rows(spark):
+    import random
+
+    from quern.operators import packing
+
+    r = random.Random(3)
+    rows = [(k, i, r.choice([0, 1, 5, 9, 30, None])) for k in (None, 1, 2) for i in range(200)] + [(3, 0, 99)]
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        got = {(x.k, x.i): x.g for x in packing.greedy_groups(spark.createDataFrame(rows, "k int, i int, n long").repartition(5), "k", "i", "n", 20, "g").collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    for k in (None, 1, 2, 3):
+        group, held = 0, None
+        for _, i, n in sorted((x for x in rows if x[0] == k), key=lambda x: x[1]):
+            if held is not None and held + (n or 0) > 20:
+                group, held = group + 1, None
+            held = (held or 0) + (n or 0)
+            assert got[k, i] == group
+    assert packing.greedy_groups(spark.createDataFrame([], "k int, i int, n long"), "k", "i", "n", 20, "g").count() == 0
