@@ -6,6 +6,7 @@ An example is ord (its place), instruction, input, output, source; null fields c
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -51,6 +52,14 @@ def clusters(examples: DataFrame) -> DataFrame:
     return examples.groupBy(h.alias("hash")).agg(F.count("*").alias("n"), F.min("ord").alias("first_ord"), F.max("ord").alias("last_ord"), F.countDistinct("source").alias("n_sources")).filter("n > 1").withColumn("hash", F.left("hash", F.lit(8)))
 
 
+def members(examples: DataFrame) -> DataFrame:
+    """hash, ord, source, place: every example whose content is held more than once, numbered within its cluster by ord. A row each, as a cluster may hold most examples."""
+    held = examples.select(F.md5(squash(content())).alias("hash"), "ord", "source")
+    many = held.groupBy("hash").agg(F.count("*").alias("n")).filter("n > 1").select("hash")
+    w = Window.partitionBy("hash").orderBy("ord")
+    return held.join(many, "hash").withColumn("place", F.row_number().over(w)).select(F.left("hash", F.lit(8)).alias("hash"), "ord", "source", "place")
+
+
 def features(examples: DataFrame) -> DataFrame:
     """ord, whether there is an input and an instruction, source, the three lengths and the set of the first ten words of output."""
     text = lambda c: F.coalesce(F.col(c), F.lit(""))
@@ -61,20 +70,54 @@ def features(examples: DataFrame) -> DataFrame:
     )
 
 
+#: Rows of a key that meet in one task: keys with more are cut into blocks of which every two meet.
+BLOCK = 2000
+
+
+def representatives(rows: DataFrame, by: list[str]) -> DataFrame:
+    """rows (ord, and columns) reduced to one for each class of rows that are equal in the columns `by`: the smallest ord, those columns, and `size`, how many there are."""
+    return rows.groupBy(*by).agg(F.min("ord").alias("ord"), F.count("*").alias("size"))
+
+
+def meeting(keyed: DataFrame, keys: list[str], df: str, block: int | None = None) -> DataFrame:
+    """The distinct pairs a < b of ord that share a key. df: a column with how many rows the row's key has.
+
+    A key's rows are cut into blocks by a hash of ord, and each two blocks meet in a group of their own, so that a task
+    holds two blocks of any key, however many rows it has.
+    """
+    block = block or BLOCK
+    n = F.greatest(F.lit(1), F.ceil(F.col(df) / block)).cast("int")
+    at = keyed.select("ord", *keys, n.alias("n"), F.pmod(F.xxhash64("ord"), n).cast("int").alias("own"))
+    left = at.withColumn("other", F.explode(F.sequence(F.col("own"), F.col("n") - 1))).select(F.col("ord").alias("a"), *keys, F.col("own").alias("i"), F.col("other").alias("j"))
+    right = at.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("own")))).select(F.col("ord").alias("b"), *keys, F.col("other").alias("i"), F.col("own").alias("j"))
+    met = left.join(right, [*keys, "i", "j"]).filter((F.col("a") < F.col("b")) | ((F.col("i") < F.col("j")) & (F.col("a") > F.col("b"))))
+    return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+FEATURES = ["has_input", "has_instruction", "source", "n_output", "n_input", "n_instruction", "words"]
+
+
+def structural_classes(examples: DataFrame) -> DataFrame:
+    """ord, class: the smallest ord of the examples that have the same features. Examples without words, which are similar to none, are classes of their own."""
+    f = stored(features(examples).withColumn("words", F.array_sort("words")), "features")
+    least = representatives(f.filter(F.size("words") > 0), FEATURES).select(*FEATURES, F.col("ord").alias("class"))
+    return f.join(least, FEATURES, "left").select("ord", F.coalesce("class", "ord").alias("class"))
+
+
 def structural_pairs(examples: DataFrame, threshold: float = 0.85) -> DataFrame:
-    """a < b and their similarity, at least threshold (above 1 / 1.2 only: then unlike flags or sources can't reach it, and two similar examples share a word, so both are keys of an equi-join). Only the rarest words of each are, as many as the least overlap of words asks for."""
+    """a < b and their similarity, at least threshold, of examples that are the first of their structural classes; those of one class have similarity 1. threshold must be above 1 / 1.2: then unlike flags or sources can't reach it, and two similar examples share a word, so both are keys of an equi-join. Only the rarest words of each are, as many as the least overlap of words asks for."""
     if threshold <= 1.0 / 1.2:
         raise ValueError("threshold must be above 1 / 1.2")
     # what is similar enough shares so much of its words that it shares one of its rarest; the lengths do the rest
     least = (1.2 * threshold - 0.9) / 0.3
-    f = stored(features(examples), "structural")
+    f = stored(representatives(features(examples).withColumn("words", F.array_sort("words")), FEATURES), "structural")
     same = ["has_input", "has_instruction", "source"]
     e = f.select("ord", *same, F.explode("words").alias("word"), F.size("words").alias("n"))
     df = e.groupBy(*same, "word").agg(F.count("*").alias("df"))
     order = Window.partitionBy("ord").orderBy("df", "word")  # ten words at most
     rare = e.join(df.filter("df > 1"), [*same, "word"]).withColumn("place", F.row_number().over(order) + F.col("n") - F.count("*").over(Window.partitionBy("ord")))
-    rare = rare.filter(F.col("place") <= F.col("n") - F.ceil(F.lit(least) * F.col("n") - 1e-9) + 1).select("ord", *same, "word")
-    met = rare.withColumnRenamed("ord", "a").join(rare.withColumnRenamed("ord", "b"), [*same, "word"]).filter("a < b").select("a", "b").distinct()
+    rare = rare.filter(F.col("place") <= F.col("n") - F.ceil(F.lit(least) * F.col("n") - 1e-9) + 1)
+    met = meeting(rare, [*same, "word"], "df")
     side = lambda x: f.select(F.col("ord").alias(x), *(F.col(c).alias(f"{x}_{c}") for c in ("n_output", "n_input", "n_instruction", "words")))
     both = F.size(F.array_intersect("a_words", "b_words"))
     shared = met.join(side("a"), "a").join(side("b"), "b").withColumns({"both": both, "size_a": F.size("a_words"), "size_b": F.size("b_words")})
@@ -87,28 +130,48 @@ def structural_pairs(examples: DataFrame, threshold: float = 0.85) -> DataFrame:
     return shared.select("a", "b", score.alias("similarity")).filter(F.col("similarity") >= threshold)
 
 
-def semantic_pairs(examples: DataFrame, threshold: float = 0.85) -> DataFrame:
-    """a < b and the cosine of their TF-IDF vectors over the words of output and input, IDF being documents / (document frequency + 1)."""
+def bags(examples: DataFrame) -> DataFrame:
+    """ord, words, bag: the words of output and input, and a digest of them in any order."""
     text = F.concat_ws(" ", F.coalesce("output", F.lit("")), F.coalesce("input", F.lit("")))
-    words = examples.select("ord", F.explode(word_tokens(text)).alias("word"))
+    return examples.select("ord", word_tokens(text).alias("words")).withColumn("bag", F.sha2(F.array_join(F.array_sort("words"), " "), 256))
+
+
+def semantic_classes(examples: DataFrame) -> DataFrame:
+    """ord, class: the smallest ord of the examples that have the same words as often. Examples without words are classes of their own."""
+    b = bags(examples).select("ord", "bag", (F.size("words") > 0).alias("any"))
+    least = b.filter("any").groupBy("bag").agg(F.min("ord").alias("class"))
+    return b.join(least, "bag", "left").select("ord", F.coalesce(F.when(F.col("any"), F.col("class")), F.col("ord")).alias("class"))
+
+
+def semantic_pairs(examples: DataFrame, threshold: float = 0.85) -> DataFrame:
+    """a < b and the cosine of their TF-IDF vectors over the words of output and input, of examples that are the first of their semantic classes; those of one class have cosine 1. IDF is documents / (document frequency + 1) over all examples."""
+    # one bag of words for each class, that of its first example, with how many examples have it
+    one = stored(bags(examples).groupBy("bag").agg(F.min("ord").alias("ord"), F.count("*").alias("size"), F.min_by("words", "ord").alias("words")), "bags")
+    words = one.select("ord", "size", F.explode("words").alias("word"))
     n = examples.agg(F.count("*").alias("n_docs"))
-    tf = words.groupBy("ord", "word").agg(F.count("*").alias("k"))
-    df = tf.groupBy("word").agg(F.count("*").alias("df"))
-    total = tf.groupBy("ord").agg(F.sum("k").alias("total"))
+    tf = words.groupBy("ord", "word").agg(F.count("*").alias("k"), F.first("size").alias("size"))
+    df = tf.groupBy("word").agg(F.sum("size").alias("df"), F.count("*").alias("classes"))
+    total = one.select("ord", F.size("words").alias("total"))
     weighted = tf.join(total, "ord").join(df, "word").crossJoin(F.broadcast(n)).withColumn("w", F.col("k") / F.col("total") * F.col("n_docs") / (F.col("df") + 1))
     norm = weighted.groupBy("ord").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
-    unit = stored(weighted.join(norm, "ord").select("ord", "word", "df", (F.col("w") / F.col("norm")).alias("u")), "unit")
+    unit = stored(weighted.join(norm, "ord").select("ord", "word", "df", "classes", (F.col("w") / F.col("norm")).alias("u")), "unit")
     # the words of least df that can be left out without losing a pair: their squared weights sum below threshold squared
     rank = Window.partitionBy("ord").orderBy(F.desc("df"), "word").rowsBetween(Window.unboundedPreceding, 0)
-    prefix = unit.withColumn("common", F.sum(F.col("u") * F.col("u")).over(rank)).filter(F.sqrt("common") >= threshold - 1e-9).select("ord", "word")
+    prefix = unit.withColumn("common", F.sum(F.col("u") * F.col("u")).over(rank)).filter(F.sqrt("common") >= threshold - 1e-9)
     # the rarest word that a pair shares is among those of both, as all rarer ones of each are
-    pairs = prefix.withColumnRenamed("ord", "a").join(prefix.withColumnRenamed("ord", "b"), "word").filter("a < b").select("a", "b").distinct()
+    pairs = meeting(prefix, ["word"], "classes")
     dot = pairs.join(unit.select(F.col("ord").alias("a"), "word", F.col("u").alias("ua")), "a").join(unit.select(F.col("ord").alias("b"), "word", F.col("u").alias("ub")), ["b", "word"])
     return dot.groupBy("a", "b").agg(F.sum(F.col("ua") * F.col("ub")).alias("similarity")).filter(F.col("similarity") >= threshold)
 
 
-def keep_first(examples: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The examples that greedy keep-first leaves: each that is similar to no kept earlier one. In rounds, one with no undecided or kept earlier neighbour is kept, and one with a kept earlier neighbour goes; each round's decisions are written to the checkpoint folder."""
+def keep_first(examples: DataFrame, pairs: DataFrame, classes: DataFrame | None = None) -> DataFrame:
+    """The examples that greedy keep-first leaves: each that is similar to no kept earlier one. In rounds, one with no undecided or kept earlier neighbour is kept, and one with a kept earlier neighbour goes; each round's decisions are written to the checkpoint folder.
+
+    classes (ord, class): pairs are those of the first examples of classes, and of each class no other can stay, as it is
+    similar to what its first is similar to, and to that one itself.
+    """
+    if classes is not None:
+        examples = examples.join(classes.filter("ord = class").select("ord"), "ord", "left_semi")
     open_pairs = stored(pairs.select("a", "b"), "keep-first")
     gone = None
     while open_pairs.limit(1).count():
@@ -122,21 +185,29 @@ def keep_first(examples: DataFrame, pairs: DataFrame) -> DataFrame:
     return examples if gone is None else examples.join(gone.withColumnRenamed("a", "ord"), "ord", "left_anti")
 
 
+def structural(examples: DataFrame, threshold: float = 0.85) -> DataFrame:
+    """What greedy keep-first leaves of structurally similar examples."""
+    return keep_first(examples, structural_pairs(examples, threshold), structural_classes(examples))
+
+
+def semantic(examples: DataFrame, threshold: float = 0.85) -> DataFrame:
+    """What greedy keep-first leaves of examples with similar words."""
+    return keep_first(examples, semantic_pairs(examples, threshold), semantic_classes(examples))
+
+
 def source_counts(examples: DataFrame) -> DataFrame:
     """Per source: how many, how many outputs under 100, under 500 and longer, and the mean length."""
     n = F.length(F.coalesce("output", F.lit("")))
     return examples.groupBy("source").agg(F.count("*").alias("n"), F.count_if(n < 100).alias("short"), F.count_if((n >= 100) & (n < 500)).alias("medium"), F.count_if(n >= 500).alias("long"), F.round(F.avg(n), 6).alias("mean_length"))
 
 
-def report(examples: DataFrame, min_length: int = 50, threshold: float = 0.85, semantic: bool = False) -> tuple[DataFrame, DataFrame]:
+def report(examples: DataFrame, min_length: int = 50, threshold: float = 0.85, with_semantic: bool = False) -> tuple[DataFrame, DataFrame]:
     """What exact, structural and, if asked, semantic deduplication leave one after another, and a row a stage with how many it was given and removed."""
-    stages = [("exact", lambda e: exact(e, min_length)), ("structural", lambda e: keep_first(e, structural_pairs(e, threshold)))]
-    stages += [("semantic", lambda e: keep_first(e, semantic_pairs(e, threshold)))] if semantic else []
+    stages = [("exact", lambda e: exact(e, min_length)), ("structural", lambda e: structural(e, threshold))]
+    stages += [("semantic", lambda e: semantic(e, threshold))] if with_semantic else []
     counts = []
     for name, stage in stages:
-        kept = stage(examples)
+        kept = stored(stage(examples), "kept")
         counts.append(examples.agg(F.count("*").alias("n_in")).crossJoin(kept.agg(F.count("*").alias("n_out"))).select(F.lit(name).alias("stage"), "n_in", (F.col("n_in") - F.col("n_out")).alias("removed")))
         examples = kept
-    from functools import reduce
-
     return examples, reduce(DataFrame.unionByName, counts)

@@ -55,3 +55,15 @@ m AS (SELECT id, table_no, n, round(avg((text <> '')::INT), 4) AS fill_rate, rou
  avg(CASE WHEN row = 0 THEN (text <> '')::INT END) >= 0.5 AND avg(CASE WHEN row = 0 THEN reliability END) >= 0.75 AS header_ok FROM z GROUP BY ALL),
 gated AS (SELECT id, table_no, fill_rate, low_conf_ratio, header_ok, fill_rate >= CASE WHEN n < 10 THEN 0.70 WHEN n < 50 THEN 0.60 ELSE 0.55 END AND avg_reliability >= CASE WHEN n < 10 THEN 0.75 WHEN n < 50 THEN 0.70 ELSE 0.65 END AND low_conf_ratio <= CASE WHEN n < 10 THEN 0.20 WHEN n < 50 THEN 0.25 ELSE 0.30 END AND header_ok AS passed FROM m)"""
 VECTOR_SEARCH = "WITH v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings), q AS (SELECT vec_id AS query_id, e AS f FROM v WHERE vec_id % 20 = 0), s AS (SELECT query_id, vec_id, list_dot_product(e, f) / sqrt(list_dot_product(e, e)) / sqrt(list_dot_product(f, f)) AS score FROM q, v) SELECT query_id, vec_id, round(score, 6) AS score, rank FROM (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s) WHERE rank <= 3"
+
+#: Structural similarity of the first examples of classes, and their membership.
+STRUCTURAL = """WITH RECURSIVE o AS (SELECT doc_id, source, length(text) AS n, list_sort(list_distinct(regexp_extract_all(lower(text), '[\\p{L}\\p{N}_]+')[1:10])) AS w FROM documents),
+f AS (SELECT min(doc_id) AS doc_id, source, n, w FROM o GROUP BY source, n, w),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, (0.6 + 0.2 + CASE WHEN a.n = 0 AND b.n = 0 THEN 0.1 WHEN a.n > 0 AND b.n > 0 THEN 0.1 * (1 - abs(a.n - b.n) / greatest(a.n, b.n)) ELSE 0 END
+  + 0.3 * len(list_intersect(a.w, b.w)) / greatest(1, len(list_distinct(list_concat(a.w, b.w))))) / 1.2 AS s
+  FROM f a JOIN f b ON a.source = b.source AND a.doc_id < b.doc_id),
+pairs AS (SELECT a, b, s FROM p WHERE s >= 0.85),
+classes AS (SELECT doc_id AS ord, CASE WHEN len(w) > 0 THEN min(doc_id) OVER (PARTITION BY source, n, w) ELSE doc_id END AS class FROM o)"""
+#: Keep-first in turn: the first examples of classes in order, with the list of what has gone so far.
+GREEDY = """, e AS (SELECT ord, row_number() OVER (ORDER BY ord) AS k FROM classes WHERE ord = class), hits AS (SELECT a, list(b) AS bs FROM pairs GROUP BY a), m AS (SELECT e.k, e.ord, coalesce(bs, []) AS bs FROM e LEFT JOIN hits ON a = ord),
+g(k, ord, kept, gone) AS (SELECT k, ord, true, bs FROM m WHERE k = 1 UNION ALL SELECT m.k, m.ord, NOT list_contains(gone, m.ord), CASE WHEN list_contains(gone, m.ord) OR len(m.bs) = 0 THEN gone ELSE list_concat(gone, m.bs) END FROM g JOIN m ON m.k = g.k + 1) SELECT ord FROM g WHERE kept"""

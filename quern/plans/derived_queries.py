@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from quern.functions import text as T
 from quern.operators import classify, clause_headers, contracts, dedup, record_quality, scope_checks, spatial, table_structure, tables
-from quern.plans.common import table
+from quern.plans.common import GREEDY, SQUASH, STRUCTURAL, table
 from quern.streaming import ledger
 
 QUERIES: dict = {}
@@ -337,7 +337,10 @@ def dedup_report(spark, d):
     return dedup.report(e)[1]
 
 
+REPORT = f"""WITH RECURSIVE key AS (SELECT doc_id, CASE WHEN length(text) < 50 THEN 'short-' || doc_id ELSE md5({SQUASH}) END AS k FROM documents), ex AS (SELECT * FROM documents WHERE doc_id IN (SELECT min(doc_id) FROM key GROUP BY k)),
+""" + STRUCTURAL.removeprefix("WITH RECURSIVE ").replace("FROM documents", "FROM ex") + GREEDY.replace("SELECT ord FROM g WHERE kept", "SELECT 'exact' AS stage, (SELECT count(*) FROM documents) AS n_in, (SELECT count(*) FROM documents) - (SELECT count(*) FROM ex) AS removed UNION ALL SELECT 'structural', (SELECT count(*) FROM ex), (SELECT count(*) FROM ex) - (SELECT count(*) FROM g WHERE kept)")
 QUERIES["dedup_report"] = dedup_report
+ORACLE_SQL["dedup_report"] = REPORT
 
 
 @query(

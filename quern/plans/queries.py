@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from quern.functions import text as T
 from quern.operators import answers, chunking, classify, dedup, records, retrieval, tables
-from quern.plans.common import CELLS, ORACLE_SQL, QUERIES, RELIABLE, GATED, SQUASH, VECTOR_SEARCH, WORK, examples, query, table, texts, work
+from quern.plans.common import CELLS, GATED, GREEDY, ORACLE_SQL, QUERIES, RELIABLE, SQUASH, STRUCTURAL, VECTOR_SEARCH, WORK, examples, query, table, texts, work
 from quern.sources import files
 from quern.streaming import ledger
 
@@ -28,33 +28,48 @@ def source_counts(spark, d):
     return dedup.source_counts(examples(spark, d))
 
 
-STRUCTURAL = """WITH f AS (SELECT doc_id, source, length(text) AS n, list_distinct(regexp_extract_all(lower(text), '[\\p{L}\\p{N}_]+')[1:10]) AS w FROM documents),
-p AS (SELECT a.doc_id AS a, b.doc_id AS b, (0.6 + 0.2 + CASE WHEN a.n = 0 AND b.n = 0 THEN 0.1 WHEN a.n > 0 AND b.n > 0 THEN 0.1 * (1 - abs(a.n - b.n) / greatest(a.n, b.n)) ELSE 0 END
-  + 0.3 * len(list_intersect(a.w, b.w)) / greatest(1, len(list_distinct(list_concat(a.w, b.w))))) / 1.2 AS s
-  FROM f a JOIN f b ON a.source = b.source AND a.doc_id < b.doc_id)
-SELECT a, b, round(s, 6) AS similarity FROM p WHERE s >= 0.85"""
-
-
-@query(STRUCTURAL)
+SEMANTIC = """WITH RECURSIVE t0 AS (SELECT doc_id, regexp_extract_all(lower(text), '[\\p{L}\\p{N}_]+') AS w FROM documents),
+classes AS (SELECT doc_id AS ord, CASE WHEN len(w) > 0 THEN min(doc_id) OVER (PARTITION BY list_sort(w)) ELSE doc_id END AS class FROM t0),
+w AS (SELECT doc_id, unnest(w) AS word FROM t0),
+tf AS (SELECT doc_id, word, count(*) AS k FROM w GROUP BY ALL), df AS (SELECT word, count(*) AS df FROM tf GROUP BY ALL), t AS (SELECT doc_id, sum(k) AS total FROM tf GROUP BY ALL),
+v AS (SELECT doc_id, word, k / total * (SELECT count(*) FROM documents) / (df + 1) AS x FROM tf JOIN t USING (doc_id) JOIN df USING (word)),
+n AS (SELECT doc_id, sqrt(sum(x * x)) AS n FROM v GROUP BY ALL), u AS (SELECT doc_id, word, x / n AS u FROM v JOIN n USING (doc_id) JOIN classes ON ord = doc_id AND class = doc_id),
+pairs AS MATERIALIZED (SELECT a.doc_id AS a, b.doc_id AS b, sum(a.u * b.u) AS s FROM u a JOIN u b ON a.word = b.word AND a.doc_id < b.doc_id GROUP BY ALL HAVING sum(a.u * b.u) >= 0.85)"""
+@query(STRUCTURAL + " SELECT a, b, round(s, 6) AS similarity FROM pairs")
 def structural_pairs(spark, d):
     return dedup.structural_pairs(examples(spark, d)).withColumn("similarity", F.round("similarity", 6))
 
 
-@query()
+@query(STRUCTURAL + " SELECT ord, class FROM classes")
+def structural_classes(spark, d):
+    return dedup.structural_classes(examples(spark, d))
+
+
+@query(STRUCTURAL + GREEDY)
 def structural_dedup(spark, d):
-    e = examples(spark, d)
-    return dedup.keep_first(e, dedup.structural_pairs(e)).select("ord")
+    return dedup.structural(examples(spark, d)).select("ord")
 
 
-@query("""WITH w AS (SELECT doc_id, unnest(regexp_extract_all(lower(text), '[\\p{L}\\p{N}_]+')) AS word FROM documents),
-tf AS (SELECT doc_id, word, count(*) AS k FROM w GROUP BY ALL), df AS (SELECT word, count(*) AS df FROM tf GROUP BY ALL), t AS (SELECT doc_id, sum(k) AS total FROM tf GROUP BY ALL),
-v AS (SELECT doc_id, word, k / total * (SELECT count(*) FROM documents) / (df + 1) AS x FROM tf JOIN t USING (doc_id) JOIN df USING (word)),
-n AS (SELECT doc_id, sqrt(sum(x * x)) AS n FROM v GROUP BY ALL), u AS (SELECT doc_id, word, x / n AS u FROM v JOIN n USING (doc_id))
-SELECT a.doc_id AS a, b.doc_id AS b, round(sum(a.u * b.u), 5) AS similarity FROM u a JOIN u b ON a.word = b.word AND a.doc_id < b.doc_id GROUP BY ALL HAVING sum(a.u * b.u) >= 0.85""")
+@query(SEMANTIC + " SELECT a, b, round(s, 5) AS similarity FROM pairs")
 def semantic_pairs(spark, d):
     return dedup.semantic_pairs(examples(spark, d)).withColumn("similarity", F.round("similarity", 5))
 
 
+@query(SEMANTIC + " SELECT ord, class FROM classes")
+def semantic_classes(spark, d):
+    return dedup.semantic_classes(examples(spark, d))
+
+
+@query(SEMANTIC + GREEDY)
+def semantic_dedup(spark, d):
+    return dedup.semantic(examples(spark, d)).select("ord")
+
+
+@query(f"WITH h AS (SELECT md5({SQUASH}) AS h, doc_id, source FROM documents), n AS (SELECT *, count(*) OVER (PARTITION BY h) AS n, row_number() OVER (PARTITION BY h ORDER BY doc_id) AS place FROM h) SELECT left(h, 8) AS hash, doc_id AS ord, source, CAST(place AS INTEGER) AS place FROM n WHERE n > 1")
+def cluster_members(spark, d):
+    return dedup.members(examples(spark, d))
+
+
 @query("SELECT word, count(*) AS df, round((SELECT count(*) FROM documents) / (count(*) + 1), 6) AS idf FROM (SELECT DISTINCT doc_id, unnest(regexp_extract_all(lower(text), '[\\p{L}\\p{N}_]+')) AS word FROM documents) GROUP BY word")
 def vocabulary(spark, d):
     return answers.vocabulary(texts(spark, d).select("id", T.word_tokens(F.col("text")).alias("words")))

@@ -274,3 +274,57 @@ def test_scalars_from_sql_stay_in_the_plan(spark):
     assert "Python" not in plan(df)
     assert tuple(df.first()) == ("a b", 3, ".pdf", "", 0.5, "review", None)
     assert json.dumps([df.count()]) == "[1]"
+
+
+# deduplication
+EXAMPLE = "ord long, instruction string, input string, output string, source string"
+
+
+def test_copies_are_classes_not_pairs(spark):
+    from quern.operators import dedup
+
+    near = ["one two three four five six seven eight nine ten", "one two three four five six seven eight nine tenth", "wholly other words stand in this one text here now"]
+    e = spark.range(100_000).select("id", F.element_at(F.array(*map(F.lit, near)), (F.when(F.col("id") % 1000 == 1, 2).when(F.col("id") % 1000 == 2, 3).otherwise(1)).cast("int")).alias("output"))
+    e = e.select(F.col("id").alias("ord"), F.lit("").alias("instruction"), F.lit("").alias("input"), "output", F.lit("s").alias("source"))
+    pairs = dedup.structural_pairs(e)
+    assert [(r.a, r.b) for r in pairs.collect()] == [(0, 1)]
+    assert {r["class"] for r in dedup.structural_classes(e).select("class").distinct().collect()} == {0, 1, 2}
+    assert sorted(r.ord for r in dedup.structural(e).collect()) == [0, 2]
+    assert sorted(r.ord for r in dedup.semantic(e).collect()) in ([0, 2], [0, 1, 2])
+    assert [r["class"] for r in dedup.semantic_classes(e).groupBy("class").count().filter("count > 99000").collect()] == [0]
+
+
+@pytest.mark.parametrize("block", [2, 7, 1000])
+def test_keys_in_blocks_lose_no_pair(spark, block):
+    from quern.operators import dedup
+
+    r = random.Random(5)
+    rows = sorted({(r.randrange(60), r.choice("aaaab")) for _ in range(150)})
+    n = collections.Counter(k for _, k in rows)
+    d = spark.createDataFrame([(o, k, n[k]) for o, k in rows], "ord long, k string, df long")
+    expected = {(x, y) for x, k in rows for y, m in rows if k == m and x < y}
+    found = [tuple(x) for x in dedup.meeting(d, ["k"], "df", block).collect()]
+    assert set(found) == expected and len(found) == len(expected)
+
+
+def test_semantic_keep_first_against_the_sequence(spark):
+    from quern.operators import dedup
+
+    r = random.Random(6)
+    vocabulary = [f"w{i}" for i in range(40)]
+    texts = [" ".join(r.choices(vocabulary[: 8 + i % 20], k=12)) for i in range(40)]
+    texts += [" ".join(r.sample(t.split(), 12)) for t in texts[:10]] + ["", "", "!"]
+    order = list(range(len(texts)))
+    r.shuffle(order)
+    e = spark.createDataFrame([(o, "", None, t, "s") for o, t in zip(order, texts, strict=True)], EXAMPLE)
+    by = dict(zip(order, texts, strict=True))
+    words = {o: collections.Counter(t.split()) if t != "!" else collections.Counter() for o, t in by.items()}
+    df = collections.Counter(w for c in words.values() for w in c)
+    vector = {o: {w: k / sum(c.values()) * len(by) / (df[w] + 1) for w, k in c.items()} for o, c in words.items()}
+    norm = {o: sum(x * x for x in v.values()) ** 0.5 for o, v in vector.items()}
+    cosine = lambda a, b: sum(x * vector[b].get(w, 0) for w, x in vector[a].items()) / (norm[a] * norm[b]) if norm[a] and norm[b] else 0
+    kept = []
+    for o in sorted(by):
+        if not any(cosine(k, o) >= 0.6 for k in kept):
+            kept.append(o)
+    assert sorted(x.ord for x in dedup.semantic(e, 0.6).collect()) == kept and len(kept) < len(texts)
