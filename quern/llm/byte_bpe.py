@@ -35,9 +35,9 @@ VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 #: Bytes of a piece above which it is cut, and of a cut part above which a round contracts more than one place.
 LONG_PIECE, LONG_PART = 128, 1024
 #: Bytes of parts that a query contracts at once, and rounds of a query on a long part: what it holds grows with both.
-AT_ONCE, ROUNDS = 40_000, 4
+AT_ONCE, ROUNDS = 160_000, 4
 #: Bytes of pieces and tokens that a worker remembers in either of two generations.
-REMEMBERED = 20 << 20
+REMEMBERED = 64 << 20
 LONG_MEMORY_MB = 800
 #: The characters that \s stands for in the pattern: Unicode's White_Space.
 WHITE = r"\t\n\x0B\f\r\x20\x85\xA0  -     　"
