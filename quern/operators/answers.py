@@ -20,6 +20,11 @@ def any_of(text: Column, patterns: list[str]) -> Column:
     return text.rlike("(?iU)" + "|".join(f"(?:{p})" for p in patterns))
 
 
+def leak(text: Column) -> Column:
+    """The first of LEAKS that a text shows; null if none."""
+    return F.coalesce(*(F.when(any_of(text, [p]), F.lit(p)) for p in LEAKS))
+
+
 def token_set(text: Column) -> Column:
     return F.array_distinct(F.regexp_extract_all(text, F.lit("([A-Za-z0-9가-힣]{2,})"), F.lit(1)))
 
@@ -70,6 +75,50 @@ def merge(results: DataFrame) -> DataFrame:
     )
 
 
+# What is added where exclusions were not checked, and the parts of a merged answer.
+UNCHECKED = "미지급/면책 조항 확인 필요"
+PARTS = {"question": "## 질문", "decision": "## 판단", "main": "## 주요 근거", "quotes": "### 인용 근거", "conditions": "## 충족 필요 조건", "exclusions": "## 주의: 면책/미지급 사유", "others": "## 기타 특약/담보 판단"}
+CLOSING = "*본 판단은 제공된 약관 텍스트만을 근거로 하며, 최종 보험금 지급 여부는 보험사의 심사를 따릅니다.*"
+MOST_QUOTES = 3
+
+
+def normalised(results: DataFrame) -> DataFrame:
+    """results (scope_id, decision, evidence, exclusions_checked, conditions, confidence) with warnings: without evidence confidence is at most .55; covered with unchecked exclusions becomes conditional with a condition more, at most .7; confidence is from 0 to 1."""
+    bare, unchecked = F.size(F.coalesce("evidence", F.array())) <= 0, (F.col("decision") == "covered") & ~F.coalesce("exclusions_checked", F.lit(False))
+    c = F.when(bare, F.least("confidence", F.lit(0.55))).otherwise(F.col("confidence"))
+    conditions = F.coalesce("conditions", F.array().cast("array<string>"))
+    warned = F.filter(F.array(F.when(bare, F.concat(F.lit("Missing evidence: "), "scope_id")), F.when(unchecked, F.concat(F.lit("Covered without exclusions_checked → downgrade: "), "scope_id"))), lambda x: x.isNotNull())
+    return results.withColumns({
+        "confidence": F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.when(unchecked, F.least(c, F.lit(0.7))).otherwise(c))), "warnings": warned,
+        "conditions": F.when(unchecked, F.concat(conditions, F.array(F.lit(UNCHECKED)))).otherwise(conditions), "decision": F.when(unchecked, "conditional").otherwise(F.col("decision")),
+    })
+
+
+def merged(results: DataFrame) -> DataFrame:
+    """One row for each doc_id and question of results (doc_id, question, ord, scope_id, scope_title, decision, answer, evidence array<struct<article, quote>>, exclusions_checked, exclusions array<string>, conditions array<string>, confidence): final_decision, confidence, warnings by ord, conflicts (decision_conflict, exclusion_found), conditions and exclusions (sorted, distinct) and the answer as Markdown. The scopes asked one question are gathered, by priority, confidence and ord."""
+    none = F.array().cast("array<string>")
+    prio = F.coalesce(F.try_element_at(F.create_map(*(F.lit(x) for kv in PRIORITY.items() for x in kv)), F.col("decision")), F.lit(0))
+    n = normalised(results).withColumn("exclusions", F.coalesce("exclusions", none))
+    x = F.struct((-prio).alias("p"), (-F.col("confidence")).alias("c"), "ord", "scope_title", "decision", "confidence", "answer", "evidence", "conditions", "exclusions", "warnings")
+    g = n.groupBy("doc_id", "question").agg(F.array_sort(F.collect_list(x)).alias("all"), F.array_sort(F.collect_list(F.struct("ord", "warnings"))).alias("in_turn"))
+    distinct = lambda c: F.array_sort(F.array_distinct(F.flatten(F.transform("all", lambda r: r[c]))))
+    has = lambda d: F.exists("all", lambda r: r["decision"] == d)
+    g = g.withColumns({
+        "warnings": F.flatten(F.transform("in_turn", lambda r: r["warnings"])), "conditions": distinct("conditions"), "exclusions": distinct("exclusions"), "top": F.get("all", F.lit(0)),
+        "conflicts": F.filter(F.array(F.when(has("covered") & has("not_covered"), "decision_conflict"), F.when(F.exists("all", lambda r: F.size(r["exclusions"]) > 0), "exclusion_found")), lambda c: c.isNotNull()),
+    })
+    percent = lambda c: F.format_string("%.0f%%", 100 * c)
+    items = lambda head, c: F.when(F.size(c) > 0, F.concat(F.lit(f"\n{head}\n"), F.array_join(F.transform(c, lambda v: F.concat(F.lit("- "), v)), "\n")))
+    quotes = F.transform(F.slice(F.coalesce("top.evidence", F.array()), 1, MOST_QUOTES), lambda e: F.concat(F.coalesce(e["article"], F.lit("")), F.lit(': "'), F.coalesce(e["quote"], F.lit("")), F.lit('"')))
+    others = F.transform(F.slice("all", F.lit(2), F.size("all")), lambda r: F.concat(F.lit("**"), r["scope_title"], F.lit("**: "), r["decision"], F.lit(" (신뢰도: "), percent(r["confidence"]), F.lit(")")))
+    text = F.concat_ws(
+        "\n", F.concat(F.lit(PARTS["question"] + "\n"), "question", F.lit("\n")), F.concat(F.lit(PARTS["decision"] + "\n**"), "top.decision", F.lit("**\n")),
+        F.concat(F.lit(PARTS["main"] + "\n**"), "top.scope_title", F.lit("** (신뢰도: "), percent(F.col("top.confidence")), F.lit(")\n")), strip(F.coalesce("top.answer", F.lit(""))),
+        items(PARTS["quotes"], quotes), items(PARTS["conditions"], F.col("conditions")), items(PARTS["exclusions"], F.col("exclusions")), items(PARTS["others"], others), F.lit("\n---\n" + CLOSING),
+    )
+    return g.select("doc_id", "question", F.col("top.decision").alias("final_decision"), F.col("top.confidence").alias("confidence"), "warnings", "conflicts", "conditions", "exclusions", text.alias("answer"))
+
+
 def pii(text: Column) -> Column:
     """Which personal data a text shows: e-mail, telephone, resident number, card, IP address."""
     rules = [("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}"), ("phone", r"01[016789]-?[0-9]{3,4}-?[0-9]{4}"), ("resident", r"[0-9]{6}-[1-4][0-9]{6}"), ("card", r"[0-9]{4}-[0-9]{4}-[0-9]{4}-[0-9]{4}"), ("ip", r"[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}")]

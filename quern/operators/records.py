@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quern.functions.text import literal_count, occurrences, strip
+from quern.operators import ordered
 
 THINK_FROM = 100
 
@@ -87,6 +91,41 @@ def first_of_each(examples: DataFrame, columns: list[str]) -> DataFrame:
     return examples.join(examples.groupBy(key.alias("k")).agg(F.min("ord").alias("ord")).select("ord"), "ord", "left_semi")
 
 
+def merged(sets: list[DataFrame], columns: list[str], seed: int = 42) -> DataFrame:
+    """The distinct rows of all sets by the given columns, shuffled: place is a row's rank by a seeded digest of them, numbered over ranges."""
+    both = reduce(DataFrame.unionByName, (s.select(*columns) for s in sets))
+    digest = F.md5(F.concat_ws(":", F.to_json(F.struct(*columns)), F.lit(str(seed))))
+    return ordered.numbered(both.distinct().withColumn("__digest", digest), ["__digest", *columns], "place").drop("__digest")
+
+
+def leaves(kind: T.DataType, value: Column, path: str) -> tuple[Column, Column]:
+    """A value without its empty parts, null if nothing is left, and the paths of the texts and nulls that are empty in it. The type says what to look into: fields of structs and items of arrays, whose paths name their place."""
+    none = F.array().cast("array<string>")
+    if isinstance(kind, T.StructType):
+        parts = [leaves(f.dataType, value.getField(f.name), f"{path}.{f.name}" if path else f.name) for f in kind.fields]
+        kept = F.struct(*(p.alias(f.name) for (p, _), f in zip(parts, kind.fields, strict=True)))
+        some = reduce(lambda a, b: a | b, (p.isNotNull() for p, _ in parts), F.lit(False))
+        return F.when(some, kept), F.concat(*(x for _, x in parts)) if parts else none
+    if isinstance(kind, T.ArrayType):
+        inner = kind.elementType
+        blank = lambda v: F.lit(False) if isinstance(inner, (T.StructType, T.ArrayType)) else leaves(inner, v, "")[0].isNull()
+        full = F.filter(value, lambda v: v.isNotNull() & ~blank(v))
+        kept = F.filter(F.transform(full, lambda v: leaves(inner, v, "")[0]), lambda v: v.isNotNull())
+        # what is empty within items is named by the item's place; empty items themselves go unnamed
+        within = F.flatten(F.transform(value, lambda v, i: F.transform(leaves(inner, v, "")[1], lambda p: F.concat(F.lit(f"{path}["), i.cast("string"), F.lit("]."), p)))) if isinstance(inner, T.StructType) else none
+        return F.when(F.size(kept) > 0, kept), F.coalesce(within, none)
+    gone = value.isNull() | (strip(value) == "" if isinstance(kind, T.StringType) else F.lit(False))
+    return F.when(~gone, value), F.when(gone, F.array(F.lit(path))).otherwise(none)
+
+
+def without_empty(records: DataFrame, keep: list[str]) -> DataFrame:
+    """records with every column but those of `keep` freed of empty texts, arrays and objects at any depth, and removed, the paths of empty fields in the order of the columns."""
+    kinds = {f.name: f.dataType for f in records.schema.fields}
+    parts = {c: leaves(kinds[c], F.col(c), c) for c in records.columns if c not in keep}
+    removed = F.concat(*(x for _, x in parts.values())) if parts else F.array().cast("array<string>")
+    return records.select(*(parts[c][0].alias(c) if c in parts else c for c in records.columns), removed.alias("removed"))
+
+
 def table_examples(cells: DataFrame, instruction: str = "") -> DataFrame:
     """One example for each table with cells: the table as Markdown is the output; n_rows and n_cols describe it."""
     from quern.operators.tables import markdown_tables

@@ -23,6 +23,9 @@ def quoted(quote: Column, scope: Column, least: float = 0.5) -> Column:
     return F.contains(bare(scope), bare(quote)) | (F.size(F.array_intersect(mine, words(scope))) >= least * F.size(mine))
 
 
+# Fixed values of the validator: wording that refers beyond the scope, and wording that guesses.
+BEYOND = [r"다른\s*(특약|약관|담보)", r"(별도의|추가)\s*(특약|약관|담보)", r"(주계약|보통약관).*확인", r"일반적으로|통상적으로|보통|대체로", r"보험\s*상식|일반\s*원칙", r"(다른|별도)\s*조항.*참조", r"(해당|이)\s*문서\s*(외|밖)"]
+GUESSING = [r"(아마도|아마|추측|예상)", r"(~일\s*것|~로\s*보임|~인\s*듯)", r"(명확하지\s*않지만|확실하지\s*않지만).*단정"]
 #: Characters of what texts and titles are joined by.
 GRAM = 5
 #: Titles of which a question across all scopes may hold a list.
@@ -71,6 +74,30 @@ def violations(answers: DataFrame, evidence: DataFrame, titles: DataFrame) -> Da
     return a.withColumn("violations", found).withColumn("valid", ~F.arrays_overlap("violations", F.array(*map(F.lit, ERRORS)))).drop("n", "unquoted", "unknown", "named")
 
 
+def validated(answers: DataFrame, evidence: DataFrame, titles: DataFrame) -> DataFrame:
+    """answers (id, scope_title, scope_text, answer, decision, exclusions_checked) with problems, in a fixed order, valid, severity and action: "retry" where another scope is named or an article cited that the scope lacks, "accept_with_warning" for other problems, else "accept". evidence: id, article. titles: title."""
+    text = lambda c: F.coalesce(c, F.lit(""))
+    number = lambda c: F.regexp_extract(text(c), r"제\s*(\d+)\s*조", 1)
+    numbers = F.regexp_extract_all(text("scope_text"), F.lit(r"제\s*(\d+)\s*조"), F.lit(1))
+    cited = evidence.join(answers.select("id", numbers.alias("numbers")), "id")
+    per = cited.groupBy("id").agg(F.count("*").alias("n"), F.max((number("article") != "") & ~F.array_contains("numbers", number("article"))).alias("foreign"))
+    own = answers.select("id", "scope_title").distinct()
+    named = mentions(answers.select("id", F.col("answer").alias("text")), titles).join(own, "id").filter(~F.col("title").eqNullSafe(F.col("scope_title"))).select("id", F.lit(True).alias("named")).distinct()
+    a = answers.join(per, "id", "left").join(named, "id", "left")
+    none = F.coalesce("n", F.lit(0)) == 0
+    some = lambda patterns: text("answer").rlike("|".join(f"(?:{p})" for p in patterns))
+    rules = [
+        ("other_scope", F.col("named")), ("external_reference", some(BEYOND)), ("foreign_article", F.col("foreign")), ("speculation", some(GUESSING)),
+        ("exclusions_not_checked", (F.col("decision") == DECIDED[0]) & ~F.coalesce("exclusions_checked", F.lit(False))), ("missing_evidence", F.col("decision").isin(DECIDED) & none),
+    ]
+    a = a.withColumn("problems", F.filter(F.array(*(F.when(c, F.lit(k)) for k, c in rules)), lambda x: x.isNotNull())).drop("n", "foreign", "named")
+    grave = F.arrays_overlap("problems", F.array(F.lit("other_scope"), F.lit("foreign_article")))
+    clean = F.size("problems") == 0
+    return a.withColumns({
+        "valid": clean, "severity": F.when(clean, "none").when(grave, "error").otherwise("warning"), "action": F.when(clean, "accept").when(grave, "retry").otherwise("accept_with_warning"),
+    })
+
+
 def force_insufficient(checked: DataFrame) -> DataFrame:
     """What violations() gives, with the decision of invalid answers made insufficient and their confidence 0."""
     return checked.withColumn("decision", F.when(F.col("valid"), F.col("decision")).otherwise("insufficient")).withColumn("confidence", F.when(F.col("valid"), F.col("confidence")).otherwise(0.0))

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quern.functions.text import strip
+from quern.operators import tables
 
 TABLE = ["id", "table_no"]
 # What is left out of an amount, a share or an age before asking whether it is a number.
@@ -79,3 +80,28 @@ def reprocess(gated: DataFrame) -> DataFrame:
         F.when(F.col("passed"), "full").when(by_hand, "manual").when(widest == 2, "structure_only").when(widest == 1, "ocr_only").otherwise("full").alias("level"),
         F.when(F.col("passed"), 5).when(by_hand, 1).otherwise(F.coalesce(first, F.lit(3))).alias("priority"),
     )
+
+
+def assess(cells: DataFrame, attempts: DataFrame | None = None) -> DataFrame:
+    """Per table of cells: the gate's metrics, verdict, grade, action and reasons; the header's rows, its confidence and the structure's problems; and whether, how and how urgently to reprocess. Cells without a reliability get one. attempts: id, table_no and how often a table was reprocessed before."""
+    known = F.coalesce("reliability", F.round(tables.reliability(F.col("text"), F.col("ocr_text")), 4))
+    c = cells.withColumn("reliability", known)
+    n = c.groupBy(*TABLE).agg(F.count("*").alias("n_cells"))
+    g = tables.gate(c).join(n, TABLE)
+    size = lambda a, b, d: F.when(F.col("n_cells") < 10, a).when(F.col("n_cells") < 50, b).otherwise(d)
+    reasons = F.filter(F.array(
+        F.when(F.col("fill_rate") < size(0.70, 0.60, 0.55), "low_fill_rate"), F.when(F.col("avg_reliability") < size(0.75, 0.70, 0.65), "low_avg_reliability"),
+        F.when(F.col("low_conf_ratio") > size(0.20, 0.25, 0.30), "high_low_conf_ratio"), F.when(~F.col("header_ok") | F.col("header_ok").isNull(), "header_validation_failed"),
+    ), lambda x: x.isNotNull())
+    g = g.withColumn("reasons", reasons).withColumn("header_ok", F.coalesce("header_ok", F.lit(False)))
+    h = header_rows(header_scores(c)).withColumnsRenamed({"rows": "header_rows", "confidence": "header_confidence"})
+    t = g.join(h, TABLE).join(structure_problems(c), TABLE)
+    names = ["inconsistent_column_count", "duplicate_cell_position"]
+    issues = F.filter(F.array(F.when(F.size("header_rows") == 0, "header_detection_failed"), *(F.when(F.col(k), k) for k in names)), lambda x: x.isNotNull())
+    t = t.withColumn("issues", issues).withColumn("structure_valid", F.size("issues") == 0).drop(*names)
+    t = t.join(attempts.select(*TABLE, "attempts"), TABLE, "left") if attempts is not None else t.withColumn("attempts", F.lit(0))
+    # what the gate and the structure found, as the reasons that reprocessing knows
+    same = {"high_low_conf_ratio": "excessive_low_conf_cells", "header_validation_failed": "header_detection_failed", "inconsistent_column_count": "structure_validation_failed", "duplicate_cell_position": "structure_validation_failed"}
+    renamed = F.create_map(*(F.lit(x) for kv in same.items() for x in kv))
+    found = F.transform(F.concat("reasons", "issues"), lambda r: F.coalesce(F.try_element_at(renamed, r), r))
+    return reprocess(t.withColumns({"gate_reasons": F.col("reasons"), "reasons": F.array_distinct(found)})).drop("n_cells")

@@ -52,6 +52,8 @@ def reliability(text: Column, ocr_text: Column | None = None, ocr_confidence: Co
 def gate(cells: DataFrame) -> DataFrame:
     """Per id, table_no: metrics, whether it passes by thresholds that depend on its size, its score, grade and what to do."""
     filled = strip(F.coalesce("text", F.lit(""))) != ""
+    if "ocr_text" in cells.columns:
+        filled = filled | (strip(F.coalesce("ocr_text", F.lit(""))) != "")
     c = cells.withColumn("filled", filled.cast("int")).withColumn("n", F.count("*").over(Window.partitionBy("id", "table_no")))
     by_size = lambda a, b, d: F.when(F.col("n") < 10, a).when(F.col("n") < 50, b).otherwise(d)
     low = (F.col("reliability") < by_size(0.60, 0.60, 0.55)).cast("int")

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quern.functions import text as T
-from quern.operators import classify, clause_headers, contracts, dedup, record_quality, scope_checks, spatial, table_structure, tables
+from quern.operators import answers, classify, clause_headers, contracts, critique, dedup, distillation, record_quality, records, scope_checks, spatial, table_structure, tables
 from quern.plans.common import GREEDY, SQUASH, STRUCTURAL, table
 from quern.streaming import ledger
 
@@ -40,12 +40,14 @@ TABLES: dict[str, str | tuple[str, str]] = {
     "plain_records": "SELECT conv_id * 1000 + turn AS id, CASE WHEN turn % 3 = 0 THEN CASE WHEN conv_id % 3 = 0 THEN '' ELSE role END END AS instruction, CASE WHEN turn % 2 = 0 THEN text END AS input, CASE WHEN turn % 5 < 3 THEN text WHEN turn % 5 = 3 THEN '' END AS output, CASE WHEN turn % 3 = 2 THEN text END AS text, CASE WHEN turn % 4 = 3 THEN '!!!!!! bad ' || role || ' aaaaaaa' END AS content FROM {conversations}",
     "generated_examples": "SELECT conv_id * 1000 + turn AS ord, role AS instruction, CASE WHEN turn % 3 = 0 THEN role ELSE text END AS output, CASE WHEN turn % 11 < 10 THEN CAST(6 + (conv_id + turn) % 4 AS DOUBLE) END AS overall, CAST(5 + (conv_id + 2 * turn) % 5 AS DOUBLE) AS korean, turn % 4 < 3 AS passed_checks, conv_id % 4 AS n_violations FROM {conversations}",
     "article_sizes": "SELECT conv_id AS id, CAST(turn AS INT) AS article_no, length(text) * 10 AS n_chars FROM {conversations} WHERE text IS NOT NULL",
+    "critiqued": "SELECT conv_id * 1000 + turn AS id, coalesce(lag(text) OVER (PARTITION BY conv_id ORDER BY turn), role) AS instruction, first_value(text) OVER (PARTITION BY conv_id ORDER BY turn) || ' ' || role AS context, CASE turn % 7 WHEN 5 THEN left(text, 30) WHEN 6 THEN role || ' 010-1234-5678' ELSE text END AS output FROM {conversations}",
     # a document is a scope, the names of parts are scopes' titles
     "scope_answers": "SELECT doc_id AS id, p_name || ' 특약' AS scope_title, text || ' 제1조 제2조' AS scope_text, CASE doc_id % 6 WHEN 0 THEN 'hot gear 특약에서는 다릅니다' WHEN 1 THEN '일반적으로 보장됩니다' WHEN 2 THEN text WHEN 3 THEN '본문 참조 ' || p_name || ' 특약' WHEN 4 THEN '다른 약관에서 항상' ELSE '암 진단 때 지급됩니다' END AS answer, CASE doc_id % 4 WHEN 0 THEN '보장' WHEN 1 THEN '비보장' WHEN 2 THEN 'insufficient' END AS decision, CASE WHEN doc_id % 7 > 0 THEN doc_id % 3 = 0 END AS exclusions_checked, CAST(doc_id % 10 AS DOUBLE) / 10 AS confidence FROM {documents} JOIN {part} ON p_partkey = doc_id % 150",
     "scope_evidence": "SELECT doc_id AS id, CASE doc_id % 3 WHEN 0 THEN substr(d.text, 5, 60) WHEN 1 THEN b.text ELSE '' END AS quote, CASE WHEN doc_id % 2 = 0 THEN '제1조' ELSE '제9조, 제 2 조' END AS article FROM {documents} d JOIN {benchmark} b ON item_id = doc_id % 40 WHERE doc_id % 7 < 5",
     "scope_titles": "SELECT DISTINCT p_name || ' 특약' AS title FROM {part} UNION ALL SELECT DISTINCT '' FROM {part}",
     "scope_questions": "SELECT p_partkey AS id, CASE p_partkey % 4 WHEN 0 THEN '이 ' || p_name || ' 특약과 ' || p_brand || '은?' WHEN 1 THEN '두 특약의 차이는? ' || p_type WHEN 2 THEN p_name || ' 특약red widget 특약 전체' ELSE '보험금은 언제?' END AS question FROM {part}",
     "quoted_outputs": """SELECT doc_id AS id, CASE doc_id % 4 WHEN 0 THEN '약관은 "' || b.text || '" 한다' WHEN 1 THEN 'so "' || substr(d.text, 3, 30) || '" and "' || p.text || '"' WHEN 2 THEN '인용이 없다' END AS output, CASE WHEN doc_id % 9 < 8 THEN d.text END AS canonical, CASE doc_id % 3 WHEN 0 THEN 'definition' WHEN 1 THEN 'explanation' END AS qtype FROM {documents} d JOIN {benchmark} b ON item_id = doc_id % 40 JOIN (SELECT item_id AS other, text FROM {benchmark}) p ON other = (doc_id + 1) % 40""",
+    "taught": "SELECT doc_id AS id, 'what about ' || source AS instruction, CASE WHEN doc_id % 11 < 10 THEN d.text END AS canonical, b.text AS summary, CASE WHEN doc_id % 5 = 0 THEN '' ELSE source END AS operational, CASE WHEN doc_id % 13 > 0 THEN b.text END AS answer, CASE doc_id % 4 WHEN 0 THEN 'canonical,summary' WHEN 1 THEN 'operational' WHEN 2 THEN 'summary,operational,other' END AS sources, CASE doc_id % 4 WHEN 0 THEN 'definition' WHEN 1 THEN 'operation' WHEN 2 THEN 'no such kind' END AS kind FROM {documents} d JOIN {benchmark} b ON item_id = doc_id % 40",
     # line items as boxes of recognised text, others as tables' outlines
     "boxes": f"SELECT l_orderkey AS id, place % 2 AS page, 'b' || place AS box, CAST(l_partkey % 30 * 10 AS DOUBLE) + CAST(place AS DOUBLE) / 64 AS x, CAST(l_suppkey % 20 * 7 AS DOUBLE) + CAST(place AS DOUBLE) / 64 AS y FROM ({PLACE}) AS t",
     "table_boxes": f"SELECT l_orderkey AS id, place AS page, CAST(l_partkey % 20 * 10 AS DOUBLE) AS x_min, CAST(l_suppkey % 10 * 7 AS DOUBLE) AS y_min, CAST(l_partkey % 20 * 10 + 90 AS DOUBLE) AS x_max, CAST(l_suppkey % 10 * 7 + 50 AS DOUBLE) AS y_max FROM ({PLACE}) AS t WHERE l_partkey % 3 = 0",
@@ -81,6 +83,8 @@ def duckdb_sql(name: str) -> str:
 def with_tables(sql: str, of=duckdb_sql) -> str:
     """The SQL with the tables it names before it, as DuckDB reads them."""
     named = [f"{k} AS ({of(k)})" for k in TABLES if re.search(rf"\b{k}\b", sql)]
+    if not named:
+        return sql
     return f"WITH RECURSIVE {', '.join(named)}{',' if sql.lstrip().startswith('+') else ''} {sql.lstrip().removeprefix('+')}"
 
 
@@ -407,3 +411,133 @@ def article_groups(spark, d):
 @query("+ n AS (SELECT id, path, regexp_extract(path, '[^/]*$') AS name, regexp_extract(regexp_extract(path, '[^/]*$'), '^.+(\\.[^.]+)$', 1) AS suffix FROM file_paths) SELECT id, name, left(name, length(name) - length(suffix)) AS stem, lower(suffix) AS suffix, regexp_extract(path, '([^/]+)/[^/]*$', 1) AS parent FROM n")
 def path_parts(spark, d):
     return rows(spark, d, "file_paths").select("id", T.path_parts(F.col("path")).alias("p")).select("id", "p.*")
+
+
+# critique, compliance, validation, distillation, merging and pruning
+LATIN_JOINING, LATIN_PARTICLES, LATIN_FORMAL, LATIN_SLURS = ["the ", "que", "und"], ["th", "qu", "sch", "ción"], [".", "!"], ["wasm", "ouqu"]
+any_sql = lambda t, words: "(" + " OR ".join(f"contains({t}, '{w}')" for w in words) + ")"
+words_sql = lambda t: f"list_filter(list_distinct(regexp_split_to_array({t}, '\\s+')), lambda x: x <> '')"
+
+
+@query(f"""+ w AS (SELECT *, {words_sql('output')} AS o, {words_sql('context')} AS c, {words_sql('instruction')} AS i, string_split(output, '.') AS parts, list_filter(list_transform(string_split(output, '.'), lambda x: trim(x, E' \\t\\r\\n')), lambda x: x <> '') AS sentences FROM critiqued),
+s AS (SELECT id, CASE WHEN length(output) < 50 THEN 3 WHEN len(parts) < 2 THEN 5 ELSE least(10, 3 + 0.5 * len(list_filter(parts, lambda x: {any_sql('x', LATIN_JOINING)}))) END::DOUBLE AS coherence, least(10, 4 + 6 * len(list_intersect(o, c)) / greatest(1, len(o)))::DOUBLE AS accuracy,
+  CASE WHEN length(output) < 100 THEN 3 ELSE least(10, 3 + 7 * len(list_intersect(i, o)) / greatest(1, len(i))) END::DOUBLE AS completeness, least(10, 4 + ({' + '.join(f"contains(output, '{p}')::INT" for p in LATIN_PARTICLES)}) / {len(LATIN_PARTICLES)} * 2 + least(2, length(regexp_replace(output, '[^.!?]', '', 'g'))))::DOUBLE AS korean,
+  CASE WHEN length(output) < 20 OR len(sentences) = 0 THEN 3 WHEN list_sum(list_transform(sentences, lambda x: length(x))) / len(sentences) > 200 OR list_sum(list_transform(sentences, lambda x: length(x))) / len(sentences) < 10 THEN 6 ELSE 8 END::DOUBLE AS clarity FROM w),
+m AS (SELECT *, (coherence + accuracy + completeness + korean + clarity) / 5 AS overall FROM s)
+SELECT id, round(coherence, 6) AS coherence, round(accuracy, 6) AS accuracy, round(completeness, 6) AS completeness, round(korean, 6) AS korean, round(clarity, 6) AS clarity, round(overall, 6) AS overall, overall >= 7 AS passed, CASE {' '.join(f"WHEN overall >= {n} THEN '{t}'" for n, t in critique.VERDICTS[:-1])} ELSE '{critique.VERDICTS[-1][1]}' END AS verdict FROM m""")
+def critique_scores(spark, d):
+    c = critique.critique(rows(spark, d, "critiqued"), LATIN_JOINING, LATIN_PARTICLES)
+    return c.select("id", *(F.round(k, 6).alias(k) for k in ("coherence", "accuracy", "completeness", "korean", "clarity", "overall")), "passed", "verdict")
+
+
+@query(f"""+ v AS (SELECT id, list_filter([CASE WHEN regexp_matches(output, '{'|'.join(critique.PERSONAL)}') THEN 'personal_data' END, CASE WHEN {any_sql('output', LATIN_SLURS)} THEN 'slur' END, CASE WHEN NOT {any_sql('output', LATIN_FORMAL)} THEN 'informal' END,
+  CASE WHEN {any_sql('output', critique.ASKING)} AND len(list_intersect({words_sql('output')}, ['님', '씨', '선생님', '교수님', '박사님'])) = 0 THEN 'no_honorifics' END, CASE WHEN length(output) > 8192 THEN 'too_long' END], lambda x: x IS NOT NULL) AS v FROM critiqued)
+SELECT id, array_to_string(v, ',') AS violations, len(list_intersect(v, ['personal_data', 'slur', 'informal'])) = 0 AS passed FROM v""")
+def compliance_checks(spark, d):
+    c = rows(spark, d, "critiqued").select("id", critique.compliance(F.col("output"), LATIN_FORMAL, LATIN_SLURS).alias("x"))
+    return c.select("id", F.array_join("x.violations", ",").alias("violations"), "x.passed")
+
+
+@query(f"""+ e AS (SELECT e.id, count(*) AS n, bool_or(regexp_extract(article, '제\\s*(\\d+)\\s*조', 1) <> '' AND NOT list_contains(regexp_extract_all(scope_text, '제\\s*(\\d+)\\s*조', 1), regexp_extract(article, '제\\s*(\\d+)\\s*조', 1))) AS alien FROM scope_evidence e JOIN scope_answers a ON e.id = a.id GROUP BY e.id),
+k AS (SELECT a.id, list_filter([CASE WHEN EXISTS (SELECT 1 FROM scope_titles t WHERE t.title <> '' AND t.title <> a.scope_title AND contains(a.answer, t.title)) THEN 'other_scope' END, CASE WHEN regexp_matches(answer, '{'|'.join(scope_checks.BEYOND)}') THEN 'external_reference' END, CASE WHEN alien THEN 'foreign_article' END,
+  CASE WHEN regexp_matches(answer, '{'|'.join(scope_checks.GUESSING)}') THEN 'speculation' END, CASE WHEN decision = '보장' AND NOT coalesce(exclusions_checked, false) THEN 'exclusions_not_checked' END, CASE WHEN decision IN ('보장', '비보장') AND n IS NULL THEN 'missing_evidence' END], lambda x: x IS NOT NULL) AS p FROM scope_answers a LEFT JOIN e ON a.id = e.id)
+SELECT id, array_to_string(p, ',') AS problems, len(p) = 0 AS valid, CASE WHEN len(p) = 0 THEN 'none' WHEN len(list_intersect(p, ['other_scope', 'foreign_article'])) > 0 THEN 'error' ELSE 'warning' END AS severity, CASE WHEN len(p) = 0 THEN 'accept' WHEN len(list_intersect(p, ['other_scope', 'foreign_article'])) > 0 THEN 'retry' ELSE 'accept_with_warning' END AS action FROM k""")
+def scope_validation(spark, d):
+    v = scope_checks.validated(rows(spark, d, "scope_answers"), rows(spark, d, "scope_evidence"), rows(spark, d, "scope_titles"))
+    return v.select("id", F.array_join("problems", ",").alias("problems"), "valid", "severity", "action")
+
+
+@query("+ s AS (SELECT *, coalesce(string_split(sources, ','), ['canonical']) AS s FROM taught) SELECT id, instruction, md5(concat_ws(chr(10) || chr(10), CASE WHEN list_contains(s, 'canonical') AND canonical <> '' THEN '[약관]' || chr(10) || canonical END, CASE WHEN list_contains(s, 'summary') AND summary <> '' THEN '[상품요약서]' || chr(10) || summary END, CASE WHEN list_contains(s, 'operational') AND operational <> '' THEN '[사업방법서]' || chr(10) || operational END)) AS context, coalesce(answer, '') AS output, CASE kind WHEN 'operation' THEN 2 ELSE 0 END AS expert FROM s")
+def student_records(spark, d):
+    t = rows(spark, d, "taught").withColumn("sources", F.split("sources", ","))
+    return distillation.to_student(t).join(t.select("id", distillation.expert(F.col("kind")).alias("expert")), "id").withColumn("context", F.md5("context"))
+
+
+MERGED_SCOPES = """WITH s AS (SELECT l_orderkey AS doc_id, l_linestatus AS question, row_number() OVER (PARTITION BY l_orderkey, l_linestatus ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice) AS ord, 's' || l_linenumber AS scope_id, 't' || (l_partkey % 10) AS scope_title, CASE l_returnflag WHEN 'A' THEN 'not_covered' WHEN 'R' THEN 'conditional' ELSE 'covered' END AS decision,
+  ' says ' || l_partkey || ' ' AS answer, l_partkey % 5 AS n, l_suppkey % 2 = 0 AS checked, l_partkey % 3 AS x, l_suppkey % 3 AS k, l_discount * 10 AS confidence FROM lineitem),
+u AS (SELECT *, decision = 'covered' AND NOT checked AS unchecked, CASE WHEN n > 0 THEN confidence ELSE least(confidence, 0.55) END AS c FROM s),
+r AS (SELECT doc_id, question, ord, scope_title, CASE WHEN unchecked THEN 'conditional' ELSE decision END AS decision, trim(answer) AS answer, n, greatest(0, least(1, CASE WHEN unchecked THEN least(c, 0.7) ELSE c END)) AS confidence,
+  list_concat(list_transform(range(k), lambda i: 'c' || i), CASE WHEN unchecked THEN ['미지급/면책 조항 확인 필요'] ELSE [] END) AS conditions, list_transform(range(x), lambda i: 'x' || i) AS exclusions, list_filter([CASE WHEN n = 0 THEN 'Missing evidence: ' || scope_id END, CASE WHEN unchecked THEN 'Covered without exclusions_checked → downgrade: ' || scope_id END], lambda z: z IS NOT NULL) AS warnings,
+  row_number() OVER (PARTITION BY doc_id, question ORDER BY CASE WHEN unchecked THEN 2 ELSE CASE decision WHEN 'not_covered' THEN 3 WHEN 'conditional' THEN 2 ELSE 1 END END DESC, greatest(0, least(1, CASE WHEN unchecked THEN least(c, 0.7) ELSE c END)) DESC, ord) AS place FROM u),
+g AS (SELECT doc_id, question, arg_min(decision, place) AS final_decision, arg_min(confidence, place) AS confidence, arg_min(scope_title, place) AS title, arg_min(answer, place) AS top_answer, arg_min(n, place) AS n, flatten(list(warnings ORDER BY ord)) AS warnings, bool_or(decision = 'covered') AND bool_or(decision = 'not_covered') AS clash, bool_or(len(exclusions) > 0) AS found,
+  list_sort(list_distinct(flatten(list(conditions)))) AS conditions, list_sort(list_distinct(flatten(list(exclusions)))) AS exclusions, string_agg(CASE WHEN place > 1 THEN '- **' || scope_title || '**: ' || decision || ' (신뢰도: ' || printf('%.0f%%', 100 * confidence) || ')' END, chr(10) ORDER BY place) AS others FROM r GROUP BY doc_id, question)
+SELECT doc_id, question, final_decision, round(confidence, 6) AS confidence, array_to_string(warnings, ';') AS warnings, concat_ws(',', CASE WHEN clash THEN 'decision_conflict' END, CASE WHEN found THEN 'exclusion_found' END) AS conflicts, array_to_string(conditions, ',') AS conditions, array_to_string(exclusions, ',') AS exclusions,
+  md5(concat_ws(chr(10), '## 질문' || chr(10) || question || chr(10), '## 판단' || chr(10) || '**' || final_decision || '**' || chr(10), '## 주요 근거' || chr(10) || '**' || title || '** (신뢰도: ' || printf('%.0f%%', 100 * confidence) || ')' || chr(10), top_answer,
+   CASE WHEN n > 0 THEN chr(10) || '### 인용 근거' || chr(10) || array_to_string(list_transform(range(least(3, n)), lambda i: '- a' || i || ': "q' || i || '"'), chr(10)) END, CASE WHEN len(conditions) > 0 THEN chr(10) || '## 충족 필요 조건' || chr(10) || array_to_string(list_transform(conditions, lambda c: '- ' || c), chr(10)) END,
+   CASE WHEN len(exclusions) > 0 THEN chr(10) || '## 주의: 면책/미지급 사유' || chr(10) || array_to_string(list_transform(exclusions, lambda c: '- ' || c), chr(10)) END, CASE WHEN others IS NOT NULL THEN chr(10) || '## 기타 특약/담보 판단' || chr(10) || others END, chr(10) || '---' || chr(10) || '*본 판단은 제공된 약관 텍스트만을 근거로 하며, 최종 보험금 지급 여부는 보험사의 심사를 따릅니다.*')) AS answer FROM g"""
+
+
+def merged_scopes(spark, d):
+    """Line items as the answers of the scopes of an order's question."""
+    w = Window.partitionBy("l_orderkey", "l_linestatus").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice")
+    upto = lambda n, f: F.transform(F.filter(F.sequence(F.lit(0), F.lit(5)), lambda i: i < n), f)
+    part, supplier = F.col("l_partkey"), F.col("l_suppkey")
+    named = lambda p: lambda i: F.concat(F.lit(p), i.cast("string"))
+    s = table(spark, d, "lineitem").select(
+        F.col("l_orderkey").alias("doc_id"), F.col("l_linestatus").alias("question"), F.row_number().over(w).alias("ord"), F.concat(F.lit("s"), F.col("l_linenumber").cast("string")).alias("scope_id"), F.concat(F.lit("t"), (part % 10).cast("string")).alias("scope_title"),
+        F.when(F.col("l_returnflag") == "A", "not_covered").when(F.col("l_returnflag") == "R", "conditional").otherwise("covered").alias("decision"), F.concat(F.lit(" says "), part.cast("string"), F.lit(" ")).alias("answer"),
+        upto(part % 5, lambda i: F.struct(named("a")(i).alias("article"), named("q")(i).alias("quote"))).alias("evidence"), (supplier % 2 == 0).alias("exclusions_checked"),
+        upto(part % 3, named("x")).alias("exclusions"), upto(supplier % 3, named("c")).alias("conditions"), (F.col("l_discount") * 10).alias("confidence"),
+    )
+    joined = {c: F.array_join(c, sep) for c, sep in (("warnings", ";"), ("conflicts", ","), ("conditions", ","), ("exclusions", ","))}
+    return answers.merged(s).withColumns(joined).withColumn("answer", F.md5("answer")).withColumn("confidence", F.round("confidence", 6))
+
+
+QUERIES["merged_scopes"], ORACLE_SQL["merged_scopes"] = merged_scopes, MERGED_SCOPES
+RECORDS_OF = "SELECT doc_id % 2 = 0 AS even, lang, source FROM documents UNION ALL SELECT item_id % 2 = 0, 'en', 'src' || (item_id % 30) FROM benchmark"
+
+
+def merged_records(spark, d):
+    a = table(spark, d, "documents").select("lang", "source")
+    b = table(spark, d, "benchmark").select(F.lit("en").alias("lang"), F.concat(F.lit("src"), (F.col("item_id") % 30).cast("string")).alias("source"))
+    return records.merged([a, b], ["lang", "source"])
+
+
+QUERIES["merged_records"] = merged_records
+ORACLE_SQL["merged_records"] = f"""WITH a AS (SELECT DISTINCT lang, source FROM ({RECORDS_OF})) SELECT lang, source, row_number() OVER (ORDER BY md5('{{"lang":"' || lang || '","source":"' || source || '"}}:42'), lang, source) - 1 AS place FROM a"""
+
+
+def pruned_records(spark, d):
+    """Orders as records with empty parts at several depths."""
+    t = table(spark, d, "orders")
+    blank = lambda c, k: F.when(F.col("o_orderkey") % k == 0, " ").otherwise(c)
+    item = lambda i: F.struct(blank(F.col("o_orderstatus"), 2 + i).alias("a"), F.when(F.col("o_custkey") % (2 + i) == 0, F.lit(i)).alias("b"))
+    r = t.select(F.col("o_orderkey").alias("id"), blank(F.col("o_orderpriority"), 5).alias("name"), F.struct(F.struct(blank(F.lit("x"), 3).alias("deep")).alias("inner"), F.when(F.col("o_custkey") % 3 > 0, F.col("o_orderstatus")).alias("note")).alias("meta"), F.array(item(0), item(1)).alias("items"), F.array(blank(F.lit("t"), 2), F.lit(None).cast("string")).alias("tags"))
+    p = records.without_empty(r, ["id"])
+    return p.select("id", F.to_json(F.struct("name", "meta", "items", "tags")).alias("record"), F.array_join("removed", ",").alias("removed"))
+
+
+def item_sql(i: int) -> str:
+    return f"concat_ws(',', CASE WHEN o_orderkey % {2 + i} > 0 THEN '\"a\":\"' || o_orderstatus || '\"' END, CASE WHEN o_custkey % {2 + i} = 0 THEN '\"b\":{i}' END)"
+
+
+QUERIES["pruned_records"] = pruned_records
+ORACLE_SQL["pruned_records"] = f"""WITH p AS (SELECT o_orderkey AS id, o_orderkey, o_custkey, o_orderstatus, CASE WHEN o_orderkey % 5 > 0 THEN o_orderpriority END AS name, CASE WHEN o_orderkey % 3 > 0 THEN 'x' END AS deep, CASE WHEN o_custkey % 3 > 0 THEN o_orderstatus END AS note, {item_sql(0)} AS i0, {item_sql(1)} AS i1 FROM orders)
+SELECT id, '{{' || concat_ws(',', '"name":"' || name || '"', CASE WHEN deep IS NOT NULL OR note IS NOT NULL THEN '"meta":{{' || concat_ws(',', '"inner":{{"deep":"' || deep || '"}}', '"note":"' || note || '"') || '}}' END,
+  CASE WHEN i0 <> '' OR i1 <> '' THEN '"items":[' || concat_ws(',', CASE WHEN i0 <> '' THEN '{{' || i0 || '}}' END, CASE WHEN i1 <> '' THEN '{{' || i1 || '}}' END) || ']' END, CASE WHEN o_orderkey % 2 > 0 THEN '"tags":["t"]' END) || '}}' AS record,
+  concat_ws(',', CASE WHEN name IS NULL THEN 'name' END, CASE WHEN deep IS NULL THEN 'meta.inner.deep' END, CASE WHEN note IS NULL THEN 'meta.note' END, CASE WHEN o_orderkey % 2 = 0 THEN 'items[0].a' END, CASE WHEN o_custkey % 2 > 0 THEN 'items[0].b' END, CASE WHEN o_orderkey % 3 = 0 THEN 'items[1].a' END, CASE WHEN o_custkey % 3 > 0 THEN 'items[1].b' END) AS removed FROM p"""
+
+
+@query(HEADER.replace("+ h AS", "+ h AS", 1) + """, hb AS (SELECT id, table_no, max(score) FILTER (row = 0) AS s0, max(score) FILTER (row = 1) AS s1, max(score) AS top FROM scores GROUP BY ALL),
+hr AS (SELECT hb.*, (SELECT min(row) FROM scores s WHERE s.id = hb.id AND s.table_no = hb.table_no AND s.score = hb.top) AS best FROM hb),
+gz AS (SELECT *, count(*) OVER (PARTITION BY id, table_no) AS n, (trim(coalesce(text, '')) <> '' OR trim(coalesce(ocr_text, '')) <> '')::INT AS f FROM grid_cells),
+gm AS (SELECT id, table_no, n, round(avg(f), 4) AS fill, round(avg(reliability), 4) AS rel, round(avg((reliability < CASE WHEN n < 50 THEN 0.60 ELSE 0.55 END)::INT), 4) AS low, coalesce(avg(CASE WHEN row = 0 THEN f END) >= 0.5 AND avg(CASE WHEN row = 0 THEN reliability END) >= 0.75, false) AS ok FROM gz GROUP BY ALL),
+gr AS (SELECT *, list_filter([CASE WHEN fill < CASE WHEN n < 10 THEN 0.70 WHEN n < 50 THEN 0.60 ELSE 0.55 END THEN 'low_fill_rate' END, CASE WHEN rel < CASE WHEN n < 10 THEN 0.75 WHEN n < 50 THEN 0.70 ELSE 0.65 END THEN 'low_avg_reliability' END, CASE WHEN low > CASE WHEN n < 10 THEN 0.20 WHEN n < 50 THEN 0.25 ELSE 0.30 END THEN 'high_low_conf_ratio' END, CASE WHEN NOT ok THEN 'header_validation_failed' END], lambda x: x IS NOT NULL) AS reasons,
+  round(30 * fill + 40 * rel + 20 * (1 - low) + CASE WHEN ok THEN 10 ELSE 0 END, 4) AS score FROM gm),
+cv AS (SELECT id, table_no, row, col + unnest(range(colspan)) AS col FROM grid_cells), cn AS (SELECT id, table_no, row, count(DISTINCT col) AS n FROM cv GROUP BY ALL), cu AS (SELECT id, table_no, min(n) <> max(n) AS uneven FROM cn GROUP BY ALL), cd AS (SELECT id, table_no, max(n) > 1 AS doubled FROM (SELECT id, table_no, row, col, count(*) AS n FROM grid_cells GROUP BY ALL) GROUP BY ALL),
+ca AS (SELECT gr.*, hr.s0, hr.s1, hr.top, hr.best, uneven, doubled, CASE WHEN s0 >= 0.5 AND s1 >= 0.6 THEN '0,1' WHEN s0 >= 0.5 THEN '0' WHEN top >= 0.5 THEN CAST(best AS VARCHAR) WHEN s0 IS NOT NULL THEN '0' ELSE '' END AS header FROM gr JOIN hr ON gr.id = hr.id AND gr.table_no = hr.table_no JOIN cu ON cu.id = gr.id AND cu.table_no = gr.table_no JOIN cd ON cd.id = gr.id AND cd.table_no = gr.table_no),
+cx AS (SELECT *, list_filter([CASE WHEN header = '' THEN 'header_detection_failed' END, CASE WHEN uneven THEN 'inconsistent_column_count' END, CASE WHEN doubled THEN 'duplicate_cell_position' END], lambda x: x IS NOT NULL) AS issues, CASE WHEN score >= 95 THEN 'A' WHEN score >= 85 THEN 'B' WHEN score >= 70 THEN 'C' WHEN score >= 50 THEN 'D' ELSE 'F' END AS grade FROM ca),
+cl AS (SELECT *, greatest(CASE WHEN list_has_any(reasons, ['low_fill_rate', 'high_low_conf_ratio']) THEN 3 ELSE 0 END, CASE WHEN list_contains(reasons, 'header_validation_failed') OR len(issues) > 0 THEN 2 ELSE 0 END, CASE WHEN list_contains(reasons, 'low_avg_reliability') THEN 1 ELSE 0 END) AS lv,
+  least(CASE WHEN list_contains(reasons, 'high_low_conf_ratio') OR uneven OR doubled THEN 1 ELSE 9 END, CASE WHEN list_contains(reasons, 'low_fill_rate') OR list_contains(reasons, 'header_validation_failed') OR header = '' THEN 2 ELSE 9 END, CASE WHEN list_contains(reasons, 'low_avg_reliability') THEN 3 ELSE 9 END) AS pr FROM cx)
+SELECT id, table_no, len(reasons) = 0 AS passed, grade, CASE WHEN len(reasons) = 0 THEN 'index' WHEN grade IN ('D', 'F') THEN 'reprocess' ELSE 'manual_review' END AS action, array_to_string(reasons, ',') AS gate_reasons, header AS header_rows, array_to_string(issues, ',') AS issues, len(issues) = 0 AS structure_valid, len(reasons) > 0 AS again,
+  CASE WHEN len(reasons) = 0 THEN 'full' WHEN lv = 2 THEN 'structure_only' WHEN lv = 1 THEN 'ocr_only' ELSE 'full' END AS level, CASE WHEN len(reasons) = 0 THEN 5 WHEN pr = 9 THEN 3 ELSE pr END AS priority FROM cl""")
+def table_assessment(spark, d):
+    a = table_structure.assess(rows(spark, d, "grid_cells"))
+    return a.select("id", "table_no", "passed", "grade", "action", F.array_join("gate_reasons", ",").alias("gate_reasons"), F.array_join("header_rows", ",").alias("header_rows"), F.array_join("issues", ",").alias("issues"), "structure_valid", "again", "level", "priority")
+
+
+@query("SELECT doc_id AS id, CASE " + " ".join(f"WHEN regexp_matches(text, '(?i)(^|[^\\p{{L}}\\p{{N}}_]){w}($|[^\\p{{L}}\\p{{N}}_])') THEN '{p}'" for w, p in (("let''?s think", "\\blet''?s think\\b"), ("chain of thought", "\\bchain of thought\\b"), ("step\\s*by\\s*step", "\\bstep\\s*by\\s*step\\b"))) + " END AS leak FROM (SELECT doc_id, CASE doc_id % 5 WHEN 0 THEN text || ' Let''s think. step by step' WHEN 1 THEN 'go stepby step, ' || text WHEN 2 THEN 'lets thinking ' || text ELSE text END AS text FROM documents)")
+def reasoning_leaks(spark, d):
+    k = F.col("doc_id") % 5
+    t = F.when(k == 0, F.concat("text", F.lit(" Let's think. step by step"))).when(k == 1, F.concat(F.lit("go stepby step, "), "text")).when(k == 2, F.concat(F.lit("lets thinking "), "text")).otherwise(F.col("text"))
+    return table(spark, d, "documents").select(F.col("doc_id").alias("id"), answers.leak(t).alias("leak"))

@@ -27,7 +27,10 @@ def test_greedy_keep_first(spark):
 
 def test_structural_identity_is_one(spark):
     e = spark.createDataFrame([(i, "coverage", "", "policy limit coverage", "s") for i in (1, 2)], EXAMPLE)
-    assert [round(r.similarity, 9) for r in dedup.structural_pairs(e).collect()] == [1.0]
+    # equal features are one class, whose members have similarity 1 by definition and are no pairs
+    assert {r.ord: r["class"] for r in dedup.structural_classes(e).collect()} == {1: 1, 2: 1} and dedup.structural_pairs(e).count() == 0
+    nearly = e.unionByName(spark.createDataFrame([(3, "coverage", "", "policy limit coverage!", "s")], EXAMPLE))
+    assert [(r.a, r.b, round(r.similarity, 9)) for r in dedup.structural_pairs(nearly).collect()] == [(1, 3, round((0.9 - 0.1 / 22 + 0.3) / 1.2, 9))]
 
 
 def test_messages_and_thinking(spark):
@@ -203,3 +206,72 @@ def test_packing_streams_over_sorted_rows(spark):
             held = (held or 0) + (n or 0)
             assert got[k, i] == group
     assert packing.greedy_groups(spark.createDataFrame([], "k int, i int, n long"), "k", "i", "n", 20, "g").count() == 0
+
+
+def test_critique_and_compliance_of_korean_texts(spark):
+    from quern.operators import critique
+
+    long = "따라서 보험금을 지급합니다. 그러나 면책에 해당하면 지급하지 않습니다. 또한 약관의 별표에서 정한 금액까지 지급하며 으로 시작합니다. " * 2
+    d = spark.createDataFrame([(1, "보험금을 지급합니까", "따라서 보험금을", long), (2, None, None, None), (3, "", "", "짧다."), (4, "a", "b", "x" * 120)], "id int, instruction string, context string, output string")
+    rows = {r.id: r for r in critique.critique(d).collect()}
+    assert rows[1].coherence == 6.0 and rows[1].completeness == 6.5 and rows[1].korean > 6.5 and rows[1].clarity == 8.0
+    assert (rows[2].coherence, rows[2].accuracy, rows[2].completeness, rows[2].korean, rows[2].clarity, rows[2].passed) == (3.0, 4.0, 3.0, 4.0, 3.0, False)
+    assert rows[4].coherence == 5.0 and rows[2].verdict == "전면적인 재작성이 필요합니다."
+    t = spark.createDataFrame([("메일은 a@b.kr ~입니다",), ("문의 드립니다",), ("문의 님 ~니다",), ("미친 ~니다",), (None,), ("~니다" * 3000,)], "t string")
+    got = [(r.x.violations, r.x.passed) for r in t.select(critique.compliance(F.col("t")).alias("x")).collect()]
+    assert got == [(["personal_data"], False), (["informal", "no_honorifics"], False), ([], True), (["slur"], False), (["informal"], False), (["too_long"], True)]
+
+
+def test_validation_says_what_to_do(spark):
+    from quern.operators import scope_checks
+
+    a = spark.createDataFrame([(1, "암 특약", "제1조 지급", "지급됩니다", "보장", True), (2, "암 특약", "제 2 조", "골절 특약에서는 아마", "비보장", True), (3, "암 특약", "제1조", "보통 그렇다", "insufficient", None), (4, None, None, None, None, None)], "id int, scope_title string, scope_text string, answer string, decision string, exclusions_checked boolean")
+    e = spark.createDataFrame([(1, "제 1 조"), (2, "제3조"), (2, None)], "id int, article string")
+    t = spark.createDataFrame([("암 특약",), ("골절 특약",)], "title string")
+    got = {r.id: (r.problems, r.severity, r.action) for r in scope_checks.validated(a, e, t).collect()}
+    assert got == {1: ([], "none", "accept"), 2: (["other_scope", "foreign_article", "speculation"], "error", "retry"), 3: (["external_reference"], "warning", "accept_with_warning"), 4: ([], "none", "accept")}
+
+
+def test_merged_answers_as_markdown(spark):
+    kind = "doc_id int, question string, ord int, scope_id string, scope_title string, decision string, answer string, evidence array<struct<article:string,quote:string>>, exclusions_checked boolean, exclusions array<string>, conditions array<string>, confidence double"
+    r = spark.createDataFrame([(1, "q", 1, "s1", "A", "covered", " yes ", [("a1", "q1")], True, [], ["c"], 0.9), (1, "q", 2, "s2", "B", "not_covered", "no", None, True, ["x"], None, 1.4), (1, "q", 3, "s3", "C", "covered", "so", [], False, None, ["c"], 0.8)], kind)
+    m = answers.merged(r).first()
+    assert (m.final_decision, m.confidence, m.conflicts) == ("not_covered", 0.55, ["decision_conflict", "exclusion_found"])
+    assert m.warnings == ["Missing evidence: s2", "Missing evidence: s3", "Covered without exclusions_checked → downgrade: s3"]
+    assert m.conditions == ["c", answers.UNCHECKED] and m.exclusions == ["x"]
+    assert "**B** (신뢰도: 55%)" in m.answer and "- **C**: conditional (신뢰도: 55%)" in m.answer and "인용 근거" not in m.answer
+    assert answers.merged(r.limit(0)).count() == 0
+
+
+def test_pruning_at_any_depth(spark):
+    kind = "id int, a string, s struct<t:string,u:struct<v:string,w:int>>, l array<struct<x:string,y:int>>, e array<string>, n int"
+    r = spark.createDataFrame([(1, " ", ("", (None, None)), [("", None), ("k", None)], [], None), (2, "v", ("t", ("", 3)), [], ["", "z", None], 0), (3, None, None, None, None, None)], kind)
+    got = {x.id: x for x in records.without_empty(r, ["id"]).collect()}
+    assert got[1].a is None and got[1].s is None and got[1].l == [("k", None)] and got[1].e is None
+    assert got[1].removed == ["a", "s.t", "s.u.v", "s.u.w", "l[0].x", "l[0].y", "l[1].y", "n"]
+    assert got[2].s == ("t", (None, 3)) and got[2].l is None and got[2].e == ["z"] and got[2].n == 0 and got[2].removed == ["s.u.v"]
+    assert got[3].removed[0] == "a" and got[3].s is None
+
+
+def test_students_get_the_sources_that_were_used(spark):
+    from quern.operators import distillation
+
+    t = spark.createDataFrame([(1, "q", "c", "s", "o", "a", ["summary", "canonical"]), (2, "q", "", "s", None, None, ["canonical", "operational"]), (3, "q", "c", "s", "o", "a", None)], "id int, instruction string, canonical string, summary string, operational string, answer string, sources array<string>")
+    got = {r.id: (r.context, r.output) for r in distillation.to_student(t).collect()}
+    assert got == {1: ("[약관]\nc\n\n[상품요약서]\ns", "a"), 2: ("", ""), 3: ("[약관]\nc", "a")}
+    k = spark.createDataFrame([("operation",), ("x",), (None,)], "k string")
+    assert [r[0] for r in k.select(distillation.expert(F.col("k"))).collect()] == [2, 0, 0]
+
+
+def test_merging_shuffles_alike(spark):
+    a = spark.createDataFrame([(i % 30, None if i % 7 == 0 else "x") for i in range(60)], "i int, t string")
+    first = [(r.i, r.t) for r in records.merged([a, a.limit(5)], ["i", "t"]).orderBy("place").collect()]
+    again = [(r.i, r.t) for r in records.merged([a.repartition(5)], ["i", "t"]).orderBy("place").collect()]
+    assert first == again and sorted(first, key=str) == sorted({(r.i, r.t) for r in a.collect()}, key=str) and first != sorted(first, key=str)
+    assert [(r.i, r.t) for r in records.merged([a], ["i", "t"], 7).orderBy("place").collect()] != first
+
+
+def test_leaks_say_which(spark):
+    d = spark.createDataFrame([("생각해보면 그렇다",), ("go Step by step",), ("let's think, chain of thought",), ("plain",), (None,)], "t string")
+    got = [r[0] for r in d.select(answers.leak(F.col("t"))).collect()]
+    assert got == [answers.LEAKS[0], answers.LEAKS[6], answers.LEAKS[4], None, None]
