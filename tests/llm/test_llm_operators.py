@@ -261,27 +261,40 @@ def test_lm_scores_against_brute_force(spark, docs):
     assert lm_scoring.score(docs.limit(0), model, counts).count() == 0
 
 
-@pytest.mark.parametrize("share", [5e-6, 0.02, 1.0])
-def test_lm_keeps_every_repeated_gram_whatever_its_share(spark, docs, monkeypatch, share):
-    """Scores are those of an automaton of all n-grams that occur twice, also where words and n-grams are too rare to broadcast."""
-    monkeypatch.setattr(lm_scoring, "WORD_SHARE", share)
-    monkeypatch.setattr(lm_scoring, "GRAM_SHARE", share)
-    monkeypatch.setattr(lm_scoring, "HELD_ROW", 50)
+def counted_grams(texts):
+    """The words with numbers, and the counts of pairs and triples of numbers, with the beginning as 0, in one process."""
+    counts = collections.Counter(x for t in texts for x in t)
+    number = {w: i + 1 for i, w in enumerate(counts)}
+    grams = {k: collections.Counter(tuple(x[i : i + k]) for t in texts for x in [[0, *(number[w] for w in t)]] for i in range(len(x) - k + 1)) for k in (2, 3)}
+    return list(counts.items()), {k: {g: n for g, n in v.items() if n >= 2} for k, v in grams.items()}
+
+
+@pytest.mark.parametrize("prune", [0.0, 1e-3, 5e-3, 0.5])
+def test_lm_scores_are_those_of_the_whole_automaton(spark, docs, prune):
+    """Counting only n-grams of frequent words and pairs loses none that pruning keeps; without pruning every n-gram that occurs twice stays."""
     train = docs.filter("doc_id % 3 <> 0 OR doc_id IS NULL")
-    rows = lm_scoring.score(docs, *lm_scoring.fit(train)).collect()
+    model, counts = lm_scoring.fit(train, prune=prune)
+    rows = lm_scoring.score(docs, model, counts).collect()
     tok = lambda t: [*ascii_words(t), b""]
     texts = [tok(r.text) for r in train.collect()]
-    counts = collections.Counter(x for t in texts for x in t)
-    words = [(w, n) for w, n in counts.items()]
-    number = {w: i + 1 for i, (w, _) in enumerate(words)}
-    grams = {k: collections.Counter(tuple(x[i : i + k]) for t in texts for x in [[0, *(number[w] for w in t)]] for i in range(len(x) - k + 1)) for k in (2, 3)}
-    grams = {k: {g: n for g, n in v.items() if n >= 2} for k, v in grams.items()}
-    m = lm_scoring.Automaton(words, grams, len(texts), sum(counts.values()), len(counts))
+    words, grams = counted_grams(texts)
+    m = lm_scoring.Automaton(words, grams, len(texts), sum(n for _, n in words), len(words), prune)
+    assert len(model.arcs) == len(m.arcs) and (len(m.arcs) > 100 or prune > 1e-3)
     expected = collections.Counter((r.doc_id, round(m.walk(tok(r.text))[0], 6)) for r in docs.collect())
     assert collections.Counter((r.doc_id, round(r.score, 6)) for r in rows) == expected
     assert len(set(expected)) > 6
 
 
+def test_lm_walks_very_long_texts(spark):
+    long = prose(4, 30_000)
+    d = spark.createDataFrame([(1, long), (2, long), (3, "x" * 200_000)], "doc_id long, text string")
+    model, counts = lm_scoring.fit(d)
+    rows = {r.doc_id: r for r in lm_scoring.score(d, model, counts).collect()}
+    words, grams = counted_grams([[*ascii_words(r.text), b""] for r in d.collect()])
+    m = lm_scoring.Automaton(words, grams, 3, sum(n for _, n in words), len(words), lm_scoring.PRUNE)
+    assert rows[1].n_tokens == 30_001 and abs(rows[1].score - m.walk([*ascii_words(long), b""])[0]) < 1e-3 and rows[1].score > rows[1].base_score
+
+
 def test_automaton_is_a_distribution():
     """The probabilities of all words and an unknown one sum to 1 in every state."""
     words = [(b"", 10), (b"a", 8), (b"b", 5)]
