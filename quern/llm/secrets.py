@@ -3,7 +3,8 @@
 The text is the first layer. Each layer is scanned for secrets; what it holds in URL or Unicode escapes, base64, or
 base64 of gzip, zlib or zstandard data, packed once or more, becomes a further layer, until no new layer appears. Layers seen before in the
 document are not scanned again, which ends cycles. Every character of a layer maps to a span of the document's text, so a
-secret in a layer is reported where the text that hides it stands.
+secret in a layer is reported where the text that hides it stands. A run of base64 may begin or end with other letters, so
+it is read from each of its first four places, and so are its parts between slashes, dashes and underscores.
 
 Null texts count as empty. Repeated rows are each scanned; an empty table gives an empty result; extra columns stay,
 but those named like a result are replaced. Only decompression makes a layer larger than
@@ -40,12 +41,16 @@ LEAST_SECRET = 12
 MOST_DECODED = 64 << 20
 
 URL = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
-UNICODE = re.compile(r"\\u[0-9A-Fa-f]{4}|\\x[0-9A-Fa-f]{2}|\\U000[0-9A-Fa-f]{5}|\\U0010[0-9A-Fa-f]{4}|&#x[0-9A-Fa-f]{1,5};|&#[0-9]{1,6};")
+UNICODE = re.compile(r"\\u[0-9A-Fa-f]{4}|\\u\{[0-9A-Fa-f]{1,6}\}|%u[0-9A-Fa-f]{4}|\\x[0-9A-Fa-f]{2}|\\U000[0-9A-Fa-f]{5}|\\U0010[0-9A-Fa-f]{4}|&#x[0-9A-Fa-f]{1,5};|&#[0-9]{1,6};")
 BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
 WRAPPED = re.compile(r"(?<![A-Za-z0-9+/_-])(?:[A-Za-z0-9+/_-]{16,}+[ \t]*\r?\n[ \t]*)+[A-Za-z0-9+/_-]+={0,2}")
+#: Groups of eight with a space between; what ends a part of a run.
+GROUPED = re.compile(r"(?<![A-Za-z0-9+/_-])(?:[A-Za-z0-9+/_-]{8} ){2,}[A-Za-z0-9+/_-]{1,8}={0,2}(?![A-Za-z0-9+/_-])")
+PART = re.compile(r"[A-Za-z0-9+]{16,}={0,2}")
 LINE = re.compile(r"[A-Za-z0-9+/_-]+={0,2}")
 #: What no text has: control characters but white space, and what stands for bytes that aren't UTF-8.
 NO_TEXT = re.compile("[\0-\x08\x0e-\x1f\x7f\ufffd]")
+ASCII = re.compile("[ -~]{%d}" % LEAST_SECRET)
 STRETCH = re.compile("[^\0-\x08\x0e-\x1f\x7f\ufffd]{%d,}" % LEAST_SECRET)
 
 
@@ -122,7 +127,7 @@ def url_decoded(run: str) -> list[tuple[str, int, int]] | None:
 
 
 def unicode_decoded(escape: str) -> list[tuple[str, int, int]] | None:
-    code = int(escape[2:-1]) if escape[:2] == "&#" and escape[2] != "x" else int(escape[3:-1], 16) if escape[0] == "&" else int(escape[2:], 16)
+    code = int(escape[2:-1]) if escape[:2] == "&#" and escape[2] != "x" else int(escape[3:-1], 16) if escape[0] == "&" or escape[2] == "{" else int(escape[2:], 16)
     if not 0 < code < 0x110000 or 0xD800 <= code < 0xE000:
         return None
     return [(chr(code), 0, len(escape))]
@@ -157,8 +162,43 @@ def inflated(data: bytes, most: int) -> bytes | None:
     return bytes(out)
 
 
+def deflated(data: bytes, most: int) -> bytes | None:
+    """What raw deflate data holds, which no mark begins: None unless it is whole and holds text only. Raises TooLarge as inflated() does."""
+    stream, out = zlib.decompressobj(-15), bytearray()
+    try:
+        while data and len(out) <= most and not stream.eof:
+            out += stream.decompress(data, 1 << 18)
+            data = stream.unconsumed_tail
+    except zlib.error:
+        return None
+    if len(out) > most:
+        raise TooLarge
+    return bytes(out) if stream.eof and not stream.unused_data and len(out) >= LEAST_SECRET and not NO_TEXT.search(out.decode("utf-8", "replace")) else None
+
+
+def wide(data: bytes) -> str | None:
+    """data as UTF-16 text, with a mark or without; None if it doesn't look so, or shows no stretch of ASCII as long as a secret: mostly, one byte of two is 0."""
+    if len(data) % 2 or len(data) < 2 * LEAST_SECRET:
+        return None
+    if data[:2] in (b"\xff\xfe", b"\xfe\xff"):
+        order = "utf-16"
+    elif 2 * data[1::2].count(0) > len(data[1::2]):
+        order = "utf-16-le"
+    elif 2 * data[::2].count(0) > len(data[::2]):
+        order = "utf-16-be"
+    else:
+        return None
+    try:
+        text = data.decode(order)
+    except UnicodeDecodeError:
+        return None
+    return text if ASCII.search(text) and not NO_TEXT.search(text) else None
+
+
 def as_text(data: bytes) -> str | None:
-    """data as UTF-8 text; of other data, the stretches of text long enough for a secret, NUL between them; None if it has none."""
+    """data as UTF-8 or UTF-16 text; of other data, the stretches of text long enough for a secret, NUL between them; None if it has none."""
+    if (text := wide(data)) is not None:
+        return text
     text = data.decode("utf-8", "replace")
     if not NO_TEXT.search(text):
         return text or None
@@ -168,8 +208,7 @@ def as_text(data: bytes) -> str | None:
 def from_base64(run: str, most: int) -> str | None:
     """The text that a run of base64 holds, unpacked as often as it is packed; None if it holds none."""
     body = run.rstrip("=").replace("-", "+").replace("_", "/")
-    if len(body) % 4 == 1:
-        return None
+    body = body[: len(body) - (len(body) % 4 == 1)]  # one letter more tells nothing
     try:
         data = base64.b64decode(body + "=" * (-len(body) % 4))
     except (binascii.Error, ValueError):
@@ -178,13 +217,18 @@ def from_base64(run: str, most: int) -> str | None:
     while (packed := inflated(data, most)) is not None and (key := hashlib.sha256(packed).digest()) not in seen:
         seen.add(key)
         data = packed
-    return as_text(data)
+    text = as_text(data)
+    if (text is None or "\0" in text) and (packed := deflated(data, most)) is not None:
+        return as_text(packed)
+    return text
 
 
 def base64_runs(text: str) -> Iterator[tuple[str, int, int]]:
-    """(run, start, end) of base64: within a line, and joined over consecutive lines of one length and a last one that isn't longer."""
+    """(run, start, end) of base64: within a line, in groups with spaces between, and joined over consecutive lines of one length and a last one that isn't longer."""
     for m in BASE64.finditer(text):
         yield m[0], *m.span()
+    for m in GROUPED.finditer(text) if " " in text else ():
+        yield m[0].replace(" ", ""), *m.span()
     for m in WRAPPED.finditer(text) if "\n" in text else ():
         lines: list[re.Match] = []
         for x in chain(LINE.finditer(text, *m.span()), [None]):
@@ -195,11 +239,21 @@ def base64_runs(text: str) -> Iterator[tuple[str, int, int]]:
             lines.append(x)
 
 
+def within_run(run: str) -> Iterator[tuple[str, int, int]]:
+    """(part, start, end) of a run of base64 that may have other letters before it, or at which such a run ends: from its second, third and fourth place, and what stands between slashes, dashes and underscores, from its first four."""
+    for k in (1, 2, 3):
+        yield run[k:], k, len(run)
+    for m in PART.finditer(run):
+        for k in range(4 if m.span() != (0, len(run)) else 0):
+            if m.end() - m.start() - k >= 16:
+                yield m[0][k:], m.start() + k, m.end()
+
+
 def inner_layers(layer: Layer, most: int, refused: set[tuple[int, int]]) -> Iterator[Layer]:
     """What a layer holds, one by one; the spans of what stays packed, as it is larger than `most`, are added to refused."""
     if "%" in layer.text and (x := unescaped(layer, URL, url_decoded)):
         yield x
-    if ("\\" in layer.text or "&#" in layer.text) and (x := unescaped(layer, UNICODE, unicode_decoded)):
+    if ("\\" in layer.text or "&#" in layer.text or "%u" in layer.text) and (x := unescaped(layer, UNICODE, unicode_decoded)):
         yield x
     for run, start, end in base64_runs(layer.text):
         span = layer.span(start, end)
@@ -210,6 +264,22 @@ def inner_layers(layer: Layer, most: int, refused: set[tuple[int, int]]) -> Iter
             continue
         if inner is not None:
             yield Layer(inner, whole=span)
+        if end - start != len(run) or inner is not None and wholly(inner, run):
+            continue
+        for part, a, b in within_run(run):
+            try:
+                inner = from_base64(part, most)
+            except TooLarge:
+                refused.add(layer.span(start + a, start + b))
+                continue
+            # read from a wrong place, bytes hold short stretches of text by chance
+            if inner is not None and (wholly(inner, part) or base_matches(inner)):
+                yield Layer(inner, whole=layer.span(start + a, start + b))
+
+
+def wholly(inner: str, run: str) -> bool:
+    """Whether what a run holds is about all of its bytes, or more."""
+    return 5 * len(inner.encode("utf-8", "replace")) >= 3 * len(run)
 
 
 def scan(text: str, most: int = MOST_DECODED) -> tuple[list[tuple[int, int, int]], set[tuple[int, int, int]], int, set[tuple[int, int]]]:
@@ -217,7 +287,7 @@ def scan(text: str, most: int = MOST_DECODED) -> tuple[list[tuple[int, int, int]
     base = base_matches(text)
     found, layers, refused = set(base), 1, set()
     # most texts have nothing to decode
-    if not ("%" in text or "\\" in text or "&#" in text or BASE64.search(text)):
+    if not ("%" in text or "\\" in text or "&#" in text or BASE64.search(text) or GROUPED.search(text)):
         return base, found, layers, refused
     seen = {hashlib.sha256(text.encode("utf-8", "surrogatepass")).digest()}
     work = [inner_layers(Layer(text), most, refused)]
