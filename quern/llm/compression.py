@@ -19,6 +19,8 @@ import zstandard
 
 #: Words in a compressed window; bytes of a dictionary, of what both dictionaries hold, and of special passages.
 WINDOW_WORDS, TRAINED_BYTES, SHARED_BYTES, PASSAGE_BYTES = 16, 65_536, 32_768, 24_000
+#: Bytes above which a stretch of special text is cut into pieces.
+PIECE_BYTES = 512
 #: Bytes of a k-mer (at most 8), and how many times the logarithm of their number a k-mer's log-likelihood ratio must be.
 KMER, LEAST_RATIO = 6, 2.0
 #: Parts of the labelled texts: each part's sizes come from dictionaries of the other parts.
@@ -80,7 +82,7 @@ def found_in(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray) -> np.nda
 
 
 def passages(special: list[bytes], ordinary: list[bytes], lower: bool) -> bytes:
-    """The stretches of special texts that consist of k-mers which are twice as frequent there at least and beyond chance, the most telling last."""
+    """The stretches of special texts that consist of k-mers which are twice as frequent there at least and beyond chance, the most telling last; a long stretch counts in pieces, and one that no longer fits PASSAGE_BYTES leaves room for shorter ones."""
     special, ordinary = [spaced(t, lower) for t in special], [spaced(t, lower) for t in ordinary]
     keys, n = text_counts(special)
     if not len(keys):
@@ -99,14 +101,16 @@ def passages(special: list[bytes], ordinary: list[bytes], lower: bool) -> bytes:
         np.add.at(cover, hits + KMER, -1)
         edges = np.flatnonzero(np.diff(np.concatenate([[0], (np.cumsum(cover) > 0).astype(np.int8), [0]])))
         for a, b in zip(edges[::2].tolist(), edges[1::2].tolist(), strict=True):
-            best[text[a:b]] = max(best.get(text[a:b], 0.0), float(weight[a : b - KMER + 1].max()))
+            for i in range(a, b, PIECE_BYTES):  # a long stretch in pieces, each with a k-mer at least
+                j = b if b - i < PIECE_BYTES + KMER else i + PIECE_BYTES
+                if j - i >= KMER:
+                    best[text[i:j]] = max(best.get(text[i:j], 0.0), float(weight[i : j - KMER + 1].max()))
     out, size, held = [], 0, set()
     for passage, _ in sorted(best.items(), key=lambda x: (-x[1], x[0])):
-        if (own := set(kmers(passage).tolist())) <= held:
+        if (own := set(kmers(passage).tolist())) <= held or size + len(passage) > PASSAGE_BYTES:
             continue
         held |= own
-        if (size := size + len(passage)) > PASSAGE_BYTES:
-            break
+        size += len(passage)
         out.append(passage)
     return b"".join(reversed(out))
 

@@ -5,13 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quern.llm.common import bounded_batches, materialize, release, utf8_values, with_fields
 from quern.llm.compression import CompressionModel
 
-#: At most so many labelled documents of each class, of so many characters together, train a model; the first longer one ends the sample.
+#: At most so many labelled documents of each class, of so many characters together, train a model; one that doesn't fit is left out, and the next ones are tried.
 ROWS_PER_CLASS, CHARACTERS_PER_CLASS = 1000, 6_000_000
 
 
@@ -19,8 +19,9 @@ def fit(documents: DataFrame, labels: DataFrame, label: str, special: int, learn
     """A model of the probability that `label` is `special`.
 
     labels: doc_id and `label`; rows with a null in either are ignored, as are documents with both labels. learn_from:
-    a condition on doc_id. Per class the ROWS_PER_CLASS ids with the smallest hashes are taken, and of these as many as have
-    CHARACTERS_PER_CLASS together, so the sample is bounded and the same in every run; the prior comes from counts of all
+    a condition on doc_id. Per class the ROWS_PER_CLASS ids with the smallest hashes are taken, and of these, in that order,
+    those that still fit CHARACTERS_PER_CLASS, so the sample is bounded and the same in every run, and a labelled text
+    above the bound trains nothing but leaves the others; the prior comes from counts of all
     labelled rows. build: makes a pair of dictionaries of special and ordinary texts.
     """
     clean = (
@@ -35,9 +36,13 @@ def fit(documents: DataFrame, labels: DataFrame, label: str, special: int, learn
         documents.select("doc_id", "text").filter("text IS NOT NULL AND text <> ''")
         .join(sample, "doc_id").groupBy("doc_id").agg(F.first("is_special").alias("is_special"), F.max("text").alias("text"))
     )
-    order = Window.partitionBy("is_special").orderBy(F.xxhash64("doc_id"), "doc_id")  # ROWS_PER_CLASS rows at most
-    before = materialize(texts, "labelled").withColumn("__upto", F.sum(F.length("text")).over(order))
-    rows = before.filter(F.col("__upto") <= CHARACTERS_PER_CLASS).orderBy(F.xxhash64("doc_id"), "doc_id").select("is_special", "text").collect()
+    stored = materialize(texts, "labelled")
+    fits, left = [], {True: CHARACTERS_PER_CLASS, False: CHARACTERS_PER_CLASS}
+    for r in stored.orderBy(F.xxhash64("doc_id"), "doc_id").select("doc_id", "is_special", F.length("text").alias("n")).collect():  # 2 * ROWS_PER_CLASS rows at most
+        if r["n"] <= left[r["is_special"]]:
+            left[r["is_special"]] -= r["n"]
+            fits.append(r["doc_id"])
+    rows = stored.filter(F.col("doc_id").isin(fits)).orderBy(F.xxhash64("doc_id"), "doc_id").select("is_special", "text").collect() if fits else []
     texts = {c: [r["text"].encode() for r in rows if r["is_special"] is c] for c in (True, False)}
     return CompressionModel.fit(texts[True], texts[False], counts.get(True, 0), counts.get(False, 0), lower, build)
 
