@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quern.llm.common import materialize, read_table
+from quern.llm.common import fresh, materialize, read_table
 
 #: Buckets of the hashed n-grams of orders 1 and 2: the model is a table of so many rows at most, whatever the corpus.
 BUCKETS = 1 << 16
@@ -50,18 +50,19 @@ def repeated_count(ordered: str) -> Column:
     return F.size(F.array_distinct(F.flatten(F.filter(equal, lambda x: x.isNotNull())))).cast("long")
 
 
-def add_base(documents: DataFrame) -> DataFrame:
-    """documents with n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words (long), base_failed, and the words as an array __w."""
+def add_base(documents: DataFrame, w: str = "__w") -> DataFrame:
+    """documents with n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words (long), base_failed, and the words as an array w."""
     text = F.coalesce(F.col("text"), F.lit(""))
     lines = F.filter(F.split(text, "\n"), lambda x: x.rlike("[^\\x20\\x09-\\x0D]"))
-    d = documents.withColumn("__w", words()).withColumn("__lines", lines).withColumn("__ordered", repeated_words("__w"))
+    own, ordered = fresh(documents, "lines"), fresh(documents, "ordered")
+    d = documents.withColumn(w, words()).withColumn(own, lines).withColumn(ordered, repeated_words(w))
     d = (
-        d.withColumn("n_words", F.size("__w").cast("long"))
-        .withColumn("word_chars", F.length(F.array_join("__w", "")).cast("long"))
+        d.withColumn("n_words", F.size(w).cast("long"))
+        .withColumn("word_chars", F.length(F.array_join(w, "")).cast("long"))
         .withColumn("n_symbols", F.regexp_count(text, F.lit("[#*$%&|<>]")).cast("long"))
-        .withColumn("n_dup_lines", (F.size("__lines") - F.size(F.array_distinct("__lines"))).cast("long"))
-        .withColumn("n_repeat_words", repeated_count("__ordered"))
-        .drop("__lines", "__ordered")
+        .withColumn("n_dup_lines", (F.size(own) - F.size(F.array_distinct(own))).cast("long"))
+        .withColumn("n_repeat_words", repeated_count(ordered))
+        .drop(own, ordered)
     )
     return d.withColumn("base_failed", (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED_PERCENT * F.col("n_words")))
 
@@ -88,13 +89,15 @@ def add_rules(documents: DataFrame, target_ids: DataFrame, threshold: float = TH
     """documents with the base columns, llr double (mean log ratio of the n-grams, 0 without any) and kept boolean."""
     names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
     documents = documents.drop(*names, "llr", "kept")
-    based = add_base(documents).withColumn("__row", F.monotonically_increasing_id())
+    # helper columns have names that no column of the documents has
+    row, w, bucket, ratio = (fresh(documents, x) for x in ("row", "w", "bucket", "ratio"))
+    based = add_base(documents, w).withColumn(row, F.monotonically_increasing_id())
     kept_columns = [c for c in documents.columns if c != "text"]
     # BUCKETS rows at most; each document's n-grams meet again in the task that made them, before one row of it is shuffled
-    table = F.broadcast(log_ratios(documents, target_ids).toDF("__bucket", "__ratio"))
-    grams = based.select("__row", *kept_columns, *names, F.explode_outer(buckets("__w")).alias("__bucket"))
-    scored = grams.join(table, "__bucket", "left").groupBy("__row", *kept_columns, *names).agg(F.coalesce(F.avg("__ratio"), F.lit(0.0)).alias("llr"))
-    return scored.drop("__row").withColumn("kept", ~F.col("base_failed") & (F.col("llr") >= threshold))
+    table = F.broadcast(log_ratios(documents, target_ids).toDF(bucket, ratio))
+    grams = based.select(row, *kept_columns, *names, F.explode_outer(buckets(w)).alias(bucket))
+    scored = grams.join(table, bucket, "left").groupBy(row, *kept_columns, *names).agg(F.coalesce(F.avg(ratio), F.lit(0.0)).alias("llr"))
+    return scored.drop(row).withColumn("kept", ~F.col("base_failed") & (F.col("llr") >= threshold))
 
 
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
