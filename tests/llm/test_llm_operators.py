@@ -11,6 +11,7 @@ import public_tokenizers
 import pyarrow as pa
 import pytest
 import tiktoken
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from quern.llm import byte_bpe, chat_windows, common, components, compression, decontamination, lm_scoring, near_duplicates, quality_classifier, quality_rules, secrets, token_records, toxicity
@@ -390,3 +391,61 @@ def test_columns_of_clashing_names_and_without_nulls(spark):
     for out in outputs:
         rows = out.collect()
         assert len(rows) in (3, 6) and all(r[c] == c for r in rows for c in names)
+
+
+def test_secrets_in_further_encodings():
+    import base64
+
+    p = "token=abcdefghijklmnop"
+    b = base64.b64encode(p.encode()).decode()
+    raw = zlib.compressobj(9, zlib.DEFLATED, -15)
+    deflate = raw.compress(p.encode() * 3) + raw.flush()
+    for hidden in (
+        f"http://h.io/xy/{b}", f"xx{b}", f"abc-{b}", f"{b.rstrip('=')}/more/things", "".join(f"\\u{{{ord(c):x}}}" for c in p), "".join(f"%u{ord(c):04x}" for c in p), *(base64.b64encode(p.encode(x)).decode() for x in ("utf-16", "utf-16-le", "utf-16-be")),
+        base64.b64encode(deflate).decode(), " ".join(b[i : i + 8] for i in range(0, len(b), 8)),
+    ):
+        base, found, _, bomb = secrets.find_secrets(f"see {hidden} end")
+        assert not bomb and any(k == 0 and s >= 4 and e <= 4 + len(hidden) for s, k, e in found - set(base)), hidden
+    assert secrets.find_secrets("x" * 100_000)[1] == set()
+
+
+def test_base_secrets_of_all_documents(spark, tmp_path):
+    folder = "/root/testdata/sf0.001"
+    patterns = {"assign": r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", "access": r"AKIA[A-Z0-9]+", "hex": r"[0-9a-f]+"}
+    least = {"assign": 12, "access": 18, "hex": 16}
+    texts = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{folder}/documents.parquet").collect()}
+    rows = secrets.op4_secret_scans(spark, folder).collect()
+    assert len(rows) == len(texts)
+    for r in rows:
+        found = sorted((m.start(), list(patterns).index(k), m.end()) for k, p in patterns.items() for m in re.finditer(p, texts[r.doc_id], re.ASCII) if len(m[2] if k == "assign" else m[0]) >= least[k])
+        names = list(patterns)
+        assert (r.n_assign, r.n_access, r.n_hex) == tuple(sum(k == i for _, k, _ in found) for i in range(3))
+        assert r.base_sha256 == hashlib.sha256(",".join(f"{names[k]}:{a}:{b}" for a, k, b in found).encode()).hexdigest()
+
+
+def test_one_long_labelled_text_leaves_the_model(spark, monkeypatch):
+    from quern.llm import labelled_scores
+
+    monkeypatch.setattr(labelled_scores, "CHARACTERS_PER_CLASS", 60_000)
+    good, bad = [prose(i, 80) for i in range(30)], [prose(100 + i, 60) + " idiot scum moron" * 4 for i in range(30)]
+    rows = [(i, t) for i, t in enumerate(good + bad)] + [(1000 + i, prose(7, 20_000)) for i in range(20)]
+    d = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1 if i < 30 else 0) for i in range(60)] + [(1000 + i, i % 2) for i in range(20)], "doc_id long, quality int")
+    q = {r.doc_id: r.quality_score for r in quality_classifier.add_quality(d, labels).collect()}
+    assert len({round(v, 6) for v in q.values()}) > 3 and sum((q[i] >= 0.5) == (i < 30) for i in range(60)) >= 54
+
+
+def test_a_long_passage_does_not_end_the_dictionary():
+    own = ["".join(chr(97 + x) for x in np.random.default_rng(i).integers(0, 26, 6)) for i in range(5000)]
+    ordinary, special = [prose(i, 60).encode() for i in range(60)], [(prose(100 + i, 60) + " " + " ".join(own)).encode() for i in range(60)]
+    found = compression.passages(special, ordinary, True)
+    assert 20_000 < len(found) <= compression.PASSAGE_BYTES
+    pair = compression.DictionaryPair(found + b" ", b" " * 8, True, raw=True, wholes=False)
+    assert pair.features((" ".join(own[:400])).encode())[0] > 0 or pair.features((" ".join(own)).encode())[0] > 0.2
+
+
+def test_quality_rules_take_any_names(spark, docs):
+    d = docs.select("doc_id", "text", *(F.lit(i).alias(c) for i, c in enumerate(("__bucket", "__row", "__w", "row", "w", "bucket", "ratio", "lines", "ordered"))))
+    target = spark.createDataFrame([(8,)], "doc_id long")
+    rows = quality_rules.add_rules(d, target).collect()
+    assert len(rows) == d.count() and {(r["__bucket"], r["__row"], r["__w"], r.row, r.ordered) for r in rows} == {(0, 1, 2, 3, 8)}
