@@ -38,14 +38,25 @@ def query_type(q: Column) -> Column:
     return ladder([(contains_any(F.lower(q), OPERATION_WORDS), "operation"), (contains_any(F.lower(q), EXPLANATION_WORDS), "explanation")], "definition")
 
 
+# What makes a clause risky, each with its flag and points.
+EXCLUSION, PAYMENT, APPENDIX, ADDENDUM = ["지급하지", "면책", "제외"], ["지급사유", "지급"], ["별표", "부표"], ["부칙"]
+RISKS = [("exclusion_clause_present", 5), ("conflict_pair_present", 5), ("appendix_table_present", 2), ("addendum_present", 1)]
+
+
 def clause_risk(text: Column) -> tuple[Column, Column]:
     """Score and tier of a clause: exclusions 5, payment beside exclusion 5, appendix 2, addendum 1; L2 from 9, L1 from 5."""
-    flag = lambda words, n: F.when(contains_any(text, words), n).otherwise(0)
-    conflict = F.when(contains_any(text, ["지급사유", "지급"]) & contains_any(text, ["지급하지", "면책"]), 5).otherwise(0)
-    score = flag(["지급하지", "면책", "제외"], 5) + conflict + flag(["별표", "부표"], 2) + flag(["부칙"], 1)
+    points = F.create_map(*(F.lit(x) for kv in RISKS for x in kv))
+    score = F.aggregate(risk_flags(text), F.lit(0), lambda a, f: a + F.element_at(points, f))
     return score, F.when(score >= 9, "L2").when(score >= 5, "L1").otherwise("L0")
 
 
+def risk_flags(text: Column) -> Column:
+    """What a clause, or the titles of several joined by spaces, shows, in a fixed order. Null shows nothing."""
+    t = F.coalesce(text, F.lit(""))
+    has = (contains_any(t, EXCLUSION), contains_any(t, PAYMENT) & contains_any(t, EXCLUSION[:2]), contains_any(t, APPENDIX), contains_any(t, ADDENDUM))
+    return F.filter(F.array(*(F.when(c, F.lit(name)) for c, (name, _) in zip(has, RISKS, strict=True))), lambda x: x.isNotNull())
+
+
 def channel_candidates(documents: DataFrame) -> DataFrame:
     """id, channel, priority, n_keywords, location and confidence of every channel whose words a text has. One pass over a text; a row leaves for each match only."""
 

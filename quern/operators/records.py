@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -85,6 +85,30 @@ def summaries(documents: DataFrame, least: int = 500, most: int = 8000) -> DataF
     return documents.filter(n > least).select("id", F.left("text", F.lit(most)).alias("input"), (n > most).alias("truncated"), n.alias("original_length"))
 
 
+def sampled(rows: DataFrame, by: list[str], fraction: float, seed: int = 42) -> DataFrame:
+    """About that fraction of the rows: those whose seeded digest of the columns `by` is in the first part of all digests. The same rows each time, and a larger fraction holds a smaller one."""
+    at = F.conv(F.left(F.md5(F.concat_ws(":", *(F.coalesce(F.col(c).cast("string"), F.lit("")) for c in by), F.lit(str(seed)))), F.lit(8)), 16, 10).cast("long")
+    return rows.filter(at < round(fraction * (1 << 32)))
+
+
+def capped(rows: DataFrame, keys: list[str], order: list[str], most: int) -> DataFrame:
+    """The first `most` rows of each key by an order that tells all rows apart."""
+    w = Window.partitionBy(*keys).orderBy(*order)
+    return rows.withColumn("__place", F.row_number().over(w)).filter(F.col("__place") <= most).drop("__place")
+
+
+def ordered_distinct(rows: DataFrame, column: str, order: str) -> DataFrame:
+    """The distinct values of a column, not null or empty, with `first`, the least of `order` where each stands."""
+    return rows.filter(F.col(column).isNotNull() & (F.col(column).cast("string") != "")).groupBy(column).agg(F.min(order).alias("first"))
+
+
+def most_common(rows: DataFrame, column: str, order: str, most: int | None = None) -> DataFrame:
+    """Values of a column with n, the most frequent first, of equally frequent ones that which comes first by `order`: place counts from 1. most: so many at most."""
+    counts = rows.groupBy(column).agg(F.count("*").alias("n"), F.min(order).alias("first"))
+    ranked = counts.orderBy(F.desc("n"), "first").limit(most) if most else counts
+    return ranked.withColumn("place", F.row_number().over(Window.orderBy(F.desc("n"), "first"))).drop("first") if most else ordered.numbered(ranked.withColumn("minus", -F.col("n")), ["minus", "first"], "place").withColumn("place", F.col("place") + 1).drop("minus", "first")
+
+
 def first_of_each(examples: DataFrame, columns: list[str]) -> DataFrame:
     """The first by ord of rows alike in all columns; nulls are alike."""
     key = F.md5(F.to_json(F.struct(*columns)))

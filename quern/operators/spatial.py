@@ -152,3 +152,26 @@ def outside_boxes(points: DataFrame, areas: DataFrame, keys: list[str] | None =
         held = (x >= edges("area")[0]) & (y >= edges("area")[1]) & (x <= edges("area")[2]) & (y <= edges("area")[3])
         points = points.join(t.filter(F.col("__at") == level), [*same, held], "left_anti")
     return points
+
+
+def polygon_box(points: Column) -> Column:
+    """Left, top, right, bottom of a polygon, an array of points (arrays of x and y)."""
+    of = lambda f, i: f(F.transform(points, lambda p: F.get(p, F.lit(i)).cast("double")))
+    return F.array(of(F.array_min, 0), of(F.array_min, 1), of(F.array_max, 0), of(F.array_max, 1))
+
+
+def to_page(box: str, width: Column, height: Column, page: str, rotation: Column) -> Column:
+    """A box in pixels of a page rendered width by height as a box on the page (left, bottom, right, top), whose origin is below and which was turned by 0, 90, 180 or 270 degrees; other turns count as none."""
+    (x0, y0, x1, y1), (left, bottom, right, top) = edges(box), edges(page)
+    w, h = right - left, top - bottom
+    aside = rotation.isin(90, 270)
+    scale_x = F.when(aside, h).otherwise(w) / F.greatest(F.lit(1), width)
+    scale_y = F.when(aside, w).otherwise(h) / F.greatest(F.lit(1), height)
+
+    def corner(px: Column, py: Column) -> tuple[Column, Column]:
+        x, y = px * scale_x, (height - py) * scale_y
+        turned = lambda a, b, c, d: F.when(rotation == 90, b).when(rotation == 180, c).when(rotation == 270, d).otherwise(a)
+        return left + turned(x, w - y, w - x, y), bottom + turned(y, x, h - y, h - x)
+
+    corners = [corner(px, py) for px in (x0, x1) for py in (y0, y1)]
+    return F.array(F.least(*(c[0] for c in corners)), F.least(*(c[1] for c in corners)), F.greatest(*(c[0] for c in corners)), F.greatest(*(c[1] for c in corners)))

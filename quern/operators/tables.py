@@ -69,6 +69,19 @@ def gate(cells: DataFrame) -> DataFrame:
     return t.withColumn("action", F.when(F.col("passed"), "index").when(F.col("grade").isin("D", "F"), "reprocess").otherwise("manual_review"))
 
 
+def fixed_gate(cells: DataFrame, fill: float = 0.60, reliable: float = 0.70, low: float = 0.25, below: float = 0.60) -> DataFrame:
+    """Per id, table_no: metrics and whether a table passes thresholds that are the same for all sizes; reliability is computed anew from text, ocr_text and ocr_confidence. What doesn't pass is to be reprocessed."""
+    text = lambda c: strip(F.coalesce(c, F.lit(""))) != ""
+    c = cells.select("id", "table_no", "row", (text("text") | text("ocr_text")).cast("int").alias("filled"), reliability(F.col("text"), F.col("ocr_text"), F.col("ocr_confidence")).alias("r"))
+    head = F.col("row") == 0
+    m = c.groupBy("id", "table_no").agg(
+        F.avg("filled").alias("f"), F.avg("r").alias("r"), F.avg((F.col("r") < below).cast("int")).alias("l"),
+        F.coalesce((F.avg(F.when(head, F.col("filled"))) >= 0.5) & (F.avg(F.when(head, F.col("r"))) >= 0.75), F.lit(False)).alias("header_ok"),
+    )
+    passed = F.col("header_ok") & (F.col("f") >= fill) & (F.col("r") >= reliable) & (F.col("l") <= low)
+    return m.select("id", "table_no", F.round("f", 4).alias("fill_rate"), F.round("r", 4).alias("avg_reliability"), F.round("l", 4).alias("low_conf_ratio"), "header_ok", passed.alias("passed"), F.when(passed, "index").otherwise("reprocess").alias("action"))
+
+
 def row_sentences(cells: DataFrame, least: float = 0.6) -> DataFrame:
     """id, table_no, row, sentence: "header: value | ..." of each row under the first, with the cells that are filled and reliable."""
     place = ["id", "table_no", "col"]

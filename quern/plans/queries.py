@@ -353,7 +353,7 @@ def user_sessions(spark, d):
     return ledger.sessions(work(spark, d))
 
 
-from quern.plans import derived_queries, mechanism_queries  # noqa: E402, F401
+from quern.plans import derived_queries, mechanism_queries, surface_queries  # noqa: E402, F401
 
 QUERIES |= derived_queries.QUERIES
 ORACLE_SQL |= derived_queries.ORACLE_SQL

@@ -38,6 +38,39 @@ def list_files(spark: SparkSession, folder: str, extensions: tuple[str, ...] = (
     return files.select("path", "length", F.col("modificationTime").alias("modified"))
 
 
+def matching(files: DataFrame, pattern: str) -> DataFrame:
+    """The files (path) whose name a shell pattern matches: * any characters, ? one, [abc] one of some, [!abc] none of them."""
+    name = F.element_at(F.split("path", "/"), -1)
+    parts, i = "", 0
+    while i < len(pattern):
+        c = pattern[i]
+        if c == "[" and (j := pattern.find("]", i + 2)) > 0:
+            parts, i = parts + "[" + ("^" if pattern[i + 1] == "!" else "") + pattern[i + 1 + (pattern[i + 1] == "!") : j].replace("\\", "\\\\").replace("[", "\\[").replace("&", "\\&") + "]", j
+        else:
+            parts += {"*": ".*", "?": "."}.get(c, "\\Q" + c + "\\E")
+        i += 1
+    return files.filter(name.rlike(f"(?s)^{parts}$"))
+
+
+# Which parser takes files of a suffix, and what their first bytes may be.
+PARSERS = {".pdf": ("pdf", ["pdf"]), ".hwp": ("hwp", ["ole2", "zip"]), ".hwpx": ("hwpx", ["zip"])}
+
+
+def dispatch(path: Column, content: str = "content") -> Column:
+    """A struct of the parser for a file by its suffix, and an error: no parser takes the suffix, or the first bytes are another format's."""
+    suffix, kind = F.lower(F.regexp_extract(path, r"[^/](\.[^./]*)$", 1)), file_format(content)
+    parser, fits = F.lit(None).cast("string"), F.lit(False)
+    for s, (name, kinds) in PARSERS.items():
+        parser, fits = F.when(suffix == s, name).otherwise(parser), F.when(suffix == s, kind.isin(kinds)).otherwise(fits)
+    error = F.when(parser.isNull(), F.concat(F.lit("unsupported format: "), suffix)).when(~fits, F.concat(F.lit("content is "), kind))
+    return F.struct(parser.alias("parser"), error.alias("error"))
+
+
+def not_yet_written(records: DataFrame, key: str, existing: DataFrame, overwrite: bool = False) -> DataFrame:
+    """The records whose output isn't there yet: existing holds the keys of outputs. All of them to overwrite."""
+    return records if overwrite else records.join(existing.select(key).distinct(), key, "left_anti")
+
+
 def file_format(content: str = "content") -> Column:
     """ole2, zip, pdf or unknown by the first bytes."""
     head = F.hex(F.substring(content, 1, 8))

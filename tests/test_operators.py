@@ -275,3 +275,50 @@ def test_leaks_say_which(spark):
     d = spark.createDataFrame([("생각해보면 그렇다",), ("go Step by step",), ("let's think, chain of thought",), ("plain",), (None,)], "t string")
     got = [r[0] for r in d.select(answers.leak(F.col("t"))).collect()]
     assert got == [answers.LEAKS[0], answers.LEAKS[6], answers.LEAKS[4], None, None]
+
+
+def test_files_by_pattern_and_format(spark):
+    names = ["/a/x1.pdf", "/a/y.PDF", "/b/x22.pdf", "/b/[z].hwp", "/b/none"]
+    d = spark.createDataFrame([(n,) for n in names], "path string")
+    import fnmatch
+
+    for pattern in ("*.pdf", "x?.pdf", "[xy]*", "[!xy]*", "*", "[[]z].hwp", "x.pdf", "*+*"):
+        assert {r.path for r in files.matching(d, pattern).collect()} == {n for n in names if fnmatch.fnmatchcase(n.split("/")[-1], pattern)}, pattern
+    rows = [("a.pdf", b"%PDF-1"), ("a.hwp", b"%PDF-1"), ("b.HWPX", b"PK\x03\x04"), ("c.doc", b""), ("d", None), (None, b"x")]
+    c = spark.createDataFrame(rows, "path string, content binary").select(files.dispatch(F.col("path")).alias("x"))
+    assert [tuple(r.x) for r in c.collect()] == [("pdf", None), ("hwp", "content is pdf"), ("hwpx", None), (None, "unsupported format: .doc"), (None, "unsupported format: "), (None, None)]
+
+
+def test_small_record_operators(spark):
+    d = spark.createDataFrame([(i, c) for i, c in enumerate(["b", "a", None, "a", "", "c", "b", "a"])], "i int, c string")
+    assert {(r.c, r.first) for r in records.ordered_distinct(d, "c", "i").collect()} == {("b", 0), ("a", 1), ("c", 5)}
+    want = [("a", 3, 1), ("b", 2, 2), (None, 1, 3), ("", 1, 4), ("c", 1, 5)]
+    assert sorted((tuple(r) for r in records.most_common(d, "c", "i").select("c", "n", "place").collect()), key=lambda r: r[2]) == want
+    assert sorted((tuple(r) for r in records.most_common(d, "c", "i", 2).select("c", "n", "place").collect()), key=lambda r: r[2]) == want[:2]
+    assert {r.i for r in records.capped(d, ["c"], ["i"], 1).collect()} == {0, 1, 2, 4, 5}
+    few, more = ({r.id for r in records.sampled(spark.range(1000), ["id"], f).collect()} for f in (0.1, 0.4))
+    assert few < more and 60 < len(few) < 140 and records.sampled(spark.range(9), ["id"], 1.0).count() == 9 and records.sampled(spark.range(9), ["id"], 0.0).count() == 0
+
+
+def test_boxes_turn_with_their_page(spark):
+    from quern.operators import spatial
+
+    d = spark.createDataFrame([(t, [0.0, 0.0, 10.0, 20.0], [0.0, 0.0, 100.0, 200.0]) for t in (0, 90, 180, 270, 45)], "turn int, box array<double>, page array<double>")
+    width, height = (F.when(F.col("turn").isin(90, 270), a).otherwise(b) for a, b in ((200, 100), (100, 200)))
+    got = {r.turn: [round(x, 6) for x in r.b] for r in d.select("turn", spatial.to_page("box", width, height, "page", F.col("turn")).alias("b")).collect()}
+    assert got[0] == got[45] == [0, 180, 10, 200] and got[180] == [90, 0, 100, 20] and got[90] == [0, 0, 20, 10] and got[270] == [80, 190, 100, 200]
+    p = spark.createDataFrame([([[3.0, 1.0], [5.0, 2.0], [4.0, 9.0]],)], "p array<array<double>>")
+    assert p.select(spatial.polygon_box(F.col("p"))).first()[0] == [3.0, 1.0, 5.0, 9.0]
+
+
+def test_contexts_follow_the_kind_of_question(spark):
+    hits = [(q, k, r, i, t) for q, k in ((1, "explanation"), (2, "operation"), (3, "definition"), (4, None)) for i, (r, t) in enumerate([("paraphrase", "p1"), ("canonical", "c"), ("operational", "o"), ("paraphrase", ""), ("paraphrase", "p2")])]
+    d = spark.createDataFrame(hits, "query_id int, kind string, role string, rank int, text string")
+    got = {r.query_id: (r.context, r.sources) for r in retrieval.contexts_for(d, 1).collect()}
+    assert got[1] == (["c", "p1"], "- 약관(canonical)\n- 상품요약서(summary)") and got[2][0] == ["c", "o"] and got[3] == got[4] == (["c"], "- 약관(canonical)")
+
+
+def test_the_fixed_gate(spark):
+    c = spark.createDataFrame([(1, 0, 0, "헤더명", "", None), (1, 0, 1, "", "값입니다", 0.9), (2, 0, 0, "", "", None), (2, 0, 1, "x", "", None)], "id int, table_no int, row int, text string, ocr_text string, ocr_confidence double")
+    got = {r.id: (r.fill_rate, r.header_ok, r.passed, r.action) for r in tables.fixed_gate(c).collect()}
+    assert got == {1: (1.0, True, True, "index"), 2: (0.5, False, False, "reprocess")}
