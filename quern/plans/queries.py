@@ -239,7 +239,13 @@ def completeness_score(spark, d):
     return texts(spark, d).select("id", F.round(records.completeness(F.col("text")), 6).alias("completeness"))
 
 
-@query()
+#: RE2 has no back-references: runs of six equal characters, spelled out.
+SIX = "|".join(f"{c}{{6}}" for c in "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789éèêçñßüöäóíáúÉÈÊÇÑÜÖÄÓÍÁÚ!#%&=:;,'_ -")
+
+
+@query(f"""WITH t AS (SELECT doc_id AS id, text AS t, list_filter(regexp_split_to_array(text, '\\s+'), lambda x: x <> '') AS w FROM documents)
+SELECT id, round(CASE WHEN t = '' THEN 0 ELSE greatest(0, 1 - CASE WHEN regexp_matches(t, '[!@#$%^&*()]{{4,}}') THEN 0.2 ELSE 0 END - CASE WHEN regexp_matches(t, '{SIX.replace("'", "''")}') THEN 0.2 ELSE 0 END - CASE WHEN len(w) > 10 AND len(list_distinct(w)) < 0.3 * len(w) THEN 0.3 ELSE 0 END
+  - CASE WHEN (length(t) - length(replace(t, chr(10) || chr(10), ''))) / 2 > 0.1 * length(t) THEN 0.1 ELSE 0 END) END, 6)::DOUBLE AS quality FROM t""")
 def text_quality(spark, d):
     return texts(spark, d).select("id", F.round(records.text_quality(F.col("text")), 6).alias("quality"))
 
@@ -287,7 +293,36 @@ def personal_data(spark, d):
     return texts(spark, d).select("id", F.array_join(answers.pii(F.col("text")), ",").alias("pii"))
 
 
-@query()
+WHOLE_WORD = lambda w: f"regexp_matches(o, '(?i)(^|[^\\p{{L}}\\p{{N}}_]){w}($|[^\\p{{L}}\\p{{N}}_])')"
+LEAKED = " OR ".join(map(WHOLE_WORD, ("let''?s think", "chain of thought", "step\\s*by\\s*step", "추론", "먼저($|[^\\p{L}\\p{N}_])(.*[^\\p{L}\\p{N}_])?다음")))
+GENERAL, SURE = (" OR ".join(map(WHOLE_WORD, x)) for x in (("일반적으로", "보통", "대개", "통상", "대부분"), ("반드시", "무조건", "항상", "확실히")))
+#: Of records r (id, instruction, canonical, summary, operational, output, product_id, version).
+FINDINGS = f""", n AS (SELECT id, coalesce(instruction, '') AS instruction, coalesce(canonical, '') AS canonical, coalesce(summary, '') AS summary, coalesce(operational, '') AS operational, coalesce(output, '') AS output, trim(coalesce(product_id, ''), E' \\t\\r\\n') AS p, trim(coalesce(version, ''), E' \\t\\r\\n') AS v FROM r),
+k AS (SELECT *, trim(output, E' \\t\\r\\n') AS o, list_distinct(regexp_extract_all(output, '[A-Za-z0-9가-힣]{{2,}}')) AS tk, list_distinct(regexp_extract_all(canonical, '[A-Za-z0-9가-힣]{{2,}}')) AS ck, list_distinct(regexp_extract_all(summary, '[A-Za-z0-9가-힣]{{2,}}')) AS sk, list_distinct(regexp_extract_all(operational, '[A-Za-z0-9가-힣]{{2,}}')) AS pk, list_filter(regexp_extract_all(output, '[A-Za-z0-9가-힣]+'), lambda x: length(x) >= 2) AS w, trim(instruction, E' \\t\\r\\n') <> '' AS hi, trim(output, E' \\t\\r\\n') <> '' AS ho, trim(canonical, E' \\t\\r\\n') <> '' AS hc FROM n),
+c AS (SELECT id, list_filter([CASE WHEN NOT hi THEN 'fail:schema.instruction' END, CASE WHEN NOT ho THEN 'fail:schema.output' END, CASE WHEN NOT hc THEN 'fail:schema.canonical' END, CASE WHEN p = '' THEN 'warn:meta.product_id' END, CASE WHEN v = '' THEN 'warn:meta.version' END, CASE WHEN {LEAKED} THEN 'fail:quality.reasoning_leak' END,
+  CASE WHEN length(o) BETWEEN 1 AND 19 THEN 'warn:quality.too_short' END, CASE WHEN length(o) > 1200 THEN 'warn:quality.too_long' END,
+  CASE WHEN hc AND len(tk) > 0 AND len(list_intersect(tk, ck)) / len(tk) < 0.18 AND (len(list_intersect(tk, sk)) / len(tk) > 0.25 OR len(list_intersect(tk, pk)) / len(tk) > 0.25) THEN 'warn:grounding.summary_operational_dominant' END,
+  CASE WHEN hc AND ho AND len(w) >= 8 AND len(list_filter(range(0, greatest(least(len(w) - 3, 40) - 1, 0) + 1, 3), lambda i: contains(canonical, array_to_string(w[i + 1 : i + 4], ' ')))) = 0 THEN 'warn:grounding.weak' END,
+  CASE WHEN {GENERAL} THEN 'warn:tone.generic' END, CASE WHEN {SURE} THEN 'warn:tone.certain' END], lambda x: x IS NOT NULL) AS codes FROM k)
+SELECT id, array_to_string(codes, ',') AS codes, len(list_filter(codes, lambda x: x LIKE 'fail:%')) = 0 AS ok FROM c"""
+OUTPUTS = """WITH r AS (SELECT doc_id AS id, CASE WHEN doc_id % 9 < 8 THEN 'what of ' || source END AS instruction, CASE WHEN doc_id % 7 < 6 THEN d.text END AS canonical, b.text AS summary, CASE WHEN doc_id % 2 = 0 THEN b.text || ' more' ELSE source END AS operational,
+  CASE doc_id % 6 WHEN 0 THEN b.text WHEN 1 THEN left(d.text, 400) WHEN 2 THEN 'go step by step. ' || b.text WHEN 3 THEN 'a few words' WHEN 4 THEN '보통 항상 그렇다, ' || left(d.text, 90) ELSE ' ' END AS output, CASE WHEN doc_id % 5 > 0 THEN source END AS product_id, CASE WHEN doc_id % 4 > 0 THEN '202401' ELSE ' ' END AS version FROM documents d JOIN benchmark b ON item_id = doc_id % 40)"""
+
+
+@query(OUTPUTS + FINDINGS)
+def distilled_outputs(spark, d):
+    """Benchmark passages and parts of documents as outputs that documents are to support."""
+    docs, b = table(spark, d, "documents"), table(spark, d, "benchmark").select("item_id", F.col("text").alias("b"))
+    k = F.col("doc_id")
+    output = F.when(k % 6 == 0, F.col("b")).when(k % 6 == 1, F.left("text", F.lit(400))).when(k % 6 == 2, F.concat(F.lit("go step by step. "), "b")).when(k % 6 == 3, "a few words").when(k % 6 == 4, F.concat(F.lit("보통 항상 그렇다, "), F.left("text", F.lit(90)))).otherwise(" ")
+    r = docs.join(b, k % 40 == F.col("item_id")).select(
+        k.alias("id"), F.when(k % 9 < 8, F.concat(F.lit("what of "), "source")).alias("instruction"), F.when(k % 7 < 6, F.col("text")).alias("canonical"), F.col("b").alias("summary"), F.when(k % 2 == 0, F.concat("b", F.lit(" more"))).otherwise(F.col("source")).alias("operational"),
+        output.alias("output"), F.when(k % 5 > 0, F.col("source")).alias("product_id"), F.when(k % 4 > 0, "202401").otherwise(" ").alias("version"),
+    )
+    return answers.findings(r).select("id", F.array_join("codes", ",").alias("codes"), "ok")
+
+
+@query("WITH r AS (SELECT doc_id AS id, text AS instruction, text AS canonical, text AS output, '' AS summary, '' AS operational, source AS product_id, '202401' AS version FROM documents)" + FINDINGS)
 def distill_findings(spark, d):
     whole = [F.col("text").alias(c) for c in ("instruction", "canonical", "output")]
     r = texts(spark, d).select("id", *whole, F.lit("").alias("summary"), F.lit("").alias("operational"), F.col("source").alias("product_id"), F.lit("202401").alias("version"))
