@@ -27,11 +27,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quern.llm.common import bounded_batches, fresh, materialize, read_table, release, with_fields
-from quern.llm.integer_vectors import finite, group_sums, moved, stored_integers, unpacked, with_group_totals
+from quern.llm.integer_vectors import BATCH, finite, group_sums, moved, stored_integers, unpacked, with_group_totals
 
 ENTRIES, PARTS, ROUNDS, SCALE = 256, 4, 4, 1024
 #: Bits of a quantised coordinate; query parts that are bounded at once.
-BITS, BLOCK = 4, 1024
+BITS, BLOCK = 4, 256
 
 
 class Cells:
@@ -54,15 +54,15 @@ class Cells:
         return found, distance
 
     def nearest_of_block(self, q: np.ndarray, count: list | None) -> tuple[np.ndarray, np.ndarray]:
-        low, high = self.marks[None, :-1, :], self.marks[None, 1:, :]
-        x = q[:, None, :]
-        below, above = low - x, x - high
+        # by coordinate, query part and cell: how far the cell's nearest and farthest points are
+        x = q.T[:, :, None]
+        below, above = self.marks[:-1].T[:, None, :] - x, x - self.marks[1:].T[:, None, :]
         least = np.maximum(np.maximum(below, above), 0) ** 2
         most = np.maximum(np.abs(below), np.abs(above)) ** 2
-        lower, upper = (np.zeros((len(q), len(self.entries)), np.int64) for _ in range(2))
-        for d in range(q.shape[1]):
-            lower += least[:, self.cells[:, d], d]
-            upper += most[:, self.cells[:, d], d]
+        lower, upper, own = (np.zeros((len(q), len(self.entries)), np.int64) for _ in range(3))
+        for d, cells in enumerate(self.cells.T):
+            lower += np.take(least[d], cells, axis=1, out=own, mode="clip")
+            upper += np.take(most[d], cells, axis=1, out=own, mode="clip")
         rows, entries = np.nonzero(lower <= upper.min(1)[:, None])
         table = np.full(lower.shape, np.iinfo(np.int64).max)
         for i in range(0, len(rows), 16 * BLOCK):
@@ -97,7 +97,7 @@ def add_codes(vectors: DataFrame, entries: int = ENTRIES, parts: int = PARTS, ro
         return empty, np.zeros((parts, 0, 0), np.int64)
     packed, width = fresh(vectors, "packed"), dim // parts
     stored = stored_integers(kept.filter(F.size(vector) == dim), vector, dim, scale, packed)
-    bounded_batches(vectors.sparkSession, BLOCK)
+    bounded_batches(vectors.sparkSession, BATCH)
     by_components = F.col(vector)
     rows = stored.select(packed).orderBy(F.col(vec_id).asc_nulls_last(), by_components).limit(entries).collect()
     first = np.array([np.frombuffer(bytes(r[0]), np.int64) for r in rows])
