@@ -138,3 +138,49 @@ def best_threshold(sweep: DataFrame) -> DataFrame:
 def needs_review(mixed: Column, confidence: Column, channel: Column, below: float = 0.5, default: str = "일반") -> Column:
     """Whether a person should look: several channels, little confidence, or no channel but the default."""
     return F.coalesce(mixed, F.lit(False)) | F.coalesce(confidence < below, F.lit(True)) | F.coalesce(channel == default, F.lit(True))
+
+
+# How much each source of an ensemble counts, from what confidence on a channel is taken or reviewed, and parts that a configuration must have.
+WEIGHTS = {"content": 0.6, "metadata": 0.3, "filename": 0.1}
+AUTO, REVIEW, LAST_PRIORITY = 0.6, 0.4, 99
+CONFIDENCE_PARTS = {"location": ["header", "body", "footer"], "frequency": ["coefficient", "max"], "penalty": ["negative"]}
+
+
+def config_problems(config: dict) -> list[str]:
+    """What speaks against a configuration (auto, review, weights, confidence, channels): thresholds out of range or order, weights that miss a source or don't sum to 1, and missing parts."""
+    inside = lambda x: isinstance(x, (int, float)) and 0 <= x <= 1
+    out = [f"{k} out of range" for k in ("auto", "review") if not inside(config.get(k))]
+    if not out and config["auto"] <= config["review"]:
+        out.append("auto must be above review")
+    weights = config.get("weights", {})
+    out += [f"weights.{k} missing" for k in WEIGHTS if k not in weights]
+    if abs(sum(weights.values()) - 1) > 0.01:
+        out.append("weights must sum to 1")
+    parts = config.get("confidence", {})
+    if not inside(parts.get("base")):
+        out.append("confidence.base missing or out of range")
+    out += [f"confidence.{k}.{x} missing" for k, need in CONFIDENCE_PARTS.items() for x in need if x not in parts.get(k, {})]
+    return out + [f"channels.{c}.{k} out of range" for c, own in sorted(config.get("channels", {}).items()) for k in ("auto", "review") if k in own and not inside(own[k])]
+
+
+def ensemble(documents: DataFrame, weights: dict[str, float] | None = None, thresholds: dict[str, tuple[float, float]] | None = None) -> DataFrame:
+    """id, channel, confidence, route of documents (id, text, file_name, channel_hint, metadata_quality): of each channel that content, metadata or file name suggest the weighted sum of their confidences; the largest counts, of equals the smallest priority. Without a suggestion the channel is null and the route unclassified. thresholds: auto and review for channels that have their own."""
+    w = weights or WEIGHTS
+    known = F.create_map(*(F.lit(x) for name, n, *_ in CHANNELS for x in (name, n)))
+    content = channel_candidates(documents).select("id", "channel", (F.col("confidence") * w["content"]).alias("score"))
+    hint = documents.filter(F.coalesce("channel_hint", F.lit("")) != "").select("id", F.col("channel_hint").alias("channel"), (F.coalesce("metadata_quality", F.lit(0.0)) * w["metadata"]).alias("score"))
+    named = documents.select("id", filename_channel(F.col("file_name")).alias("channel"), F.lit(w["filename"]).alias("score")).filter("channel <> ''")
+    both = content.unionByName(hint).unionByName(named).groupBy("id", "channel").agg(F.sum("score").alias("score"))
+    best = best_channel(both.withColumn("priority", F.coalesce(F.try_element_at(known, F.col("channel")), F.lit(LAST_PRIORITY))))
+    auto, review = F.lit(AUTO), F.lit(REVIEW)
+    for name, (a, r) in (thresholds or {}).items():
+        auto, review = F.when(F.col("channel") == name, a).otherwise(auto), F.when(F.col("channel") == name, r).otherwise(review)
+    d = documents.select("id").join(best, "id", "left").withColumn("confidence", F.coalesce("confidence", F.lit(0.0)))
+    return d.withColumn("route", F.when(F.col("channel").isNull(), "unclassified").when(F.col("confidence") >= auto, "auto").when(F.col("confidence") >= review, "review").otherwise("unclassified"))
+
+
+def channel_counts(routed: DataFrame) -> DataFrame:
+    """channel, n, percent of all rows, mean_confidence of what is taken or reviewed, from routed (channel, confidence, route)."""
+    taken = F.col("route").isin("auto", "review") & F.col("channel").isNotNull()
+    c = routed.groupBy(F.when(taken, F.col("channel")).alias("channel")).agg(F.count("*").alias("n"), F.round(F.avg("confidence"), 6).alias("mean_confidence"))
+    return c.withColumn("percent", F.round(100.0 * F.col("n") / F.sum("n").over(Window.partitionBy()), 6)).filter("channel IS NOT NULL")  # a row a channel

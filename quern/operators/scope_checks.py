@@ -103,6 +103,17 @@ def force_insufficient(checked: DataFrame) -> DataFrame:
     return checked.withColumn("decision", F.when(F.col("valid"), F.col("decision")).otherwise("insufficient")).withColumn("confidence", F.when(F.col("valid"), F.col("confidence")).otherwise(0.0))
 
 
+# What a retry is told.
+RETRY_HEAD = "이전 답변에서 다음 문제가 발견되었습니다:"
+RETRY_RULES = ["", "다음 규칙을 지켜 다시 답변하세요:", "1. 반드시 <SCOPE> 텍스트에서만 근거를 인용하세요.", "2. 인용문(quote)은 원문 그대로 작성하세요.", "3. 다른 특약/약관을 언급하지 마세요.", "4. 근거가 없으면 '근거부족'으로 답하세요."]
+
+
+def retry_prompt(problems: Column) -> Column:
+    """What to ask again with, naming each problem (an array of texts); null where there is none."""
+    listed = F.transform(problems, lambda p: F.concat(F.lit("- "), p))
+    return F.when(F.size(problems) > 0, F.array_join(F.concat(F.array(F.lit(RETRY_HEAD)), listed, F.array(*map(F.lit, RETRY_RULES))), "\n"))
+
+
 def routed(questions: DataFrame, titles: DataFrame, across: str = r"(비교|차이|모든\s*특약|전체)") -> DataFrame:
     """questions (id, question) with scopes: the sorted titles a question names; all titles if it names none but compares; none, which means every scope, otherwise."""
     known = titles.filter("title <> ''").select("title").distinct()

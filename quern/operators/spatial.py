@@ -175,3 +175,21 @@ def to_page(box: str, width: Column, height: Column, page: str, rotation: Column
 
     corners = [corner(px, py) for px in (x0, x1) for py in (y0, y1)]
     return F.array(F.least(*(c[0] for c in corners)), F.least(*(c[1] for c in corners)), F.greatest(*(c[0] for c in corners)), F.greatest(*(c[1] for c in corners)))
+
+
+# What a page of recognised lines needs to be a table, and to pass, and how long a title is.
+LEAST_CELLS, PASSING, TITLE = 4, 0.6, (3, 99)
+
+
+def page_tables(lines: DataFrame) -> DataFrame:
+    """id, page, n_rows, n_cols, n_cells, bbox, title, confidence, passed of the pages of lines (id, page, text, confidence, bbox) that are a table: two rows and columns at least by grid(), and LEAST_CELLS cells. The title is the leftmost text of the first row, if it is neither short nor long; passed asks for a mean confidence of PASSING."""
+    x0, y0, x1, y1 = edges("bbox")
+    g = grid(lines.withColumns({"x": (x0 + x1) / 2, "y": (y0 + y1) / 2}))
+    t = g.groupBy("id", "page").agg(
+        (F.max("row") + 1).alias("n_rows"), F.count("*").alias("n_cells"), F.array(F.min(x0), F.min(y0), F.max(x1), F.max(y1)).alias("bbox"),
+        F.min_by("text", F.struct("row", "x", "y")).alias("title"), F.avg("confidence").alias("mean"),
+    )
+    columns = lines.select("id", "page", ((x0 + x1) / 2).alias("x")).groupBy("id", "page").agg(F.size(anchors(F.sort_array(F.collect_list("x")), COLUMN_REACH)).alias("n_cols"))  # a page's boxes
+    t = t.join(columns, ["id", "page"]).filter((F.col("n_rows") >= 2) & (F.col("n_cols") >= 2) & (F.col("n_cells") >= LEAST_CELLS))
+    title = F.trim("title")
+    return t.select("id", "page", "n_rows", "n_cols", "n_cells", "bbox", F.when(F.length(title).between(*TITLE), title).alias("title"), F.round("mean", 4).alias("confidence"), (F.col("mean") >= PASSING).alias("passed"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from quern.functions import text as T
 from quern.operators import answers, chunking, classify, dedup, records, retrieval, tables
-from quern.plans.common import CELLS, GATED, GREEDY, ORACLE_SQL, QUERIES, RELIABLE, SQUASH, STRUCTURAL, VECTOR_SEARCH, WORK, examples, query, table, texts, work
+from quern.plans.common import CELLS, CHANNEL, GATED, GREEDY, ORACLE_SQL, QUERIES, RELIABLE, SQUASH, STRUCTURAL, VECTOR_SEARCH, WORK, examples, query, table, texts, work
 from quern.sources import files
 from quern.streaming import ledger
 
@@ -138,13 +138,6 @@ def channel_scores(spark, d):
     return classify.best_channel(c.withColumn("score", F.col("confidence") * 0.6))
 
 
-CHANNEL = """WITH m AS (SELECT doc_id, text, length(text) - length(replace(lower(text), 'tm', 'x')) AS n FROM documents WHERE regexp_matches(text, '(?i)tm')),
-tv AS (SELECT doc_id, text, len(regexp_extract_all(text, '(?i)tv')) AS n FROM documents WHERE regexp_matches(text, '(?i)tv')),
-c AS (SELECT doc_id AS id, 'TM' AS channel, 2 AS priority, greatest(0, least(1, 0.3 + CASE WHEN regexp_matches(left(text, 1000), '(?i)tm') THEN 0.35 WHEN length(text) > 500 AND regexp_matches(right(text, 500), '(?i)tm') THEN 0.05 ELSE 0.1 END + least(n * 0.06, 0.3) - CASE WHEN regexp_matches(text, '(?i)atm|tms') THEN 0.35 ELSE 0 END)) * 0.6 AS s FROM m
- UNION ALL SELECT doc_id, '방송', 5, greatest(0, least(1, 0.3 + CASE WHEN regexp_matches(left(text, 1000), '(?i)tv') THEN 0.35 WHEN length(text) > 500 AND regexp_matches(right(text, 500), '(?i)tv') THEN 0.05 ELSE 0.1 END + least(n * 0.06, 0.3))) * 0.6 FROM tv),
-b AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY s DESC, priority) AS r FROM c)"""
-
-
 @query(CHANNEL + " SELECT id, channel, round(s, 6) AS confidence, CASE WHEN s >= 0.35 THEN 'auto' WHEN s >= 0.2 THEN 'review' ELSE 'unclassified' END AS route FROM b WHERE r = 1")
 def ensemble_channel(spark, d):
     b = channel_scores(spark, d)

@@ -6,9 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quern.functions import text as T
-from quern.operators import answers, classify, records, retrieval, rule_classifier, spatial, tables
+from quern.operators import answers, classify, records, retrieval, rule_classifier, scope_checks, spatial, tables
 from quern.operators.dedup import shared_folder
-from quern.plans.common import query, table, texts, work
+from quern.plans import derived_queries
+from quern.plans.common import CHANNEL, query, table, texts, work
 from quern.plans.derived_queries import rows, with_tables
 from quern.plans.mechanism_queries import BOXES, boxes, page_channels, rule_sql
 from quern.sources import files
@@ -198,3 +199,57 @@ def events_once(spark, d):
 @query(f"SELECT channel, source, count(*) AS n FROM ({rule_sql('priority')}) WHERE mixed GROUP BY channel, source")
 def mixed_channels(spark, d):
     return rule_classifier.region_counts(page_channels(spark, d, "priority").filter("mixed")).select("channel", "source", "n")
+
+
+# the whole ensemble: content, metadata and file name
+ENSEMBLE = CHANNEL[: CHANNEL.index(",\nb AS")] + """, n AS (SELECT doc_id AS id, CASE doc_id % 6 WHEN 0 THEN 'TM' WHEN 3 THEN '방송' WHEN 4 THEN '홈쇼핑' END AS by_name, CASE doc_id % 4 WHEN 0 THEN 'TM' WHEN 1 THEN '방송' WHEN 2 THEN 'web' END AS hint, CAST(doc_id % 5 AS DOUBLE) / 4 AS q FROM documents),
+a AS (SELECT id, channel, s FROM c UNION ALL SELECT id, hint, q * 0.3 FROM n WHERE hint IS NOT NULL UNION ALL SELECT id, by_name, 0.1 FROM n WHERE by_name IS NOT NULL), g AS (SELECT id, channel, sum(s) AS s, CASE channel WHEN 'TM' THEN 2 WHEN '홈쇼핑' THEN 3 WHEN '방송' THEN 5 ELSE 99 END AS p FROM a GROUP BY id, channel),
+b AS (SELECT id, arg_max(channel, (least(s, 1), -p)) AS channel, max(least(s, 1)) AS s FROM g GROUP BY id), r AS (SELECT n.id, channel, coalesce(s, 0) AS s FROM n LEFT JOIN b ON n.id = b.id),
+f AS (SELECT id, channel, round(s, 6)::DOUBLE AS confidence, CASE WHEN channel IS NULL THEN 'unclassified' WHEN s >= CASE channel WHEN 'TM' THEN 0.3 WHEN '방송' THEN 0.5 ELSE 0.6 END THEN 'auto' WHEN s >= CASE channel WHEN 'TM' THEN 0.1 WHEN '방송' THEN 0.2 ELSE 0.4 END THEN 'review' ELSE 'unclassified' END AS route FROM r)"""
+
+
+def ensembled(spark, d) -> DataFrame:
+    k = F.col("doc_id")
+    docs = table(spark, d, "documents").select(
+        k.alias("id"), "text", F.when(k % 6 == 0, "(TM).pdf").when(k % 6 == 3, "x（방송）").when(k % 6 == 4, "(홈쇼핑)").otherwise("TM.pdf").alias("file_name"),
+        F.when(k % 4 == 0, "TM").when(k % 4 == 1, "방송").when(k % 4 == 2, "web").alias("channel_hint"), ((k % 5).cast("double") / 4).alias("metadata_quality"),
+    )
+    return classify.ensemble(docs, thresholds={"TM": (0.3, 0.1), "방송": (0.5, 0.2)}).withColumn("confidence", F.round("confidence", 6))
+
+
+@query(ENSEMBLE + " SELECT id, channel, confidence, route FROM f")
+def ensemble_routes(spark, d):
+    return ensembled(spark, d)
+
+
+@query(ENSEMBLE + " SELECT channel, count(*) AS n, round(100.0 * count(*) / (SELECT count(*) FROM f), 6) AS percent, round(avg(confidence), 6) AS mean_confidence FROM f WHERE route <> 'unclassified' AND channel IS NOT NULL GROUP BY channel")
+def ensemble_channels(spark, d):
+    return classify.channel_counts(ensembled(spark, d))
+
+
+@query(with_tables("""+ g AS (SELECT id, page, list_sort(list(y)) AS ys, list_sort(list(x)) AS xs FROM boxes GROUP BY id, page),
+a AS (SELECT id, page, len(list_reduce(list_transform(ys, lambda y: [y]), lambda k, y: CASE WHEN y[1] - k[-1] > 15 THEN list_append(k, y[1]) ELSE k END)) AS n_rows, len(list_reduce(list_transform(xs, lambda x: [x]), lambda k, x: CASE WHEN x[1] - k[-1] > 20 THEN list_append(k, x[1]) ELSE k END)) AS n_cols, ys[1] AS first FROM g),
+t AS (SELECT b.id, b.page, count(*) AS n_cells, round(min(x), 4) - 8 AS x0, round(max(y), 4) + 4 AS y1, avg(CAST(length(box) AS DOUBLE) / 4) AS m, arg_min('row ' || box, x) FILTER (y - a.first <= 15) AS title FROM boxes b JOIN a ON a.id = b.id AND a.page = b.page GROUP BY b.id, b.page)
+SELECT t.id, t.page, CAST(n_rows AS INTEGER) AS n_rows, CAST(n_cols AS INTEGER) AS n_cols, n_cells, x0, y1, title, m >= 0.6 AS passed FROM t JOIN a ON a.id = t.id AND a.page = t.page WHERE n_rows >= 2 AND n_cols >= 2 AND n_cells >= 4"""))
+def page_tables(spark, d):
+    b = rows(spark, d, "boxes")
+    lines = b.select("id", "page", F.concat(F.lit("row "), "box").alias("text"), (F.length("box").cast("double") / 4).alias("confidence"), F.array(F.col("x") - 8, F.col("y") - 4, F.col("x") + 8, F.col("y") + 4).alias("bbox"))
+    t = spatial.page_tables(lines)
+    return t.select("id", "page", "n_rows", "n_cols", "n_cells", (F.round(F.get("bbox", F.lit(0)) + 8, 4) - 8).alias("x0"), (F.round(F.get("bbox", F.lit(3)) - 4, 4) + 4).alias("y1"), "title", "passed")
+
+
+@query(with_tables("+ r AS (SELECT key, max(ts) AS ts FROM review_events WHERE event = 'resolve' GROUP BY key), f AS (SELECT e.key, min(e.ts) AS since FROM review_events e LEFT JOIN r ON e.key = r.key WHERE event = 'enqueue' AND (r.ts IS NULL OR e.ts > r.ts) GROUP BY e.key), n AS (SELECT *, row_number() OVER (ORDER BY since) AS place FROM f) SELECT CAST(place AS INTEGER) AS place, key, since FROM n WHERE place <= 15"))
+def review_batch(spark, d):
+    return ledger.dequeued(ledger.review_queue(rows(spark, d, "review_events")), 15)
+
+
+@query(with_tables("""+ e AS (SELECT *, lag(event) OVER (PARTITION BY key ORDER BY ts, event_id) AS before FROM review_events), s AS (SELECT *, max(CASE WHEN event = 'enqueue' AND coalesce(before, '') <> 'enqueue' THEN ts END) OVER (PARTITION BY key ORDER BY ts, event_id) AS since FROM e)
+SELECT count(*) FILTER (event = 'enqueue' AND coalesce(before, '') <> 'enqueue') AS enqueued, count(*) FILTER (event = 'resolve') AS resolved, count(*) FILTER (event = 'enqueue' AND coalesce(before, '') <> 'enqueue') - count(*) FILTER (event = 'resolve' AND before = 'enqueue') AS waiting, round(avg((epoch_us(ts) - epoch_us(since)) / 1e6) FILTER (event = 'resolve' AND before = 'enqueue'), 3) AS mean_wait_s FROM s"""))
+def review_statistics(spark, d):
+    return ledger.review_stats(rows(spark, d, "review_events"))
+
+
+@query("WITH v AS (" + derived_queries.ORACLE_SQL["scope_validation"] + """) SELECT id, md5('이전 답변에서 다음 문제가 발견되었습니다:' || chr(10) || array_to_string(list_transform(string_split(problems, ','), lambda p: '- ' || p), chr(10)) || chr(10) || chr(10) || '다음 규칙을 지켜 다시 답변하세요:' || chr(10) || '1. 반드시 <SCOPE> 텍스트에서만 근거를 인용하세요.' || chr(10) || '2. 인용문(quote)은 원문 그대로 작성하세요.' || chr(10) || '3. 다른 특약/약관을 언급하지 마세요.' || chr(10) || '4. 근거가 없으면 ''근거부족''으로 답하세요.') AS prompt FROM v WHERE action = 'retry'""")
+def retry_prompts(spark, d):
+    v = scope_checks.validated(rows(spark, d, "scope_answers"), rows(spark, d, "scope_evidence"), rows(spark, d, "scope_titles"))
+    return v.filter("action = 'retry'").select("id", F.md5(scope_checks.retry_prompt(F.col("problems"))).alias("prompt"))

@@ -104,10 +104,28 @@ def reconcile(listed: DataFrame, present: DataFrame) -> DataFrame:
 
 
 def review_queue(events: DataFrame, most: int = 1000) -> DataFrame:
-    """Who waits for review, from events (event_id, ts, key, event: enqueue or resolve): keys whose first enqueue since their last resolve is open, oldest first, numbered; beyond `most` they are marked as over the limit."""
+    """Who waits for review, from events (event_id, ts, key, event: enqueue or resolve): keys whose first enqueue since their last resolve is open, oldest first, numbered; beyond `most` they are marked as over the limit. Events without a key are left out."""
+    events = events.filter("key IS NOT NULL")
     last = events.filter("event = 'resolve'").groupBy("key").agg(F.max(F.struct("ts", "event_id")).alias("resolved"))
     waiting = events.filter("event = 'enqueue'").join(last, "key", "left").filter(F.col("resolved").isNull() | (F.struct("ts", "event_id") > F.col("resolved")))
     first = waiting.groupBy("key").agg(F.min(F.struct("ts", "event_id")).alias("since"))
     # the oldest `most` are few; the others need no place
     head = first.orderBy("since").limit(most).withColumn("place", F.row_number().over(Window.orderBy("since")))
     return first.join(F.broadcast(head.select("key", "place")), "key", "left").select("key", F.col("since.ts").alias("since"), "place", F.col("place").isNull().alias("over_limit"))
+
+
+def dequeued(queue: DataFrame, n: int = 10) -> DataFrame:
+    """The first n of what review_queue() gives, oldest first: place, key, since. To take them, append a resolve event for each."""
+    return queue.filter(F.col("place") <= n).select("place", "key", "since")
+
+
+def review_stats(events: DataFrame) -> DataFrame:
+    """One row from events (event_id, ts, key, event: enqueue or resolve): how many entered the queue (an enqueue of a key that already waits doesn't), were resolved, and wait, and the mean seconds from entering to the first resolve after it. Events without a key are left out."""
+    w = Window.partitionBy("key").orderBy("ts", "event_id")
+    e = events.filter("key IS NOT NULL AND event IN ('enqueue', 'resolve')").withColumn("before", F.lag("event").over(w))
+    entered = (F.col("event") == "enqueue") & F.coalesce(F.col("before") != "enqueue", F.lit(True))
+    e = e.withColumn("since", F.when(entered, F.col("ts"))).withColumn("since", F.last("since", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    left = (F.col("event") == "resolve") & F.coalesce(F.col("before") == "enqueue", F.lit(False))
+    waited = F.when(left, (F.unix_micros(F.col("ts").cast("timestamp")) - F.unix_micros(F.col("since").cast("timestamp"))) / 1e6)
+    s = e.agg(F.count_if(entered).alias("enqueued"), F.count_if(F.col("event") == "resolve").alias("resolved"), F.count_if(left).alias("left_queue"), F.round(F.avg(waited), 3).alias("mean_wait_s"))
+    return s.select("enqueued", "resolved", (F.col("enqueued") - F.col("left_queue")).alias("waiting"), "mean_wait_s")

@@ -322,3 +322,49 @@ def test_the_fixed_gate(spark):
     c = spark.createDataFrame([(1, 0, 0, "헤더명", "", None), (1, 0, 1, "", "값입니다", 0.9), (2, 0, 0, "", "", None), (2, 0, 1, "x", "", None)], "id int, table_no int, row int, text string, ocr_text string, ocr_confidence double")
     got = {r.id: (r.fill_rate, r.header_ok, r.passed, r.action) for r in tables.fixed_gate(c).collect()}
     assert got == {1: (1.0, True, True, "index"), 2: (0.5, False, False, "reprocess")}
+
+
+def test_the_ensemble_sums_what_sources_suggest(spark):
+    rows = [(1, "TM " * 10, "(방송).pdf", "방송", 1.0), (2, "nothing", None, None, None), (3, "", "(TM)", "TM", 0.5), (4, None, "x", "new", 1.0), (5, "TM 홈쇼핑", None, "", 1.0)]
+    d = spark.createDataFrame(rows, "id int, text string, file_name string, channel_hint string, metadata_quality double")
+    got = {r.id: (r.channel, round(r.confidence, 6), r.route) for r in classify.ensemble(d, thresholds={"new": (0.9, 0.3)}).collect()}
+    assert got[1] == ("TM", 0.57, "review") and got[2] == (None, 0.0, "unclassified") and got[3] == ("TM", 0.25, "unclassified") and got[4] == ("new", 0.3, "review")
+    assert got[5][0] == "TM"  # of equals the smaller priority
+    assert [tuple(r) for r in classify.channel_counts(classify.ensemble(d)).select("channel", "n", "percent").collect()] == [("TM", 2, 40.0)]
+
+
+def test_configurations_are_checked():
+    good = {"auto": 0.6, "review": 0.4, "weights": dict(classify.WEIGHTS), "confidence": {"base": 0.3, "location": {"header": 1, "body": 1, "footer": 1}, "frequency": {"coefficient": 1, "max": 1}, "penalty": {"negative": 1}}, "channels": {"TM": {"auto": 0.5}}}
+    assert classify.config_problems(good) == []
+    assert classify.config_problems(good | {"auto": 0.3}) == ["auto must be above review"]
+    assert classify.config_problems(good | {"weights": {"content": 0.5}, "channels": {"TM": {"review": 2}}}) == ["weights.metadata missing", "weights.filename missing", "weights must sum to 1", "channels.TM.review out of range"]
+    assert len(classify.config_problems({})) == 2 + 4 + 1 + 6
+
+
+def test_pages_that_are_tables(spark):
+    from quern.operators import spatial
+
+    def line(page, x, y, text, c=0.9):
+        return (1, page, text, c, [x - 5.0, y - 4.0, x + 5.0, y + 4.0])
+
+    rows = [line(1, 10, 10, " 담보명 "), line(1, 100, 12, "금액"), line(1, 12, 40, "암"), line(1, 101, 41, "1원", 0.1), line(2, 10, 10, "a"), line(2, 100, 10, "b"), line(3, 10, 10, "a"), line(3, 10, 40, "b"), line(3, 10, 80, "c"), line(3, 10, 120, "d")]
+    d = spark.createDataFrame(rows, "id int, page int, text string, confidence double, bbox array<double>")
+    t = spatial.page_tables(d).collect()
+    assert [(r.page, r.n_rows, r.n_cols, r.n_cells, r.bbox, r.title, r.confidence, r.passed) for r in t] == [(1, 2, 2, 4, [5.0, 6.0, 106.0, 45.0], "담보명", 0.7, True)]
+    assert spatial.page_tables(d.limit(0)).count() == 0
+
+
+def test_review_statistics(spark):
+    rows = [(1, 0, "a", "enqueue"), (2, 10, "a", "enqueue"), (3, 30, "a", "resolve"), (4, 40, "a", "resolve"), (5, 50, "a", "enqueue"), (6, 5, "b", "enqueue"), (7, 15, "b", "resolve"), (8, 1, None, "enqueue"), (9, 2, "c", "other")]
+    e = spark.createDataFrame(rows, "event_id int, s int, key string, event string").withColumn("ts", F.timestamp_seconds("s"))
+    assert tuple(ledger.review_stats(e).first()) == (3, 3, 1, 20.0)
+    q = ledger.review_queue(e, 5)
+    assert [(r.place, r.key) for r in ledger.dequeued(q, 1).collect()] == [(1, "a")]
+
+
+def test_retry_prompts(spark):
+    from quern.operators import scope_checks
+
+    d = spark.createDataFrame([(["x", "y"],), ([],), (None,)], "p array<string>")
+    got = [r[0] for r in d.select(scope_checks.retry_prompt(F.col("p"))).collect()]
+    assert got[0].split("\n")[1:3] == ["- x", "- y"] and got[0].endswith(scope_checks.RETRY_RULES[-1]) and got[1] is got[2] is None
