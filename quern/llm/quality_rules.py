@@ -19,6 +19,8 @@ from quern.llm.common import fresh, materialize, read_table
 BUCKETS = 1 << 16
 SMOOTHING, THRESHOLD = 0.5, -0.2
 LEAST_WORDS, MOST_REPEATED_PERCENT = 50, 50
+#: Ids of the target that go to every task, about 16 MB; more are joined by a shuffle.
+MOST_BROADCAST = 1_000_000
 SPACES = "[\\x20\\x09-\\x0D]+"
 
 
@@ -69,8 +71,12 @@ def add_base(documents: DataFrame, w: str = "__w") -> DataFrame:
 
 def log_ratios(documents: DataFrame, target_ids: DataFrame) -> DataFrame:
     """bucket int, ratio double: log of the bucket's smoothed share in the target less that in all documents. target_ids: doc_id."""
-    target = target_ids.select("doc_id").distinct().withColumn("__t", F.lit(1))  # Spark broadcasts it if it is small
-    grams = documents.select("doc_id", words().alias("__w")).join(target, "doc_id", "left").select(F.coalesce("__t", F.lit(0)).alias("t"), F.explode(buckets("__w")).alias("bucket"))
+    target = materialize(target_ids.select("doc_id").distinct(), "target").withColumn("__t", F.lit(1))
+    if target.count() <= MOST_BROADCAST:
+        target = F.broadcast(target)
+    # beyond that the texts are shuffled as they stand, and cut into words after
+    marked = documents.select("doc_id", "text").join(target, "doc_id", "left").select(F.coalesce("__t", F.lit(0)).alias("t"), words().alias("__w"))
+    grams = marked.select("t", F.explode(buckets("__w")).alias("bucket"))
     counted = materialize(grams.groupBy("bucket").agg(F.count("*").alias("raw"), F.sum("t").alias("target")), "buckets")
     total = counted.agg(F.coalesce(F.sum("raw"), F.lit(0)).alias("r"), F.coalesce(F.sum("target"), F.lit(0)).alias("t")).first()
     if not total["t"]:

@@ -449,3 +449,11 @@ def test_quality_rules_take_any_names(spark, docs):
     target = spark.createDataFrame([(8,)], "doc_id long")
     rows = quality_rules.add_rules(d, target).collect()
     assert len(rows) == d.count() and {(r["__bucket"], r["__row"], r["__w"], r.row, r.ordered) for r in rows} == {(0, 1, 2, 3, 8)}
+
+
+def test_quality_rules_join_many_targets_by_a_shuffle(spark, docs, monkeypatch):
+    target = spark.createDataFrame([(8,), (8,), (5,)], "doc_id long")
+    rounded = lambda: sorted((str(r.doc_id), r.n_words, round(r.llr, 9), r.kept) for r in quality_rules.add_rules(docs, target).collect())
+    whole = rounded()
+    monkeypatch.setattr(quality_rules, "MOST_BROADCAST", 0)
+    assert rounded() == whole and len({x[2] for x in whole}) > 3
