@@ -56,6 +56,28 @@ def segments(lines: DataFrame) -> DataFrame:
     return h.select("id", "line_no", "line", "segment", last("title").alias("title"), last("kind").alias("kind"))
 
 
+# From what token estimate on (half the characters) a special clause should have articles, below which a chunk is short, and how long a title is.
+MANY_TOKENS, FEW_TOKENS, SHORT_TITLE, FULL_SCORE = 1000, 50, 3, 10
+
+
+def chunks(lines: DataFrame) -> DataFrame:
+    """id, chunk_id, kind, title, start_line, end_line, confidence (a tenth of the header's score, 1 at most), n_chars, n_articles and warnings of each segment; of a document without headers one chunk, "document". Lines before the first header are in none."""
+    scored = segments(lines).join(headers(lines).select("id", "line_no", "score"), ["id", "line_no"], "left")
+    d = scored.withColumn("n_headers", F.max("segment").over(Window.partitionBy("id"))).filter("segment > 0 OR n_headers = 0")
+    text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line_no", "line"))), lambda x: x["line"]), "\n")  # the lines of one segment
+    g = d.groupBy("id", "segment").agg(
+        F.coalesce(F.max("kind"), F.lit("document")).alias("kind"), F.coalesce(F.max("title"), F.lit("document")).alias("title"), F.min("line_no").alias("start_line"), F.max("line_no").alias("end_line"),
+        F.least(F.lit(1.0), F.coalesce(F.max("score") / FULL_SCORE, F.lit(1.0))).alias("confidence"), F.length(strip(text)).alias("n_chars"), F.count_if(strip("line").rlike(ARTICLE)).alias("n_articles"),
+    )
+    tokens, whole = F.floor(F.col("n_chars") / 2), F.col("kind") == "document"
+    w = F.filter(F.array(
+        F.when((F.col("kind") == "special_clause") & (F.col("n_articles") == 0) & (tokens > MANY_TOKENS), "no_articles"), F.when(~whole & (F.length("title") < SHORT_TITLE), "short_title"),
+        F.when(~whole & (tokens < FEW_TOKENS), "short_chunk"), F.when(whole, "no_headers"),
+    ), lambda x: x.isNotNull())
+    name = F.when(whole, F.concat(F.col("id").cast("string"), F.lit(":doc"))).otherwise(F.concat_ws(":", F.col("id").cast("string"), "kind", F.left("title", F.lit(20))))
+    return g.select("id", name.alias("chunk_id"), "kind", "title", "start_line", "end_line", "confidence", "n_chars", "n_articles", w.alias("warnings"))
+
+
 def articles(lines: DataFrame) -> DataFrame:
     """id, article_no, title, start_line, end_line and the start and end offsets in the text that the lines make, joined by line feeds; an article ends where the next begins."""
     w = Window.partitionBy("id").orderBy("line_no")

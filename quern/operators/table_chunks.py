@@ -1,12 +1,13 @@
-"""Rows of tables as chunks for retrieval, each with the clause its table belongs to."""
+"""Paragraphs and rows of tables as chunks for retrieval, each with the clause it belongs to."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quern.functions.text import strip
+from quern.functions.text import path_parts, strip
 from quern.operators import chunking, tables
+from quern.operators.classify import document_role
 
 
 def last_at_or_before(facts: DataFrame, asked: DataFrame, key: str, at: str, columns: list[str]) -> DataFrame:
@@ -41,3 +42,18 @@ def table_row_chunks(documents: DataFrame, separator: str = "  ", headings: dict
         placed = placed.join(titles.select("id", "table_no", "title"), ["id", "table_no"], "left").withColumn("clause_title", F.when(like_heading(F.col("title")), F.col("title")).otherwise(F.col("clause_title")))
     sentences = tables.row_sentences(cells.join(passed, ["id", "table_no"], "left_semi"), least)
     return sentences.join(placed, ["id", "table_no"]).select("id", "table_no", "row", F.col("sentence").alias("text"), *context)
+
+
+def product_id(path: Column) -> Column:
+    """The name of a path's folder; of a bare file name, the name without its suffix."""
+    p = path_parts(F.coalesce(path, F.lit("")))
+    return F.when(~p["parent"].isin("", "."), p["parent"]).otherwise(p["stem"])
+
+
+def paragraph_chunks(documents: DataFrame, headings: dict[str, str] | None = None) -> DataFrame:
+    """id, idx, text, role, product_id, version, clause_title, heading_path: each paragraph, a line that isn't blank, of documents (id, text, path, and if known product_id and version) with the clause in force. role is told by the path."""
+    known = lambda c: F.when(F.coalesce(F.col(c), F.lit("")) != "", F.col(c)) if c in documents.columns else F.lit(None).cast("string")
+    about = documents.select("id", document_role(F.coalesce("path", F.lit(""))).alias("role"), F.coalesce(known("product_id"), product_id(F.col("path"))).alias("product_id"), F.coalesce(known("version"), F.lit("unknown")).alias("version"))
+    lines = documents.select("id", F.posexplode(F.split("text", "\n")).alias("idx", "text"))
+    p = chunking.clause_context(lines.withColumn("text", strip(F.col("text"))).filter("text <> ''"), headings)
+    return p.join(about, "id").select("id", "idx", "text", "role", "product_id", "version", "clause_title", "heading_path")

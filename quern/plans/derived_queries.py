@@ -541,3 +541,11 @@ def reasoning_leaks(spark, d):
     k = F.col("doc_id") % 5
     t = F.when(k == 0, F.concat("text", F.lit(" Let's think. step by step"))).when(k == 1, F.concat(F.lit("go stepby step, "), "text")).when(k == 2, F.concat(F.lit("lets thinking "), "text")).otherwise(F.col("text"))
     return table(spark, d, "documents").select(F.col("doc_id").alias("id"), answers.leak(t).alias("leak"))
+
+
+@query(LINES + """, j AS (SELECT l.id, l.line_no, l.line, h.title, h.kind, h.score FROM clause_lines l LEFT JOIN headers h ON l.id = h.id AND l.line_no = h.line_no), w AS (SELECT *, count(kind) OVER (PARTITION BY id ORDER BY line_no) AS seg, count(kind) OVER (PARTITION BY id) AS n FROM j),
+g AS (SELECT id, seg, coalesce(max(kind), 'document') AS kind, coalesce(max(title), 'document') AS title, min(line_no) AS start_line, max(line_no) AS end_line, least(1, coalesce(max(score) / 10, 1))::DOUBLE AS confidence, length(trim(string_agg(line, chr(10) ORDER BY line_no), E' \\t\\r\\n')) AS n_chars, count(*) FILTER (regexp_matches(trim(line, E' \\t\\r\\n'), '^(제\\s*\\d+\\s*조)\\s*(\\([^)]+\\))?\\s*$')) AS n_articles FROM w WHERE seg > 0 OR n = 0 GROUP BY id, seg)
+SELECT id, CASE WHEN kind = 'document' THEN id || ':doc' ELSE id || ':' || kind || ':' || left(title, 20) END AS chunk_id, kind, title, start_line, end_line, confidence, n_articles, concat_ws(',', CASE WHEN kind = 'special_clause' AND n_articles = 0 AND n_chars // 2 > 1000 THEN 'no_articles' END, CASE WHEN kind <> 'document' AND length(title) < 3 THEN 'short_title' END, CASE WHEN kind <> 'document' AND n_chars // 2 < 50 THEN 'short_chunk' END, CASE WHEN kind = 'document' THEN 'no_headers' END) AS warnings FROM g""")
+def clause_chunks(spark, d):
+    c = clause_headers.chunks(rows(spark, d, "clause_lines"))
+    return c.drop("n_chars").withColumn("warnings", F.array_join("warnings", ","))

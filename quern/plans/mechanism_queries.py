@@ -293,3 +293,14 @@ def sql_clause_segments(spark, d):
 def sql_scalars(spark, d):
     sql.register(spark)
     return spark.sql("SELECT id, content_key(text) AS content_key, n_words(text) AS n_words, round(special_share(text), 6) AS special_share, routed(length(text) % 10, 6, 4) AS route FROM {t} WHERE length(text) > 0", t=texts(spark, d))
+
+
+PATH = "CASE doc_id % 4 WHEN 0 THEN '/data/' || source || '/terms_' || doc_id || '.pdf' WHEN 1 THEN source || '.v2.pdf' WHEN 2 THEN source || '/요약서.pdf' END"
+
+
+@query("WITH" + CONTEXT.removeprefix(",") + f""", a AS (SELECT doc_id AS id, {PATH} AS path FROM documents)
+SELECT li.id, li.idx, md5(li.t) AS text, CASE WHEN path LIKE '%요약서%' THEN 'paraphrase' ELSE 'canonical' END AS role, CASE WHEN path LIKE '%/%' THEN regexp_extract(path, '([^/]+)/[^/]*$', 1) ELSE coalesce(regexp_replace(path, '\\.pdf$', ''), '') END AS product_id, CASE WHEN li.id % 3 = 0 THEN '202401' ELSE 'unknown' END AS version, clause_title, CAST(coalesce(depth, 0) AS INTEGER) AS depth FROM li JOIN a ON a.id = li.id LEFT JOIN ctx ON ctx.id = li.id AND ctx.idx = li.idx WHERE li.t <> ''""")
+def paragraph_chunks(spark, d):
+    docs = table(spark, d, "documents").select(F.col("doc_id").alias("id"), "text", F.expr(PATH).alias("path"), F.when(F.col("doc_id") % 3 == 0, "202401").alias("version"))
+    c = table_chunks.paragraph_chunks(docs, HEADINGS)
+    return c.select("id", "idx", F.md5("text").alias("text"), "role", "product_id", "version", "clause_title", F.size("heading_path").alias("depth"))

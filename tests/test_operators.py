@@ -368,3 +368,14 @@ def test_retry_prompts(spark):
     d = spark.createDataFrame([(["x", "y"],), ([],), (None,)], "p array<string>")
     got = [r[0] for r in d.select(scope_checks.retry_prompt(F.col("p"))).collect()]
     assert got[0].split("\n")[1:3] == ["- x", "- y"] and got[0].endswith(scope_checks.RETRY_RULES[-1]) and got[1] is got[2] is None
+
+
+def test_clause_chunks_and_paragraphs(spark):
+    from quern.operators import clause_headers, table_chunks
+
+    rows = [(1, i, t) for i, t in enumerate(["머리말", "1-2. 암진단비 특별약관", "제1조(목적)", "본문", "골절 담보", "끝"])] + [(2, 0, "아무 제목도 없다"), (2, 1, "제1조")]
+    got = sorted(tuple(r) for r in clause_headers.chunks(spark.createDataFrame(rows, "id int, line_no int, line string")).drop("n_chars").collect())
+    assert got == [(1, "1:coverage:골절 담보", "coverage", "골절 담보", 4, 5, 0.4, 0, ["short_chunk"]), (1, "1:special_clause:암진단비 특별약관", "special_clause", "암진단비 특별약관", 1, 3, 0.9, 1, ["short_chunk"]), (2, "2:doc", "document", "document", 0, 1, 1.0, 1, ["no_headers"])]
+    d = spark.createDataFrame([(1, "제1조 목적\n\n 본문 ", "/a/p1/약관.pdf", None), (2, "x", "요약서.v1.pdf", "given"), (3, None, None, None)], "id int, text string, path string, product_id string")
+    rows = [(r.id, r.idx, r.text, r.role, r.product_id, r.version, r.clause_title) for r in table_chunks.paragraph_chunks(d).orderBy("id", "idx").collect()]
+    assert rows == [(1, 0, "제1조 목적", "canonical", "p1", "unknown", "제1조 목적"), (1, 2, "본문", "canonical", "p1", "unknown", "제1조 목적"), (2, 0, "x", "paraphrase", "given", "unknown", None)]
