@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import html
 import json
 from collections.abc import Iterator
 
@@ -129,3 +130,16 @@ def markdown_report(title: str, row: dict) -> str:
 def within(path: Column, length: Column, root: str, most: int = 50 << 20) -> Column:
     """Whether a path lies below root, without steps up, and its file isn't larger than `most` bytes."""
     return path.startswith(root.rstrip("/") + "/") & ~path.rlike(r"(^|/)\.\.(/|$)") & (length <= most)
+
+
+def report(title: str, row: dict, form: str = "markdown") -> str:
+    """One row of figures as a report: "markdown", "json" or "html"."""
+    if form == "markdown":
+        return markdown_report(title, row)
+    if form == "json":
+        return json.dumps({"title": title, "figures": row}, ensure_ascii=False, default=str, indent=2)
+    if form != "html":
+        raise ValueError("form must be markdown, json or html")
+    cell = lambda v: html.escape(f"{v:.4f}" if isinstance(v, float) else str(v))
+    lines = "\n".join(f"<tr><td>{cell(k)}</td><td>{cell(v)}</td></tr>" for k, v in row.items())
+    return f"<!DOCTYPE html>\n<html><head><meta charset=\"utf-8\"><title>{html.escape(title)}</title></head><body>\n<h1>{html.escape(title)}</h1>\n<table>\n{lines}\n</table>\n</body></html>"

@@ -379,3 +379,11 @@ def test_clause_chunks_and_paragraphs(spark):
     d = spark.createDataFrame([(1, "제1조 목적\n\n 본문 ", "/a/p1/약관.pdf", None), (2, "x", "요약서.v1.pdf", "given"), (3, None, None, None)], "id int, text string, path string, product_id string")
     rows = [(r.id, r.idx, r.text, r.role, r.product_id, r.version, r.clause_title) for r in table_chunks.paragraph_chunks(d).orderBy("id", "idx").collect()]
     assert rows == [(1, 0, "제1조 목적", "canonical", "p1", "unknown", "제1조 목적"), (1, 2, "본문", "canonical", "p1", "unknown", "제1조 목적"), (2, 0, "x", "paraphrase", "given", "unknown", None)]
+
+
+def test_reports_in_three_forms():
+    row = {"n": 2, "share <1": 1 / 3, "note": "a & b"}
+    assert files.report("t", row) == files.markdown_report("t", row)
+    assert json.loads(files.report("t", row, "json")) == {"title": "t", "figures": row}
+    page = files.report("t<", row, "html")
+    assert "<title>t&lt;</title>" in page and "<td>share &lt;1</td><td>0.3333</td>" in page and "a &amp; b" in page
