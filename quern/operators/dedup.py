@@ -5,6 +5,7 @@ An example is ord (its place), instruction, input, output, source; null fields c
 
 from __future__ import annotations
 
+import re
 import uuid
 from functools import reduce
 
@@ -17,8 +18,10 @@ from quern.functions.text import squash, word_tokens
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A new folder below spark.checkpoint.dir, which all executors share."""
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:  # a single machine, as in tests
-        import tempfile
+    if not root:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        import tempfile  # a single machine, as in tests
 
         root = "file://" + tempfile.mkdtemp(prefix="quern-")
         spark.conf.set("spark.checkpoint.dir", root)
