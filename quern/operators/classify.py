@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -68,8 +70,9 @@ def channel_candidates(documents: DataFrame) -> DataFrame:
         n = sum((occurrences(text, f"(?iu){w}") for w in words[1:]), occurrences(text, f"(?iu){words[0]}"))
         place = F.when(F.left(text, F.lit(HEADER)).rlike(pattern), "header").when((F.length(text) > FOOTER) & F.right(text, F.lit(FOOTER)).rlike(pattern), "footer").otherwise("body")
         against = text.rlike("(?iu)" + "|".join(negative)) if negative else F.lit(False)
-        weight = F.when(place == "header", 0.35).when(place == "footer", 0.05).otherwise(0.1)
-        confidence = F.greatest(F.lit(0.0), F.least(F.lit(1.0), 0.3 + weight + F.least(n * 0.06, F.lit(0.3)) - F.when(against, 0.35).otherwise(0.0)))
+        # in hundredths, so that equal confidences are equal numbers
+        weight = F.when(place == "header", 35).when(place == "footer", 5).otherwise(10)
+        confidence = F.greatest(F.lit(0), F.least(F.lit(100), 30 + weight + F.least(n, F.lit(5)) * 6 - F.when(against, 35).otherwise(0))) / 100
         # the other searches run only where this one finds something
         return F.when(text.rlike(pattern), F.struct(F.lit(name).alias("channel"), F.lit(priority).alias("priority"), n.alias("n_keywords"), place.alias("location"), confidence.alias("confidence")))
 
@@ -167,7 +170,7 @@ def ensemble(documents: DataFrame, weights: dict[str, float] | None = None, thre
     """id, channel, confidence, route of documents (id, text, file_name, channel_hint, metadata_quality): of each channel that content, metadata or file name suggest the weighted sum of their confidences; the largest counts, of equals the smallest priority. Without a suggestion the channel is null and the route unclassified. thresholds: auto and review for channels that have their own."""
     w = weights or WEIGHTS
     known = F.create_map(*(F.lit(x) for name, n, *_ in CHANNELS for x in (name, n)))
-    content = channel_candidates(documents).select("id", "channel", (F.col("confidence") * w["content"]).alias("score"))
+    content = channel_candidates(documents).select("id", "channel", (F.col("confidence").cast("decimal(3,2)") * F.lit(Decimal(str(w["content"])))).cast("double").alias("score"))
     hint = documents.filter(F.coalesce("channel_hint", F.lit("")) != "").select("id", F.col("channel_hint").alias("channel"), (F.coalesce("metadata_quality", F.lit(0.0)) * w["metadata"]).alias("score"))
     named = documents.select("id", filename_channel(F.col("file_name")).alias("channel"), F.lit(w["filename"]).alias("score")).filter("channel <> ''")
     both = content.unionByName(hint).unionByName(named).groupBy("id", "channel").agg(F.sum("score").alias("score"))

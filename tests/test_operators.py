@@ -387,3 +387,10 @@ def test_reports_in_three_forms():
     assert json.loads(files.report("t", row, "json")) == {"title": "t", "figures": row}
     page = files.report("t<", row, "html")
     assert "<title>t&lt;</title>" in page and "<td>share &lt;1</td><td>0.3333</td>" in page and "a &amp; b" in page
+
+
+def test_equal_sums_of_an_ensemble_go_by_priority(spark):
+    # TM: (0.3 + 0.35 + 0.12) * 0.6; 방송: (0.3 + 0.1 + 0.12) * 0.6 + 0.5 * 0.3; both are 0.462
+    text = "tm tm" + "x " * 600 + "tv tv" + " x" * 600
+    d = spark.createDataFrame([(1, text, "", "방송", 0.5)], "id long, text string, file_name string, channel_hint string, metadata_quality double")
+    assert [(r.channel, round(r.confidence, 6)) for r in classify.ensemble(d).collect()] == [("TM", 0.462)]
