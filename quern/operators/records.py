@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -63,20 +64,16 @@ def text_quality(text: Column) -> Column:
 
 
 def split(examples: DataFrame, train: float = 0.8, validation: float = 0.1, seed: int = 42) -> DataFrame:
-    """examples (id) with split: the first floor(n * train) in the order of a seeded hash train, floor(n * validation) follow, the rest tests. Sizes are exact: ranks come from a range-partitioned sort and per-partition counts, so no task sees all rows."""
+    """examples (id) with split: the first floor(n * train) in the order of a seeded hash train, floor(n * validation) follow, the rest tests. Sizes are exact: rows are numbered over ranges, so no task sees all of them."""
     if min(train, validation) < 0 or train + validation > 1 + 1e-9:
         raise ValueError("ratios must be positive and sum to at most 1")
-    order = F.md5(F.concat(F.col("id").cast("string"), F.lit(f":{seed}")))
-    ranged = examples.withColumn("__o", order).repartitionByRange("__o", "id").sortWithinPartitions("__o", "id").withColumn("__m", F.monotonically_increasing_id())
-    part = F.shiftright("__m", 33)
-    sizes = {r["p"]: r["n"] for r in ranged.groupBy(part.alias("p")).agg(F.count("*").alias("n")).collect()}  # one row a partition
-    before, total = {}, 0
-    for p in sorted(sizes):
-        before[p], total = total, total + sizes[p]
-    n_train, n_validation = int(total * train), int(total * validation)
-    offsets = F.create_map(*(F.lit(x) for p in sorted(before) for x in (int(p), int(before[p])))) if before else F.create_map(F.lit(0), F.lit(0))
-    rank = F.element_at(offsets, part.cast("int")) + F.col("__m").bitwiseAND(F.lit((1 << 33) - 1))
-    return ranged.withColumn("split", F.when(rank < n_train, "train").when(rank < n_train + n_validation, "validation").otherwise("test")).drop("__o", "__m")
+    digest = F.md5(F.concat(F.col("id").cast("string"), F.lit(f":{seed}")))
+    # ranks and how many there are come from one stored numbering: ranges drawn anew would cut elsewhere
+    placed = ordered.numbered(examples.withColumns({"__none": F.col("id").isNull(), "__o": digest}), ["__none", "__o", "id"], "__rank")
+    total = placed.count()
+    n_train, n_validation = int(total * Decimal(str(train))), int(total * Decimal(str(validation)))
+    rank = F.col("__rank")
+    return placed.withColumn("split", F.when(rank < n_train, "train").when(rank < n_train + n_validation, "validation").otherwise("test")).drop("__none", "__o", "__rank")
 
 
 def summaries(documents: DataFrame, least: int = 500, most: int = 8000) -> DataFrame:

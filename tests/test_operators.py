@@ -394,3 +394,18 @@ def test_equal_sums_of_an_ensemble_go_by_priority(spark):
     text = "tm tm" + "x " * 600 + "tv tv" + " x" * 600
     d = spark.createDataFrame([(1, text, "", "방송", 0.5)], "id long, text string, file_name string, channel_hint string, metadata_quality double")
     assert [(r.channel, round(r.confidence, 6)) for r in classify.ensemble(d).collect()] == [("TM", 0.462)]
+
+
+def test_a_split_is_by_rank_however_ranges_are_drawn(spark):
+    import hashlib
+
+    old = {k: spark.conf.get(k) for k in ("spark.sql.execution.rangeExchange.sampleSizePerPartition", "spark.sql.adaptive.enabled")}
+    try:
+        spark.conf.set("spark.sql.execution.rangeExchange.sampleSizePerPartition", "3")
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        got = {r.id: r.split for r in records.split(spark.range(5000)).collect()}
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    order = sorted(range(5000), key=lambda i: hashlib.md5(f"{i}:42".encode()).hexdigest())
+    assert got == {i: "train" if k < 4000 else "validation" if k < 4500 else "test" for k, i in enumerate(order)}
