@@ -42,14 +42,15 @@ def mentions(texts: DataFrame, titles: DataFrame) -> DataFrame:
     runs = lambda c, n: F.regexp_extract_all(c, F.lit(f"(?s)(?=(.{{{n}}}))"), F.lit(1))
     grams = known.select("title", F.explode(F.when(F.length("title") < GRAM, F.array("title")).otherwise(F.array_distinct(runs(F.col("title"), GRAM)))).alias("gram"))
     rarity = grams.groupBy("gram").agg(F.count("*").alias("n"))
-    keyed = grams.join(rarity, "gram").groupBy("title").agg(F.min_by("gram", F.struct("n", "gram")).alias("gram"))
-    lengths = [r[0] for r in keyed.select(F.length("gram")).distinct().collect()]  # 1 to GRAM
+    keyed = grams.hint("merge").join(rarity, "gram").groupBy("title").agg(F.min_by("gram", F.struct("n", "gram")).alias("gram"))
+    lengths = {r["length"]: r["n"] for r in keyed.groupBy(F.length("gram").alias("length")).agg(F.count("*").alias("n")).collect()}  # 1 to GRAM
     if not lengths:
         return texts.select("id", F.lit("").alias("title")).limit(0)
     offered = texts.filter("text IS NOT NULL").select("id", "text", F.explode(F.array_distinct(F.flatten(F.array(*(runs(F.col("text"), n) for n in sorted(lengths)))))).alias("gram"))
-    # the text itself is joined again for candidates only
-    met = offered.select("id", "gram").join(keyed, "gram").select("id", "title").distinct()
-    return met.join(texts.select("id", "text"), "id").filter(F.contains("text", "title")).select("id", "title").distinct()
+    # the text itself is joined again for candidates only. Neither texts nor their runs are ever broadcast, however small their files are
+    looked_up = F.broadcast(keyed) if sum(lengths.values()) <= MOST_TITLES else keyed.hint("merge")
+    met = offered.select("id", "gram").join(looked_up, "gram").select("id", "title").distinct()
+    return met.join(texts.select("id", "text").hint("merge"), "id").filter(F.contains("text", "title")).select("id", "title").distinct()
 
 
 def violations(answers: DataFrame, evidence: DataFrame, titles: DataFrame) -> DataFrame:
@@ -121,7 +122,7 @@ def routed(questions: DataFrame, titles: DataFrame, across: str = r"(비교|차
         raise ValueError(f"more than {MOST_TITLES} titles: a question across all of them would hold them all")
     every = known.agg(F.array_sort(F.collect_list("title")).alias("all"))  # one row of MOST_TITLES at most
     named = mentions(questions.select("id", F.col("question").alias("text")), known).groupBy("id").agg(F.array_sort(F.collect_set("title")).alias("named"))
-    q = questions.join(named, "id", "left").crossJoin(F.broadcast(every))
+    q = questions.hint("merge").join(named.hint("merge"), "id", "left").crossJoin(F.broadcast(every))
     none = F.array().cast("array<string>")
     return q.select("id", "question", F.when(F.size(F.coalesce("named", none)) > 0, F.col("named")).when(F.col("question").rlike(across), F.col("all")).otherwise(none).alias("scopes"))
 

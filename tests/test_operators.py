@@ -419,3 +419,14 @@ def test_a_table_at_a_threshold_passes_in_any_order_of_its_cells(spark):
     rows = [(i, 0, r, t, o, 0.8 if r % 2 == 0 else 1.7 if r % 3 == 0 else None) for i in range(40) for r, t, o in random.Random(i).sample(cells, len(cells))]
     c = spark.createDataFrame(rows, "id int, table_no int, row int, text string, ocr_text string, ocr_confidence double").coalesce(1)
     assert {(r.avg_reliability, r.action) for r in tables.fixed_gate(c).collect()} == {(0.7, "index")}
+
+
+def test_the_runs_of_texts_are_not_broadcast(spark):
+    from quern.operators import scope_checks
+
+    texts = spark.range(200).select("id", F.concat(F.lit("a title of number "), F.col("id")).alias("text"))
+    titles = spark.range(3000).select(F.concat(F.lit("number "), F.col("id")).alias("title"))
+    m = scope_checks.mentions(texts, titles)
+    plan = m._jdf.queryExecution().executedPlan().toString()
+    assert "BuildRight" in plan and "BuildLeft" not in plan
+    assert {(r.id, r.title) for r in m.collect()} == {(i, f"number {j}") for i in range(200) for j in range(200) if str(i).startswith(str(j))}
