@@ -328,3 +328,29 @@ def test_semantic_keep_first_against_the_sequence(spark):
         if not any(cosine(k, o) >= 0.6 for k in kept):
             kept.append(o)
     assert sorted(x.ord for x in dedup.semantic(e, 0.6).collect()) == kept and len(kept) < len(texts)
+
+
+def test_structural_pairs_are_made_once_and_not_shuffled_as_candidates(spark):
+    import random
+
+    from quern.operators import dedup
+
+    r = random.Random(3)
+    rows = [(i, "", "", " ".join(r.sample([f"w{k}" for k in range(14)], 10)), "s") for i in range(150)]
+    found = dedup.structural_pairs(spark.createDataFrame(rows, "ord long, instruction string, input string, output string, source string"))
+    pairs = [(x.a, x.b) for x in found.collect()]
+    assert len(pairs) == len(set(pairs)) > 100
+    w = {i: set(t.split()) for i, _, _, t, _ in rows}
+    n = {i: len(t) for i, _, _, t, _ in rows}
+    expected = set()
+    first = {}
+    for i in w:
+        first.setdefault((n[i], tuple(sorted(w[i]))), i)
+    for a in first.values():
+        for b in first.values():
+            if a < b and (0.9 + 0.1 * (1 - abs(n[a] - n[b]) / max(n[a], n[b])) - 0.1 + 0.3 * len(w[a] & w[b]) / len(w[a] | w[b])) / 1.2 >= 0.85 - 1e-12:
+                expected.add((a, b))
+    assert set(pairs) == expected
+    # pairs come out of the join of the blocks: nothing is exchanged after it
+    plan = found._jdf.queryExecution().optimizedPlan().toString().split("Join")[0]
+    assert "Aggregate" not in plan
