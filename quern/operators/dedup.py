@@ -7,8 +7,13 @@ from __future__ import annotations
 
 import re
 import uuid
+from collections import Counter
+from collections.abc import Iterator
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -143,7 +148,7 @@ def structural_pairs(examples: DataFrame, threshold: float = 0.85) -> DataFrame:
 def bags(examples: DataFrame) -> DataFrame:
     """ord, words, bag: the words of output and input, and a digest of them in any order."""
     text = F.concat_ws(" ", F.coalesce("output", F.lit("")), F.coalesce("input", F.lit("")))
-    return examples.select("ord", word_tokens(text).alias("words")).withColumn("bag", F.sha2(F.array_join(F.array_sort("words"), " "), 256))
+    return examples.select("ord", word_tokens(text).alias("words")).withColumn("bag", F.sha2(F.array_join(F.sort_array("words"), " "), 256))
 
 
 def semantic_classes(examples: DataFrame) -> DataFrame:
@@ -153,23 +158,96 @@ def semantic_classes(examples: DataFrame) -> DataFrame:
     return b.join(least, "bag", "left").select("ord", F.coalesce(F.when(F.col("any"), F.col("class")), F.col("ord")).alias("class"))
 
 
+#: Words of known frequency that go to every task; pairs' examples that do, and rows of text that a task takes at once.
+COMMON_WORDS, SENT_IDS, TEXT_ROWS = 500_000, 1_000_000, 512
+
+
+def rare_and_leading(tokens: DataFrame, common: pa.Table, cut: int, n_docs: int, threshold: float) -> DataFrame:
+    """ord, word, share, weight, sum, base: of tokens (ord, words) each word that isn't in common (word, df, from the most frequent on; of df `cut` at least) with its share of the example's words, and of those in it the ones that may be in the example's prefix, with their weight and the sum of squared weights up to them. base: that sum over all of the example's common words."""
+    spark = tokens.sparkSession
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(min(int(before), TEXT_ROWS)))  # texts may be long
+    held = spark.sparkContext.broadcast((common.column("word").combine_chunks(), common.column("df").to_numpy()))
+
+    def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, df = held.value
+        for batch in batches:
+            lists = batch.column("words")
+            flat, ends = lists.flatten(), np.concatenate([[0], np.cumsum(lists.value_lengths().fill_null(0).to_numpy())])
+            place = pc.fill_null(pc.index_in(flat, value_set=known.cast(flat.type)), -1).to_numpy()
+            rows: dict[str, list] = {c: [] for c in ("ord", "word", "share", "weight", "sum", "base")}
+
+            def add(ord, words, share, weight, sums, base, rows=rows):
+                for c, x in zip(rows, ([ord] * len(words), words, share, weight, sums, [base] * len(words)), strict=True):
+                    rows[c].extend(x)
+
+            for ord, start, end in zip(batch.column("ord").to_pylist(), ends[:-1], ends[1:], strict=True):
+                x, total = place[start:end], int(end - start)
+                if not total:
+                    continue
+                of, k = np.unique(x[x >= 0], return_counts=True)
+                w = k / total * n_docs / (df[of] + 1)
+                sums = np.cumsum(w * w)
+                base = float(sums[-1]) if len(sums) else 0.0
+                rare = Counter(flat.take(pa.array(np.flatnonzero(x < 0) + start)).to_pylist())
+                # a word below the cut weighs its share times n_docs over the cut at least
+                least = base + sum((n / total * n_docs / cut) ** 2 for n in rare.values())
+                may = np.sqrt(sums / least) >= threshold - 1e-6 if least else sums < 0
+                add(ord, known.take(pa.array(of[may])).to_pylist(), [None] * int(may.sum()), w[may].tolist(), sums[may].tolist(), base)
+                add(ord, list(rare), [n / total for n in rare.values()], [None] * len(rare), [None] * len(rare), base)
+            kinds = (batch.schema.field("ord").type, pa.string(), *[pa.float64()] * 4)
+            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(rows.values(), kinds, strict=True)], names=list(rows))
+
+    kind = tokens.schema["ord"].dataType.simpleString()
+    try:
+        return stored(tokens.select("ord", "words").mapInArrow(parts, f"ord {kind}, word string, share double, weight double, sum double, base double"), "leading")
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+
+
 def semantic_pairs(examples: DataFrame, threshold: float = 0.85) -> DataFrame:
-    """a < b and the cosine of their TF-IDF vectors over the words of output and input, of examples that are the first of their semantic classes; those of one class have cosine 1. IDF is documents / (document frequency + 1) over all examples."""
-    # one bag of words for each class, that of its first example, with how many examples have it
-    one = stored(bags(examples).groupBy("bag").agg(F.min("ord").alias("ord"), F.count("*").alias("size"), F.min_by("words", "ord").alias("words")), "bags")
-    words = one.select("ord", "size", F.explode("words").alias("word"))
-    n = examples.agg(F.count("*").alias("n_docs"))
-    tf = words.groupBy("ord", "word").agg(F.count("*").alias("k"), F.first("size").alias("size"))
-    df = tf.groupBy("word").agg(F.sum("size").alias("df"), F.count("*").alias("classes"))
-    total = one.select("ord", F.size("words").alias("total"))
-    weighted = tf.join(total, "ord").join(df, "word").crossJoin(F.broadcast(n)).withColumn("w", F.col("k") / F.col("total") * F.col("n_docs") / (F.col("df") + 1))
-    norm = weighted.groupBy("ord").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
-    unit = stored(weighted.join(norm, "ord").select("ord", "word", "df", "classes", (F.col("w") / F.col("norm")).alias("u")), "unit")
+    """a < b and the cosine of their TF-IDF vectors over the words of output and input, of examples that are the first of their semantic classes; those of one class have cosine 1. IDF is documents / (document frequency + 1) over all examples.
+
+    Neither texts nor all words of examples are shuffled: the frequencies of the most frequent words go to every task,
+    which sums the squares of their weights; only rarer words are joined with theirs. Pairs meet at the words of their
+    prefixes, and full vectors are made of those alone that may be similar.
+    """
+    n_docs = examples.count()
+    b = bags(examples)
+    first = stored(b.groupBy("bag").agg(F.min("ord").alias("ord")).select("ord"), "firsts")
+    df = stored(b.select(F.explode(F.array_distinct("words")).alias("word")).groupBy("word").agg(F.count("*").alias("df")), "frequencies")
+    # the least power of two that few enough words have as df: a row for each doubling
+    n, cut = 0, None
+    for r in df.groupBy(F.floor(F.log2("df") + 1e-9).cast("int").alias("power")).agg(F.count("*").alias("n")).orderBy(F.desc("power")).collect():
+        n += r["n"]
+        if n > COMMON_WORDS:
+            break
+        cut = 2 ** r["power"]
+    cut = cut or 2**62
+    common = df.filter(F.col("df") >= cut).orderBy(F.desc("df"), "word").toArrow()
+    parts = rare_and_leading(b, common, cut, n_docs, threshold)
+    # words by falling df, the common ones before the rare: the sums of squares go on from theirs
+    rare = parts.filter("weight IS NULL").join(df, "word").withColumn("w", F.col("share") * n_docs / (F.col("df") + 1))
+    whole = Window.partitionBy("ord")
+    upto = whole.orderBy(F.desc("df"), "word").rowsBetween(Window.unboundedPreceding, 0)
+    square = F.col("w") * F.col("w")
+    rare = stored(rare.select("ord", "word", "df", "w", (F.col("base") + F.sum(square).over(upto)).alias("sum"), (F.col("base") + F.sum(square).over(whole)).alias("norm2")), "rare")
+    norms = rare.groupBy("ord").agg(F.first("norm2").alias("norm2"))
+    lead = parts.filter("weight IS NOT NULL").join(norms, "ord", "left").select("ord", "word", F.col("weight").alias("w"), "sum", F.coalesce("norm2", "base").alias("norm2"))
     # the words of least df that can be left out without losing a pair: their squared weights sum below threshold squared
-    rank = Window.partitionBy("ord").orderBy(F.desc("df"), "word").rowsBetween(Window.unboundedPreceding, 0)
-    prefix = unit.withColumn("common", F.sum(F.col("u") * F.col("u")).over(rank)).filter(F.sqrt("common") >= threshold - 1e-9)
-    # the rarest word that a pair shares is among those of both, as all rarer ones of each are
-    pairs = meeting(prefix, ["word"], "classes")
+    prefix = rare.filter("df > 1").drop("df").unionByName(lead).select("ord", "word", (F.col("w") / F.sqrt("norm2")).alias("u"), F.sqrt(F.col("sum") / F.col("norm2")).alias("left"))
+    prefix = stored(prefix.filter(F.col("left") >= threshold - 1e-9).join(first, "ord", "left_semi"), "prefix")
+    classes = prefix.groupBy("word").agg(F.count("*").alias("classes")).filter("classes > 1")
+    # the rarest word that a pair shares is among those of both, as all rarer ones of each are; what they share besides is among the words that are left
+    rest = lambda x: F.sqrt(F.greatest(F.lit(0.0), F.col(f"{x}_left") * F.col(f"{x}_left") - F.col(f"{x}_u") * F.col(f"{x}_u")))
+    most = F.col("a_u") * F.col("b_u") + rest("a") * rest("b")
+    pairs = stored(meeting(prefix.join(classes, "word"), ["word"], "classes", similarity=most, carried=("u", "left"), here=F.lit(True), threshold=threshold - 1e-6).select("a", "b").distinct(), "candidates")
+    near = stored(pairs.select(F.col("a").alias("ord")).unionByName(pairs.select(F.col("b").alias("ord"))).distinct(), "near")
+    kept = bags(examples.join(F.broadcast(near) if near.count() <= SENT_IDS else near, "ord", "left_semi"))
+    tf = kept.select("ord", F.size("words").alias("total"), F.explode("words").alias("word")).groupBy("ord", "total", "word").agg(F.count("*").alias("k"))
+    weighted = stored(tf.join(df, "word").select("ord", "word", (F.col("k") / F.col("total") * n_docs / (F.col("df") + 1)).alias("w")), "weighted")
+    norm = weighted.groupBy("ord").agg(F.sqrt(F.sum(square)).alias("norm"))
+    unit = stored(weighted.join(norm, "ord").select("ord", "word", (F.col("w") / F.col("norm")).alias("u")), "unit")
     dot = pairs.join(unit.select(F.col("ord").alias("a"), "word", F.col("u").alias("ua")), "a").join(unit.select(F.col("ord").alias("b"), "word", F.col("u").alias("ub")), ["b", "word"])
     return dot.groupBy("a", "b").agg(F.sum(F.col("ua") * F.col("ub")).alias("similarity")).filter(F.col("similarity") >= threshold)
 

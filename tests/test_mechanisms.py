@@ -354,3 +354,32 @@ def test_structural_pairs_are_made_once_and_not_shuffled_as_candidates(spark):
     # pairs come out of the join of the blocks: nothing is exchanged after it
     plan = found._jdf.queryExecution().optimizedPlan().toString().split("Join")[0]
     assert "Aggregate" not in plan
+
+
+def test_semantic_pairs_whatever_words_are_sent_and_without_shuffling_texts(spark, monkeypatch):
+    from quern.operators import dedup
+
+    r = random.Random(8)
+    texts = [" ".join(r.choices([f"w{i}" for i in range(60)], k=15)) + f" own{k}" * (k % 3) for k in range(80)]
+    texts += [t + " w1" for t in texts[:20]] + texts[:5] + ["", None]
+    e = spark.createDataFrame([(o, "", None, t, "s") for o, t in enumerate(texts)], EXAMPLE)
+    words = {o: collections.Counter((t or "").split()) for o, t in enumerate(texts)}
+    df = collections.Counter(w for c in words.values() for w in c)
+    vector = {o: {w: k / sum(c.values()) * len(texts) / (df[w] + 1) for w, k in c.items()} for o, c in words.items() if c}
+    norm = {o: sum(x * x for x in v.values()) ** 0.5 for o, v in vector.items()}
+    first = {}
+    for o, c in words.items():
+        first.setdefault(tuple(sorted(c.items())), o)
+    firsts = sorted(o for o in first.values() if o in vector)
+    expected = {(a, b): round(c, 6) for a in firsts for b in firsts if a < b and (c := sum(x * vector[b].get(w, 0) for w, x in vector[a].items()) / norm[a] / norm[b]) >= 0.7}
+    assert len(expected) > 10
+    for most in (0, 30, 1000):
+        monkeypatch.setattr(dedup, "COMMON_WORDS", most)
+        assert {(x.a, x.b): round(x.similarity, 6) for x in dedup.semantic_pairs(e, 0.7).collect()} == expected, most
+    # texts that are like none leave few rows behind: no table of all their words
+    written = []
+    real = dedup.stored
+    monkeypatch.setattr(dedup, "stored", lambda d, name: written.append(x := real(d, name)) or x)
+    long = spark.createDataFrame([(o, "", "", " ".join(f"w{r.randrange(300)}" for _ in range(200)) + f" own{o} own{o}", "s") for o in range(60)], EXAMPLE)
+    assert dedup.semantic_pairs(long).count() == 0
+    assert sum(x.count() for x in written) < 1000
