@@ -37,23 +37,34 @@ def header_score(line: Column) -> Column:
     return F.when(noise(line), -10).otherwise(score)
 
 
-def headers(lines: DataFrame, least: int = LEAST_SCORE) -> DataFrame:
-    """id, line_no, title, kind and score of the lines of a known kind whose score is `least` or more; leading # signs are left out."""
+def may_be_header(line: Column) -> Column:
+    """Whether a line has what a header of any kind must have; a look for plain letters that spares most lines the patterns."""
+    return F.contains(line, F.lit("특약")) | F.contains(line, F.lit("특별약관")) | F.contains(line, F.lit("담보")) | F.contains(line, F.lit("별표")) | (F.contains(line, F.lit("부")) & F.contains(line, F.lit("칙")))
+
+
+def with_headers(lines: DataFrame, least: int = LEAST_SCORE) -> DataFrame:
+    """lines with header (title, kind, score), null where a line is none."""
     s = F.regexp_replace(strip("line"), r"^##+[#\s]*", "")
-    d = lines.withColumn("s", s).withColumn("score", header_score(F.col("s"))).filter(F.col("score") >= least)
-    numbered, joined = F.col("s").rlike(NUMBERED), lambda p: strip(F.concat_ws(" ", F.regexp_extract("s", p, 1), F.regexp_extract("s", p, 2)))
+    d = lines.withColumn("s", F.when(may_be_header(F.col("line")), s))
+    score, numbered, joined = header_score(F.col("s")), F.col("s").rlike(NUMBERED), lambda p: strip(F.concat_ws(" ", F.regexp_extract("s", p, 1), F.regexp_extract("s", p, 2)))
     kind = F.when(numbered | F.col("s").rlike(SPECIAL), "special_clause").when(F.col("s").rlike(COVERAGE), "coverage").when(F.col("s").rlike(APPENDIX[0]) | F.col("s").rlike(APPENDIX[1]), "appendix").when(F.col("s").rlike(ADDENDUM), "addendum")
-    title = F.when(numbered, F.regexp_extract("s", NUMBERED, 2)).when((kind == "appendix") & F.col("s").rlike(APPENDIX[0]), joined(APPENDIX[0])).when(kind == "appendix", joined(APPENDIX[1])).otherwise(F.col("s"))
-    return d.select("id", "line_no", title.alias("title"), kind.alias("kind"), (F.col("score") + F.when(numbered, 2).otherwise(0)).alias("score")).filter("kind IS NOT NULL")
+    title = F.when(numbered, F.regexp_extract("s", NUMBERED, 2)).when((F.col("kind") == "appendix") & F.col("s").rlike(APPENDIX[0]), joined(APPENDIX[0])).when(F.col("kind") == "appendix", joined(APPENDIX[1])).otherwise(F.col("s"))
+    d = d.withColumn("kind", F.when(F.col("s").isNotNull(), kind)).withColumn("score", F.when(F.col("kind").isNotNull(), score))
+    header = F.when(F.col("score") >= least, F.struct(title.alias("title"), F.col("kind").alias("kind"), (F.col("score") + F.when(numbered, 2).otherwise(0)).alias("score")))
+    return d.select(*lines.columns, header.alias("header"))
+
+
+def headers(lines: DataFrame, least: int = LEAST_SCORE) -> DataFrame:
+    """id, line_no, title, kind and score of the lines of a known kind whose score is `least` or more; leading # signs are left out."""
+    return with_headers(lines.filter(may_be_header(F.col("line"))), least).filter("header IS NOT NULL").select("id", "line_no", "header.title", "header.kind", "header.score")
 
 
 def segments(lines: DataFrame) -> DataFrame:
     """Each line with the segment it is in: the last header at or before it; title and kind are null before the first."""
-    h = lines.join(headers(lines).select("id", "line_no", "title", "kind"), ["id", "line_no"], "left")
     w = Window.partitionBy("id").orderBy("line_no")
-    h = h.withColumn("segment", F.count("kind").over(w))
-    last = lambda c: F.last(c, ignorenulls=True).over(w)
-    return h.select("id", "line_no", "line", "segment", last("title").alias("title"), last("kind").alias("kind"))
+    last = F.last("header", ignorenulls=True).over(w)
+    h = with_headers(lines).withColumn("segment", F.count("header").over(w)).withColumn("last", last)
+    return h.select("id", "line_no", "line", "segment", F.col("last.title").alias("title"), F.col("last.kind").alias("kind"))
 
 
 # From what token estimate on (half the characters) a special clause should have articles, below which a chunk is short, and how long a title is.
@@ -62,7 +73,7 @@ MANY_TOKENS, FEW_TOKENS, SHORT_TITLE, FULL_SCORE = 1000, 50, 3, 10
 
 def chunks(lines: DataFrame) -> DataFrame:
     """id, chunk_id, kind, title, start_line, end_line, confidence (a tenth of the header's score, 1 at most), n_chars, n_articles and warnings of each segment; of a document without headers one chunk, "document". Lines before the first header are in none."""
-    scored = segments(lines).join(headers(lines).select("id", "line_no", "score"), ["id", "line_no"], "left")
+    scored = with_headers(lines).withColumn("segment", F.count("header").over(Window.partitionBy("id").orderBy("line_no"))).select("id", "line_no", "line", "segment", "header.title", "header.kind", "header.score")
     d = scored.withColumn("n_headers", F.max("segment").over(Window.partitionBy("id"))).filter("segment > 0 OR n_headers = 0")
     text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line_no", "line"))), lambda x: x["line"]), "\n")  # the lines of one segment
     g = d.groupBy("id", "segment").agg(

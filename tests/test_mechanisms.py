@@ -403,3 +403,20 @@ def test_a_search_keeps_the_best_in_small_blocks():
     expected = [(a, ids[b]) for a in range(37) for b in np.lexsort((ids, -scores[a]))[:4]]
     assert sorted((x["query_id"], x["vec_id"]) for x in found) == sorted(expected)
     assert retrieval.units(pa.array([[3.0, 4.0], [0.0, 0.0]], pa.list_(pa.float32()))).tolist() == [[0.6, 0.8], [0.0, 0.0]]
+
+
+def optimized(d):
+    return d._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_clause_chunks_read_lines_once_and_white_space_is_unicodes(spark):
+    from quern.functions.text import SPACES, strip
+
+    texts = [a + "x 　y" + b for a in ("", "  \t", "​") for b in ("", "\x85\n\x0b", "　\r\n", "᠎")] + [SPACES, "", None]
+    old = F.regexp_replace("t", r"(?U)^\s+|\s+$", "")
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").select(strip("t"), old).collect()
+    assert all(a == b for a, b in rows) and rows[-3][0] == ""
+    lines = spark.createDataFrame([(1, 0, "## 골절진단 담보"), (1, 1, "제1조"), (1, 2, " 부 칙 "), (1, 3, "긴 특약 아님 이것은")], "id int, line_no int, line string")
+    c = clause_headers.chunks(lines)
+    assert sorted((r.kind, r.start_line, r.end_line, r.n_articles) for r in c.collect()) == [("addendum", 2, 3, 0), ("coverage", 0, 1, 1)]
+    assert "Join" not in optimized(c) and "Join" not in optimized(clause_headers.segments(lines))
