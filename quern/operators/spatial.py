@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -106,9 +108,43 @@ def candidates(cells: DataFrame, lines: DataFrame, keys: list[str], least: float
     return pairs.withColumn("iou", iou("box_a", "box_b")).filter(F.col("iou") >= least).withColumnsRenamed({"box_a": "cell_box", "box_b": "line_box"})
 
 
+#: Pairs of boxes that a page has at most to be matched as one row; larger pages are dealt out by tiles.
+SMALL = 4096
+
+
+def large_pages(cells: DataFrame, lines: DataFrame, keys: list[str]) -> DataFrame:
+    """The keys of pages with more than SMALL pairs, or boxes of either kind."""
+    n = cells.groupBy(*keys).agg(F.count("*").alias("a")).join(lines.groupBy(*keys).agg(F.count("*").alias("b")), keys, "full")
+    return stored(n.filter(F.coalesce("a", F.lit(1)) * F.coalesce("b", F.lit(1)) > SMALL).select(*keys), "large")
+
+
+def wishes(cells: DataFrame, lines: DataFrame, keys: list[str], least: float) -> DataFrame:
+    """cells with wish: the lines of its page that overlap each from `least` on, as minus (the negative iou) and ord, the best first. For pages that are small."""
+    held = lines.filter(has_area("bbox")).groupBy(*keys).agg(F.collect_list(F.struct(F.col("bbox").alias("line"), "ord")).alias("wish"))  # SMALL lines at most
+    scored = F.transform("wish", lambda x: F.struct((-iou("bbox", x["line"])).alias("minus"), x["ord"].alias("ord")))
+    near = F.sort_array(F.filter(scored, lambda x: (x["minus"] <= -least) & (x["minus"] < 0)))
+    return cells.join(held, keys, "left").withColumn("wish", F.when(has_area("bbox"), near))
+
+
+def by_size(cells: DataFrame, lines: DataFrame, keys: list[str], small: Callable, large: Callable) -> DataFrame:
+    """What small(cells, lines) gives for small pages and large(cells, lines) for the others."""
+    pages = large_pages(cells, lines, keys)
+    if not pages.limit(1).count():
+        return small(cells, lines)
+    parts = [f(*(d.join(pages, keys, how) for d in (cells, lines))) for f, how in ((small, "left_anti"), (large, "left_semi"))]
+    return parts[0].unionByName(parts[1])
+
+
 def best_match(cells: DataFrame, lines: DataFrame, keys: list[str] | None = None, least: float = 0.3, tile: float = TILE) -> DataFrame:
-    """cells (keys, cell, bbox) with ord and iou of the line (keys, ord, bbox) that overlaps each most, from `least` on, the first of equals; null without any. One line may serve many cells. Equal boxes are joined once."""
+    """cells (keys, cell, bbox) with ord and iou of the line (keys, ord, bbox) that overlaps each most, from `least` on, the first of equals; null without any. One line may serve many cells."""
     keys = keys or ["id", "page"]
+    first = F.get("wish", F.lit(0))
+    small = lambda c, t: wishes(c, t, keys, least).select(*cells.columns, first["ord"].alias("ord"), (-first["minus"]).alias("iou"))
+    return by_size(cells, lines, keys, small, lambda c, t: best_of_tiles(c, t, keys, least, tile))
+
+
+def best_of_tiles(cells: DataFrame, lines: DataFrame, keys: list[str], least: float, tile: float) -> DataFrame:
+    """best_match() for pages of any size. Equal boxes are joined once."""
     first = lines.groupBy(*keys, F.col("bbox").alias("line_box")).agg(F.min("ord").alias("ord"))
     scored = candidates(cells, lines, keys, least, tile).join(first, [*keys, "line_box"])
     best = scored.groupBy(*keys, F.col("cell_box").alias("bbox")).agg(F.max_by(F.struct("ord", "iou"), F.struct("iou", -F.col("ord"))).alias("x"))
@@ -118,11 +154,31 @@ def best_match(cells: DataFrame, lines: DataFrame, keys: list[str] | None = None
 def exclusive_match(cells: DataFrame, lines: DataFrame, keys: list[str] | None = None, least: float = 0.3, tile: float = TILE) -> DataFrame:
     """keys, cell, ord, iou: each line (keys, ord, bbox) used once, as if the cells (keys, cell, bbox) chose in the order of `cell` the line not yet taken that overlaps most, the first of equals.
 
+    A small page is one row, whose cells choose in turn; larger ones are matched in rounds. cell and ord are distinct within keys.
+    """
+    keys = keys or ["id", "page"]
+    cell, ord = (d.schema[c].dataType.simpleString() for d, c in ((cells, "cell"), (lines, "ord")))
+    start = F.struct(F.array().cast(f"array<{ord}>").alias("taken"), F.array().cast(f"array<struct<cell:{cell},ord:{ord},iou:double>>").alias("made"))
+
+    def choose(state: Column, x: Column) -> Column:
+        own = F.get(F.filter(x["wish"], lambda w: ~F.array_contains(state["taken"], w["ord"])), F.lit(0))
+        made = F.struct(x["cell"].alias("cell"), own["ord"].alias("ord"), (-own["minus"]).alias("iou"))
+        return F.when(own.isNull(), state).otherwise(F.struct(F.array_append(state["taken"], own["ord"]).alias("taken"), F.array_append(state["made"], made).alias("made")))
+
+    def small(c: DataFrame, t: DataFrame) -> DataFrame:
+        page = wishes(c, t, keys, least).filter(F.size("wish") > 0).groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("cell", "wish"))).alias("all"))  # a small page's
+        return page.select(*keys, F.inline(F.aggregate("all", start, choose)["made"]))
+
+    return by_size(cells, lines, keys, small, lambda c, t: exclusive_in_rounds(c, t, keys, least, tile))
+
+
+def exclusive_in_rounds(cells: DataFrame, lines: DataFrame, keys: list[str], least: float, tile: float) -> DataFrame:
+    """exclusive_match() for pages of any size.
+
     All cells choose at once; a line that is chosen is lost to every later cell than the first that chose it, as that one or
     an earlier one will have it. Those edges go, and the cells that lost theirs choose again, until nothing changes: what
-    choosing in turn gives. Each round's edges are written to the shared folder. cell and ord are distinct within keys.
+    choosing in turn gives. Each round's edges are written to the shared folder.
     """
-    keys = keys or ["id", "page"]
     boxes = candidates(cells, lines, keys, least, tile)
     edge = boxes.join(cells.select(*keys, "cell", F.col("bbox").alias("cell_box")), [*keys, "cell_box"]).join(lines.select(*keys, "ord", F.col("bbox").alias("line_box")), [*keys, "line_box"])
     edge = stored(edge.select(*keys, "cell", "ord", "iou"), "matching")

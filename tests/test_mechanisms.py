@@ -420,3 +420,17 @@ def test_clause_chunks_read_lines_once_and_white_space_is_unicodes(spark):
     c = clause_headers.chunks(lines)
     assert sorted((r.kind, r.start_line, r.end_line, r.n_articles) for r in c.collect()) == [("addendum", 2, 3, 0), ("coverage", 0, 1, 1)]
     assert "Join" not in optimized(c) and "Join" not in optimized(clause_headers.segments(lines))
+
+
+def test_small_pages_are_matched_as_rows_and_large_ones_by_tiles(spark, monkeypatch):
+    r = random.Random(9)
+    box = lambda: (lambda x, y: [x, y, x + r.randrange(5, 40), y + 12.0])(float(r.randrange(60)), float(r.randrange(20)))
+    kinds = lambda k: f"id long, page long, {k} long, bbox array<double>"
+    sizes = {0: 3, 1: 30, 2: 1}
+    cells = spark.createDataFrame([(0, p, i, box()) for p, n in sizes.items() for i in range(n)] + [(0, 0, 99, [1.0, 2.0]), (0, 9, 1, box())], kinds("cell"))
+    lines = spark.createDataFrame([(0, p, i, box()) for p, n in sizes.items() for i in range(n)] + [(0, 0, 99, [5.0, 5.0, 1.0, 9.0])], kinds("ord"))
+    found = []
+    for small in (0, 100, 10_000):  # none, some and all pages are small
+        monkeypatch.setattr(spatial, "SMALL", small)
+        found.append([sorted((x.page, x.cell, x.ord, x.iou) for x in f(cells, lines).select("page", "cell", F.coalesce("ord", F.lit(-1)).alias("ord"), F.coalesce("iou", F.lit(-1.0)).alias("iou")).collect()) for f in (spatial.best_match, spatial.exclusive_match)])
+    assert found[0] == found[1] == found[2] and len(found[0][0]) == 36 and len(found[0][1]) > 10
