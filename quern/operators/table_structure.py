@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from quern.functions.text import strip
 from quern.operators import tables
+from quern.operators.dedup import stored
 
 TABLE = ["id", "table_no"]
 # What is left out of an amount, a share or an age before asking whether it is a number.
@@ -61,11 +62,12 @@ def expand_spans(cells: DataFrame) -> DataFrame:
 
 def structure_problems(cells: DataFrame) -> DataFrame:
     """Per table: whether rows cover unequal numbers of columns, whether two cells begin in one place, and whether any cell spans more."""
-    covered = expand_spans(cells.withColumn("rowspan", F.lit(1))).groupBy(*TABLE, "row").agg(F.countDistinct("col").alias("n"))
-    uneven = covered.groupBy(*TABLE).agg((F.min("n") != F.max("n")).alias("inconsistent_column_count"))
-    places = cells.groupBy(*TABLE, "row", "col").agg(F.count("*").alias("n"), F.max((F.coalesce("rowspan", F.lit(1)) > 1) | (F.coalesce("colspan", F.lit(1)) > 1)).alias("merged"))
-    doubled = places.groupBy(*TABLE).agg((F.max("n") > 1).alias("duplicate_cell_position"), F.max("merged").alias("has_merged_cells"))
-    return uneven.join(doubled, TABLE)
+    spans = (F.coalesce("rowspan", F.lit(1)) > 1) | (F.coalesce("colspan", F.lit(1)) > 1)
+    wide = cells.select(*TABLE, "row", "col", "colspan", spans.alias("merged")).withColumn("rowspan", F.lit(1))
+    # a row for each place that is covered: how many cover it, how many cells begin there
+    places = expand_spans(wide).groupBy(*TABLE, "row", "col").agg(F.count_if("is_origin").alias("begun"), F.max("merged").alias("merged"))
+    covered = places.groupBy(*TABLE, "row").agg(F.count("col").alias("n"), F.max("begun").alias("begun"), F.max("merged").alias("merged"))
+    return covered.groupBy(*TABLE).agg((F.min("n") != F.max("n")).alias("inconsistent_column_count"), (F.max("begun") > 1).alias("duplicate_cell_position"), F.max("merged").alias("has_merged_cells"))
 
 
 def reprocess(gated: DataFrame) -> DataFrame:
@@ -85,7 +87,8 @@ def reprocess(gated: DataFrame) -> DataFrame:
 def assess(cells: DataFrame, attempts: DataFrame | None = None) -> DataFrame:
     """Per table of cells: the gate's metrics, verdict, grade, action and reasons; the header's rows, its confidence and the structure's problems; and whether, how and how urgently to reprocess. Cells without a reliability get one. attempts: id, table_no and how often a table was reprocessed before."""
     known = F.coalesce("reliability", F.round(tables.reliability(F.col("text"), F.col("ocr_text")), 4))
-    c = cells.withColumn("reliability", known)
+    # made once: five parts of the assessment read them
+    c = stored(cells.select(*TABLE, "row", "col", "rowspan", "colspan", "text", "ocr_text", known.alias("reliability")), "cells")
     n = c.groupBy(*TABLE).agg(F.count("*").alias("n_cells"))
     g = tables.gate(c).join(n, TABLE)
     size = lambda a, b, d: F.when(F.col("n_cells") < 10, a).when(F.col("n_cells") < 50, b).otherwise(d)

@@ -434,3 +434,14 @@ def test_small_pages_are_matched_as_rows_and_large_ones_by_tiles(spark, monkeypa
         monkeypatch.setattr(spatial, "SMALL", small)
         found.append([sorted((x.page, x.cell, x.ord, x.iou) for x in f(cells, lines).select("page", "cell", F.coalesce("ord", F.lit(-1)).alias("ord"), F.coalesce("iou", F.lit(-1.0)).alias("iou")).collect()) for f in (spatial.best_match, spatial.exclusive_match)])
     assert found[0] == found[1] == found[2] and len(found[0][0]) == 36 and len(found[0][1]) > 10
+
+
+def test_structure_and_markdown_read_cells_once(spark):
+    from quern.operators import table_structure
+
+    rows = [(1, 0, 0, 0, 1, 2, "a"), (1, 0, 0, 1, 1, 1, "b"), (1, 0, 1, 0, 2, None, "c"), (2, 0, 0, 0, 1, 1, "d"), (2, 0, 0, 0, 1, 1, "e"), (3, 0, 0, 2, 1, 1, None), (3, 0, 1, 0, 1, 1, "f")]
+    cells = spark.createDataFrame(rows, "id int, table_no int, row int, col int, rowspan int, colspan int, text string")
+    p, m = table_structure.structure_problems(cells), tables.markdown_tables(cells)
+    assert sorted(map(tuple, p.collect())) == [(1, 0, True, False, True), (2, 0, False, True, False), (3, 0, False, False, False)]
+    assert {r.id: r.markdown for r in m.collect()} == {1: "| a | b |\n| --- | --- |\n| c |  |", 2: "| e |\n| --- |", 3: "|  |  |  |\n| --- | --- | --- |\n| f |  |  |"}
+    assert "Join" not in optimized(p) and "Join" not in optimized(m)
