@@ -445,3 +445,20 @@ def test_structure_and_markdown_read_cells_once(spark):
     assert sorted(map(tuple, p.collect())) == [(1, 0, True, False, True), (2, 0, False, True, False), (3, 0, False, False, False)]
     assert {r.id: r.markdown for r in m.collect()} == {1: "| a | b |\n| --- | --- |\n| c |  |", 2: "| e |\n| --- |", 3: "|  |  |  |\n| --- | --- | --- |\n| f |  |  |"}
     assert "Join" not in optimized(p) and "Join" not in optimized(m)
+
+
+def test_findings_cut_only_what_they_need_into_words(spark):
+    from quern.operators import answers
+
+    long = "go a " + " ".join(f"w{i}" for i in range(300))
+    texts = [long, "one two three", "x " * 50, "아 보통 그렇다", "let's thinK so", "", None, "a b " + " ".join(f"v{i}" for i in range(43)), "무보통", "ab-cd,ef gh ij kl mn op"]
+    words = F.filter(F.regexp_extract_all("t", F.lit("([A-Za-z0-9가-힣]+)"), F.lit(1)), lambda x: F.length(x) >= 2)
+    phrases = F.transform(F.sequence(F.lit(0), F.greatest(F.least(F.size(words) - 3, F.lit(40)) - 1, F.lit(0)), F.lit(3)), lambda i: F.array_join(F.slice(words, i + 1, 4), " "))
+    d = spark.createDataFrame([(t, c) for t in texts for c in (long, "v40 v41 v42", "v36 v37 v38 v39", "none")], "t string, c string")
+    plain = [F.col("t").rlike("(?iU)" + "|".join(f"(?:{p})" for p in x)) for x in (answers.LEAKS, answers.GENERIC)]
+    g = answers.grounded(F.col("t"), F.col("c"))
+    for a, b, x, y, u, v in d.select(g, (F.size(words) < 8) | F.exists(phrases, lambda p: F.contains("c", p)), answers.any_of(F.col("t"), answers.LEAKS), plain[0], answers.any_of(F.col("t"), answers.GENERIC), plain[1]).collect():
+        assert (a, x, u) == (b, y, v)
+    assert "{0,44}" in str(g)
+    e = spark.createDataFrame([], "doc_id long, question string, ord int, scope_id string, scope_title string, decision string, answer string, evidence array<struct<article:string,quote:string>>, exclusions_checked boolean, exclusions array<string>, conditions array<string>, confidence double")
+    assert answers.merged(e)._jdf.queryExecution().analyzed().toString().count("collect_list") == 1
