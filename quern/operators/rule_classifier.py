@@ -35,7 +35,9 @@ class Rules:
     def pattern(self) -> str:
         """Finds, at every place of a text, the longest word that begins there."""
         quoted = ("\\Q" + w.replace("\\E", "\\E\\\\E\\Q") + "\\E" for w in sorted(self.words, key=lambda w: (-len(w), w)))
-        return f"(?=({'|'.join(quoted)}))"
+        # most places are passed by their first letter
+        first = "".join(f"\\x{{{ord(c):x}}}" for c in sorted({w[0] for w in self.words}))
+        return f"(?=[{first}])(?=({'|'.join(quoted)}))"
 
     def begun_by(self, word: str) -> tuple[list[int], list[int]]:
         """What a word and all words that begin it stand for and rule out."""

@@ -462,3 +462,11 @@ def test_findings_cut_only_what_they_need_into_words(spark):
     assert "{0,44}" in str(g)
     e = spark.createDataFrame([], "doc_id long, question string, ord int, scope_id string, scope_title string, decision string, answer string, evidence array<struct<article:string,quote:string>>, exclusions_checked boolean, exclusions array<string>, conditions array<string>, confidence double")
     assert answers.merged(e)._jdf.queryExecution().analyzed().toString().count("collect_list") == 1
+
+
+def test_most_places_of_a_text_are_passed_by_their_first_letter(spark):
+    rules = spark.createDataFrame([("A", "keyword", "[x", 1), ("A", "keyword", "^y]", 1), ("B", "keyword", "\\d", 2), ("B", "keyword", "😀", 2), ("C", "exclude", "-z", 3), ("C", "keyword", "tv", 3)], "channel string, kind string, word string, priority int")
+    r = rule_classifier.compiled(rules)
+    assert r.pattern.startswith("(?=[")
+    d = spark.createDataFrame([(i, None, None, t) for i, t in enumerate(["a[x", "^y]", "\\d", "q😀", "tv", "tv-z", "x"])], "id int, metadata array<string>, file_name string, text string")
+    assert [x.channel for x in rule_classifier.classify(d, r).orderBy("id").collect()] == ["A", "A", "B", "B", "C", "일반", "일반"]
