@@ -470,3 +470,16 @@ def test_most_places_of_a_text_are_passed_by_their_first_letter(spark):
     assert r.pattern.startswith("(?=[")
     d = spark.createDataFrame([(i, None, None, t) for i, t in enumerate(["a[x", "^y]", "\\d", "q😀", "tv", "tv-z", "x"])], "id int, metadata array<string>, file_name string, text string")
     assert [x.channel for x in rule_classifier.classify(d, r).orderBy("id").collect()] == ["A", "A", "B", "B", "C", "일반", "일반"]
+
+
+def test_runs_of_a_stream_are_bounded(spark, monkeypatch):
+    rows = [(i, i % 3, 1000 + i, "fail" if i % 4 else "done") for i in range(60)]
+    ledger = spark.createDataFrame(rows, "event_id long, key long, at long, event string").select("event_id", "key", F.timestamp_micros("at").alias("ts"), "event")
+    runs, real = [], keyed_state.run_once
+    monkeypatch.setattr(keyed_state, "run_once", lambda *a: runs.append(real(*a)))
+    monkeypatch.setattr(keyed_state, "RUN", 12)
+    found = {r.event_id: (r.n_same, r.n_held) for r in keyed_state.arriving(ledger, lambda s: keyed_state.last_mix(s, 5)).collect()}
+    assert len(runs) == 5
+    for i, k, _, event in rows:
+        before = [e for j, q, _, e in rows if q == k and j <= i][-5:]
+        assert found[i] == (before.count(event), len(before))
