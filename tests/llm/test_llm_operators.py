@@ -457,3 +457,9 @@ def test_quality_rules_join_many_targets_by_a_shuffle(spark, docs, monkeypatch):
     whole = rounded()
     monkeypatch.setattr(quality_rules, "MOST_BROADCAST", 0)
     assert rounded() == whole and len({x[2] for x in whole}) > 3
+
+
+def test_the_default_pruning_keeps_an_n_gram_of_a_few_in_a_million():
+    words = [(b"", 1000), (b"a", 1000), (b"b", 1000)]
+    m = lm_scoring.Automaton(words, {2: {(2, 3): 5}}, 1000, 1_000_000, 3, lm_scoring.PRUNE)
+    assert len(m.arcs) == 1
