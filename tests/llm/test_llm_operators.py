@@ -463,3 +463,24 @@ def test_the_default_pruning_keeps_an_n_gram_of_a_few_in_a_million():
     words = [(b"", 1000), (b"a", 1000), (b"b", 1000)]
     m = lm_scoring.Automaton(words, {2: {(2, 3): 5}}, 1000, 1_000_000, 3, lm_scoring.PRUNE)
     assert len(m.arcs) == 1
+
+
+def test_lm_model_takes_little_of_the_drivers_memory(spark):
+    """The driver holds arrays, not an object for each of 80,000 words and 200,000 n-grams."""
+    import tracemalloc
+
+    d = spark.range(80_000).selectExpr("id AS doc_id", "concat('a', id % 40000, ' b', id % 40000) AS text")
+    tracemalloc.start()
+    try:
+        model, _ = lm_scoring.fit(d)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert len(model.numbers) == 80_001 and len(model.arcs) == 120_000
+    assert peak < 50_000_000
+
+
+def test_lm_model_without_training_documents(spark):
+    d = spark.createDataFrame([(1, "a b"), (2, None)], "doc_id long, text string")
+    model, counts = lm_scoring.fit(d.limit(0))
+    assert sorted((r.doc_id, r.n_tokens, r.n_known, r.train_tokens, r.base_score, r.score) for r in lm_scoring.score(d, model, counts).collect()) == [(1, 3, 0, 0, 0.0, 0.0), (2, 1, 0, 0, 0.0, 0.0)]
