@@ -483,3 +483,15 @@ def test_runs_of_a_stream_are_bounded(spark, monkeypatch):
     for i, k, _, event in rows:
         before = [e for j, q, _, e in rows if q == k and j <= i][-5:]
         assert found[i] == (before.count(event), len(before))
+
+
+def pairs_of(query, spark, path, texts):
+    spark.createDataFrame([(i, x, "s") for i, x in enumerate(texts)], "doc_id long, text string, source string").write.parquet(f"{path}/documents.parquet")
+    return {(r.a, r.b): r.similarity for r in query(spark, str(path)).collect()}
+
+
+def test_structural_similarity_at_a_half_of_the_last_digit(spark, tmp_path):
+    """0.9296875: SQL adds exact decimals first."""
+    from quern.plans.queries import QUERIES
+
+    assert pairs_of(QUERIES["structural_pairs"], spark, tmp_path, ["a b c".ljust(n, "!") for n in (440, 2816)]) == {(0, 1): 0.929688}
