@@ -490,6 +490,16 @@ def pairs_of(query, spark, path, texts):
     return {(r.a, r.b): r.similarity for r in query(spark, str(path)).collect()}
 
 
+def test_structural_pairs_link_copies_too(spark, tmp_path):
+    from quern.plans.queries import QUERIES
+
+    one, near = "one two three four five six seven eight nine ten", "one two three four five six seven eight nine tenth"
+    found = pairs_of(QUERIES["structural_pairs"], spark, tmp_path, [one, near, one, "other words stand here", near, "", "", one])
+    copies = [{0, 2, 7}, {1, 4}]
+    assert found.keys() == {(a, b) for a in (0, 1, 2, 4, 7) for b in (0, 1, 2, 4, 7) if a < b}
+    assert {k for k, s in found.items() if s == 1.0} == {k for k in found if any(set(k) <= c for c in copies)}
+
+
 def test_structural_similarity_at_a_half_of_the_last_digit(spark, tmp_path):
     """0.9296875: SQL adds exact decimals first."""
     from quern.plans.queries import QUERIES
