@@ -500,6 +500,12 @@ def test_structural_pairs_link_copies_too(spark, tmp_path):
     assert {k for k, s in found.items() if s == 1.0} == {k for k in found if any(set(k) <= c for c in copies)}
 
 
+def test_semantic_pairs_link_copies_too(spark, tmp_path):
+    from quern.plans.queries import QUERIES
+
+    assert pairs_of(QUERIES["semantic_pairs"], spark, tmp_path, ["a b c", "x y", "c b a", "", "", "a b c"]) == {(0, 2): 1.0, (0, 5): 1.0, (2, 5): 1.0}
+
+
 def test_structural_similarity_at_a_half_of_the_last_digit(spark, tmp_path):
     """0.9296875: SQL adds exact decimals first."""
     from quern.plans.queries import QUERIES
