@@ -511,3 +511,11 @@ def test_structural_similarity_at_a_half_of_the_last_digit(spark, tmp_path):
     from quern.plans.queries import QUERIES
 
     assert pairs_of(QUERIES["structural_pairs"], spark, tmp_path, ["a b c".ljust(n, "!") for n in (440, 2816)]) == {(0, 1): 0.929688}
+
+
+@pytest.mark.parametrize("name", ["structure_problems", "table_assessment"])
+def test_line_items_are_placed_and_shuffled_once_for_their_cells(spark, name):
+    from quern.plans.derived_queries import QUERIES
+
+    plan = QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert (plan.count("Exchange "), plan.count("FileScan"), plan.count("SortMergeJoin")) == (1, 1, 0)
