@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import add
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -107,22 +110,23 @@ def reprocess(gated: DataFrame) -> DataFrame:
     )
 
 
-def assess(cells: DataFrame, attempts: DataFrame | None = None) -> DataFrame:
-    """Per table of cells: the gate's metrics, verdict, grade, action and reasons; the header's rows, its confidence and the structure's problems; and whether, how and how urgently to reprocess. Cells without a reliability get one. attempts: id, table_no and how often a table was reprocessed before."""
+def assess(cells: DataFrame, attempts: DataFrame | None = None, parts: int = 0) -> DataFrame:
+    """Per table of cells: the gate's metrics, verdict, grade, action and reasons; the header's rows, its confidence and the structure's problems; and whether, how and how urgently to reprocess. Cells without a reliability get one. attempts: id, table_no and how often a table was reprocessed before. parts: cells have a part below that, and a row's reliabilities are added up by part, on which the best of rows with equal means may depend."""
     known = F.coalesce("reliability", F.round(tables.reliability(F.col("text"), F.col("ocr_text")), 4))
-    c = cells.select(*TABLE, "row", "col", F.lit(1).alias("rowspan"), "colspan", content().alias("content"), tables.is_filled(cells).cast("int").alias("filled"), known.alias("rel"), spans().alias("merged"))
+    c = cells.select(*TABLE, "row", "col", F.lit(1).alias("rowspan"), "colspan", content().alias("content"), tables.is_filled(cells).cast("int").alias("filled"), known.alias("rel"), spans().alias("merged"), (F.col("part") if parts else F.lit(0)).alias("part"))
     # cells are read once: places, rows and tables are summed up one after another
     own = lambda x: F.when(F.col("is_origin"), x)
-    sums = ["n_cells", "filled", "rel", "numeric", "chars", "low", "lower"]
+    of = [f"rel{k}" for k in range(parts or 1)]
+    sums = ["n_cells", "filled", "numeric", "chars", "low", "lower"]
     places = expand_spans(c).groupBy(*TABLE, "row", "col").agg(
-        F.count_if("is_origin").alias("n_cells"), F.max("merged").alias("merged"), F.sum(own(F.col("filled"))).alias("filled"), F.sum(own(F.col("rel"))).alias("rel"),
+        F.count_if("is_origin").alias("n_cells"), F.max("merged").alias("merged"), F.sum(own(F.col("filled"))).alias("filled"), *(F.sum(own(F.when(F.col("part") == k, F.col("rel")))).alias(x) for k, x in enumerate(of)),
         F.count_if(own(numeric_cell(F.col("content")))).alias("numeric"), F.sum(own(F.length("content"))).alias("chars"), F.count_if(own(F.col("rel") < 0.60)).alias("low"), F.count_if(own(F.col("rel") < 0.55)).alias("lower"),
     )
-    lines = places.groupBy(*TABLE, "row").agg(F.count("col").alias("n_places"), F.max("n_cells").alias("begun"), F.max("merged").alias("merged"), *(F.sum(x).alias(x) for x in sums))
+    lines = places.groupBy(*TABLE, "row").agg(F.count("col").alias("n_places"), F.max("n_cells").alias("begun"), F.max("merged").alias("merged"), *(F.sum(x).alias(x) for x in sums), reduce(add, (F.coalesce(F.sum(x), F.lit(0.0)) for x in of)).alias("rel"))
     lines = lines.withColumn("score", row_score(F.col("filled") / F.col("n_cells"), F.col("rel") / F.col("n_cells"), F.col("numeric"), F.col("chars"), F.col("filled")))
     head = lambda x: F.sum(F.when(F.col("row") == 0, F.col(x))) / F.sum(F.when(F.col("row") == 0, F.col("n_cells")))
     t = lines.groupBy(*TABLE).agg(
-        *header_sums(), *problems(), *(F.sum(x).alias(x) for x in sums), ((head("filled") >= 0.5) & (tables.settled(head("rel")) >= 0.75)).alias("header_ok")
+        *header_sums(), *problems(), *(F.sum(x).alias(x) for x in (*sums, "rel")), ((head("filled") >= 0.5) & (tables.settled(head("rel")) >= 0.75)).alias("header_ok")
     ).withColumnRenamed("n_cells", "n")
     low = tables.by_size(F.col("low"), F.col("low"), F.col("lower"))
     rates = {"fill_rate": F.col("filled"), "avg_reliability": F.col("rel"), "low_conf_ratio": low}

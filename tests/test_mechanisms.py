@@ -513,27 +513,47 @@ def test_structural_similarity_at_a_half_of_the_last_digit(spark, tmp_path):
     assert pairs_of(QUERIES["structural_pairs"], spark, tmp_path, ["a b c".ljust(n, "!") for n in (440, 2816)]) == {(0, 1): 0.929688}
 
 
-def test_the_fixed_gate_adds_up_as_its_sql(spark, tmp_path):
-    """The mean of the cells' reliability is 0.7, but added up column by column it is less by the last digit."""
+def over_line_items(spark, path, name, rows):
+    """The rows of a query over line items (order, part, supplier, number, quantity, discount), and those of its SQL."""
     import duckdb
 
     import __spark_entry__
 
-    rows = [(1, 1, 1, 1, 41.0, 0.02), (1, 4, 1, 1, 41.0, 0.02), (1, 12, 1, 3, 26.0, 0.02), (1, 15, 1, 3, 16.0, 0.06), (1, 8, 1, 5, 47.0, 0.02)]
     lines = spark.createDataFrame(rows, "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_discount double")
-    lines.selectExpr("*", "1.0D AS l_extendedprice", "'N' AS l_returnflag", "'F' AS l_linestatus").coalesce(1).write.parquet(f"{tmp_path}/lineitem.parquet")
+    lines.selectExpr("*", "1.0D AS l_extendedprice", "'N' AS l_returnflag", "'F' AS l_linestatus").coalesce(1).write.parquet(f"{path}/lineitem.parquet")
     c = duckdb.connect()
-    c.execute(f"CREATE VIEW lineitem AS SELECT * FROM '{tmp_path}/lineitem.parquet/*.parquet'")
-    found = c.sql(__spark_entry__.oracle_sql()["fixed_table_gate"])
-    expected = [dict(zip(found.columns, map(plain_value, r), strict=True)) for r in found.fetchall()]
-    got = __spark_entry__.queries()["fixed_table_gate"](spark, str(tmp_path)).select(*found.columns).collect()
-    assert [r.asDict() for r in got] == expected and [(r.header_ok, r.passed) for r in got] == [(True, False)]
+    c.execute(f"CREATE VIEW lineitem AS SELECT * FROM '{path}/lineitem.parquet/*.parquet'")
+    found = c.sql(__spark_entry__.oracle_sql()[name])
+    plain = lambda x: float(x) if hasattr(x, "as_tuple") else x
+    expected = [dict(zip(found.columns, map(plain, r), strict=True)) for r in found.fetchall()]
+    in_order = lambda rows: sorted(rows, key=lambda r: (r["id"], r["table_no"]))
+    return in_order(r.asDict() for r in __spark_entry__.queries()[name](spark, str(path)).select(*found.columns).collect()), in_order(expected)
+
 
+def test_the_fixed_gate_adds_up_as_its_sql(spark, tmp_path):
+    """The mean of the cells' reliability is 0.7, but added up column by column it is less by the last digit."""
+    rows = [(1, 1, 1, 1, 41.0, 0.02), (1, 4, 1, 1, 41.0, 0.02), (1, 12, 1, 3, 26.0, 0.02), (1, 15, 1, 3, 16.0, 0.06), (1, 8, 1, 5, 47.0, 0.02)]
+    got, expected = over_line_items(spark, tmp_path, "fixed_table_gate", rows)
+    assert got == expected and [(r["header_ok"], r["passed"]) for r in got] == [(True, False)]
 
-def plain_value(x):
-    from decimal import Decimal
 
-    return float(x) if isinstance(x, Decimal) else x
+def test_the_assessment_adds_up_rows_as_its_sql(spark, tmp_path):
+    """Two rows of a table without a first row have equal scores but for the last digit."""
+    rows = [(538766, 62750, 3472, 3, 35.0, 0.06), (538766, 73333, 3791, 4, 16.0, 0.03), (538766, 66075, 3363, 7, 25.0, 0.08)]
+    got, expected = over_line_items(spark, tmp_path, "table_assessment", rows)
+    assert got == expected and [r["header_rows"] for r in got] == ["0", "1"]
+
+
+def test_the_best_row_is_the_same_in_any_order_of_cells(spark):
+    import random
+
+    from quern.operators import table_structure
+
+    row = lambda n, s, texts: [(n, c, t, (s % m) / m, p) for p, (c, t, m) in enumerate(texts)]
+    cells = row(2, 3791, [(0, "N F", 7), (1, "16,000만원", 9), (2, "3%", 11), (1, "내용4", 5)]) + row(1, 3363, [(0, "N F", 7), (1, "25,000만원", 9), (2, "8%", 11)])
+    rows = [(i, 0, r, c, 1, 1, t, "", x, p) for i in range(40) for r, c, t, x, p in random.Random(i).sample(cells, len(cells))]
+    c = spark.createDataFrame(rows, "id int, table_no int, row int, col int, rowspan int, colspan int, text string, ocr_text string, reliability double, part int").coalesce(1)
+    assert {tuple(r.header_rows) for r in table_structure.assess(c, parts=4).collect()} == {(2,)}
 
 
 @pytest.mark.parametrize("name", ["structure_problems", "table_assessment"])
