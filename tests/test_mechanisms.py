@@ -562,3 +562,26 @@ def test_line_items_are_placed_and_shuffled_once_for_their_cells(spark, name):
 
     plan = QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
     assert (plan.count("Exchange "), plan.count("FileScan"), plan.count("SortMergeJoin")) == (1, 1, 0)
+
+
+def test_numbers_settle_structural_pairs_before_words_are_compared(spark):
+    import random
+
+    from quern.operators import dedup
+
+    r = random.Random(5)
+    rows = [(i, "", "", " ".join(r.choices("abcdefghijklmn", k=r.randint(1, 12))) + "!" * r.randint(0, 30), "s") for i in range(300)]
+    found = dedup.structural_pairs(spark.createDataFrame(rows, EXAMPLE))
+    condition = next(x for x in found._jdf.queryExecution().optimizedPlan().toString().split("\n") if "Join Inner" in x and "a_place" in x)
+    assert condition.index("a_place") < condition.index("array_intersect")
+    got = {(x.a, x.b): round(x.similarity, 9) for x in found.collect()}
+    first = {}
+    for i, *_, text, _ in rows:
+        first.setdefault((len(text), frozenset(text.replace("!", "").split()[:10])), i)
+    expected = {}
+    for (n, x), a in first.items():
+        for (m, y), b in first.items():
+            s = (0.8 + 0.1 * (1 - abs(n - m) / max(n, m)) + 0.3 * len(x & y) / len(x | y)) / 1.2
+            if a < b and s >= 0.85:
+                expected[a, b] = round(s, 9)
+    assert got == expected and len(got) > 100
